@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A side is hinted for broadcast only after a bounded count proves it has at
+most ``max_rows`` rows; otherwise it is returned unchanged and Spark keeps a
+shuffle join (and AQE may still convert it at runtime from real shuffle
+statistics, spark.sql.adaptive.autoBroadcastJoinThreshold).
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    # limit(n + 1) lets the count stop early on a large side
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if small_enough(df, max_rows) else df
