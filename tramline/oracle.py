@@ -297,3 +297,104 @@ mart_ei AS (
 
 def with_layers(select: str) -> str:
     return "WITH " + LAYERS.strip() + "\n" + select
+
+
+def NR(col: str, q: float = 0.95) -> str:
+    """Nearest-rank percentile over a group."""
+    return f"list_sort(list({col}))[CAST(floor({q}::DOUBLE * (count({col}) - 1)) AS BIGINT) + 1]"
+
+
+_POS_REST = ("route_id, route_mode, trip_id, direction_id, stop_id, next_stop_id, lat, lon, speed_kmh, heading_deg, "
+             "delay_seconds, congestion_level, ingested_ts")
+_W_REST = ("lat, lon, temperature_c, feels_like_c, humidity_pct, wind_speed_kmh, precipitation_mm, condition, "
+           "visibility_km, ingested_ts")
+_E_REST = ("name, category, lat, lon, start_time_utc, end_time_utc, expected_attendance, impact, impact_radius_km, "
+           "status, ingested_ts")
+
+LIVE = f"""
+lp AS (SELECT * FROM a_pos WHERE vehicle_id IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY event_ts DESC NULLS LAST, {_desc(_POS_REST)}) = 1),
+lw AS (SELECT * FROM a_weather WHERE zone_id IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY event_ts DESC NULLS LAST, {_desc(_W_REST)}) = 1),
+le AS (SELECT * FROM a_cev WHERE event_id IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_ts DESC NULLS LAST, {_desc(_E_REST)}) = 1),
+recent AS (SELECT *, coalesce(CAST(delay_seconds AS DOUBLE), 0.0::DOUBLE) AS d FROM a_tu
+           ORDER BY event_ts DESC NULLS LAST, trip_id DESC NULLS LAST, stop_id DESC NULLS LAST LIMIT 1500),
+rr AS (SELECT r.*, p.lat AS p_lat, p.lon AS p_lon FROM recent r LEFT JOIN lp p ON p.vehicle_id = r.vehicle_id)
+"""
+
+
+def with_live(select: str) -> str:
+    select = select.lstrip("\n")
+    return "WITH " + LAYERS.strip() + ",\n" + LIVE.strip() + ("" if select.startswith(",") else "\n") + select
+
+
+def EQKM(lat1, lon1, lat2, lon2) -> str:
+    return (f"sqrt((({lat1}) - ({lat2})) * 111.0::DOUBLE * (({lat1}) - ({lat2})) * 111.0::DOUBLE + "
+            f"(({lon1}) - ({lon2})) * 111.0::DOUBLE * 0.7::DOUBLE * (({lon1}) - ({lon2})) * 111.0::DOUBLE * 0.7::DOUBLE)")
+
+
+LIVE_SQL = {
+    "live_top_routes": with_live(f"""
+SELECT route_id, {R('avg(d)')} AS avg_delay_seconds, {R(NR('d'))} AS p95_delay_seconds, count(*) AS observations,
+       {PCT('count_if(d <= 120)')} AS on_time_pct
+FROM recent GROUP BY 1 ORDER BY avg_delay_seconds DESC, route_id LIMIT 10"""),
+    "live_delay_trends": with_live(f"""
+SELECT strftime(event_ts, '%Y-%m-%dT%H:00:00') AS bucket, {R('avg(d)')} AS avg_delay_seconds, count(*) AS observations,
+       {PCT('count_if(d <= 120)')} AS on_time_pct
+FROM recent WHERE event_ts IS NOT NULL GROUP BY 1 ORDER BY bucket DESC LIMIT 24"""),
+    "live_hotspots": with_live(f"""
+SELECT CAST({R('lat')} AS VARCHAR) || '|' || CAST({R('lon')} AS VARCHAR) AS grid_cell, {R('lat')} AS lat, {R('lon')} AS lon,
+       {R('avg(coalesce(delay_seconds, 0.0))')} AS avg_delay_seconds, {R('avg(coalesce(speed_kmh, 0.0))')} AS avg_speed_kmh,
+       {R('avg(coalesce(congestion_level, 0.0))', 3)} AS avg_congestion, count(*) AS vehicles
+FROM lp WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY 1, 2, 3
+ORDER BY avg_delay_seconds DESC, grid_cell LIMIT 20"""),
+    "live_kpis": with_live(f"""
+SELECT count(*) AS vehicles_tracked, coalesce({R('avg(d)')}, 0.0::DOUBLE) AS avg_delay_seconds,
+       coalesce({PCT('count_if(d <= 120)')}, 100.0::DOUBLE) AS on_time_pct, count_if(d > 600) AS severe_delays,
+       coalesce({R('avg(s)')}, 0.0::DOUBLE) AS avg_speed_kmh,
+       (SELECT count(*) FROM le WHERE status = 'ACTIVE') AS active_events
+FROM (SELECT coalesce(delay_seconds, 0.0) AS d, coalesce(speed_kmh, 0.0) AS s FROM lp) x"""),
+    "live_weather_impact": with_live(f"""
+, zones AS (SELECT lat, lon, zone_id, condition FROM lw WHERE lat IS NOT NULL AND lon IS NOT NULL),
+nz AS (SELECT rr.trip_id, rr.stop_id, rr.event_ts, z.condition
+       FROM rr JOIN zones z ON TRUE WHERE rr.p_lat IS NOT NULL AND rr.p_lon IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY rr.trip_id, rr.stop_id, rr.event_ts
+         ORDER BY (rr.p_lat - z.lat) * (rr.p_lat - z.lat) + (rr.p_lon - z.lon) * (rr.p_lon - z.lon),
+                  z.zone_id NULLS FIRST, z.condition NULLS FIRST) = 1)
+SELECT CASE WHEN rr.p_lat IS NULL OR rr.p_lon IS NULL THEN 'unknown'
+            WHEN nz.condition IS NULL OR nz.condition = '' THEN 'unknown' ELSE nz.condition END AS condition,
+       {R('avg(d)')} AS avg_delay_seconds, count(*) AS observations, {PCT('count_if(d <= 120)')} AS on_time_pct
+FROM rr LEFT JOIN nz ON nz.trip_id = rr.trip_id AND nz.stop_id = rr.stop_id AND nz.event_ts = rr.event_ts
+GROUP BY 1""".replace("\n, zones", "\n, zones", 1)),
+    "live_route_reliability": with_live(f"""
+, modes AS (SELECT route_id, route_mode AS mode FROM lp
+            QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY event_ts DESC NULLS LAST, vehicle_id DESC NULLS LAST) = 1),
+s AS (SELECT route_id, {R('avg(d)')} AS avg_delay_seconds, {R(NR('d'))} AS p95_delay_seconds,
+             {PCT('count_if(d <= 120)')} AS on_time_pct, {PCT('count_if(d > 600)')} AS severe_pct,
+             count(*) AS stops_observed FROM recent GROUP BY 1)
+SELECT s.*, coalesce(m.mode, 'unknown') AS route_mode FROM s LEFT JOIN modes m ON m.route_id = s.route_id
+ORDER BY avg_delay_seconds DESC, s.route_id LIMIT 25"""),
+    "live_events_impact": with_live(f"""
+, act AS (SELECT lat, lon FROM le WHERE status = 'ACTIVE' AND lat IS NOT NULL AND lon IS NOT NULL),
+pairs AS (SELECT rr.d, {EQKM('rr.p_lat', 'rr.p_lon', 'a.lat', 'a.lon')} AS km
+          FROM rr JOIN act a ON TRUE WHERE rr.p_lat IS NOT NULL AND rr.p_lon IS NOT NULL),
+b AS (SELECT CASE WHEN km <= 2.0 THEN 'within_2km' WHEN km <= 5.0 THEN 'within_5km' ELSE 'far' END AS proximity_bucket, d
+      FROM pairs)
+SELECT proximity_bucket, count(*) AS observations, {R('avg(d)')} AS avg_delay_seconds,
+       {R(NR('d'))} AS p95_delay_seconds, {PCT('count_if(d <= 120)')} AS on_time_pct, 0.0::DOUBLE AS avg_event_impact
+FROM b GROUP BY 1"""),
+    "live_current_delays": with_live("""
+SELECT vehicle_id, route_id, route_mode, lat, lon, speed_kmh, delay_seconds, congestion_level, event_ts FROM lp
+ORDER BY coalesce(delay_seconds, 0.0) DESC, vehicle_id LIMIT 200"""),
+    "live_weather_current": with_live("""
+SELECT *, row_number() OVER (ORDER BY event_ts DESC NULLS LAST, zone_id) = 1 AS is_headline FROM lw"""),
+    "latest_event_state": with_live("SELECT * FROM le"),
+    "ingest_counters": with_live(f"""
+SELECT stream, count(*) AS records,
+       {R('count(*) / greatest((epoch_us(max(ingested_ts)) - epoch_us(min(ingested_ts))) / 1000000.0, 1.0)')} AS rate_per_s
+FROM (SELECT 'transport_positions' AS stream, ingested_ts FROM a_pos UNION ALL
+      SELECT 'trip_updates', ingested_ts FROM a_tu UNION ALL
+      SELECT 'weather_observations', ingested_ts FROM a_weather UNION ALL
+      SELECT 'city_events', ingested_ts FROM a_cev) u GROUP BY 1"""),
+}

@@ -227,3 +227,82 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     return {k: v[1] for k, v in QUERIES.items() if v[1] is not None}
+
+
+# ------------------------------------------------------------ live window
+def _bronze(spark, sf):
+    return wh(spark, sf).bronze
+
+
+def _live(name):
+    return O.LIVE_SQL[name]
+
+
+@register("live_top_routes", _live("live_top_routes"))
+def q_live_top_routes(spark, sf):
+    from .plans import live
+    return live.top_routes(_bronze(spark, sf)["trip_updates"])
+
+
+@register("live_delay_trends", _live("live_delay_trends"))
+def q_live_trends(spark, sf):
+    from .plans import live
+    return live.delay_trends(_bronze(spark, sf)["trip_updates"])
+
+
+@register("live_hotspots", _live("live_hotspots"))
+def q_live_hotspots(spark, sf):
+    from .plans import live
+    return live.hotspots(_bronze(spark, sf)["transport_positions"])
+
+
+@register("live_kpis", _live("live_kpis"))
+def q_live_kpis(spark, sf):
+    from .plans import live
+    b = _bronze(spark, sf)
+    return live.kpis(b["transport_positions"], b["city_events"])
+
+
+@register("live_weather_impact", _live("live_weather_impact"))
+def q_live_weather(spark, sf):
+    from .plans import live
+    b = _bronze(spark, sf)
+    return live.weather_impact(b["trip_updates"], b["transport_positions"], b["weather_observations"])
+
+
+@register("live_route_reliability", _live("live_route_reliability"))
+def q_live_rel(spark, sf):
+    from .plans import live
+    b = _bronze(spark, sf)
+    return live.route_reliability(b["trip_updates"], b["transport_positions"])
+
+
+@register("live_events_impact", _live("live_events_impact"))
+def q_live_events(spark, sf):
+    from .plans import live
+    b = _bronze(spark, sf)
+    return live.events_impact(b["trip_updates"], b["transport_positions"], b["city_events"])
+
+
+@register("live_current_delays", _live("live_current_delays"))
+def q_live_current(spark, sf):
+    from .plans import live
+    return live.current_delays(_bronze(spark, sf)["transport_positions"])
+
+
+@register("live_weather_current", _live("live_weather_current"))
+def q_live_weather_current(spark, sf):
+    from .plans import live
+    return live.weather_current(_bronze(spark, sf)["weather_observations"])
+
+
+@register("latest_event_state", _live("latest_event_state"))
+def q_latest_event_state(spark, sf):
+    from .plans import live
+    return live.latest_events(_bronze(spark, sf)["city_events"])
+
+
+@register("ingest_counters", _live("ingest_counters"))
+def q_ingest_counters(spark, sf):
+    from .plans import live
+    return live.ingest_counters(_bronze(spark, sf))
