@@ -87,3 +87,18 @@ def stop_segments(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     return seg.select("trip_id", "stop_id", "stop_sequence",
                       F.when(F.col("prev_lat").isNull(), F.lit(0.0))
                        .otherwise(haversine_km("prev_lat", "prev_lon", "stop_lat", "stop_lon")).alias("segment_km"))
+
+
+def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "lat", lon: str = "lon",
+                      ts: str = "event_ts") -> DataFrame:
+    """1 + max over active events of (1 - d / r) * impact inside the impact
+    radius (r defaults to 3 km), per point key; 1.0 without events."""
+    from ..functions.geo import event_load_factor as contribution
+    pts = points.select(*keys, lat, lon, ts)
+    ev = events.select(*EVENT_COLS, "status", "impact_radius_km")
+    ev_cols = [c for c in ev.columns]
+    pairs = events_active_at(pts, ev, ts)
+    d = haversine_km(F.col(lat), F.col(lon), F.col("_ev_lat"), F.col("_ev_lon"))
+    peak = pairs.groupBy(*keys).agg(F.max(contribution(d, F.lit(3.0), F.col("impact"))).alias("_peak"))
+    return pts.select(*keys).join(peak, keys, "left").select(
+        *keys, (F.lit(1.0) + F.coalesce(F.col("_peak"), F.lit(0.0))).alias("load_factor"))

@@ -398,3 +398,140 @@ FROM (SELECT 'transport_positions' AS stream, ingested_ts FROM a_pos UNION ALL
       SELECT 'weather_observations', ingested_ts FROM a_weather UNION ALL
       SELECT 'city_events', ingested_ts FROM a_cev) u GROUP BY 1"""),
 }
+
+
+# ---------------------------------------------------------------- GTFS extraction
+def _bbox_sql(lat: float, lon: float, radius_km: float):
+    import math
+    lat_d = radius_km / 111.0
+    lon_d = radius_km / (111.0 * max(math.cos(math.radians(lat)), 0.2))
+    return (f"stop_lat BETWEEN {lat - lat_d!r} AND {lat + lat_d!r} "
+            f"AND stop_lon BETWEEN {lon - lon_d!r} AND {lon + lon_d!r}")
+
+
+def gtfs_city_sql(radius_km: float) -> str:
+    return f"""
+, city_stops AS (SELECT stop_id, stop_name, stop_lat, stop_lon, '' AS stop_zone FROM a_stops
+                 WHERE {_bbox_sql(52.52, 13.405, radius_km)}),
+city_st AS (SELECT st.trip_id, st.stop_id, st.stop_sequence, st.arrival_time, st.departure_time
+            FROM a_stop_times st JOIN city_stops s ON st.stop_id = s.stop_id),
+city_trips AS (SELECT trip_id, route_id, service_id, 0 AS direction_id, '' AS trip_headsign FROM a_trips
+               WHERE trip_id IN (SELECT DISTINCT trip_id FROM city_st)),
+city_routes AS (SELECT r.route_id, r.route_short_name, r.route_long_name,
+                       CASE n.route_type WHEN 0 THEN 'tram' WHEN 1 THEN 'rail' WHEN 2 THEN 'rail' WHEN 3 THEN 'bus'
+                                         ELSE 'bus' END AS route_mode
+                FROM a_routes r LEFT JOIN a_routes n ON n.route_id = r.route_id
+                WHERE r.route_id IN (SELECT DISTINCT route_id FROM city_trips))
+"""
+
+
+RT_SQL = """
+, rt_feed AS (
+  SELECT CAST(event_id AS VARCHAR) AS entity_id, ts AS feed_ts, event_id, user_id, value,
+         epoch_us(ts) // 1000000 AS t0,
+         CASE WHEN event_id % 13 = 0 THEN 'X' ELSE 'T' END || CAST(user_id AS VARCHAR) AS trip_id,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE 'F' || CAST(user_id % 25 AS VARCHAR) END AS feed_route,
+         CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 17 = 0 THEN '' ELSE 'V' || CAST(user_id AS VARCHAR) END AS veh_id,
+         CASE WHEN event_id % 2 = 0 THEN value - 100.0::DOUBLE END AS trip_delay,
+         event_id % 4 AS n_su
+  FROM events),
+rt_su AS (
+  SELECT f.entity_id, r.j AS pos, 'S' || CAST((f.event_id + 7 * r.j) % 45 AS VARCHAR) AS stop_id,
+         CAST((f.event_id + r.j) % 40 AS INTEGER) AS stop_sequence,
+         (f.event_id + r.j) % 5 = 0 AS arr_missing,
+         CASE WHEN (f.event_id + r.j) % 3 = 0 THEN NULL ELSE f.value * CAST(r.j + 1 AS DOUBLE) - 150.0::DOUBLE END AS arr_delay,
+         f.t0 + 120 * r.j AS arr_time,
+         (f.event_id + r.j) % 4 = 1 AS dep_missing,
+         f.value - 60.0::DOUBLE * CAST(r.j AS DOUBLE) AS dep_delay,
+         CASE WHEN (f.event_id + r.j) % 6 = 0 THEN NULL ELSE f.t0 + 120 * r.j + 30 END AS dep_time
+  FROM rt_feed f JOIN range(0, 3) r(j) ON r.j < f.n_su),
+rt_city AS (
+  SELECT *, CASE WHEN NOT arr_missing AND arr_delay IS NOT NULL THEN arr_delay
+                 WHEN NOT dep_missing AND dep_delay IS NOT NULL THEN dep_delay END AS sd,
+            CASE WHEN NOT arr_missing AND arr_time IS NOT NULL THEN arr_time
+                 WHEN NOT dep_missing AND dep_time IS NOT NULL THEN dep_time END AS et
+  FROM rt_su WHERE stop_id IN (SELECT stop_id FROM a_stops)),
+rt_best AS (SELECT * FROM rt_city WHERE sd IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY abs(sd) DESC, pos) = 1),
+rt_first AS (SELECT * FROM rt_city QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY pos) = 1),
+rt_rec AS (
+  SELECT f.entity_id, f.feed_ts, f.trip_id, f.feed_route, f.veh_id,
+         CASE WHEN b.entity_id IS NOT NULL THEN b.stop_id ELSE fi.stop_id END AS stop_id,
+         CASE WHEN b.entity_id IS NOT NULL THEN b.stop_sequence ELSE fi.stop_sequence END AS stop_sequence,
+         CASE WHEN b.entity_id IS NOT NULL THEN b.et ELSE fi.et END AS et,
+         CASE WHEN b.entity_id IS NOT NULL THEN b.sd ELSE f.trip_delay END AS delay
+  FROM rt_feed f LEFT JOIN rt_best b ON b.entity_id = f.entity_id LEFT JOIN rt_first fi ON fi.entity_id = f.entity_id
+  WHERE b.entity_id IS NOT NULL OR (f.trip_delay IS NOT NULL AND fi.entity_id IS NOT NULL)),
+rt_out AS (
+  SELECT r.trip_id, coalesce(t.route_id, r.feed_route, '') AS route_id,
+         CASE WHEN r.veh_id IS NOT NULL AND r.veh_id <> '' THEN r.veh_id ELSE 'rt-' || r.entity_id END AS vehicle_id,
+         r.stop_id, r.stop_sequence,
+         CASE WHEN r.et IS NOT NULL AND r.et <> 0 THEN make_timestamp(CAST(floor(r.et - r.delay) AS BIGINT) * 1000000)
+              ELSE make_timestamp(CAST(floor(epoch_us(r.feed_ts) / 1000000.0) AS BIGINT) * 1000000) END AS scheduled_arrival_utc,
+         CASE WHEN r.et IS NOT NULL AND r.et <> 0 THEN make_timestamp(r.et * 1000000)
+              ELSE make_timestamp(CAST(floor((epoch_us(r.feed_ts) + CAST(round(r.delay * 1000000.0) AS BIGINT)) / 1000000.0) AS BIGINT) * 1000000) END AS actual_arrival_utc,
+         CAST(round(CAST(r.delay AS DECIMAL(18,6)), 1) AS DOUBLE) AS delay_seconds,
+         CASE WHEN r.delay < -60 THEN 'EARLY' WHEN r.delay <= 120 THEN 'ON_TIME' ELSE 'DELAYED' END AS status,
+         r.feed_ts AS event_ts, r.entity_id
+  FROM rt_rec r LEFT JOIN a_trips t ON t.trip_id = r.trip_id)
+"""
+
+
+def quality_sql(tables: dict, rules_by_table: dict, schema_ok: dict) -> str:
+    """Per-rule counts in SQL for the given {table: cte} mapping."""
+    import json as _json
+    parts = []
+    for table, rules in rules_by_table.items():
+        src = tables[table]
+        for i, r in enumerate(rules):
+            c = r.kwargs.get("column")
+            kw = _json.dumps(r.kwargs, sort_keys=True).replace("'", "''")
+            col_sql = f"'{c}'" if c else "CAST(NULL AS VARCHAR)"
+            if r.type.endswith("not_be_null"):
+                bad = f"count_if({c} IS NULL)"
+            elif r.type.endswith("be_between"):
+                lo, hi = r.kwargs.get("min_value"), r.kwargs.get("max_value")
+                conds = ([f"{c} < {lo!r}"] if lo is not None else []) + ([f"{c} > {hi!r}"] if hi is not None else [])
+                bad = f"count_if({c} IS NOT NULL AND ({' OR '.join(conds) or 'FALSE'}))"
+            elif r.type.endswith("in_set") or r.type == "accepted_values":
+                vals = r.kwargs.get("value_set", r.kwargs.get("values"))
+                lit = ", ".join(repr(v) if not isinstance(v, str) else "'" + v + "'" for v in vals)
+                bad = f"count_if({c} IS NOT NULL AND {c} NOT IN ({lit}))"
+            elif r.type == "greater_than_equal_zero":
+                bad = f"count_if({c} < 0)"
+            else:
+                bad = None
+            if bad is None:
+                ok = "TRUE" if schema_ok[(table, i)] else "FALSE"
+                parts.append(f"SELECT '{table}' AS table_name, {i} AS rule_index, '{r.type}' AS expectation_type, "
+                             f"{col_sql} AS column_name, '{kw}' AS kwargs, count(*) AS element_count, "
+                             f"CAST(NULL AS BIGINT) AS unexpected_count, {ok} AS success FROM {src}")
+            else:
+                parts.append(f"SELECT '{table}' AS table_name, {i} AS rule_index, '{r.type}' AS expectation_type, "
+                             f"{col_sql} AS column_name, '{kw}' AS kwargs, count(*) AS element_count, "
+                             f"{bad} AS unexpected_count, {bad} = 0 AS success FROM {src}")
+    return "\n UNION ALL ".join(parts)
+
+
+def FUNCS_SQL() -> str:
+    d = "p.delay_seconds"
+    return f"""
+SELECT p.vehicle_id, p.event_ts,
+       {R(EQKM('p.lat', 'p.lon', '52.52::DOUBLE', '13.405::DOUBLE'), 6)} AS km_from_centre,
+       {R('(p.lat - 52.52::DOUBLE) * (p.lat - 52.52::DOUBLE) + (p.lon - 13.405::DOUBLE) * (p.lon - 13.405::DOUBLE)', 6)} AS sq_deg_from_centre,
+       CASE WHEN {d} IS NULL OR {d} <= 30 THEN 'on-time' WHEN {d} <= 120 THEN 'mid' WHEN {d} <= 300 THEN 'late' ELSE 'severe' END AS map_class,
+       CASE WHEN {d} <= 120 THEN 0 WHEN {d} <= 600 THEN 1 ELSE 2 END AS delay_code,
+       CASE WHEN {d} < -60 THEN 'EARLY' WHEN {d} <= 120 THEN 'ON_TIME' ELSE 'DELAYED' END AS status,
+       {R('1.0::DOUBLE / (1.0::DOUBLE + greatest(coalesce(' + d + ', 0.0), 0.0) / 180.0::DOUBLE)', 6)} AS congestion_from_delay,
+       {R('((degrees(atan2(p.lon - 13.405::DOUBLE, p.lat - 52.52::DOUBLE)) % 360.0) + 360.0) % 360.0', 6)} AS heading_from_centre,
+       {R('1.0::DOUBLE + 0.35::DOUBLE * (exp(-power(CAST(extract(hour FROM p.event_ts) AS DOUBLE) + 1 - 8, 2) / 4.0::DOUBLE) + exp(-power(CAST(extract(hour FROM p.event_ts) AS DOUBLE) + 1 - 18, 2) / 4.0::DOUBLE))', 6)} AS rush_factor,
+       CASE WHEN {d} <= 0 THEN 'on time'
+            WHEN floor({d} / 60) >= 1 THEN CAST(CAST(floor({d} / 60) AS BIGINT) AS VARCHAR) || 'm ' || CAST(CAST(round(({d} % 60.0 + 60.0) % 60.0) AS BIGINT) AS VARCHAR) || 's'
+            ELSE CAST(CAST(round({d}) AS BIGINT) AS VARCHAR) || 's' END AS delay_text,
+       {ZONE('p.lat', 'p.lon')} AS weather_zone,
+       CASE WHEN p.lat IS NULL OR p.lon IS NULL THEN NULL ELSE CAST({CELL('p.lat')} AS VARCHAR) || '|' || CAST({CELL('p.lon')} AS VARCHAR) END AS grid_cell,
+       CAST(extract(hour FROM p.event_ts) AS INTEGER) AS hour_of_day,
+       CAST(extract(dow FROM p.event_ts) AS INTEGER) AS day_of_week,
+       CASE WHEN extract(hour FROM p.event_ts) IN (7, 8, 9, 17, 18, 19) THEN 1 ELSE 0 END AS is_rush_hour,
+       CAST(p.event_ts AS DATE) AS service_date, date_trunc('hour', p.event_ts) AS obs_hour
+FROM a_pos p"""

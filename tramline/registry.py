@@ -306,3 +306,209 @@ def q_latest_event_state(spark, sf):
 def q_ingest_counters(spark, sf):
     from .plans import live
     return live.ingest_counters(_bronze(spark, sf))
+
+
+# ------------------------------------------------------------ GTFS extraction
+CITY_RADIUS_KM = 5.0  # a centre cut, so the box actually drops stops of the fixture network
+
+
+def _city(spark, sf):
+    from .plans.gtfs_extract import extract_city
+    g = wh(spark, sf).gtfs
+    return extract_city(g["stops"], g["stop_times"], g["trips"], g["routes"], radius_km=CITY_RADIUS_KM)
+
+
+@register("gtfs_city_stops", O.with_live(O.gtfs_city_sql(CITY_RADIUS_KM) + "SELECT * FROM city_stops"))
+def q_city_stops(spark, sf):
+    return _city(spark, sf).stops
+
+
+@register("gtfs_city_stop_times", O.with_live(O.gtfs_city_sql(CITY_RADIUS_KM) + "SELECT * FROM city_st"))
+def q_city_st(spark, sf):
+    return _city(spark, sf).stop_times
+
+
+@register("gtfs_city_trips", O.with_live(O.gtfs_city_sql(CITY_RADIUS_KM) + "SELECT * FROM city_trips"))
+def q_city_trips(spark, sf):
+    return _city(spark, sf).trips
+
+
+@register("gtfs_city_routes", O.with_live(O.gtfs_city_sql(CITY_RADIUS_KM) + "SELECT * FROM city_routes"))
+def q_city_routes(spark, sf):
+    return _city(spark, sf).routes
+
+
+@register("gtfs_city_counts", O.with_live(O.gtfs_city_sql(CITY_RADIUS_KM) + """
+SELECT 'stops' AS table_name, count(*) AS "rows" FROM city_stops UNION ALL
+SELECT 'stop_times', count(*) FROM city_st UNION ALL SELECT 'trips', count(*) FROM city_trips UNION ALL
+SELECT 'routes', count(*) FROM city_routes"""))
+def q_city_counts(spark, sf):
+    return _city(spark, sf).counts()
+
+
+@register("gtfs_routes_loaded", O.with_layers(
+    "SELECT route_id, route_mode, 'DE' AS agency_id, "
+    "CAST(CASE route_mode WHEN 'rail' THEN 2 WHEN 'tram' THEN 0 WHEN 'bus' THEN 3 END AS INTEGER) AS route_type "
+    "FROM a_routes"))
+def q_routes_loaded(spark, sf):
+    from .operators.dims import assign_route_type
+    r = wh(spark, sf).gtfs["routes"].select("route_id", "route_mode")
+    return assign_route_type(r).select("route_id", "route_mode", "agency_id", "route_type")
+
+
+@register("representative_trips", O.with_layers("""
+, pick AS (SELECT route_id, trip_id FROM a_trips
+           QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY direction_id <> 0, trip_id) = 1),
+n AS (SELECT trip_id, count(*) AS n_stops FROM a_stop_times GROUP BY 1)
+SELECT p.trip_id, p.route_id, n.n_stops, r.route_mode, {len} AS length_km
+FROM pick p JOIN n ON n.trip_id = p.trip_id LEFT JOIN a_routes r ON r.route_id = p.route_id
+LEFT JOIN (SELECT trip_id, sum(segment_km) AS length_km FROM segments GROUP BY 1) l ON l.trip_id = p.trip_id
+WHERE n.n_stops >= 2""".replace("{len}", O.R("l.length_km", 6))))
+def q_rep_trips(spark, sf):
+    from .plans.gtfs_extract import representative_trips, route_lengths
+    w = wh(spark, sf)
+    rep = representative_trips(w.dim_trips, w.dim_stop_times, w.dim_routes)
+    return report(route_lengths(rep, w.dim_stop_times, w.dim_stops), ["length_km"])
+
+
+@register("trip_stop_sequence", O.with_layers(
+    "SELECT st.trip_id, row_number() OVER (PARTITION BY st.trip_id ORDER BY st.stop_sequence, st.stop_id) AS position, "
+    "st.stop_sequence, st.stop_id, s.stop_lat, s.stop_lon FROM a_stop_times st JOIN a_stops s ON s.stop_id = st.stop_id"))
+def q_trip_stop_sequence(spark, sf):
+    from .plans.gtfs_extract import ordered_stops
+    w = wh(spark, sf)
+    return ordered_stops(w.dim_stop_times, w.dim_stops)
+
+
+# --------------------------------------------------------------- GTFS realtime
+def _rt(spark, sf):
+    from .plans.realtime import cap_per_poll, reduce_trip_updates
+    from .sources.fixtures import gtfs_rt_feed
+    w = wh(spark, sf)
+    rec = reduce_trip_updates(gtfs_rt_feed(w.fixture.events), w.gtfs["stops"], w.gtfs["trips"])
+    return cap_per_poll(rec.withColumn("poll_id", F.date_trunc("hour", "event_ts"))).drop("poll_id")
+
+
+@register("gtfs_rt_trip_updates", O.with_live(O.RT_SQL + """
+SELECT * FROM rt_out
+QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', event_ts) ORDER BY abs(delay_seconds) DESC, entity_id) <= 600"""))
+def q_rt(spark, sf):
+    return _rt(spark, sf)
+
+
+# --------------------------------------------------------------------- quality
+def _quality_frames(spark, sf):
+    from .operators import cleaning
+    w = wh(spark, sf)
+    b = w.bronze
+    return {"transport_positions": cleaning.clean_transport(b["transport_positions"], stamp=True),
+            "trip_updates": w.silver_trip_updates, "weather_observations": w.silver_weather,
+            "city_events": w.silver_events}
+
+
+def _quality_results(spark, sf):
+    from .operators import quality as Q
+    frames = _quality_frames(spark, sf)
+    out = None
+    for table, rules in Q.silver_suites().items():
+        r = Q.validate(frames[table], table, rules)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def _quality_oracle(summary: bool) -> str:
+    from .operators import quality as Q
+    suites = Q.silver_suites()
+    ok = {("transport_positions", 0): True, ("transport_positions", 7): True}
+    src = {"transport_positions": "silver_positions", "trip_updates": "silver_tu",
+           "weather_observations": "silver_weather", "city_events": "silver_cev"}
+    body = O.quality_sql(src, suites, ok)
+    if not summary:
+        return O.with_layers(f"SELECT * FROM ({body}) q")
+    return O.with_layers(
+        f"SELECT table_name, bool_and(success) AS success, count_if(success) AS expectations_passed, "
+        f"count(*) AS expectations_total, max(element_count) AS row_count FROM ({body}) q GROUP BY 1")
+
+
+@register("silver_quality_results", _quality_oracle(False))
+def q_quality(spark, sf):
+    return _quality_results(spark, sf)
+
+
+@register("silver_quality_summary", _quality_oracle(True))
+def q_quality_summary(spark, sf):
+    from .operators import quality as Q
+    return Q.summarize(_quality_results(spark, sf)).select(
+        "table_name", "success", "expectations_passed", "expectations_total", "row_count")
+
+
+def _model_oracle() -> str:
+    from .operators import quality as Q
+    src = {"fct_trip_delays": "fct", "fct_vehicle_positions": "fvp", "mart_route_reliability": "mart_rr",
+           "mart_congestion_hotspots": "mart_hot", "mart_delay_trends": "mart_trends"}
+    return O.with_layers(f"SELECT * FROM ({O.quality_sql(src, Q.model_tests(), {})}) q")
+
+
+@register("model_tests", _model_oracle())
+def q_model_tests(spark, sf):
+    from .operators import quality as Q
+    w = wh(spark, sf)
+    frames = {"fct_trip_delays": w.fct_trip_delays, "fct_vehicle_positions": w.fct_vehicle_positions,
+              "mart_route_reliability": w.mart_route_reliability,
+              "mart_congestion_hotspots": w.mart_congestion_hotspots, "mart_delay_trends": w.mart_delay_trends}
+    out = None
+    for model, rules in Q.model_tests().items():
+        r = Q.validate(frames[model], model, rules)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# ------------------------------------------------------------ scalar functions
+@register("position_functions", O.with_layers(O.FUNCS_SQL()))
+def q_functions(spark, sf):
+    from .functions import buckets as B, geo as G, timefn as T
+    p = wh(spark, sf).bronze["transport_positions"]
+    d = F.col("delay_seconds")
+    lat, lon = F.col("lat"), F.col("lon")
+    clat, clon = F.lit(52.52), F.lit(13.405)
+    return p.select(
+        "vehicle_id", "event_ts",
+        round_metric(G.equirect_km(lat, lon, clat, clon), 6).alias("km_from_centre"),
+        round_metric(G.sq_deg_dist(lat, lon, clat, clon), 6).alias("sq_deg_from_centre"),
+        B.map_delay_class(d).alias("map_class"), B.delay_bucket_code(d).alias("delay_code"),
+        B.trip_status(d).alias("status"),
+        round_metric(G.congestion_level(F.coalesce(d, F.lit(0.0))), 6).alias("congestion_from_delay"),
+        round_metric(G.heading_deg(clat, clon, lat, lon), 6).alias("heading_from_centre"),
+        round_metric(T.rush_hour_factor("event_ts"), 6).alias("rush_factor"),
+        T.fmt_delay(d).alias("delay_text"), G.weather_zone(lat, lon).alias("weather_zone"),
+        G.grid_cell(lat, lon).alias("grid_cell"), T.hour_of_day("event_ts").alias("hour_of_day"),
+        T.day_of_week("event_ts").alias("day_of_week"), T.is_rush_hour("event_ts").alias("is_rush_hour"),
+        F.to_date("event_ts").alias("service_date"), T.hour_bucket("event_ts").alias("obs_hour"))
+
+
+@register("event_props", "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def q_event_props(spark, sf):
+    from .sources.streams import json_field
+    ev = wh(spark, sf).fixture.events
+    return ev.select("event_id", json_field("props", "$.k", "bigint").alias("k"))
+
+
+@register("city_slugs", "SELECT n_name, n_name AS city, lower(regexp_replace(regexp_replace(lower(n_name), "
+          "'[^a-z0-9]', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM nation")
+def q_city_slugs(spark, sf):
+    from .functions.timefn import city_slug
+    n = wh(spark, sf).fixture.table("nation")
+    return n.select("n_name", F.col("n_name").alias("city"), city_slug("n_name").alias("slug"))
+
+
+@register("event_load_factor", O.with_layers(f"""
+, pairs AS (SELECT p.vehicle_id, p.event_ts, {O.HAV('p.lat', 'p.lon', 'e.lat', 'e.lon')} AS d, e.impact
+            FROM stg_positions p JOIN ev_active e ON e.start_time_utc <= p.event_ts AND e.end_time_utc >= p.event_ts)
+SELECT p.vehicle_id, p.event_ts,
+       {O.R("1.0::DOUBLE + coalesce(max(CASE WHEN x.d < 3.0 THEN (1.0::DOUBLE - x.d / 3.0::DOUBLE) * coalesce(x.impact, 0.0) ELSE 0.0 END), 0.0)", 6)} AS load_factor
+FROM stg_positions p LEFT JOIN pairs x ON x.vehicle_id = p.vehicle_id AND x.event_ts = p.event_ts
+GROUP BY 1, 2"""))
+def q_event_load(spark, sf):
+    from .operators.joins import event_load_factor
+    w = wh(spark, sf)
+    return report(event_load_factor(w.stg_positions, w.stg_events, ["vehicle_id", "event_ts"]), ["load_factor"])

@@ -176,3 +176,35 @@ class Fixture:
     def positions(self): return positions_bronze(self.events)
     def weather(self): return weather_bronze(self.events)
     def city_events(self): return city_events_bronze(self.events)
+
+
+def gtfs_rt_feed(events: DataFrame) -> DataFrame:
+    """Decoded GTFS-RT trip-update entities, one per event, with 0..3 stop time
+    updates (some at stops outside the city, some without arrival or
+    departure, some without delays or times) and optional trip-level delay."""
+    e = events
+    ts = e.ts.cast("timestamp")
+    t0 = F.unix_seconds(ts)
+    ev_t = "struct<delay:double,time:bigint>"
+
+    def su(j: int):
+        k = e.event_id + j
+        arrival = F.when(k % 5 == 0, F.lit(None).cast(ev_t)).otherwise(F.struct(
+            F.when(k % 3 == 0, F.lit(None).cast("double")).otherwise(e.value * (j + 1) - 150.0).alias("delay"),
+            (t0 + 120 * j).alias("time")))
+        departure = F.when(k % 4 == 1, F.lit(None).cast(ev_t)).otherwise(F.struct(
+            (e.value - 60.0 * j).alias("delay"),
+            F.when(k % 6 == 0, F.lit(None).cast("bigint")).otherwise(t0 + 120 * j + 30).alias("time")))
+        return F.struct(_s("S", (e.event_id + 7 * j) % 45).alias("stop_id"), (k % 40).cast("int").alias("stop_sequence"),
+                        arrival.alias("arrival"), departure.alias("departure"))
+
+    trip = F.struct(
+        F.concat(F.when(e.event_id % 13 == 0, F.lit("X")).otherwise(F.lit("T")), e.user_id.cast("string")).alias("trip_id"),
+        F.when(e.event_id % 11 == 0, F.lit(None).cast("string")).otherwise(_s("F", e.user_id % N_ROUTES)).alias("route_id"))
+    vehicle = F.when(e.event_id % 9 == 0, F.lit(None).cast("struct<id:string>")).otherwise(F.struct(
+        F.when(e.event_id % 17 == 0, F.lit("")).otherwise(_s("V", e.user_id)).alias("id")))
+    stu = F.slice(F.array(su(0), su(1), su(2)), 1, (e.event_id % 4).cast("int"))
+    return e.select(e.event_id.cast("string").alias("entity_id"), ts.alias("feed_ts"),
+                    F.struct(trip.alias("trip"), vehicle.alias("vehicle"),
+                             F.when(e.event_id % 2 == 0, e.value - 100.0).alias("delay"),
+                             stu.alias("stop_time_update")).alias("trip_update"))
