@@ -535,3 +535,27 @@ SELECT p.vehicle_id, p.event_ts,
        CASE WHEN extract(hour FROM p.event_ts) IN (7, 8, 9, 17, 18, 19) THEN 1 ELSE 0 END AS is_rush_hour,
        CAST(p.event_ts AS DATE) AS service_date, date_trunc('hour', p.event_ts) AS obs_hour
 FROM a_pos p"""
+
+
+STREAM_SQL = {
+    "stream_silver_trip_updates": with_layers("SELECT * EXCLUDE (ingested_ts) FROM silver_tu"),
+    "stream_hourly_delay_trend": with_layers(f"""
+SELECT date_trunc('hour', event_ts) AS window_start, date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end,
+       count(*) AS observations, {R('avg(delay_seconds)')} AS avg_delay_seconds,
+       {PCT('count_if(delay_seconds <= 120)')} AS on_time_pct
+FROM stg_tu GROUP BY 1, 2
+HAVING date_trunc('hour', event_ts) + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM a_tu) - INTERVAL 10 MINUTE"""),
+    "stream_sliding_hotspots": with_layers(f"""
+, w AS (SELECT date_trunc('hour', event_ts) - INTERVAL (r.k) HOUR AS window_start, delay_seconds, speed_kmh,
+              CAST({CELL('lat')} AS VARCHAR) || '|' || CAST({CELL('lon')} AS VARCHAR) AS grid_cell
+        FROM stg_positions JOIN range(0, 24) r(k) ON TRUE)
+SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, grid_cell, count(*) AS observations,
+       {R('avg(delay_seconds)')} AS avg_delay_seconds, {R('avg(speed_kmh)')} AS avg_speed_kmh
+FROM w GROUP BY 1, 2, 3
+HAVING window_start + INTERVAL 24 HOUR <= (SELECT max(event_ts) FROM a_pos) - INTERVAL 10 MINUTE"""),
+    "stream_latest_positions": with_live("SELECT * EXCLUDE (ingested_ts) FROM lp"),
+    "stream_enriched_positions": with_layers("SELECT * FROM fvp"),
+    "stream_capped_updates": with_layers("""
+SELECT * EXCLUDE (ingested_ts) FROM a_tu
+ORDER BY abs(delay_seconds) DESC NULLS LAST, trip_id, stop_id, event_ts LIMIT 600"""),
+}

@@ -512,3 +512,57 @@ def q_event_load(spark, sf):
     from .operators.joins import event_load_factor
     w = wh(spark, sf)
     return report(event_load_factor(w.stg_positions, w.stg_events, ["vehicle_id", "event_ts"]), ["load_factor"])
+
+
+# ------------------------------------------------------------------ streaming
+def _stream_run(spark, sf, streams):
+    from .streaming.runner import StreamRun
+    b = wh(spark, sf).bronze
+    return StreamRun(spark, {s: b[s] for s in streams})
+
+
+@register("stream_silver_trip_updates", O.STREAM_SQL["stream_silver_trip_updates"])
+def q_stream_silver(spark, sf):
+    run = _stream_run(spark, sf, ["trip_updates"])
+    out = run.run_append(run.silver("trip_updates"), "silver_tu")
+    return out.drop("ingested_ts")
+
+
+@register("stream_hourly_delay_trend", O.STREAM_SQL["stream_hourly_delay_trend"])
+def q_stream_trend(spark, sf):
+    from .streaming import continuous as C
+    run = _stream_run(spark, sf, ["trip_updates"])
+    return run.run_append(C.hourly_delay_trend(run.silver("trip_updates"), watermark=None), "trend")
+
+
+@register("stream_sliding_hotspots", O.STREAM_SQL["stream_sliding_hotspots"])
+def q_stream_hot(spark, sf):
+    from .streaming import continuous as C
+    run = _stream_run(spark, sf, ["transport_positions"])
+    return run.run_append(C.sliding_hotspots(run.silver("transport_positions"), watermark=None), "hotspots")
+
+
+@register("stream_latest_positions", O.STREAM_SQL["stream_latest_positions"])
+def q_stream_latest(spark, sf):
+    from .streaming import continuous as C
+    run = _stream_run(spark, sf, ["transport_positions"])
+    changes = run.run_foreach(C.latest_state_updates(run.typed("transport_positions"), "vehicle_id"), "latest",
+                              C.changelog_writer, mode="update")
+    return C.current_state(changes, "vehicle_id").drop("ingested_ts")
+
+
+@register("stream_enriched_positions", O.STREAM_SQL["stream_enriched_positions"])
+def q_stream_enriched(spark, sf):
+    from .streaming import continuous as C
+    run = _stream_run(spark, sf, ["transport_positions"])
+    return run.run_append(C.enrich_with_weather(run.silver("transport_positions"), wh(spark, sf).weather_hourly),
+                          "enriched")
+
+
+@register("stream_capped_updates", O.STREAM_SQL["stream_capped_updates"])
+def q_stream_capped(spark, sf):
+    from .streaming import continuous as C
+    run = _stream_run(spark, sf, ["trip_updates"])
+    out = run.run_foreach(run.typed("trip_updates"), "capped", lambda p: C.capped_batch_writer(p, 600),
+                          mode="append")
+    return out.drop("batch_id", "ingested_ts")
