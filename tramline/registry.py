@@ -566,3 +566,31 @@ def q_stream_capped(spark, sf):
     out = run.run_foreach(run.typed("trip_updates"), "capped", lambda p: C.capped_batch_writer(p, 600),
                           mode="append")
     return out.drop("batch_id", "ingested_ts")
+
+
+# -------------------------------------------------------------------------- ML
+ML_CHECK_TREES = 20  # the library default is 300 trees; the registered check trains a short ensemble
+_ML_CACHE: dict = {}
+
+
+def _models(spark, sf):
+    from .plans import ml
+    key = (id(spark), sf)
+    if key not in _ML_CACHE:
+        _ML_CACHE.clear()
+        _ML_CACHE[key] = ml.train(wh(spark, sf).ml_features, ml.ModelParams(n_estimators=ML_CHECK_TREES))
+    return _ML_CACHE[key]
+
+
+@register("ml_model_metrics", None)
+def q_ml_metrics(spark, sf):
+    from .plans import ml
+    models, test = _models(spark, sf)
+    return ml.metrics(models, test)
+
+
+@register("ml_batch_scores", None)
+def q_ml_scores(spark, sf):
+    from .plans import ml
+    models, test = _models(spark, sf)
+    return ml.score(models, test.select(*ml.CAT_FEATURES, *ml.NUM_FEATURES, "trip_id", "stop_id", "event_ts"))
