@@ -60,10 +60,10 @@ def assign_route_type(routes_raw: DataFrame, mapping: dict = ROUTE_TYPE_BY_MODE,
                       agency: str = AGENCY_ID) -> DataFrame:
     """Loader rule: constant agency, route_type looked up from route_mode."""
     return (routes_raw.withColumn("agency_id", F.lit(agency))
-            .withColumn("route_type", _literal_map(mapping).getItem(F.col("route_mode")).cast("int")))
+            .withColumn("route_type", _literal_map(mapping)[F.col("route_mode")].cast("int")))
 
 
 def mode_from_route_type(route_type, mapping: dict = ROUTE_MODE_BY_TYPE, default: str = "bus") -> F.Column:
     """GTFS route_type (standard + extended codes) -> rail/tram/bus, default bus."""
     rt = F.col(route_type) if isinstance(route_type, str) else route_type
-    return F.coalesce(_literal_map(mapping).getItem(rt.try_cast("int")), F.lit(default))
+    return F.coalesce(_literal_map(mapping)[rt.try_cast("int")], F.lit(default))
