@@ -36,7 +36,9 @@ def events_active_at(points: DataFrame, events: DataFrame, ts: str = "event_ts",
     """All (point, event) pairs where the event is ACTIVE and its interval
     contains the point time: an equi-join on the hour bucket plus the exact
     interval predicate, instead of a nested-loop theta join."""
-    ev = checked_broadcast(event_hours(events), max_broadcast_rows)
+    # no hint: AQE broadcasts the event side when its real size allows,
+    # otherwise a shuffle join on the hour (skewed hours split by AQE)
+    ev = event_hours(events)
     pts = points.withColumn("_hour", hour_bucket(ts))
     cond = [pts["_hour"] == ev["_hour"], ev["start_time_utc"] <= pts[ts], ev["end_time_utc"] >= pts[ts]]
     return pts.join(ev.withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon"), cond, "inner") \
@@ -67,8 +69,8 @@ def with_weather(df: DataFrame, weather_hourly: DataFrame, lat: str, lon: str, t
                  city_lat: float = CITY_LAT, city_lon: float = CITY_LON,
                  max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Left join hourly zone weather on (zone of the point, hour of ts)."""
-    wh = checked_broadcast(weather_hourly.select("obs_hour", *cols), max_broadcast_rows) \
-        .withColumnRenamed("zone_id", "_w_zone")
+    # derived aggregate: AQE broadcasts it from its real shuffle size
+    wh = weather_hourly.select("obs_hour", *cols).withColumnRenamed("zone_id", "_w_zone")
     keyed = df.withColumn("_zone", weather_zone(F.col(lat), F.col(lon), city_lat, city_lon)) \
               .withColumn("_obs_hour", hour_bucket(ts))
     out = keyed.join(wh, (keyed["_zone"] == wh["_w_zone"]) & (keyed["_obs_hour"] == wh["obs_hour"]), "left")

@@ -8,7 +8,9 @@ from ..functions.buckets import delay_bucket
 from ..functions.geo import cell_coord, grid_cell
 from ..functions.timefn import day_of_week, hour_of_day, is_rush_hour
 from ..operators.broadcast import checked_broadcast
-from ..operators.joins import nearest_active_event, stop_segments, with_weather
+from ..functions.geo import haversine_km
+from ..functions.timefn import hour_bucket
+from ..operators.joins import event_hours, stop_segments, with_weather
 from ..params import MIN_FEATURE_DELAY
 
 TU_KEY = ["trip_id", "stop_id", "event_ts"]
@@ -28,7 +30,17 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
                     dim_stops: DataFrame, dim_trips: DataFrame, dim_routes: DataFrame,
                     dim_stop_times: DataFrame, stamp: bool = False) -> DataFrame:
     """One row per valid trip update (more when a trip visits a stop twice,
-    as the segment join is on (trip_id, stop_id))."""
+    as the segment join is on (trip_id, stop_id)).
+
+    Plan: the update stream is read once. Dimensions are broadcast after a
+    size check; hourly weather, segments and the per-(route, stop) averages
+    are left to AQE, which broadcasts them from real shuffle statistics. The
+    nearest active event is found in the same pass: a left join with the
+    events exploded per hour (equi-join on the hour plus the exact interval
+    predicate), then one aggregation on the update key (plus the segment
+    discriminator) takes the arg-min and carries the other columns, which
+    are functionally dependent on that key.
+    """
     tu = stg_trip_updates.select("trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence",
                                  "delay_seconds", "status", "event_ts")
     stops = checked_broadcast(dim_stops.select("stop_id", "stop_lat", "stop_lon", "stop_zone_num",
@@ -41,13 +53,27 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
               .join(stops, "stop_id", "left"))
     # weather of the stop's zone in the update hour (NULL when the stop is unknown)
     base = with_weather(base, weather_hourly, "stop_lat", "stop_lon")
-    nearest = nearest_active_event(base.where(F.col("_has_stop")), stg_events, TU_KEY)
-    segs = stop_segments(dim_stop_times, dim_stops).select("trip_id", "stop_id", "segment_km")
-    rsa = route_stop_avg(stg_trip_updates)
-
-    fact = (base.join(nearest, TU_KEY, "left")
-                .join(segs, ["trip_id", "stop_id"], "left")
-                .join(checked_broadcast(rsa), ["route_id", "stop_id"], "left"))
+    segs = stop_segments(dim_stop_times, dim_stops).select(
+        "trip_id", "stop_id", "segment_km", F.col("stop_sequence").alias("_seg_seq"))
+    base = base.join(segs, ["trip_id", "stop_id"], "left")
+
+    ev = event_hours(stg_events).withColumn("_ev", F.lit(True))
+    base = base.withColumn("_hour", hour_bucket("event_ts"))
+    ev = ev.withColumnRenamed("_hour", "_ev_hour").withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
+    cond = (base["_has_stop"] & (base["_hour"] == ev["_ev_hour"])
+            & (ev["start_time_utc"] <= base["event_ts"]) & (ev["end_time_utc"] >= base["event_ts"]))
+    pairs = base.join(ev, cond, "left")
+    dist = haversine_km(F.col("stop_lat"), F.col("stop_lon"), F.col("_ev_lat"), F.col("_ev_lon"))
+    pick = F.min(F.struct(F.col("_ev").isNull().alias("u"), dist.isNull().alias("n"), dist.alias("d"),
+                          F.col("event_id").alias("e"), F.col("impact").alias("i"))).alias("_m")
+    keys = TU_KEY + ["_seg_seq"]
+    carried = ["route_id", "vehicle_id", "stop_sequence", "delay_seconds", "status", "route_mode", "segment_km",
+               "stop_zone_num", "zone_id", "temperature_c", "precipitation_mm", "wind_speed_kmh", "humidity_pct",
+               "condition"]
+    fact = pairs.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in carried], pick)
+    fact = fact.withColumns({"event_proximity_km": F.when(~F.col("_m.u"), F.col("_m.d")),
+                             "nearest_impact": F.when(~F.col("_m.u"), F.col("_m.i"))})
+    fact = fact.join(route_stop_avg(stg_trip_updates), ["route_id", "stop_id"], "left")
     out = fact.select(
         "trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence", "delay_seconds",
         delay_bucket("delay_seconds").alias("delay_bucket"), "status", "event_ts",
