@@ -79,16 +79,16 @@ def with_weather(df: DataFrame, weather_hourly: DataFrame, lat: str, lon: str, t
 
 def stop_segments(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     """Per stop time: distance from the previous stop of the same trip (0 for
-    the first stop), LAG over stop_sequence."""
+    the first stop), i.e. LAG over stop_sequence, computed with the skew-safe
+    ordered scan (a trip holding many rows is spread over many tasks)."""
+    from .ordered import ordered_scan
     st = stop_times.select("trip_id", "stop_id", "stop_sequence").join(
         stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
-    w = Window.partitionBy("trip_id").orderBy("stop_sequence", "stop_id")
-    prev_lat, prev_lon = F.lag("stop_lat").over(w), F.lag("stop_lon").over(w)
-    seg = st.select("trip_id", "stop_id", "stop_sequence", "stop_lat", "stop_lon",
-                    prev_lat.alias("prev_lat"), prev_lon.alias("prev_lon"))
+    seg = ordered_scan(st, "trip_id", ["stop_sequence", "stop_id"], ["stop_lat", "stop_lon"])
     return seg.select("trip_id", "stop_id", "stop_sequence",
-                      F.when(F.col("prev_lat").isNull(), F.lit(0.0))
-                       .otherwise(haversine_km("prev_lat", "prev_lon", "stop_lat", "stop_lon")).alias("segment_km"))
+                      F.when(F.col("prev_stop_lat").isNull(), F.lit(0.0))
+                       .otherwise(haversine_km("prev_stop_lat", "prev_stop_lon", "stop_lat", "stop_lon"))
+                       .alias("segment_km"))
 
 
 def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "lat", lon: str = "lon",

@@ -1,0 +1,83 @@
+"""Skew-safe ordered scan: position within a key and the previous row's
+values (LAG), without a window partitioned by the key.
+
+A window ``partitionBy(key)`` puts every row of a key into one task; with a
+key holding a third of all rows that is one task doing a third of the work.
+Here rows are range-partitioned on (key, order...), so a hot key spreads over
+many consecutive partitions; each partition computes positions and lags
+locally (Arrow batches, vectorised pandas), and only the first row of a key
+in a partition is fixed up from the previous partition, using a summary with
+one row per (partition, key) whose fix-up part has at most one row per
+partition.
+"""
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+
+_NULL_KEY = "\x00null"
+
+
+def _local_scan(key: str, lag_cols: list[str]):
+    def scan(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        last_key, last_vals, last_pos = None, None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            k = pdf[key].astype(object).where(pdf[key].notna(), _NULL_KEY)
+            prev_k = k.shift(1)
+            prev_k.iloc[0] = last_key
+            is_new = (k != prev_k).to_numpy()
+            run = is_new.cumsum()
+            pos = pdf.groupby(run).cumcount().to_numpy() + 1
+            cont = not is_new[0]
+            if cont:
+                pos[run == run[0]] += last_pos
+            out = pdf.copy()
+            for c in lag_cols:
+                prev = pdf[c].shift(1).astype(object)
+                prev.iloc[0] = last_vals[c] if cont else None
+                prev[is_new] = None
+                out[f"prev_{c}"] = prev
+            out["_local_pos"] = pos
+            out["_first"] = pos == 1
+            out["_pid"] = pid
+            last_key, last_pos = k.iloc[-1], int(pos[-1])
+            last_vals = {c: pdf[c].iloc[-1] for c in lag_cols}
+            yield out
+    return scan
+
+
+def ordered_scan(df: DataFrame, key: str, order: list[str], lag_cols: list[str],
+                 partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``position`` (1-based within ``key`` by ``order``) and
+    ``prev_<c>`` (value of ``c`` on the previous row of the same key)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    srt = df.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    schema = StructType(list(df.schema.fields)
+                        + [StructField(f"prev_{c}", types[c]) for c in lag_cols]
+                        + [StructField("_local_pos", LongType()), StructField("_first", BooleanType()),
+                           StructField("_pid", IntegerType())])
+    # materialised once so the summary and the fix-up see the same partition ids
+    local = srt.mapInPandas(_local_scan(key, lag_cols), schema).persist(StorageLevel.MEMORY_AND_DISK)
+    summary = local.groupBy("_pid", key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max_by(F.struct(*[F.col(c) for c in lag_cols]), F.col("_local_pos")).alias("_last"))
+    w = Window.partitionBy(key).orderBy("_pid")  # per key at most one row per partition
+    fix = summary.select("_pid", key,
+                         F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"),
+                         F.lag("_last").over(w).alias("_prev_last")).where(F.col("_offset").isNotNull())
+    # fix-up rows: only keys continued from an earlier partition, at most one per partition
+    out = local.join(F.broadcast(fix), ["_pid", key], "left")
+    cols = [F.col(c) for c in df.columns]
+    cols.append((F.col("_local_pos") + F.coalesce(F.col("_offset"), F.lit(0))).alias("position"))
+    for c in lag_cols:
+        cols.append(F.when(F.col("_first") & F.col("_offset").isNotNull(), F.col(f"_prev_last.{c}"))
+                    .otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}"))
+    return out.select(*cols)

@@ -73,20 +73,23 @@ def representative_trips(trips: DataFrame, stop_times: DataFrame, routes: DataFr
     return out.join(routes.select("route_id", "route_mode"), "route_id", "left")
 
 
+def _scan_stops(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+    from ..operators.ordered import ordered_scan
+    st = stop_times.select("trip_id", "stop_id", "stop_sequence").join(
+        stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
+    return ordered_scan(st, "trip_id", ["stop_sequence", "stop_id"], ["stop_lat", "stop_lon"])
+
+
 def ordered_stops(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
-    """Stops of each trip in stop_sequence order with their position."""
-    w = Window.partitionBy("trip_id").orderBy("stop_sequence", "stop_id")
-    st = stop_times.join(stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
-    return st.select("trip_id", F.row_number().over(w).alias("position"), "stop_sequence", "stop_id",
-                     "stop_lat", "stop_lon")
+    """Stops of each trip in stop_sequence order with their position
+    (skew-safe ordered scan, no window per trip)."""
+    return _scan_stops(stop_times, stops).select("trip_id", "position", "stop_sequence", "stop_id",
+                                                  "stop_lat", "stop_lon")
 
 
 def route_lengths(rep: DataFrame, stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     """Length of each representative trip: sum of consecutive stop distances."""
-    w = Window.partitionBy("trip_id").orderBy("position")
-    seq = ordered_stops(stop_times.join(rep.select("trip_id"), "trip_id", "left_semi"), stops)
-    seg = seq.select("trip_id", "stop_lat", "stop_lon", F.lag("stop_lat").over(w).alias("p_lat"),
-                     F.lag("stop_lon").over(w).alias("p_lon"))
-    km = seg.groupBy("trip_id").agg(F.sum(F.coalesce(haversine_km("p_lat", "p_lon", "stop_lat", "stop_lon"),
-                                                      F.lit(0.0))).alias("length_km"))
+    seq = _scan_stops(stop_times.join(rep.select("trip_id"), "trip_id", "left_semi"), stops)
+    km = seq.groupBy("trip_id").agg(F.sum(F.coalesce(
+        haversine_km("prev_stop_lat", "prev_stop_lon", "stop_lat", "stop_lon"), F.lit(0.0))).alias("length_km"))
     return rep.join(km, "trip_id", "left")
