@@ -81,3 +81,20 @@ def test_raw_record_and_topic_encoding(spark):
     raw = to_raw_records(df).first()
     assert json.loads(raw["record"])["vehicle_id"] == "V1" and raw["ingested_ts"] is not None
     assert json.loads(to_topic_messages(df).first()["value"])["lat"] == 52.5
+
+
+def test_all_streams_supervised_with_progress_counters(spark):
+    root = tempfile.mkdtemp(prefix="tramline-test-")
+    from tramline.schemas import STREAMS
+    for s in STREAMS:
+        _write(f"{root}/feed/{s}", "a.json", ['{"event_ts": "2024-01-01T10:00:00+00:00"}', "garbage"], time.time() - 5)
+    src = B.Source(kind="files", path=f"{root}/feed")
+    qs = B.start_all(spark, src, f"{root}/out", f"{root}/ckpt", trigger={"availableNow": True})
+    assert len(qs) == 8
+    B.await_all(spark, qs)
+    assert all(not q.isActive for q in qs)
+    counters = C.progress_counters(qs[0])
+    assert sum(c["rows"] for c in counters) == 2
+    for s in STREAMS:
+        assert B.read_bronze(spark, f"{root}/out", s).count() == 1
+        assert spark.read.parquet(f"{root}/out/quarantine/{s}").count() == 1

@@ -12,10 +12,11 @@ partition.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
+from ..session import cut_lineage
+
 _NULL_KEY = "\x00null"
 
 
@@ -64,8 +65,9 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], lag_cols: list[str],
                         + [StructField(f"prev_{c}", types[c]) for c in lag_cols]
                         + [StructField("_local_pos", LongType()), StructField("_first", BooleanType()),
                            StructField("_pid", IntegerType())])
-    # materialised once so the summary and the fix-up see the same partition ids
-    local = srt.mapInPandas(_local_scan(key, lag_cols), schema).persist(StorageLevel.MEMORY_AND_DISK)
+    # written once to the shared checkpoint folder: the summary and the fix-up
+    # then see the same partition ids, also after an executor is lost
+    local = cut_lineage(srt.mapInPandas(_local_scan(key, lag_cols), schema))
     summary = local.groupBy("_pid", key).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max_by(F.struct(*[F.col(c) for c in lag_cols]), F.col("_local_pos")).alias("_last"))

@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.buckets import live_proximity_bucket
 from ..functions.geo import equirect_km, sq_deg_dist
 from ..functions.numeric import pct, round_metric
-from ..operators.aggregates import bounded_array, nearest_rank, weighted_nearest_rank
+from ..operators.aggregates import bounded_array, nearest_rank, weighted_nearest_rank  # noqa: F401
 from ..operators.dedup import latest_per_key
 from ..params import LIVE_RECENT_ROWS, ON_TIME_THRESHOLD_SECONDS as ON_TIME, SEVERE_DELAY_THRESHOLD_SECONDS as SEVERE
 
-MAX_ZONES = 100_000
-MAX_ACTIVE_EVENTS = 100_000
+MAX_ZONES = 10_000
 
 
 def latest_positions(positions: DataFrame) -> DataFrame:
@@ -121,24 +120,44 @@ def route_reliability(trip_updates: DataFrame, positions: DataFrame, limit: int
     return out.drop("_mode").orderBy(F.desc("avg_delay_seconds"), "route_id").limit(limit)
 
 
-def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFrame) -> DataFrame:
+def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFrame,
+                  km_per_deg: float = 111.0, lon_scale: float = 0.7) -> DataFrame:
     """Delay of recent updates by distance of the vehicle to every active
-    event: one observation per (event, update). Counted per update against
-    the bounded active-event array instead of emitting the pairs."""
-    act = active_events(events).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("lat", "lon")
-    ev_arr = bounded_array(act, MAX_ACTIVE_EVENTS, "active events")
+    event: one observation per (event, update).
+
+    The live distance is Euclidean in a plane scaled to km (111 km per degree
+    of latitude, 0.7 of that per degree of longitude). Events are put into
+    5 km grid cells; an update probes the 3x3 cells around it, which hold
+    every event within 5 km, so only near pairs are formed (an equi-join on
+    the cell). 'far' is the number of active events minus the near ones,
+    and the percentile runs on (delay, weight) rows.
+    """
+    cell_km = 5.0 + 1e-3  # a margin so float noise cannot push a 5 km event out of the 3x3 block
+    act = active_events(events).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
+        .select(F.col("lat").alias("e_lat"), F.col("lon").alias("e_lon"))
+    n_events = act.select(F.count(F.lit(1))).scalar()
+    ev = act.select("e_lat", "e_lon",
+                    F.floor(F.col("e_lat") * km_per_deg / cell_km).alias("cy"),
+                    F.floor(F.col("e_lon") * km_per_deg * lon_scale / cell_km).alias("cx"))
     pos = latest_positions(positions).select("vehicle_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
     r = recent_updates(trip_updates).join(pos, "vehicle_id", "inner") \
-        .where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull()).withColumn("_events", ev_arr)
-    buckets = F.transform(F.col("_events"), lambda e: live_proximity_bucket(
-        equirect_km(F.col("p_lat"), F.col("p_lon"), e["lat"], e["lon"])))
-    names = ["within_2km", "within_5km", "far"]
-    def is_bucket(b):
-        return lambda x: x == F.lit(b)
-
-    counts = F.array(*[F.struct(F.lit(b).alias("proximity_bucket"),
-                                F.size(F.filter(buckets, is_bucket(b))).alias("w")) for b in names])
-    rows = r.select("d", F.explode(counts).alias("b")).select("b.proximity_bucket", "d", F.col("b.w").alias("w")) \
+        .where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull()) \
+        .select("trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon")
+    offsets = F.array(*[F.struct(F.lit(i).alias("dy"), F.lit(j).alias("dx")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    probes = r.select("*", F.explode(offsets).alias("o")).select(
+        "trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon",
+        (F.floor(F.col("p_lat") * km_per_deg / cell_km) + F.col("o.dy")).alias("cy"),
+        (F.floor(F.col("p_lon") * km_per_deg * lon_scale / cell_km) + F.col("o.dx")).alias("cx"))
+    km = equirect_km(F.col("p_lat"), F.col("p_lon"), F.col("e_lat"), F.col("e_lon"), km_per_deg, lon_scale)
+    near = probes.join(ev, ["cy", "cx"]).select("trip_id", "stop_id", "event_ts", km.alias("km")) \
+        .groupBy("trip_id", "stop_id", "event_ts").agg(F.count_if(F.col("km") <= 2.0).alias("n2"),
+                                                       F.count_if((F.col("km") > 2.0) & (F.col("km") <= 5.0)).alias("n5"))
+    per = r.join(near, ["trip_id", "stop_id", "event_ts"], "left").fillna(0, ["n2", "n5"]) \
+        .withColumn("nf", n_events - F.col("n2") - F.col("n5"))
+    counts = F.array(F.struct(F.lit("within_2km").alias("proximity_bucket"), F.col("n2").alias("w")),
+                     F.struct(F.lit("within_5km").alias("proximity_bucket"), F.col("n5").alias("w")),
+                     F.struct(F.lit("far").alias("proximity_bucket"), F.col("nf").alias("w")))
+    rows = per.select("d", F.explode(counts).alias("b")).select("b.proximity_bucket", "d", F.col("b.w").alias("w")) \
         .where(F.col("w") > 0)
     n = F.sum("w")
     stats = rows.groupBy("proximity_bucket").agg(
