@@ -95,3 +95,23 @@ class Thresholds:
 
 DEFAULT_CITY = CityProfile()
 DEFAULT_THRESHOLDS = Thresholds()
+
+
+def load_city_catalog(spark, path: str):
+    """Switchable cities: a JSON array of {name, lat, lon} as a DataFrame."""
+    return spark.read.option("multiLine", True).json(path)
+
+
+def city_profile(catalog, name: str) -> CityProfile:
+    """Bind one catalog row as the active city (bounds derived from a box
+    around its centre, as the city extraction does)."""
+    from pyspark.sql import functions as F
+    row = catalog.where(F.col("name") == name).select("name", "lat", "lon").first()
+    if row is None:
+        raise KeyError(f"Unknown city '{name}'")
+    import math
+    lat_d = BBOX_RADIUS_KM / 111.0
+    lon_d = BBOX_RADIUS_KM / (111.0 * max(math.cos(math.radians(row["lat"])), 0.2))
+    return CityProfile(row["name"], float(row["lat"]), float(row["lon"]),
+                       {"lat_min": row["lat"] - lat_d, "lat_max": row["lat"] + lat_d,
+                        "lon_min": row["lon"] - lon_d, "lon_max": row["lon"] + lon_d})
