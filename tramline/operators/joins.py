@@ -104,3 +104,76 @@ def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat
     peak = pairs.groupBy(*keys).agg(F.max(contribution(d, F.lit(3.0), F.col("impact"))).alias("_peak"))
     return pts.select(*keys).join(peak, keys, "left").select(
         *keys, (F.lit(1.0) + F.coalesce(F.col("_peak"), F.lit(0.0))).alias("load_factor"))
+
+
+# ------------------------------------------------------------------ grid search
+def tangent_plane_km(lat, lon, lat0: float = CITY_LAT, lon0: float = CITY_LON):
+    """(u, v) in km: the point on the sphere projected onto the tangent plane
+    at (lat0, lon0). The planar distance between two projected points never
+    exceeds their chord, hence never their great-circle distance, so it is a
+    safe lower bound for pruning."""
+    import math
+    from ..params import EARTH_RADIUS_KM as R
+    phi, lam = F.radians(F.col(lat) if isinstance(lat, str) else lat), F.radians(F.col(lon) if isinstance(lon, str) else lon)
+    x, y, z = F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
+    p0, l0 = math.radians(lat0), math.radians(lon0)
+    u = (-math.sin(l0)) * x + math.cos(l0) * y
+    v = (-math.sin(p0) * math.cos(l0)) * x + (-math.sin(p0) * math.sin(l0)) * y + math.cos(p0) * z
+    return u * R, v * R
+
+
+def _best(pairs: DataFrame, keys, lat, lon) -> DataFrame:
+    dist = haversine_km(F.col(lat), F.col(lon), F.col("_ev_lat"), F.col("_ev_lon"))
+    return (pairs.select(*keys, F.struct(dist.isNull().alias("n"), dist.alias("d"), F.col("event_id").alias("e"),
+                                         F.col("impact").alias("i")).alias("c"))
+                 .groupBy(*keys).agg(F.min("c").alias("m")))
+
+
+def nearest_active_event_grid(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "stop_lat",
+                              lon: str = "stop_lon", ts: str = "event_ts", cell_km: float = 0.5,
+                              rounds: int = 6) -> DataFrame:
+    """Exact nearest active event without pairing every update with every
+    event active in its hour.
+
+    Round r buckets events into cells of ``cell_km * 2**r`` on the tangent
+    plane and probes the 3x3 cells around each point (equi-join on hour and
+    cell). A best distance below the cell size is final: every event outside
+    the probed block is at least one cell away. Unresolved points go to the
+    next, coarser round; after ``rounds`` rounds the rest are paired with all
+    events of their hour. Each round is checkpointed."""
+    from ..session import cut_lineage
+    ev = event_hours(events)
+    eu, evv = tangent_plane_km("lat", "lon")
+    ev = ev.select("*", eu.alias("_eu"), evv.alias("_ev"))
+    pu, pv = tangent_plane_km(lat, lon)
+    pts = points.select(*keys, lat, lon, ts, hour_bucket(ts).alias("_hour"), pu.alias("_pu"), pv.alias("_pv"))
+    offsets = F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    remaining, found = pts, []
+    evr = ev.withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
+    for r in range(rounds):
+        size = cell_km * (2 ** r)
+        cells = evr.select("*", F.floor(F.col("_eu") / size).alias("_cu"), F.floor(F.col("_ev") / size).alias("_cv"))
+        probes = remaining.select("*", F.explode(offsets).alias("_o")).select(
+            *remaining.columns, (F.floor(F.col("_pu") / size) + F.col("_o.a")).alias("_cu"),
+            (F.floor(F.col("_pv") / size) + F.col("_o.b")).alias("_cv"))
+        pairs = probes.join(cells, ["_hour", "_cu", "_cv"]).where(
+            (F.col("start_time_utc") <= F.col(ts)) & (F.col("end_time_utc") >= F.col(ts)))
+        best = _best(pairs, keys, lat, lon)
+        done = cut_lineage(best.where(~F.col("m.n") & (F.col("m.d") < F.lit(size))))
+        found.append(done)
+        remaining = cut_lineage(remaining.join(done.select(*keys), keys, "left_anti"))
+    cond = [remaining["_hour"] == evr["_hour"], evr["start_time_utc"] <= remaining[ts],
+            evr["end_time_utc"] >= remaining[ts]]
+    rest = _best(remaining.join(evr, cond[0] & cond[1] & cond[2]), keys, lat, lon)
+    out = rest
+    for d in found:
+        out = out.unionByName(d)
+    return out.select(*keys, F.col("m.d").alias("event_proximity_km"), F.col("m.i").alias("nearest_impact"),
+                      F.col("m.e").alias("nearest_event_id"))
+
+
+def max_active_events_per_hour(events: DataFrame) -> int:
+    """Largest number of distinct active events touching one hour (a small
+    aggregate over the event stream, not over the updates)."""
+    row = event_hours(events).groupBy("_hour").count().agg(F.max("count")).first()
+    return int(row[0] or 0)

@@ -10,7 +10,8 @@ from ..functions.timefn import day_of_week, hour_of_day, is_rush_hour
 from ..operators.broadcast import checked_broadcast
 from ..functions.geo import haversine_km
 from ..functions.timefn import hour_bucket
-from ..operators.joins import event_hours, stop_segments, with_weather
+from ..operators.joins import (event_hours, max_active_events_per_hour, nearest_active_event_grid, stop_segments,
+                               with_weather)
 from ..params import MIN_FEATURE_DELAY
 
 TU_KEY = ["trip_id", "stop_id", "event_ts"]
@@ -26,9 +27,12 @@ def route_stop_avg(stg_trip_updates: DataFrame) -> DataFrame:
     return stg_trip_updates.groupBy("route_id", "stop_id").agg(F.avg("delay_seconds").alias("historical_avg_delay"))
 
 
+MAX_EVENTS_PER_HOUR_FOR_PAIRING = 512
+
+
 def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_hourly: DataFrame,
                     dim_stops: DataFrame, dim_trips: DataFrame, dim_routes: DataFrame,
-                    dim_stop_times: DataFrame, stamp: bool = False) -> DataFrame:
+                    dim_stop_times: DataFrame, stamp: bool = False, nearest: str = "auto") -> DataFrame:
     """One row per valid trip update (more when a trip visits a stop twice,
     as the segment join is on (trip_id, stop_id)).
 
@@ -39,8 +43,15 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
     events exploded per hour (equi-join on the hour plus the exact interval
     predicate), then one aggregation on the update key (plus the segment
     discriminator) takes the arg-min and carries the other columns, which
-    are functionally dependent on that key.
+    are functionally dependent on that key. That pairs each update with at
+    most the events active in its hour; ``nearest="auto"`` checks that bound
+    on the event stream and switches to the exact grid search
+    (:func:`nearest_active_event_grid`) when an hour holds more than
+    ``MAX_EVENTS_PER_HOUR_FOR_PAIRING`` active events.
     """
+    if nearest == "auto":
+        busy = max_active_events_per_hour(stg_events)
+        nearest = "hour" if busy <= MAX_EVENTS_PER_HOUR_FOR_PAIRING else "grid"
     tu = stg_trip_updates.select("trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence",
                                  "delay_seconds", "status", "event_ts")
     stops = checked_broadcast(dim_stops.select("stop_id", "stop_lat", "stop_lon", "stop_zone_num",
@@ -57,13 +68,25 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
         "trip_id", "stop_id", "segment_km", F.col("stop_sequence").alias("_seg_seq"))
     base = base.join(segs, ["trip_id", "stop_id"], "left")
 
+    if nearest == "grid":
+        pts = base.where(F.col("_has_stop")).select(*TU_KEY, "stop_lat", "stop_lon").distinct()
+        near = nearest_active_event_grid(pts, stg_events, TU_KEY)
+        ev = near.select(*TU_KEY, F.lit(True).alias("_ev"), F.col("event_proximity_km").alias("_d"),
+                         F.col("nearest_event_id").alias("event_id"), F.col("nearest_impact").alias("impact"))
+        base = base.withColumn("_hour", hour_bucket("event_ts"))
+        pairs = base.join(ev, TU_KEY, "left")
+        dist = F.col("_d")
+    else:
+        pairs, dist = None, None
     ev = event_hours(stg_events).withColumn("_ev", F.lit(True))
-    base = base.withColumn("_hour", hour_bucket("event_ts"))
-    ev = ev.withColumnRenamed("_hour", "_ev_hour").withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
-    cond = (base["_has_stop"] & (base["_hour"] == ev["_ev_hour"])
-            & (ev["start_time_utc"] <= base["event_ts"]) & (ev["end_time_utc"] >= base["event_ts"]))
-    pairs = base.join(ev, cond, "left")
-    dist = haversine_km(F.col("stop_lat"), F.col("stop_lon"), F.col("_ev_lat"), F.col("_ev_lon"))
+    if pairs is None:
+        base = base.withColumn("_hour", hour_bucket("event_ts"))
+        ev = ev.withColumnRenamed("_hour", "_ev_hour").withColumnRenamed("lat", "_ev_lat") \
+            .withColumnRenamed("lon", "_ev_lon")
+        cond = (base["_has_stop"] & (base["_hour"] == ev["_ev_hour"])
+                & (ev["start_time_utc"] <= base["event_ts"]) & (ev["end_time_utc"] >= base["event_ts"]))
+        pairs = base.join(ev, cond, "left")
+        dist = haversine_km(F.col("stop_lat"), F.col("stop_lon"), F.col("_ev_lat"), F.col("_ev_lon"))
     pick = F.min(F.struct(F.col("_ev").isNull().alias("u"), dist.isNull().alias("n"), dist.alias("d"),
                           F.col("event_id").alias("e"), F.col("impact").alias("i"))).alias("_m")
     keys = TU_KEY + ["_seg_seq"]

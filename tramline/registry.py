@@ -594,3 +594,24 @@ def q_ml_scores(spark, sf):
     from .plans import ml
     models, test = _models(spark, sf)
     return ml.score(models, test.select(*ml.CAT_FEATURES, *ml.NUM_FEATURES, "trip_id", "stop_id", "event_ts"))
+
+
+@register("nearest_active_event_grid", O.with_layers(
+    f"SELECT trip_id, stop_id, event_ts, {_r6(['event_proximity_km'])}, nearest_impact, nearest_event_id FROM ei"))
+def q_nearest_grid(spark, sf):
+    """The exact grid strategy (cells from 0.3 km, doubling) on the same input."""
+    from .operators.joins import nearest_active_event_grid
+    w = wh(spark, sf)
+    pts = w.stg_trip_updates.join(w.dim_stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
+    return report(nearest_active_event_grid(pts, w.stg_events, ["trip_id", "stop_id", "event_ts"], cell_km=0.3,
+                                            rounds=4), ["event_proximity_km"])
+
+
+@register("fct_trip_delays_grid", O.with_layers(f"SELECT {FACT_COLS}, {_r6(FACT_FLOATS)} FROM fct"))
+def q_fct_grid(spark, sf):
+    """The flagship fact with the nearest event found by the grid strategy."""
+    from .plans import facts
+    w = wh(spark, sf)
+    f = facts.fct_trip_delays(w.stg_trip_updates, w.stg_events, w.weather_hourly, w.dim_stops, w.dim_trips,
+                              w.dim_routes, w.dim_stop_times, nearest="grid")
+    return report(f, FACT_FLOATS)
