@@ -351,7 +351,7 @@ FROM lp WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY 1, 2, 3
 ORDER BY avg_delay_seconds DESC, grid_cell LIMIT 20"""),
     "live_kpis": with_live(f"""
 SELECT count(*) AS vehicles_tracked, coalesce({R('avg(d)')}, 0.0::DOUBLE) AS avg_delay_seconds,
-       coalesce({PCT('count_if(d <= 120)')}, 100.0::DOUBLE) AS on_time_pct, count_if(d > 600) AS severe_delays,
+       coalesce({PCT('count_if(d <= 120)')}, 100.0::DOUBLE) AS on_time_pct, CAST(count_if(d > 600) AS BIGINT) AS severe_delays,
        coalesce({R('avg(s)')}, 0.0::DOUBLE) AS avg_speed_kmh,
        (SELECT count(*) FROM le WHERE status = 'ACTIVE') AS active_events
 FROM (SELECT coalesce(delay_seconds, 0.0) AS d, coalesce(speed_kmh, 0.0) AS s FROM lp) x"""),
@@ -509,7 +509,7 @@ def quality_sql(tables: dict, rules_by_table: dict, schema_ok: dict) -> str:
             else:
                 parts.append(f"SELECT '{table}' AS table_name, {i} AS rule_index, '{r.type}' AS expectation_type, "
                              f"{col_sql} AS column_name, '{kw}' AS kwargs, count(*) AS element_count, "
-                             f"{bad} AS unexpected_count, {bad} = 0 AS success FROM {src}")
+                             f"CAST({bad} AS BIGINT) AS unexpected_count, {bad} = 0 AS success FROM {src}")
     return "\n UNION ALL ".join(parts)
 
 

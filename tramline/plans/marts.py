@@ -74,7 +74,7 @@ def congestion_hotspots(positions_fact: DataFrame, as_of=None, window_hours: int
         F.coalesce(F.max_by("condition", "event_ts"), F.lit("unknown")).alias("condition"))
     # one global ordering, but over the aggregated cells (bounded by the grid)
     w = Window.orderBy(F.col("_rank_delay").desc(), F.col("grid_cell"))
-    return agg.withColumn("congestion_rank", F.row_number().over(w)).drop("_rank_delay")
+    return agg.withColumn("congestion_rank", F.row_number().over(w).cast("bigint")).drop("_rank_delay")
 
 
 def weather_impact(fact: DataFrame) -> DataFrame:

@@ -163,7 +163,7 @@ def q_mart_ei(spark, sf):
 @register("kpis", O.with_layers(
     f"SELECT count(*) AS observations, {O.R('avg(delay_seconds)')} AS avg_delay_seconds, "
     f"{O.PCT(chr(39).join(['count_if(delay_bucket = ', 'on_time', ')']))} AS on_time_pct, "
-    "count_if(delay_bucket = 'severe') AS severe_delays FROM fct"))
+    "CAST(count_if(delay_bucket = 'severe') AS BIGINT) AS severe_delays FROM fct"))
 def q_kpis(spark, sf):
     return marts.kpis(wh(spark, sf).fct_trip_delays)
 
@@ -176,7 +176,7 @@ def q_test_score(spark, sf):
 
 @register("test_severe_delay_share", O.with_layers(
     "SELECT route_id, CAST(event_ts AS DATE) AS service_date, count(*) AS total, "
-    "count_if(delay_bucket = 'severe') AS severe FROM fct GROUP BY 1, 2 "
+    "CAST(count_if(delay_bucket = 'severe') AS BIGINT) AS severe FROM fct GROUP BY 1, 2 "
     "HAVING count_if(delay_bucket = 'severe') > 0.35 * count(*)"))
 def q_test_severe(spark, sf):
     return marts.severe_share_violations(wh(spark, sf).fct_trip_delays)
@@ -426,7 +426,7 @@ def _quality_oracle(summary: bool) -> str:
     if not summary:
         return O.with_layers(f"SELECT * FROM ({body}) q")
     return O.with_layers(
-        f"SELECT table_name, bool_and(success) AS success, count_if(success) AS expectations_passed, "
+        f"SELECT table_name, bool_and(success) AS success, CAST(count_if(success) AS BIGINT) AS expectations_passed, "
         f"count(*) AS expectations_total, max(element_count) AS row_count FROM ({body}) q GROUP BY 1")
 
 
