@@ -44,3 +44,19 @@ def test_refuses_tiny_input(spark, trained):
     _, feats = trained
     with pytest.raises(ValueError):
         ml.train(feats.limit(50), ml.ModelParams(n_estimators=2))
+
+
+def test_save_load_round_trip(spark, trained):
+    import tempfile
+    (models, test), _ = trained
+    d = tempfile.mkdtemp(prefix="tramline-model-")
+    ml.save(models, d, ml.metrics(models, test))
+    back = ml.load(d)
+    x = test.select(*ml.CAT_FEATURES, *ml.NUM_FEATURES).limit(50)
+    a = [tuple(r) for r in ml.score(models, x).select("predicted_delay_seconds", "predicted_bucket").collect()]
+    b = [tuple(r) for r in ml.score(back, x).select("predicted_delay_seconds", "predicted_bucket").collect()]
+    assert a == b
+    import json
+    contract = json.loads(spark.read.text(f"{d}/features").first()[0])
+    assert contract["cat_features"] == ml.CAT_FEATURES and contract["bucket_map"]["severe"] == 2
+    assert spark.read.json(f"{d}/metrics").count() > 0

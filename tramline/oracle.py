@@ -385,8 +385,9 @@ SELECT proximity_bucket, count(*) AS observations, {R('avg(d)')} AS avg_delay_se
        {R(NR('d'))} AS p95_delay_seconds, {PCT('count_if(d <= 120)')} AS on_time_pct, 0.0::DOUBLE AS avg_event_impact
 FROM b GROUP BY 1"""),
     "live_current_delays": with_live("""
-SELECT vehicle_id, route_id, route_mode, lat, lon, speed_kmh, delay_seconds, congestion_level, event_ts FROM lp
-ORDER BY coalesce(delay_seconds, 0.0) DESC, vehicle_id LIMIT 200"""),
+SELECT *, (SELECT count(*) FROM lp) AS vehicle_count FROM (
+  SELECT vehicle_id, route_id, route_mode, lat, lon, speed_kmh, delay_seconds, congestion_level, event_ts FROM lp
+  ORDER BY coalesce(delay_seconds, 0.0) DESC, vehicle_id LIMIT 200) t"""),
     "live_weather_current": with_live("""
 SELECT *, row_number() OVER (ORDER BY event_ts DESC NULLS LAST, zone_id) = 1 AS is_headline FROM lw"""),
     "latest_event_state": with_live("SELECT * FROM le"),

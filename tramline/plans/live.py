@@ -170,10 +170,14 @@ def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFra
 
 
 def current_delays(positions: DataFrame, limit: int = 200) -> DataFrame:
+    """Latest position per vehicle, largest delay first (NULL as 0), the
+    first ``limit`` rows, each carrying the total vehicle count."""
     lp = latest_positions(positions)
+    total = lp.select(F.count(F.lit(1))).scalar()
     return lp.select("vehicle_id", "route_id", "route_mode", "lat", "lon", "speed_kmh", "delay_seconds",
                      "congestion_level", "event_ts") \
-        .orderBy(F.desc(F.coalesce(F.col("delay_seconds"), F.lit(0.0))), "vehicle_id").limit(limit)
+        .orderBy(F.desc(F.coalesce(F.col("delay_seconds"), F.lit(0.0))), "vehicle_id").limit(limit) \
+        .withColumn("vehicle_count", total)
 
 
 def weather_current(weather: DataFrame) -> DataFrame:

@@ -45,3 +45,10 @@ def to_raw_records(df: DataFrame, ts_col: str = "event_ts") -> DataFrame:
 def to_topic_messages(df: DataFrame) -> DataFrame:
     """Keyless messages for a topic sink: value = the row as JSON."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+
+
+def publish(df: DataFrame, bootstrap: str, topic: str) -> None:
+    """Keyless batch publish of the rows as JSON messages to a topic (needs the
+    Kafka connector on the classpath)."""
+    (to_topic_messages(df).write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+     .option("topic", topic).save())
