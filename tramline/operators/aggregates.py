@@ -37,3 +37,31 @@ def bounded_array(df: DataFrame, max_rows: int, what: str) -> Column:
     if n > max_rows:
         raise ValueError(f"{what}: {n}+ rows exceed the bound {max_rows} for a broadcast lookup")
     return df.select(F.collect_list(F.struct(*df.columns))).scalar()
+
+
+def exact_percentiles_sorted(df: DataFrame, group_cols: list[str], value: str, qs: dict[str, float],
+                             partitions: int | None = None) -> DataFrame:
+    """Exact interpolated percentiles (percentile_cont) per group without a
+    per-group buffer of values.
+
+    Ranks come from the skew-safe ordered scan over (group, value), so a hot
+    group is ranked by many tasks; per group only the rows at the ranks that
+    a percentile needs survive (two per percentile) and are interpolated.
+    Output: group columns + one column per entry of ``qs`` (name -> q)."""
+    from .ordered import ordered_scan
+    g = F.to_json(F.struct(*[F.col(c) for c in group_cols]))
+    v = df.where(F.col(value).isNotNull()).select(g.alias("_g"), *group_cols, F.col(value).alias("_v"))
+    ranked = ordered_scan(v, "_g", ["_v"], [], partitions)
+    counts = v.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    j = ranked.join(counts, "_g")
+    keep, aggs = None, []
+    for name, q in qs.items():
+        pos = F.lit(q) * (F.col("_n") - 1)
+        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
+        hit = (F.col("position") == lo) | (F.col("position") == hi)
+        keep = hit if keep is None else keep | hit
+        v_lo = F.max(F.when(F.col("position") == lo, F.col("_v")))
+        v_hi = F.max(F.when(F.col("position") == hi, F.col("_v")))
+        frac = F.first(pos - F.floor(pos))
+        aggs.append(F.when(v_lo == v_hi, v_lo).otherwise((F.lit(1.0) - frac) * v_lo + frac * v_hi).alias(name))
+    return j.where(keep).groupBy(*group_cols).agg(*aggs)

@@ -68,9 +68,8 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], lag_cols: list[str],
     # written once to the shared checkpoint folder: the summary and the fix-up
     # then see the same partition ids, also after an executor is lost
     local = cut_lineage(srt.mapInPandas(_local_scan(key, lag_cols), schema))
-    summary = local.groupBy("_pid", key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max_by(F.struct(*[F.col(c) for c in lag_cols]), F.col("_local_pos")).alias("_last"))
+    last = F.max_by(F.struct(*[F.col(c) for c in lag_cols]), F.col("_local_pos")) if lag_cols else F.lit(None)
+    summary = local.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"), last.alias("_last"))
     w = Window.partitionBy(key).orderBy("_pid")  # per key at most one row per partition
     fix = summary.select("_pid", key,
                          F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"),

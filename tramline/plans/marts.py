@@ -17,15 +17,21 @@ def _share(bucket: str):
     return F.count_if(F.col("delay_bucket") == bucket)
 
 
-def route_reliability(fact: DataFrame, approx: bool = False) -> DataFrame:
+def route_reliability(fact: DataFrame, approx: bool = False, percentiles: str | None = None) -> DataFrame:
     """Per (route, mode, service date): volumes, delay statistics, on-time and
     severe shares and the 0..100 reliability score.
 
-    Percentiles are exact and interpolated (``percentile``: a per-group
-    value->count map that is merged map-side, bounded by the number of
-    distinct delay values); ``approx=True`` switches to a fixed-size sketch.
+    Percentiles are exact and interpolated. ``percentiles="map"`` (default)
+    uses ``percentile``: a per-group value->count map merged map-side, bounded
+    by the number of distinct delay values (delays arrive at 0.1 s
+    resolution). ``"sorted"`` ranks values with the skew-safe ordered scan
+    instead and needs no per-group buffer, for value domains without such a
+    bound. ``approx=True`` switches to a fixed-size sketch.
     """
-    p = (lambda q: F.percentile_approx("delay_seconds", q, 10000)) if approx else \
+    percentiles = "approx" if approx else (percentiles or "map")
+    if percentiles == "sorted":
+        return _route_reliability_sorted(fact)
+    p = (lambda q: F.percentile_approx("delay_seconds", q, 10000)) if percentiles == "approx" else \
         (lambda q: F.percentile("delay_seconds", q))
     g = fact.groupBy("route_id", "route_mode", F.to_date("event_ts").alias("service_date"))
     return g.agg(
@@ -41,6 +47,27 @@ def route_reliability(fact: DataFrame, approx: bool = False) -> DataFrame:
                      / F.nullif(_n(), F.lit(0))).alias("reliability_score"))
 
 
+def _route_reliability_sorted(fact: DataFrame) -> DataFrame:
+    from ..operators.aggregates import exact_percentiles_sorted
+    keys = ["route_id", "route_mode", "service_date"]
+    f = fact.withColumn("service_date", F.to_date("event_ts"))
+    base = f.groupBy(*keys).agg(
+        _n().alias("stops_observed"),
+        F.count_distinct("trip_id").alias("trips"),
+        round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
+        round_metric(F.max("delay_seconds")).alias("max_delay_seconds"),
+        pct(_share("on_time"), _n()).alias("on_time_pct"),
+        pct(_share("severe"), _n()).alias("severe_pct"),
+        round_metric(F.lit(100.0) * (F.lit(0.7) * _share("on_time") + F.lit(0.2) * _share("delayed"))
+                     / F.nullif(_n(), F.lit(0))).alias("reliability_score"))
+    ps = exact_percentiles_sorted(f, keys, "delay_seconds", {"_p95": 0.95, "_p50": 0.5})
+    # null-safe keys: a route without mode is still one group
+    out = base.join(ps, [base[k].eqNullSafe(ps[k]) for k in keys], "left")
+    return out.select(*[base[k] for k in keys], "stops_observed", "trips", "avg_delay_seconds",
+                      round_metric("_p95").alias("p95_delay_seconds"), round_metric("_p50").alias("median_delay_seconds"),
+                      "max_delay_seconds", "on_time_pct", "severe_pct", "reliability_score")
+
+
 def delay_trends(fact: DataFrame) -> DataFrame:
     g = fact.groupBy(F.to_date("event_ts").alias("service_date"), hour_of_day("event_ts").alias("hour_of_day"))
     return g.agg(
@@ -77,27 +104,41 @@ def congestion_hotspots(positions_fact: DataFrame, as_of=None, window_hours: int
     return agg.withColumn("congestion_rank", F.row_number().over(w).cast("bigint")).drop("_rank_delay")
 
 
-def weather_impact(fact: DataFrame) -> DataFrame:
-    g = fact.groupBy("condition", precip_bucket("precipitation_mm").alias("precip_bucket"),
-                     temp_bucket("temperature_c").alias("temp_bucket"))
-    return g.agg(
-        _n().alias("observations"),
-        round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
-        round_metric(F.percentile("delay_seconds", 0.95)).alias("p95_delay_seconds"),
-        pct(_share("on_time"), _n()).alias("on_time_pct"),
-        pct(_share("severe"), _n()).alias("severe_pct"))
+def _with_sorted_p95(grouped: DataFrame, keyed_fact: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach an exact p95 computed by the sorted (bufferless) strategy."""
+    from ..operators.aggregates import exact_percentiles_sorted
+    ps = exact_percentiles_sorted(keyed_fact, keys, "delay_seconds", {"_p95": 0.95})
+    out = grouped.join(ps, [grouped[k].eqNullSafe(ps[k]) for k in keys], "left")
+    return out.select(*[grouped[k] for k in keys], *[c for c in grouped.columns if c not in keys],
+                      round_metric("_p95").alias("p95_delay_seconds"))
+
 
+def weather_impact(fact: DataFrame, percentiles: str = "map") -> DataFrame:
+    """Per (condition, precipitation bucket, temperature bucket); these few
+    buckets are the hottest groups of all marts, ``percentiles="sorted"``
+    ranks their values without a per-group buffer."""
+    keys = ["condition", "precip_bucket", "temp_bucket"]
+    f = fact.withColumn("precip_bucket", precip_bucket("precipitation_mm")) \
+        .withColumn("temp_bucket", temp_bucket("temperature_c"))
+    stats = [_n().alias("observations"), round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
+             pct(_share("on_time"), _n()).alias("on_time_pct"), pct(_share("severe"), _n()).alias("severe_pct")]
+    if percentiles == "sorted":
+        return _with_sorted_p95(f.groupBy(*keys).agg(*stats), f, keys)
+    return f.groupBy(*keys).agg(*stats[:2], round_metric(F.percentile("delay_seconds", 0.95)).alias("p95_delay_seconds"),
+                                *stats[2:])
 
-def events_impact(fact: DataFrame) -> DataFrame:
+
+def events_impact(fact: DataFrame, percentiles: str = "map") -> DataFrame:
     """'no_event' needs a NULL distance, which the fact already coalesced to
     10 km: those rows land in 'far', as in the reference."""
-    g = fact.groupBy(proximity_bucket("event_proximity_km").alias("proximity_bucket"))
-    return g.agg(
-        _n().alias("observations"),
-        round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
-        round_metric(F.percentile("delay_seconds", 0.95)).alias("p95_delay_seconds"),
-        pct(_share("on_time"), _n()).alias("on_time_pct"),
-        round_metric(F.avg("nearest_event_impact"), 3).alias("avg_event_impact"))
+    f = fact.withColumn("proximity_bucket", proximity_bucket("event_proximity_km"))
+    stats = [_n().alias("observations"), round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
+             pct(_share("on_time"), _n()).alias("on_time_pct"),
+             round_metric(F.avg("nearest_event_impact"), 3).alias("avg_event_impact")]
+    if percentiles == "sorted":
+        return _with_sorted_p95(f.groupBy("proximity_bucket").agg(*stats), f, ["proximity_bucket"])
+    return f.groupBy("proximity_bucket").agg(
+        *stats[:2], round_metric(F.percentile("delay_seconds", 0.95)).alias("p95_delay_seconds"), *stats[2:])
 
 
 def kpis(fact: DataFrame) -> DataFrame:

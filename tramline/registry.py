@@ -615,3 +615,10 @@ def q_fct_grid(spark, sf):
     f = facts.fct_trip_delays(w.stg_trip_updates, w.stg_events, w.weather_hourly, w.dim_stops, w.dim_trips,
                               w.dim_routes, w.dim_stop_times, nearest="grid")
     return report(f, FACT_FLOATS)
+
+
+@register("mart_route_reliability_sorted", O.with_layers("SELECT * FROM mart_rr"))
+def q_mart_rr_sorted(spark, sf):
+    """Route reliability with percentiles from the sorted (bufferless) strategy."""
+    from .plans import marts as M
+    return M.route_reliability(wh(spark, sf).fct_trip_delays, percentiles="sorted")
