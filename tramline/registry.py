@@ -622,3 +622,21 @@ def q_mart_rr_sorted(spark, sf):
     """Route reliability with percentiles from the sorted (bufferless) strategy."""
     from .plans import marts as M
     return M.route_reliability(wh(spark, sf).fct_trip_delays, percentiles="sorted")
+
+
+@register("live_active_events", O.with_live("SELECT * FROM le WHERE status = 'ACTIVE'"))
+def q_live_active_events(spark, sf):
+    from .plans import live
+    return live.active_events(_bronze(spark, sf)["city_events"])
+
+
+@register("quality_last_runs", _quality_oracle(True).replace(", max(element_count) AS row_count FROM", " FROM"))
+def q_quality_last_runs(spark, sf):
+    """Validate Silver, append the run to a fresh ledger in the shared folder,
+    read back the newest 20 runs."""
+    import uuid
+    from .operators import quality as Q
+    from .session import checkpoint_dir
+    ledger = f"{checkpoint_dir(spark)}/tramline-ledger-{uuid.uuid4().hex}/quality_runs"
+    Q.append_runs(Q.summarize(_quality_results(spark, sf)), ledger)
+    return Q.last_runs(spark, ledger, 20).drop("run_at_utc")
