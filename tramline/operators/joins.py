@@ -2,12 +2,11 @@
 zone/hour weather join, stop segments (LAG), semi-join chains."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.geo import haversine_km, weather_zone
 from ..functions.timefn import hour_bucket
 from ..params import CITY_LAT, CITY_LON
-from .broadcast import checked_broadcast
 
 EVENT_COLS = ["event_id", "lat", "lon", "start_time_utc", "end_time_utc", "impact"]
 
@@ -31,8 +30,7 @@ def event_hours(events: DataFrame, active_only: bool = True) -> DataFrame:
     return ev.select(*EVENT_COLS, hours.alias("_hour"))
 
 
-def events_active_at(points: DataFrame, events: DataFrame, ts: str = "event_ts",
-                     max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def events_active_at(points: DataFrame, events: DataFrame, ts: str = "event_ts") -> DataFrame:
     """All (point, event) pairs where the event is ACTIVE and its interval
     contains the point time: an equi-join on the hour bucket plus the exact
     interval predicate, instead of a nested-loop theta join."""
@@ -66,8 +64,7 @@ def nearest_active_event(points: DataFrame, events: DataFrame, keys: list[str],
 
 def with_weather(df: DataFrame, weather_hourly: DataFrame, lat: str, lon: str, ts: str = "event_ts",
                  cols=("zone_id", "temperature_c", "precipitation_mm", "wind_speed_kmh", "humidity_pct", "condition"),
-                 city_lat: float = CITY_LAT, city_lon: float = CITY_LON,
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                 city_lat: float = CITY_LAT, city_lon: float = CITY_LON) -> DataFrame:
     """Left join hourly zone weather on (zone of the point, hour of ts)."""
     # derived aggregate: AQE broadcasts it from its real shuffle size
     wh = weather_hourly.select("obs_hour", *cols).withColumnRenamed("zone_id", "_w_zone")
@@ -98,7 +95,6 @@ def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat
     from ..functions.geo import event_load_factor as contribution
     pts = points.select(*keys, lat, lon, ts)
     ev = events.select(*EVENT_COLS, "status", "impact_radius_km")
-    ev_cols = [c for c in ev.columns]
     pairs = events_active_at(pts, ev, ts)
     d = haversine_km(F.col(lat), F.col(lon), F.col("_ev_lat"), F.col("_ev_lon"))
     peak = pairs.groupBy(*keys).agg(F.max(contribution(d, F.lit(3.0), F.col("impact"))).alias("_peak"))

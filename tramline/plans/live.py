@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.buckets import live_proximity_bucket
 from ..functions.geo import equirect_km, sq_deg_dist
 from ..functions.numeric import pct, round_metric
-from ..operators.aggregates import bounded_array, nearest_rank, weighted_nearest_rank  # noqa: F401
+from ..operators.aggregates import bounded_array, nearest_rank, weighted_nearest_rank
 from ..operators.dedup import latest_per_key
 from ..params import LIVE_RECENT_ROWS, ON_TIME_THRESHOLD_SECONDS as ON_TIME, SEVERE_DELAY_THRESHOLD_SECONDS as SEVERE
 
@@ -149,9 +149,10 @@ def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFra
         (F.floor(F.col("p_lat") * km_per_deg / cell_km) + F.col("o.dy")).alias("cy"),
         (F.floor(F.col("p_lon") * km_per_deg * lon_scale / cell_km) + F.col("o.dx")).alias("cx"))
     km = equirect_km(F.col("p_lat"), F.col("p_lon"), F.col("e_lat"), F.col("e_lon"), km_per_deg, lon_scale)
-    near = probes.join(ev, ["cy", "cx"]).select("trip_id", "stop_id", "event_ts", km.alias("km")) \
-        .groupBy("trip_id", "stop_id", "event_ts").agg(F.count_if(F.col("km") <= 2.0).alias("n2"),
-                                                       F.count_if((F.col("km") > 2.0) & (F.col("km") <= 5.0)).alias("n5"))
+    bucket = live_proximity_bucket(km)
+    near = probes.join(ev, ["cy", "cx"]).select("trip_id", "stop_id", "event_ts", bucket.alias("b")) \
+        .groupBy("trip_id", "stop_id", "event_ts").agg(F.count_if(F.col("b") == "within_2km").alias("n2"),
+                                                       F.count_if(F.col("b") == "within_5km").alias("n5"))
     per = r.join(near, ["trip_id", "stop_id", "event_ts"], "left").fillna(0, ["n2", "n5"]) \
         .withColumn("nf", n_events - F.col("n2") - F.col("n5"))
     counts = F.array(F.struct(F.lit("within_2km").alias("proximity_bucket"), F.col("n2").alias("w")),
