@@ -36,9 +36,10 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
     """One row per valid trip update (more when a trip visits a stop twice,
     as the segment join is on (trip_id, stop_id)).
 
-    Plan: the update stream is read once. Dimensions are broadcast after a
-    size check; hourly weather, segments and the per-(route, stop) averages
-    are left to AQE, which broadcasts them from real shuffle statistics. The
+    Plan: the update stream is read once. Dimensions and stop segments are
+    broadcast after a size check; hourly weather and the per-(route, stop)
+    averages are left to AQE, which broadcasts them from real shuffle
+    statistics. The
     nearest active event is found in the same pass: a left join with the
     events exploded per hour (equi-join on the hour plus the exact interval
     predicate), then one aggregation on the update key (plus the segment
@@ -64,8 +65,10 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
               .join(stops, "stop_id", "left"))
     # weather of the stop's zone in the update hour (NULL when the stop is unknown)
     base = with_weather(base, weather_hourly, "stop_lat", "stop_lon")
-    segs = stop_segments(dim_stop_times, dim_stops).select(
-        "trip_id", "stop_id", "segment_km", F.col("stop_sequence").alias("_seg_seq"))
+    # segments come from the GTFS feed (bounded by the network, not by the update
+    # stream): broadcast after a count, else a shuffle join on (trip, stop)
+    segs = checked_broadcast(stop_segments(dim_stop_times, dim_stops).select(
+        "trip_id", "stop_id", "segment_km", F.col("stop_sequence").alias("_seg_seq")))
     base = base.join(segs, ["trip_id", "stop_id"], "left")
 
     if nearest == "grid":
