@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.buckets import delay_bucket
-from ..functions.geo import cell_coord, grid_cell
-from ..functions.timefn import day_of_week, hour_of_day, is_rush_hour
+from ..functions.geo import cell_coord, grid_cell, haversine_km
+from ..functions.timefn import day_of_week, hour_bucket, hour_of_day, is_rush_hour
 from ..operators.broadcast import checked_broadcast
-from ..functions.geo import haversine_km
-from ..functions.timefn import hour_bucket
 from ..operators.joins import (event_hours, max_active_events_per_hour, nearest_active_event_grid, stop_segments,
                                with_weather)
 from ..params import MIN_FEATURE_DELAY
@@ -30,6 +28,28 @@ def route_stop_avg(stg_trip_updates: DataFrame) -> DataFrame:
 MAX_EVENTS_PER_HOUR_FOR_PAIRING = 512
 
 
+def _pairs_by_hour(base: DataFrame, events: DataFrame):
+    """Each update left-joined with the events active at its time (equi-join
+    on the hour bucket + exact interval predicate); distance per pair."""
+    ev = event_hours(events).withColumn("_ev", F.lit(True)).withColumnRenamed("_hour", "_ev_hour") \
+        .withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
+    b = base.withColumn("_hour", hour_bucket("event_ts"))
+    cond = (b["_has_stop"] & (b["_hour"] == ev["_ev_hour"])
+            & (ev["start_time_utc"] <= b["event_ts"]) & (ev["end_time_utc"] >= b["event_ts"]))
+    return b.join(ev, cond, "left"), haversine_km(F.col("stop_lat"), F.col("stop_lon"), F.col("_ev_lat"),
+                                                  F.col("_ev_lon"))
+
+
+def _pairs_by_grid(base: DataFrame, events: DataFrame):
+    """Each update left-joined with its nearest event from the exact grid
+    search (at most one partner per update key)."""
+    near = nearest_active_event_grid(base.where(F.col("_has_stop")).select(*TU_KEY, "stop_lat", "stop_lon"),
+                                     events, TU_KEY)
+    ev = near.select(*TU_KEY, F.lit(True).alias("_ev"), F.col("event_proximity_km").alias("_d"),
+                     F.col("nearest_event_id").alias("event_id"), F.col("nearest_impact").alias("impact"))
+    return base.join(ev, TU_KEY, "left"), F.col("_d")
+
+
 def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_hourly: DataFrame,
                     dim_stops: DataFrame, dim_trips: DataFrame, dim_routes: DataFrame,
                     dim_stop_times: DataFrame, stamp: bool = False, nearest: str = "auto") -> DataFrame:
@@ -39,8 +59,7 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
     Plan: the update stream is read once. Dimensions and stop segments are
     broadcast after a size check; hourly weather and the per-(route, stop)
     averages are left to AQE, which broadcasts them from real shuffle
-    statistics. The
-    nearest active event is found in the same pass: a left join with the
+    statistics. The nearest active event is found in the same pass: a left join with the
     events exploded per hour (equi-join on the hour plus the exact interval
     predicate), then one aggregation on the update key (plus the segment
     discriminator) takes the arg-min and carries the other columns, which
@@ -71,25 +90,7 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
         "trip_id", "stop_id", "segment_km", F.col("stop_sequence").alias("_seg_seq")))
     base = base.join(segs, ["trip_id", "stop_id"], "left")
 
-    if nearest == "grid":
-        pts = base.where(F.col("_has_stop")).select(*TU_KEY, "stop_lat", "stop_lon").distinct()
-        near = nearest_active_event_grid(pts, stg_events, TU_KEY)
-        ev = near.select(*TU_KEY, F.lit(True).alias("_ev"), F.col("event_proximity_km").alias("_d"),
-                         F.col("nearest_event_id").alias("event_id"), F.col("nearest_impact").alias("impact"))
-        base = base.withColumn("_hour", hour_bucket("event_ts"))
-        pairs = base.join(ev, TU_KEY, "left")
-        dist = F.col("_d")
-    else:
-        pairs, dist = None, None
-    ev = event_hours(stg_events).withColumn("_ev", F.lit(True))
-    if pairs is None:
-        base = base.withColumn("_hour", hour_bucket("event_ts"))
-        ev = ev.withColumnRenamed("_hour", "_ev_hour").withColumnRenamed("lat", "_ev_lat") \
-            .withColumnRenamed("lon", "_ev_lon")
-        cond = (base["_has_stop"] & (base["_hour"] == ev["_ev_hour"])
-                & (ev["start_time_utc"] <= base["event_ts"]) & (ev["end_time_utc"] >= base["event_ts"]))
-        pairs = base.join(ev, cond, "left")
-        dist = haversine_km(F.col("stop_lat"), F.col("stop_lon"), F.col("_ev_lat"), F.col("_ev_lon"))
+    pairs, dist = (_pairs_by_grid if nearest == "grid" else _pairs_by_hour)(base, stg_events)
     pick = F.min(F.struct(F.col("_ev").isNull().alias("u"), dist.isNull().alias("n"), dist.alias("d"),
                           F.col("event_id").alias("e"), F.col("impact").alias("i"))).alias("_m")
     keys = TU_KEY + ["_seg_seq"]
