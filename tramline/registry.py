@@ -349,10 +349,13 @@ def q_city_counts(spark, sf):
 @register("gtfs_routes_loaded", O.with_layers(
     "SELECT route_id, route_mode, 'DE' AS agency_id, "
     "CAST(CASE route_mode WHEN 'rail' THEN 2 WHEN 'tram' THEN 0 WHEN 'bus' THEN 3 END AS INTEGER) AS route_type "
-    "FROM a_routes"))
+    "FROM a_routes WHERE route_id IN (SELECT route_id FROM a_trips)"))
 def q_routes_loaded(spark, sf):
+    """Loader rule (constant agency, route_type from route_mode) on the routes
+    that the feed's trips reference."""
     from .operators.dims import assign_route_type
-    r = wh(spark, sf).gtfs["routes"].select("route_id", "route_mode")
+    g = wh(spark, sf).gtfs
+    r = g["routes"].select("route_id", "route_mode").join(g["trips"].select("route_id"), "route_id", "left_semi")
     return assign_route_type(r).select("route_id", "route_mode", "agency_id", "route_type")
 
 
@@ -493,12 +496,13 @@ def q_event_props(spark, sf):
     return ev.select("event_id", json_field("props", "$.k", "bigint").alias("k"))
 
 
-@register("city_slugs", "SELECT n_name, n_name AS city, lower(regexp_replace(regexp_replace(lower(n_name), "
-          "'[^a-z0-9]', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM nation")
+@register("city_slugs", "SELECT p_partkey, p_name, lower(regexp_replace(regexp_replace(lower(p_name), "
+          "'[^a-z0-9]', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM part")
 def q_city_slugs(spark, sf):
+    """The slug rule (fold accents, non-alphanumerics to '-', trim) over every part name."""
     from .functions.timefn import city_slug
-    n = wh(spark, sf).fixture.table("nation")
-    return n.select("n_name", F.col("n_name").alias("city"), city_slug("n_name").alias("slug"))
+    p = wh(spark, sf).fixture.table("part")
+    return p.select("p_partkey", "p_name", city_slug("p_name").alias("slug"))
 
 
 @register("event_load_factor", O.with_layers(f"""
