@@ -1,8 +1,9 @@
 """Size-checked broadcast.
 
 A side is hinted for broadcast only after a bounded count proves it has at
-most ``max_rows`` rows; otherwise it is returned unchanged and Spark keeps a
-shuffle join (and AQE may still convert it at runtime from real shuffle
+most ``max_rows`` rows and at most ``max_bytes`` estimated bytes (rows x the
+schema's row width); otherwise it is returned unchanged and Spark keeps a
+shuffle join (AQE may still convert it at runtime from real shuffle
 statistics, spark.sql.adaptive.autoBroadcastJoinThreshold).
 """
 from __future__ import annotations
@@ -10,12 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
 
-def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+# estimated bytes per value by type name (Spark's own default sizes)
+_WIDTH = {"long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "integer": 4, "float": 4, "date": 4,
+          "short": 2, "byte": 1, "boolean": 1, "string": 20, "binary": 20, "decimal": 16}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the column types (strings count 20 bytes,
+    nested values 64)."""
+    return max(1, sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields))
+
+
+def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    limit = min(max_rows, max_bytes // row_width(df))
     # limit(n + 1) lets the count stop early on a large side
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.limit(limit + 1).count() <= limit
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if small_enough(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if small_enough(df, max_rows, max_bytes) else df

@@ -65,3 +65,18 @@ def cut_lineage(df):
     """Reliable checkpoint (survives executor loss); never localCheckpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sizing_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
+    """Settings that keep shuffle partitions near ``target_partition_bytes``
+    for an input of ``input_bytes`` (AQE coalesces smaller ones and splits
+    skewed ones): enough partitions for all cores, none much larger than the
+    target, so tasks fit executor memory without heavy spilling."""
+    parts = max(executor_cores * 2, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
