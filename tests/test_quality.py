@@ -57,6 +57,10 @@ def test_greater_or_equal_zero_and_accepted_values(spark):
 def test_silver_summary_observed_in_one_pass(spark):
     from tramline.sources.fixtures import Fixture
     fx = Fixture(spark, "/root/testdata/sf0.001")
-    out = silver_with_summary("trip_updates", fx.trip_updates())
+    bronze = fx.trip_updates()
+    out, obs_in, obs_out = silver_with_summary("trip_updates", bronze)
     out.write.format("noop").mode("overwrite").save()
-    assert out.count() > 0
+    n_in, got = bronze.count(), obs_out.get
+    assert obs_in.get["rows_in"] == n_in
+    assert got["rows_out"] == n_in  # keys are unique in the fixture, trip ids never NULL
+    assert got["rows_valid"] == out.where("dqr_valid").count()

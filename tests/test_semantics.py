@@ -150,3 +150,17 @@ def test_weather_hourly_keeps_latest_condition_even_if_null(spark):  # A7
                               "humidity_pct double, condition string, event_ts timestamp, dqr_valid boolean")
     r = staging.weather_hourly(w).first()
     assert r["condition"] is None and r["temperature_c"] == 2.0 and r["obs_count"] == 2
+
+
+def test_final_ended_record_reusing_event_ts(spark):  # T6
+    t1, t2 = TS, TS + dt.timedelta(minutes=5)
+    later = t2 + dt.timedelta(seconds=1)
+    ev = spark.createDataFrame([
+        ("EV1", 52.5, 13.4, "ACTIVE", t1, t1), ("EV1", 52.5, 13.4, "ACTIVE", t2, t2),
+        ("EV1", 52.5, 13.4, "ENDED", t2, later),   # final record, same event_ts as the previous one
+        ("EV2", 52.6, 13.5, "ACTIVE", t1, t1)],
+        "event_id string, lat double, lon double, status string, event_ts timestamp, ingested_ts timestamp")
+    silver = dedup.dedup_latest(ev, ["event_id", "event_ts"])
+    assert {(r["event_id"], r["event_ts"], r["status"]) for r in silver.collect()} == {
+        ("EV1", t1, "ACTIVE"), ("EV1", t2, "ENDED"), ("EV2", t1, "ACTIVE")}
+    assert [r["event_id"] for r in staging.active_events(silver).collect()] == ["EV2"]
