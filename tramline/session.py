@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # runtime (measured) sizes only: derived sides such as a year of hourly zone
+    # weather exceed the 10 MB default but are cheap to broadcast
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -40,7 +43,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Session-level settings that can be changed on an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.coalescePartitions.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.set(k, BASE_CONF[k])
 
 
