@@ -164,3 +164,25 @@ def test_final_ended_record_reusing_event_ts(spark):  # T6
     assert {(r["event_id"], r["event_ts"], r["status"]) for r in silver.collect()} == {
         ("EV1", t1, "ACTIVE"), ("EV1", t2, "ENDED"), ("EV2", t1, "ACTIVE")}
     assert [r["event_id"] for r in staging.active_events(silver).collect()] == ["EV2"]
+
+
+def test_live_weather_prefers_own_condition_then_own_coordinates(spark):  # A18, J11
+    from tramline.plans import live
+    tu = spark.createDataFrame([
+        ("T1", "S1", "V1", TS, 10.0, "snow", None, None),       # own condition wins
+        ("T2", "S1", "V2", TS, 20.0, None, 52.50, 13.40),       # own coordinates -> zone A
+        ("T3", "S1", "V1", TS, 30.0, None, None, None),         # vehicle's latest position -> zone B
+        ("T4", "S1", "V9", TS, 40.0, None, None, None)],        # nothing known
+        "trip_id string, stop_id string, vehicle_id string, event_ts timestamp, delay_seconds double, "
+        "condition string, lat double, lon double")
+    pos = spark.createDataFrame([("V1", 52.60, 13.60, TS)], "vehicle_id string, lat double, lon double, event_ts timestamp")
+    wx = spark.createDataFrame([("ZA", 52.50, 13.40, "rain", TS), ("ZB", 52.60, 13.60, "fog", TS)],
+                               "zone_id string, lat double, lon double, condition string, event_ts timestamp")
+    got = {r["condition"]: r["observations"] for r in live.weather_impact(tu, pos, wx).collect()}
+    assert got == {"snow": 1, "rain": 1, "fog": 1, "unknown": 1}
+
+
+def test_quality_overall_flag(spark):
+    from tramline.operators import quality as Q
+    res = Q.validate(spark.createDataFrame([("a",)], "trip_id string"), "t", [Q.not_null("trip_id")])
+    assert Q.overall(Q.summarize(res)).first()["all_passed"] is True

@@ -163,6 +163,12 @@ def summarize(results: DataFrame, run_at: datetime | None = None) -> DataFrame:
     return g.withColumn("run_at_utc", F.lit(run_at).cast("timestamp"))
 
 
+def overall(summary: DataFrame) -> DataFrame:
+    """One row: whether every table passed (the job's exit condition)."""
+    return summary.agg(F.bool_and("success").alias("all_passed"), F.count(F.lit(1)).alias("tables"),
+                       F.max("run_at_utc").alias("run_at_utc"))
+
+
 def append_runs(summary: DataFrame, ledger_path: str) -> None:
     """Append-only ledger of quality runs."""
     summary.select("table_name", "run_at_utc", "success", "expectations_passed", "expectations_total",

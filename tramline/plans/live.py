@@ -92,18 +92,33 @@ def _nearest_zone_condition(zones_arr, lat, lon):
     return F.when((best.isNull()) | (best == ""), F.lit("unknown")).otherwise(best)
 
 
+def _own_or_position(r: DataFrame, pos: DataFrame) -> DataFrame:
+    """Coordinates for an update: its own lat/lon when the stream carries them,
+    else the latest position of its vehicle (``p_lat``/``p_lon``)."""
+    r = r.join(pos, "vehicle_id", "left")
+    if "lat" in r.columns and "lon" in r.columns:
+        own = F.col("lat").isNotNull()
+        r = r.withColumn("p_lat", F.when(own, F.col("lat")).otherwise(F.col("p_lat"))) \
+             .withColumn("p_lon", F.when(own, F.col("lon")).otherwise(F.col("p_lon")))
+    return r
+
+
 def weather_impact(trip_updates: DataFrame, positions: DataFrame, weather: DataFrame) -> DataFrame:
-    """Condition per recent update from the nearest zone (squared degrees) to
-    the vehicle's latest position; 'unknown' without a position."""
+    """Condition per recent update: its own condition when present, else the
+    nearest zone (squared degrees) to its own coordinates or, lacking those,
+    to its vehicle's latest position; 'unknown' without any."""
     zones = latest_weather(weather).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
         .select("lat", "lon", "zone_id", "condition")
     zones_arr = bounded_array(zones, MAX_ZONES, "weather zones")
     pos = latest_positions(positions).select("vehicle_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
     # the array is projected first: subqueries may not sit inside lambdas
-    r = recent_updates(trip_updates).join(pos, "vehicle_id", "left").withColumn("_zones", zones_arr)
-    cond = (F.when(F.col("p_lat").isNull() | F.col("p_lon").isNull(), F.lit("unknown"))
-             .otherwise(_nearest_zone_condition(F.col("_zones"), F.col("p_lat"), F.col("p_lon"))))
-    return _delay_stats(r.withColumn("condition", cond).groupBy("condition"), p95=False)
+    r = _own_or_position(recent_updates(trip_updates), pos).withColumn("_zones", zones_arr)
+    nearest = (F.when(F.col("p_lat").isNull() | F.col("p_lon").isNull(), F.lit("unknown"))
+                .otherwise(_nearest_zone_condition(F.col("_zones"), F.col("p_lat"), F.col("p_lon"))))
+    own = F.col("condition") if "condition" in trip_updates.columns else F.lit(None).cast("string")
+    cond = F.when(own.isNotNull() & (own != ""), own).otherwise(nearest)
+    return _delay_stats(r.withColumn("_condition", cond).drop("condition")
+                        .withColumnRenamed("_condition", "condition").groupBy("condition"), p95=False)
 
 
 def route_reliability(trip_updates: DataFrame, positions: DataFrame, limit: int = 25) -> DataFrame:
@@ -140,8 +155,13 @@ def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFra
                     F.floor(F.col("e_lat") * km_per_deg / cell_km).alias("cy"),
                     F.floor(F.col("e_lon") * km_per_deg * lon_scale / cell_km).alias("cx"))
     pos = latest_positions(positions).select("vehicle_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-    r = recent_updates(trip_updates).join(pos, "vehicle_id", "inner") \
-        .where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull()) \
+    # the vehicle's latest position, else the update's own coordinates
+    r = recent_updates(trip_updates).join(pos, "vehicle_id", "left")
+    if "lat" in trip_updates.columns and "lon" in trip_updates.columns:
+        has_pos = F.col("p_lat").isNotNull()
+        r = r.withColumn("p_lon", F.when(has_pos, F.col("p_lon")).otherwise(F.col("lon"))) \
+             .withColumn("p_lat", F.when(has_pos, F.col("p_lat")).otherwise(F.col("lat")))
+    r = r.where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull()) \
         .select("trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon")
     offsets = F.array(*[F.struct(F.lit(i).alias("dy"), F.lit(j).alias("dx")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     probes = r.select("*", F.explode(offsets).alias("o")).select(
