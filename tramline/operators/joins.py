@@ -91,15 +91,19 @@ def stop_segments(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
 def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "lat", lon: str = "lon",
                       ts: str = "event_ts") -> DataFrame:
     """1 + max over active events of (1 - d / r) * impact inside the impact
-    radius (r defaults to 3 km), per point key; 1.0 without events."""
+    radius (r defaults to 3 km), per point key; 1.0 without events.
+
+    A left join with the events of the point's hour keeps every point, and
+    one aggregation on the point key takes the maximum (no join back)."""
     from ..functions.geo import event_load_factor as contribution
-    pts = points.select(*keys, lat, lon, ts)
-    ev = events.select(*EVENT_COLS, "status", "impact_radius_km")
-    pairs = events_active_at(pts, ev, ts)
+    ev = event_hours(events).withColumnRenamed("_hour", "_ev_hour") \
+        .withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
+    pts = points.select(*keys, lat, lon, ts).withColumn("_hour", hour_bucket(ts))
+    cond = ((pts["_hour"] == ev["_ev_hour"]) & (ev["start_time_utc"] <= pts[ts]) & (ev["end_time_utc"] >= pts[ts]))
+    pairs = pts.join(ev, cond, "left")
     d = haversine_km(F.col(lat), F.col(lon), F.col("_ev_lat"), F.col("_ev_lon"))
-    peak = pairs.groupBy(*keys).agg(F.max(contribution(d, F.lit(3.0), F.col("impact"))).alias("_peak"))
-    return pts.select(*keys).join(peak, keys, "left").select(
-        *keys, (F.lit(1.0) + F.coalesce(F.col("_peak"), F.lit(0.0))).alias("load_factor"))
+    peak = F.max(F.when(F.col("event_id").isNotNull(), contribution(d, F.lit(3.0), F.col("impact"))))
+    return pairs.groupBy(*keys).agg((F.lit(1.0) + F.coalesce(peak, F.lit(0.0))).alias("load_factor"))
 
 
 # ------------------------------------------------------------------ grid search
