@@ -186,3 +186,11 @@ def test_quality_overall_flag(spark):
     from tramline.operators import quality as Q
     res = Q.validate(spark.createDataFrame([("a",)], "trip_id string"), "t", [Q.not_null("trip_id")])
     assert Q.overall(Q.summarize(res)).first()["all_passed"] is True
+
+
+def test_live_since_bound_prunes_history(spark):
+    from tramline.plans import live
+    pos = spark.createDataFrame([("V1", TS - dt.timedelta(days=2), 1.0), ("V1", TS, 2.0), ("V2", TS - dt.timedelta(days=3), 5.0)],
+                                "vehicle_id string, event_ts timestamp, delay_seconds double")
+    assert {r["vehicle_id"] for r in live.latest_positions(pos, since=TS - dt.timedelta(days=1)).collect()} == {"V1"}
+    assert live.latest_positions(pos).count() == 2

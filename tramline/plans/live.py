@@ -15,26 +15,32 @@ from ..params import LIVE_RECENT_ROWS, ON_TIME_THRESHOLD_SECONDS as ON_TIME, SEV
 MAX_ZONES = 10_000
 
 
-def latest_positions(positions: DataFrame) -> DataFrame:
-    return latest_per_key(positions.where(F.col("vehicle_id").isNotNull()), ["vehicle_id"], "event_ts")
+def _since(df: DataFrame, since) -> DataFrame:
+    """Optional lower time bound: on date-partitioned layers the filter prunes
+    whole partitions, so a dashboard does not scan the full history."""
+    return df if since is None else df.where(F.col("event_ts") >= F.lit(since).cast("timestamp"))
 
 
-def latest_weather(weather: DataFrame) -> DataFrame:
-    return latest_per_key(weather.where(F.col("zone_id").isNotNull()), ["zone_id"], "event_ts")
+def latest_positions(positions: DataFrame, since=None) -> DataFrame:
+    return latest_per_key(_since(positions, since).where(F.col("vehicle_id").isNotNull()), ["vehicle_id"], "event_ts")
 
 
-def latest_events(events: DataFrame) -> DataFrame:
-    return latest_per_key(events.where(F.col("event_id").isNotNull()), ["event_id"], "event_ts")
+def latest_weather(weather: DataFrame, since=None) -> DataFrame:
+    return latest_per_key(_since(weather, since).where(F.col("zone_id").isNotNull()), ["zone_id"], "event_ts")
 
 
-def active_events(events: DataFrame) -> DataFrame:
-    return latest_events(events).where(F.col("status") == "ACTIVE")
+def latest_events(events: DataFrame, since=None) -> DataFrame:
+    return latest_per_key(_since(events, since).where(F.col("event_id").isNotNull()), ["event_id"], "event_ts")
 
 
-def recent_updates(trip_updates: DataFrame, n: int = LIVE_RECENT_ROWS) -> DataFrame:
-    """The last ``n`` trip updates by event time (a top-k, bounded by n);
-    a missing delay counts as 0."""
-    top = trip_updates.orderBy(F.desc("event_ts"), F.desc("trip_id"), F.desc("stop_id")).limit(n)
+def active_events(events: DataFrame, since=None) -> DataFrame:
+    return latest_events(events, since).where(F.col("status") == "ACTIVE")
+
+
+def recent_updates(trip_updates: DataFrame, n: int = LIVE_RECENT_ROWS, since=None) -> DataFrame:
+    """The last ``n`` trip updates by event time (a top-k, bounded by n: each
+    task keeps its own top n before one merge); a missing delay counts as 0."""
+    top = _since(trip_updates, since).orderBy(F.desc("event_ts"), F.desc("trip_id"), F.desc("stop_id")).limit(n)
     return top.withColumn("d", F.coalesce(F.col("delay_seconds").cast("double"), F.lit(0.0)))
 
 
