@@ -54,3 +54,12 @@ def test_mart_percentile_strategies_agree(spark):
         cols = sorted(a.columns)
         assert sorted(map(tuple, a.select(*cols).collect()), key=repr) == \
             sorted(map(tuple, b.select(*cols).collect()), key=repr)
+
+
+def test_global_rank_distributed_equals_window(spark):
+    from tramline.operators.ordered import global_rank
+    df = spark.range(0, 2000).select((F.col("id") * 7919 % 2000).alias("a"), (F.col("id") % 3).alias("b"))
+    small = {(r["a"], r["b"]): r["rank"] for r in global_rank(df, [-F.col("b"), F.col("a")]).collect()}
+    big = {(r["a"], r["b"]): r["rank"] for r in
+           global_rank(df, [-F.col("b"), F.col("a")], max_single_task_rows=10, partitions=7).collect()}
+    assert small == big and sorted(small.values()) == list(range(1, 2001))

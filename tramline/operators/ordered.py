@@ -82,3 +82,19 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], lag_cols: list[str],
         cols.append(F.when(F.col("_first") & F.col("_offset").isNotNull(), F.col(f"_prev_last.{c}"))
                     .otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}"))
     return out.select(*cols)
+
+
+def global_rank(df: DataFrame, order: list, name: str = "rank", max_single_task_rows: int = 1_000_000,
+                partitions: int | None = None) -> DataFrame:
+    """``row_number()`` over the whole DataFrame in ``order`` (ascending
+    columns; negate a numeric column for descending order).
+
+    Up to ``max_single_task_rows`` rows (counted) a plain global window is
+    the cheapest plan; above that the rank comes from the ordered scan with
+    one constant key, which the range partitioning spreads over all tasks."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if df.limit(max_single_task_rows + 1).count() <= max_single_task_rows:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("bigint"))
+    keyed = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(cols)], F.lit(0).alias("_k"))
+    ranked = ordered_scan(keyed, "_k", [f"_o{i}" for i in range(len(cols))], [], partitions)
+    return ranked.withColumnRenamed("position", name).drop("_k", *[f"_o{i}" for i in range(len(cols))])

@@ -2,7 +2,7 @@
 serving layer runs against them."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.buckets import precip_bucket, proximity_bucket, temp_bucket
 from ..functions.numeric import pct, round_metric
@@ -99,9 +99,11 @@ def congestion_hotspots(positions_fact: DataFrame, as_of=None, window_hours: int
         round_metric(F.avg("delay_seconds"), 6).alias("_rank_delay"),
         pct(_share("severe"), _n()).alias("severe_pct"),
         F.coalesce(F.max_by("condition", "event_ts"), F.lit("unknown")).alias("condition"))
-    # one global ordering, but over the aggregated cells (bounded by the grid)
-    w = Window.orderBy(F.col("_rank_delay").desc(), F.col("grid_cell"))
-    return agg.withColumn("congestion_rank", F.row_number().over(w).cast("bigint")).drop("_rank_delay")
+    # one global ordering over the aggregated cells: a single-task window while
+    # the cell count is small, a distributed rank beyond that
+    from ..operators.ordered import global_rank
+    ranked = global_rank(agg, [-F.col("_rank_delay"), F.col("grid_cell")], "congestion_rank")
+    return ranked.drop("_rank_delay")
 
 
 def _with_sorted_p95(grouped: DataFrame, keyed_fact: DataFrame, keys: list[str]) -> DataFrame:
