@@ -3,7 +3,7 @@ the raw streams (latest row per vehicle / zone / event, the last N trip
 updates), computed as DataFrame jobs over the Bronze tables."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.buckets import live_proximity_bucket
 from ..functions.geo import equirect_km, sq_deg_dist
@@ -209,9 +209,11 @@ def current_delays(positions: DataFrame, limit: int = 200) -> DataFrame:
 
 def weather_current(weather: DataFrame) -> DataFrame:
     """Latest observation per zone, newest first; the newest is the city headline."""
+    from ..operators.ordered import global_rank
     lw = latest_weather(weather)
-    w = Window.orderBy(F.desc("event_ts"), "zone_id")
-    return lw.withColumn("is_headline", F.row_number().over(w) == 1)
+    newest_first = F.coalesce(-F.unix_micros("event_ts"), F.lit(2 ** 62))  # NULL times last
+    ranked = global_rank(lw, [newest_first, F.col("zone_id")], "_rank")
+    return ranked.withColumn("is_headline", F.col("_rank") == 1).drop("_rank")
 
 
 def ingest_counters(streams: dict[str, DataFrame]) -> DataFrame:
