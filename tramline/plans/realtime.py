@@ -31,19 +31,23 @@ def reduce_trip_updates(feed: DataFrame, city_stops: DataFrame, trip_routes: Dat
     ties); otherwise, with a trip-level delay, the first city stop update.
     """
     stops = checked_broadcast(city_stops.select("stop_id").distinct())
-    ex = feed.select("entity_id", "feed_ts", F.posexplode("trip_update.stop_time_update").alias("pos", "su"))
-    ex = ex.withColumn("stop_id", F.col("su.stop_id")).join(stops, "stop_id", "left_semi")
-    ex = ex.withColumn("sd", _stop_delay(F.col("su")))
-    best = ex.where(F.col("sd").isNotNull()).groupBy("entity_id").agg(
-        F.min(F.struct((-F.abs(F.col("sd"))).alias("k"), F.col("pos"), F.col("su"), F.col("sd"))).alias("b"))
-    first = ex.groupBy("entity_id").agg(F.min(F.struct(F.col("pos"), F.col("su"))).alias("f"))
-    tu = feed.select("entity_id", "feed_ts", "trip_update.trip", "trip_update.vehicle",
-                     F.col("trip_update.delay").alias("trip_delay"))
-    j = tu.join(best, "entity_id", "left").join(first, "entity_id", "left")
+    # one row per stop update at a city stop, entity attributes carried along;
+    # an entity without such a row can produce no record, so nothing is lost
+    ex = feed.select("entity_id", "feed_ts", "trip_update.trip", "trip_update.vehicle",
+                     F.col("trip_update.delay").alias("trip_delay"),
+                     F.posexplode("trip_update.stop_time_update").alias("pos", "su"))
+    ex = ex.withColumn("stop_id", F.col("su.stop_id")).join(stops, "stop_id", "left_semi") \
+        .withColumn("sd", _stop_delay(F.col("su")))
+    # a single aggregation per entity: the largest |delay| (first on ties) and the first city stop
+    j = ex.groupBy("entity_id").agg(
+        F.min(F.when(F.col("sd").isNotNull(), F.struct((-F.abs(F.col("sd"))).alias("k"), F.col("pos"),
+                                                       F.col("su"), F.col("sd")))).alias("b"),
+        F.min(F.struct(F.col("pos"), F.col("su"))).alias("f"),
+        *[F.any_value(c).alias(c) for c in ("feed_ts", "trip", "vehicle", "trip_delay")])
     use_best = F.col("b").isNotNull()
     su = F.when(use_best, F.col("b.su")).otherwise(F.col("f.su"))
     delay = F.when(use_best, F.col("b.sd")).otherwise(F.col("trip_delay"))
-    rec = j.where(use_best | (F.col("trip_delay").isNotNull() & F.col("f").isNotNull())) \
+    rec = j.where(use_best | F.col("trip_delay").isNotNull()) \
         .select("entity_id", "feed_ts", "trip", "vehicle", su.alias("su"), delay.cast("double").alias("delay"))
     t = _event_time(F.col("su"))
     feed_us = F.unix_micros(F.col("feed_ts"))
