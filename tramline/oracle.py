@@ -121,7 +121,7 @@ a_cev AS (
          CAST(event_id % 10 AS DOUBLE) / 10.0::DOUBLE AS impact, 3.0::DOUBLE AS impact_radius_km,
          CASE WHEN event_id % 7 = 0 THEN 'ENDED' ELSE 'ACTIVE' END AS status,
          ts AS event_ts, ts AS ingested_ts
-  FROM events WHERE event_id % 40 = 3
+  FROM events WHERE value >= 150.0::DOUBLE
 ),
 silver_positions AS (
   SELECT vehicle_id, route_id, route_mode, trip_id, direction_id, stop_id, next_stop_id, lat, lon, speed_kmh,
