@@ -194,3 +194,19 @@ def test_live_since_bound_prunes_history(spark):
                                 "vehicle_id string, event_ts timestamp, delay_seconds double")
     assert {r["vehicle_id"] for r in live.latest_positions(pos, since=TS - dt.timedelta(days=1)).collect()} == {"V1"}
     assert live.latest_positions(pos).count() == 2
+
+
+def test_window_positions_equal_full_latest_for_window_vehicles(spark):  # J11
+    from tramline.plans import live
+    from tramline.sources.fixtures import Fixture
+    from .conftest import SF_SMALL
+    fx = Fixture(spark, SF_SMALL)
+    pos = fx.positions()
+    window = live.live_window(fx.trip_updates(), n=100)
+    assert window.count() == 100
+    got = live.window_positions(window, pos)
+    full = live.latest_positions(pos).join(window.select("vehicle_id").distinct(), "vehicle_id") \
+        .select("vehicle_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    key = lambda r: (r["vehicle_id"], str(r["p_lat"]), str(r["p_lon"]))
+    assert sorted(rows(got), key=key) == sorted(rows(full), key=key)
+    assert got.count() == window.select("vehicle_id").distinct().count()

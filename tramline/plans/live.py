@@ -10,6 +10,7 @@ from ..functions.geo import equirect_km, sq_deg_dist
 from ..functions.numeric import pct, round_metric
 from ..operators.aggregates import bounded_array, nearest_rank, weighted_nearest_rank
 from ..operators.dedup import latest_per_key
+from ..session import cut_lineage
 from ..params import LIVE_RECENT_ROWS, ON_TIME_THRESHOLD_SECONDS as ON_TIME, SEVERE_DELAY_THRESHOLD_SECONDS as SEVERE
 
 MAX_ZONES = 10_000
@@ -44,6 +45,24 @@ def recent_updates(trip_updates: DataFrame, n: int = LIVE_RECENT_ROWS, since=Non
     return top.withColumn("d", F.coalesce(F.col("delay_seconds").cast("double"), F.lit(0.0)))
 
 
+def live_window(trip_updates: DataFrame, n: int = LIVE_RECENT_ROWS, since=None) -> DataFrame:
+    """The live window materialised once (at most ``n`` rows, a reliable
+    checkpoint in the shared folder), for plans that read it more than once:
+    each reuse is a scan of n rows, not another top-k over the full stream."""
+    return cut_lineage(recent_updates(trip_updates, n, since))
+
+
+def window_positions(window: DataFrame, positions: DataFrame) -> DataFrame:
+    """Latest position (``p_lat``, ``p_lon``) of only the vehicles in the live
+    window. The window is a top-n, so its vehicle ids have a proven bound and
+    are broadcast as a semi-join filter on the position stream; the
+    latest-per-key aggregation then shuffles at most n keys instead of every
+    vehicle in history."""
+    ids = F.broadcast(window.select("vehicle_id").where(F.col("vehicle_id").isNotNull()))
+    return latest_positions(positions.join(ids, "vehicle_id", "left_semi")) \
+        .select("vehicle_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+
+
 def _delay_stats(g, p95: bool = True):
     n = F.count(F.lit(1))
     cols = [round_metric(F.avg("d")).alias("avg_delay_seconds")]
@@ -116,9 +135,9 @@ def weather_impact(trip_updates: DataFrame, positions: DataFrame, weather: DataF
     zones = latest_weather(weather).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
         .select("lat", "lon", "zone_id", "condition")
     zones_arr = bounded_array(zones, MAX_ZONES, "weather zones")
-    pos = latest_positions(positions).select("vehicle_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    window = live_window(trip_updates)
     # the array is projected first: subqueries may not sit inside lambdas
-    r = _own_or_position(recent_updates(trip_updates), pos).withColumn("_zones", zones_arr)
+    r = _own_or_position(window, window_positions(window, positions)).withColumn("_zones", zones_arr)
     nearest = (F.when(F.col("p_lat").isNull() | F.col("p_lon").isNull(), F.lit("unknown"))
                 .otherwise(_nearest_zone_condition(F.col("_zones"), F.col("p_lat"), F.col("p_lon"))))
     own = F.col("condition") if "condition" in trip_updates.columns else F.lit(None).cast("string")
@@ -160,15 +179,16 @@ def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFra
     ev = act.select("e_lat", "e_lon",
                     F.floor(F.col("e_lat") * km_per_deg / cell_km).alias("cy"),
                     F.floor(F.col("e_lon") * km_per_deg * lon_scale / cell_km).alias("cx"))
-    pos = latest_positions(positions).select("vehicle_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    window = live_window(trip_updates)
     # the vehicle's latest position, else the update's own coordinates
-    r = recent_updates(trip_updates).join(pos, "vehicle_id", "left")
+    r = window.join(window_positions(window, positions), "vehicle_id", "left")
     if "lat" in trip_updates.columns and "lon" in trip_updates.columns:
         has_pos = F.col("p_lat").isNotNull()
         r = r.withColumn("p_lon", F.when(has_pos, F.col("p_lon")).otherwise(F.col("lon"))) \
              .withColumn("p_lat", F.when(has_pos, F.col("p_lat")).otherwise(F.col("lat")))
-    r = r.where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull()) \
-        .select("trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon")
+    # at most n rows, read by the probes and the per-update counts: materialised once
+    r = cut_lineage(r.where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull())
+                    .select("trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon"))
     offsets = F.array(*[F.struct(F.lit(i).alias("dy"), F.lit(j).alias("dx")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     probes = r.select("*", F.explode(offsets).alias("o")).select(
         "trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon",
@@ -179,8 +199,8 @@ def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFra
     near = probes.join(ev, ["cy", "cx"]).select("trip_id", "stop_id", "event_ts", bucket.alias("b")) \
         .groupBy("trip_id", "stop_id", "event_ts").agg(F.count_if(F.col("b") == "within_2km").alias("n2"),
                                                        F.count_if(F.col("b") == "within_5km").alias("n5"))
-    per = r.join(near, ["trip_id", "stop_id", "event_ts"], "left").fillna(0, ["n2", "n5"]) \
-        .withColumn("nf", n_events - F.col("n2") - F.col("n5"))
+    per = cut_lineage(r.join(near, ["trip_id", "stop_id", "event_ts"], "left").fillna(0, ["n2", "n5"])
+                      .withColumn("nf", n_events - F.col("n2") - F.col("n5")))
     counts = F.array(F.struct(F.lit("within_2km").alias("proximity_bucket"), F.col("n2").alias("w")),
                      F.struct(F.lit("within_5km").alias("proximity_bucket"), F.col("n5").alias("w")),
                      F.struct(F.lit("far").alias("proximity_bucket"), F.col("nf").alias("w")))
