@@ -12,7 +12,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def summarise(df):
     qe = df._jdf.queryExecution()
     qe.toRdd().count()  # run, so the adaptive plan is final
-    plan = qe.executedPlan().toString()
+    node = qe.executedPlan()
+    try:
+        node = node.executedPlan()  # the final adaptive plan only, without AQE's initial plan
+    except Exception:  # noqa: BLE001 (not adaptive)
+        pass
+    plan = node.toString()
     joins = {k: plan.count(k) for k in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
                                         "BroadcastNestedLoopJoin", "CartesianProduct")}
     shuffles = len(re.findall(r"ShuffleQueryStage", plan))
