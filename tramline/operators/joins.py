@@ -140,7 +140,8 @@ def nearest_active_event_grid(points: DataFrame, events: DataFrame, keys: list[s
     cell). A best distance below the cell size is final: every event outside
     the probed block is at least one cell away. Unresolved points go to the
     next, coarser round; after ``rounds`` rounds the rest are paired with all
-    events of their hour. Each round is checkpointed."""
+    events of their hour. Each round is one left join and one checkpoint that
+    holds both the final and the unresolved points."""
     from ..session import cut_lineage
     ev = event_hours(events)
     eu, evv = tangent_plane_km("lat", "lon")
@@ -148,20 +149,26 @@ def nearest_active_event_grid(points: DataFrame, events: DataFrame, keys: list[s
     pu, pv = tangent_plane_km(lat, lon)
     pts = points.select(*keys, lat, lon, ts, hour_bucket(ts).alias("_hour"), pu.alias("_pu"), pv.alias("_pv"))
     offsets = F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    remaining, found = pts, []
-    evr = ev.withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
+    remaining, found, pcols = pts, [], pts.columns
+    # read by every round: the active events per hour, materialised once (events x hours they touch)
+    evr = cut_lineage(ev.withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon"))
     for r in range(rounds):
         size = cell_km * (2 ** r)
         cells = evr.select("*", F.floor(F.col("_eu") / size).alias("_cu"), F.floor(F.col("_ev") / size).alias("_cv"))
         probes = remaining.select("*", F.explode(offsets).alias("_o")).select(
-            *remaining.columns, (F.floor(F.col("_pu") / size) + F.col("_o.a")).alias("_cu"),
-            (F.floor(F.col("_pv") / size) + F.col("_o.b")).alias("_cv"))
-        pairs = probes.join(cells, ["_hour", "_cu", "_cv"]).where(
-            (F.col("start_time_utc") <= F.col(ts)) & (F.col("end_time_utc") >= F.col(ts)))
-        best = _best(pairs, keys, lat, lon)
-        done = cut_lineage(best.where(~F.col("m.n") & (F.col("m.d") < F.lit(size))))
-        found.append(done)
-        remaining = cut_lineage(remaining.join(done.select(*keys), keys, "left_anti"))
+            *pcols, (F.floor(F.col("_pu") / size) + F.col("_o.a")).alias("_qu"),
+            (F.floor(F.col("_pv") / size) + F.col("_o.b")).alias("_qv"))
+        # left join: a point without any candidate in its block stays, unresolved, in the same checkpoint
+        on = ((probes["_hour"] == cells["_hour"]) & (probes["_qu"] == cells["_cu"]) & (probes["_qv"] == cells["_cv"])
+              & (cells["start_time_utc"] <= probes[ts]) & (cells["end_time_utc"] >= probes[ts]))
+        dist = haversine_km(probes[lat], probes[lon], cells["_ev_lat"], cells["_ev_lon"])
+        cand = F.struct(dist.isNull().alias("n"), dist.alias("d"), cells["event_id"].alias("e"),
+                        cells["impact"].alias("i"))
+        best = cut_lineage(probes.join(cells, on, "left").select(*[probes[c] for c in pcols], cand.alias("c"))
+                           .groupBy(*pcols).agg(F.min("c").alias("m")))
+        final = ~F.col("m.n") & (F.col("m.d") < F.lit(size))
+        found.append(best.where(final).select(*keys, "m"))
+        remaining = best.where(~final).select(*pcols)
     cond = [remaining["_hour"] == evr["_hour"], evr["start_time_utc"] <= remaining[ts],
             evr["end_time_utc"] >= remaining[ts]]
     rest = _best(remaining.join(evr, cond[0] & cond[1] & cond[2]), keys, lat, lon)
