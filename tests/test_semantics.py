@@ -210,3 +210,18 @@ def test_window_positions_equal_full_latest_for_window_vehicles(spark):  # J11
     key = lambda r: (r["vehicle_id"], str(r["p_lat"]), str(r["p_lon"]))
     assert sorted(rows(got), key=key) == sorted(rows(full), key=key)
     assert got.count() == window.select("vehicle_id").distinct().count()
+
+
+def test_hotspot_condition_is_latest_in_cell(spark):  # A3, A7 (condition carried as a code)
+    later = TS + dt.timedelta(minutes=5)
+    fact = spark.createDataFrame(
+        [("52.50_13.40", 52.5, 13.4, "V1", 10.0, 0.2, 30.0, "on_time", "rain", TS),
+         ("52.50_13.40", 52.5, 13.4, "V2", 20.0, 0.4, 700.0, "severe", "snow", later),
+         ("52.51_13.40", 52.51, 13.4, "V1", 10.0, 0.2, 30.0, "on_time", "fog", TS),
+         ("52.51_13.40", 52.51, 13.4, "V3", 10.0, 0.2, 30.0, "on_time", None, later)],
+        "grid_cell string, cell_lat double, cell_lon double, vehicle_id string, speed_kmh double, "
+        "congestion_level double, delay_seconds double, delay_bucket string, condition string, event_ts timestamp")
+    got = {r["grid_cell"]: r for r in rows(marts.congestion_hotspots(fact, as_of=later))}
+    assert got["52.50_13.40"]["condition"] == "snow" and got["52.50_13.40"]["vehicles"] == 2
+    assert got["52.51_13.40"]["condition"] == "unknown"
+    assert got["52.50_13.40"]["congestion_rank"] == 1

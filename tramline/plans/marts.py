@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.buckets import precip_bucket, proximity_bucket, temp_bucket
 from ..functions.numeric import pct, round_metric
 from ..functions.timefn import hour_of_day
+from ..params import WEATHER_CONDITIONS_ALL
 
 
 def _n():
@@ -85,6 +86,21 @@ def as_of_default(positions_fact: DataFrame):
     return positions_fact.select(F.max("event_ts")).scalar()
 
 
+# Silver (P8) closes the condition domain, so the latest condition of a cell
+# can travel as a small integer: a fixed-width max_by buffer keeps the whole
+# aggregation hash-based instead of sorting the fact for a string buffer.
+def _conditions():
+    return F.array(*[F.lit(c) for c in WEATHER_CONDITIONS_ALL])
+
+
+def _condition_code(c):
+    return F.nullif(F.array_position(_conditions(), c), F.lit(0))
+
+
+def _condition_name(code):
+    return F.coalesce(F.element_at(_conditions(), code.cast("int")), F.lit("unknown"))
+
+
 def congestion_hotspots(positions_fact: DataFrame, as_of=None, window_hours: int = 24) -> DataFrame:
     """Per grid cell over the last ``window_hours`` before ``as_of``; ranked
     by average delay (rank ties broken by grid_cell)."""
@@ -98,7 +114,8 @@ def congestion_hotspots(positions_fact: DataFrame, as_of=None, window_hours: int
         round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
         round_metric(F.avg("delay_seconds"), 6).alias("_rank_delay"),
         pct(_share("severe"), _n()).alias("severe_pct"),
-        F.coalesce(F.max_by("condition", "event_ts"), F.lit("unknown")).alias("condition"))
+        F.max_by(_condition_code(F.col("condition")), "event_ts").alias("_cond"))
+    agg = agg.withColumn("condition", _condition_name(F.col("_cond"))).drop("_cond")
     # one global ordering over the aggregated cells: a single-task window while
     # the cell count is small, a distributed rank beyond that
     from ..operators.ordered import global_rank
