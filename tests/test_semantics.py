@@ -225,3 +225,24 @@ def test_hotspot_condition_is_latest_in_cell(spark):  # A3, A7 (condition carrie
     assert got["52.50_13.40"]["condition"] == "snow" and got["52.50_13.40"]["vehicles"] == 2
     assert got["52.51_13.40"]["condition"] == "unknown"
     assert got["52.50_13.40"]["congestion_rank"] == 1
+
+
+def test_auto_nearest_switches_to_grid_beyond_bound(spark, monkeypatch):  # J6
+    from tramline.plans import facts
+    from tramline.registry import wh
+    from .conftest import SF_SMALL
+    from .helpers import digest
+    w = wh(spark, SF_SMALL)
+    args = (w.stg_trip_updates, w.stg_events, w.weather_hourly, w.dim_stops, w.dim_trips, w.dim_routes,
+            w.dim_stop_times)
+    cols = ["trip_id", "stop_id", "event_ts", "segment_km", "event_proximity_km", "nearest_event_impact", "event_nearby"]
+    hour = facts.fct_trip_delays(*args, nearest="hour").select(*cols).toPandas()
+    monkeypatch.setattr(facts, "MAX_EVENTS_PER_HOUR_FOR_PAIRING", 0)
+    calls = []
+    real = facts.nearest_active_event_grid
+    monkeypatch.setattr(facts, "nearest_active_event_grid", lambda *a, **k: calls.append(1) or real(*a, **k))
+    auto = facts.fct_trip_delays(*args).select(*cols).toPandas()
+    assert calls, "auto did not switch to the grid search"
+    for df in (hour, auto):
+        df[["segment_km", "event_proximity_km"]] = df[["segment_km", "event_proximity_km"]].round(9)
+    assert digest(hour)[0] == digest(auto)[0]

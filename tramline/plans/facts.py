@@ -25,7 +25,10 @@ def route_stop_avg(stg_trip_updates: DataFrame) -> DataFrame:
     return stg_trip_updates.groupBy("route_id", "stop_id").agg(F.avg("delay_seconds").alias("historical_avg_delay"))
 
 
-MAX_EVENTS_PER_HOUR_FOR_PAIRING = 512
+# Hour pairing multiplies the update stream by the events active in its hour
+# before the arg-min; beyond this fan-out the exact grid search (a few probes
+# per update and round) is the cheaper plan on large inputs.
+MAX_EVENTS_PER_HOUR_FOR_PAIRING = 64
 
 
 def _pairs_by_hour(base: DataFrame, events: DataFrame):
