@@ -53,6 +53,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: All ASCII but letters and digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -86,13 +88,15 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CH
 
 
 class Words:
-    """Words of a slice of texts: lower-cased bytes, start and end, row of each word, 64-bit hash of each word."""
+    """Words of a slice of texts: (lower-cased) bytes, start, end, row and 64-bit hash of each word.
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    between: which bytes separate words."""
+
+    def __init__(self, texts: pa.Array, lower: bool = True, between: np.ndarray = _SPACE):
         self.raw, self.offs = flat(texts)
         self.rows = len(texts)
         self.low = _LOWER[self.raw] if lower else self.raw
-        inside = ~_SPACE[self.low]
+        inside = ~between[self.low]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -103,13 +107,13 @@ class Words:
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.row = np.searchsorted(self.offs, self.starts, side="right") - 1
         self.count = np.bincount(self.row, minlength=self.rows).astype(np.int64)
-        self._inside = inside
+        self.inside = inside
 
     def hashes(self) -> np.ndarray:
         if not len(self.starts):
             return np.zeros(0, np.uint64)
         size = self.ends - self.starts
-        at = np.flatnonzero(self._inside)
+        at = np.flatnonzero(self.inside)
         head = np.cumsum(size) - size
         pos = np.minimum(np.arange(len(at)) - np.repeat(head, size), 63)
         with np.errstate(over="ignore"):
@@ -151,3 +155,20 @@ def sorted_sum(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
     k, v = keys[order], values[order]
     head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     return k[head], np.add.reduceat(v, head)
+
+
+def row_hashes(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One hash for each row that has words, over all its words in order (rows of up to 64 words), and the rows."""
+    if not len(h):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    size = np.diff(np.append(head, len(row)))
+    with np.errstate(over="ignore"):
+        s = np.add.reduceat(h * _R[np.arange(len(row)) - np.repeat(head, size)], head) + size.astype(np.uint64)
+    return mix64(s), row[head]
+
+
+def same_type(df: DataFrame, column: str):
+    """Arrow type of a column as Spark hands it to Python."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    return to_arrow_type(df.schema[column].dataType)

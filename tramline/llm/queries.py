@@ -5,14 +5,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, url_filter
+from . import (ann, minhash, mixing, pieces, quality_rank, quality_rules, suffix_tree, toxicity, url_filter)
 from .common import table
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rank.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, url_filter.RULES))
 
