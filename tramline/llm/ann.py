@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import arrow_batch, stored
 
 TABLES = 12
-PROBES = 8
+PROBES = 10
 #: Index rows and queries that one task step holds.
 INDEX_BLOCK, QUERY_BLOCK = 4096, 1024
 SEED = 7

@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from .common import chunks
 
@@ -340,8 +340,9 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             names = list(part.schema.names) + ["ids", "n_ids", "decoded"]
             yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(size), pa.array(back)], names=names)
 
-    schema = docs.schema.add("ids", "array<int>").add("n_ids", "long").add("decoded", "boolean")
-    return docs.mapInArrow(run, schema)
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType()),
+             T.StructField("decoded", T.BooleanType())]
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields + added))
 
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
@@ -357,4 +358,4 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())],
                                              names=[*part.schema.names, "text"])
 
-    return tokens.mapInArrow(run, tokens.schema.add("text", "string"))
+    return tokens.mapInArrow(run, T.StructType(tokens.schema.fields + [T.StructField("text", T.StringType())]))
