@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, minhash, mixing, pieces, quality_rank, quality_rules, suffix_tree, toxicity, url_filter)
+from . import (ann, minhash, mixing, pieces, quality_rank, quality_rules, suffix_tree, toxicity, url_filter, wrapper)
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
