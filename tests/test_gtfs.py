@@ -45,3 +45,12 @@ def test_extraction_chain_is_consistent(spark):
     trips = {r[0] for r in net.trips.select("trip_id").collect()}
     assert trips == {r[0] for r in net.stop_times.select("trip_id").distinct().collect()}
     assert {r[0] for r in net.routes.select("route_mode").distinct().collect()} <= {"rail", "tram", "bus"}
+
+
+def test_header_decides_columns(spark):  # S10
+    import os
+    root = tempfile.mkdtemp(prefix="tramline-gtfs-")
+    with open(os.path.join(root, "stops.txt"), "w") as f:
+        f.write("stop_lon,stop_desc,stop_id,stop_lat,stop_name\n13.4,x,S1,52.5,One\n")
+    r = read_gtfs_table(spark, root, "stops", GTFS_COLUMNS["stops"]).first()
+    assert tuple(r) == ("S1", "One", "52.5", "13.4", None)

@@ -28,34 +28,19 @@ def test_hot_key_spread_over_partitions(spark):
     assert a == b
 
 
-def test_sorted_percentiles_equal_builtin(spark):
-    from tramline.operators.aggregates import exact_percentiles_sorted
+def test_percentiles_equal_builtin(spark):
+    from tramline.operators.aggregates import exact_percentiles
     hot = spark.range(0, 3000).select(F.lit("h").alias("g"), ((F.col("id") * 37) % 1001 / 7.0).alias("v"))
     small = spark.range(0, 50).select((F.col("id") % 4).cast("string").alias("g"), (F.col("id") * 1.5).alias("v"))
     one = spark.createDataFrame([("solo", 3.0), ("solo", None)], "g string, v double")
     df = hot.unionByName(small).unionByName(one)
     got = {r["g"]: (round(r["p95"], 9), round(r["p50"], 9))
-           for r in exact_percentiles_sorted(df, ["g"], "v", {"p95": 0.95, "p50": 0.5}, partitions=12).collect()}
+           for r in exact_percentiles(df, ["g"], "v", {"p95": 0.95, "p50": 0.5}).collect()}
     want = {r["g"]: (round(r["p95"], 9), round(r["p50"], 9)) for r in df.groupBy("g").agg(
         F.percentile("v", 0.95).alias("p95"), F.percentile("v", 0.5).alias("p50")).collect()}
     assert got == want
 
 
-def test_mart_percentile_strategies_agree(spark):
-    from tramline.plans import marts
-    from tramline.plans.warehouse import Warehouse
-    fact = Warehouse.from_fixture(spark, "/root/testdata/sf0.001").fct_trip_delays
-    for fn, keys in ((marts.weather_impact, ["condition", "precip_bucket", "temp_bucket"]),
-                     (marts.events_impact, ["proximity_bucket"]), (marts.route_reliability,
-                                                                   ["route_id", "route_mode", "service_date"])):
-        a = fn(fact, percentiles="map")
-        b = fn(fact, percentiles="sorted")
-        assert sorted(a.columns) == sorted(b.columns)
-        cols = sorted(a.columns)
-        assert sorted(map(tuple, a.select(*cols).collect()), key=repr) == \
-            sorted(map(tuple, b.select(*cols).collect()), key=repr)
-
-
 def test_global_rank_distributed_equals_window(spark):
     from tramline.operators.ordered import global_rank
     df = spark.range(0, 2000).select((F.col("id") * 7919 % 2000).alias("a"), (F.col("id") % 3).alias("b"))

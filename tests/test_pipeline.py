@@ -55,14 +55,6 @@ def test_linear_position_and_heading(spark):
     assert got == [(52.525, 13.4, 0.0), (52.5, 13.35, 270.0)]
 
 
-def test_checked_broadcast_bounds_rows_and_bytes(spark):
-    from tramline.operators.broadcast import small_enough
-    df = spark.range(0, 1000).selectExpr("id", "cast(id as string) AS s")
-    assert small_enough(df, max_rows=1000)
-    assert not small_enough(df, max_rows=999)
-    assert not small_enough(df, max_rows=10_000, max_bytes=28 * 500)  # 28 bytes per row estimated
-
-
 def test_sizing_conf():
     from tramline.session import sizing_conf
     c = sizing_conf(100 * 1024 ** 4, executor_cores=8000)

@@ -51,3 +51,14 @@ def test_cap_per_poll_keeps_largest_abs_delay(spark):
     df = spark.createDataFrame(rows, "poll_id string, entity_id string, delay_seconds double")
     got = sorted((r["poll_id"], r["delay_seconds"]) for r in cap_per_poll(df, cap=2).collect())
     assert got == [("p1", -300.0), ("p1", 200.0), ("p2", 1.0)]
+
+
+def test_entities_of_two_polls_stay_apart(spark):  # C5
+    later = NOW + dt.timedelta(seconds=20)
+    feed = spark.createDataFrame([
+        ("e1", NOW, (("T1", "F1"), ("V1",), None, [_su("A", 1, (30.0, T0), None)])),
+        ("e1", later, (("T2", "F2"), ("V2",), None, [_su("A", 1, (90.0, T0), None)]))], FEED_T)
+    stops = spark.createDataFrame([("A",)], "stop_id string")
+    trips = spark.createDataFrame([], "trip_id string, route_id string")
+    got = sorted((r["event_ts"], r["trip_id"], r["delay_seconds"]) for r in reduce_trip_updates(feed, stops, trips).collect())
+    assert got == [(NOW, "T1", 30.0), (later, "T2", 90.0)]

@@ -5,7 +5,8 @@ from pyspark.sql import Row, functions as F
 
 from tramline.functions import buckets as B, geo as G, timefn as T
 from tramline.operators import cleaning, dedup, dims, staging
-from tramline.operators.joins import nearest_active_event, stop_segments
+from tramline.operators.joins import stop_segments
+from tramline.operators.nearest import nearest_active_event
 from tramline.plans import marts
 
 from .helpers import rows
@@ -27,7 +28,7 @@ def test_null_speed_makes_row_invalid_and_dropped(spark):  # T4
         "vehicle_id string, route_id string, route_mode string, trip_id string, direction_id int, stop_id string, "
         "next_stop_id string, lat double, lon double, speed_kmh double, heading_deg double, delay_seconds double, "
         "congestion_level double, event_ts timestamp, ingested_ts timestamp")
-    silver = cleaning.clean_transport(bronze, stamp=False)
+    silver = cleaning.clean("transport_positions", bronze, stamp=False)
     r = rows(silver)[0]
     assert r["dqr_speed_anomaly"] is None and r["dqr_valid"] is None
     assert r["delay_seconds"] == 0.0  # NULL delay repaired to 0
@@ -227,22 +228,55 @@ def test_hotspot_condition_is_latest_in_cell(spark):  # A3, A7 (condition carrie
     assert got["52.50_13.40"]["congestion_rank"] == 1
 
 
-def test_auto_nearest_switches_to_grid_beyond_bound(spark, monkeypatch):  # J6
+def test_nearest_event_equals_brute_force(spark):  # J6
+    import random
+    rng = random.Random(3)
+    at = lambda m: TS + dt.timedelta(minutes=m)
+    evs = []
+    for k in range(120):
+        start = rng.randrange(-300, 300)
+        far = 1.5 if k % 10 == 0 else 0.05
+        evs.append((f"E{k}", 52.5 + rng.uniform(-far, far), 13.4 + rng.uniform(-far, far), at(start),
+                    at(start + rng.choice([5, 30, 90, 400])), k / 100, "ACTIVE" if k % 7 else "ENDED"))
+    pts = [(k, rng.choice([52.5, 52.52, 52.9]), rng.choice([13.4, 13.45]), at(rng.randrange(-400, 400))) for k in range(300)]
+    points = spark.createDataFrame(pts + [(999, None, 13.4, TS)], "k int, stop_lat double, stop_lon double, event_ts timestamp")
+    got = {r["k"]: (r["nearest_event_id"], round(r["event_proximity_km"], 6))
+           for r in nearest_active_event(points, _events(spark, evs), ["k"]).collect()}
+    import math
+
+    def km(a, b, c, d):
+        h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * \
+            math.sin(math.radians(d - b) / 2) ** 2
+        return math.asin(math.sqrt(h)) * 2 * 6371.0
+
+    want = {}
+    for k, lat, lon, ts in pts:
+        near = min(((km(lat, lon, e[1], e[2]), e[0]) for e in evs if e[6] == "ACTIVE" and e[3] <= ts <= e[4]), default=None)
+        if near:
+            want[k] = (near[1], round(near[0], 6))
+    assert got == want
+
+
+def test_dimension_rows_that_repeat_fan_out(spark):  # J2
     from tramline.plans import facts
-    from tramline.registry import wh
+    from tramline.plans.warehouse import Warehouse
     from .conftest import SF_SMALL
-    from .helpers import digest
-    w = wh(spark, SF_SMALL)
-    args = (w.stg_trip_updates, w.stg_events, w.weather_hourly, w.dim_stops, w.dim_trips, w.dim_routes,
-            w.dim_stop_times)
-    cols = ["trip_id", "stop_id", "event_ts", "segment_km", "event_proximity_km", "nearest_event_impact", "event_nearby"]
-    hour = facts.fct_trip_delays(*args, nearest="hour").select(*cols).toPandas()
-    monkeypatch.setattr(facts, "MAX_EVENTS_PER_HOUR_FOR_PAIRING", 0)
-    calls = []
-    real = facts.nearest_active_event_grid
-    monkeypatch.setattr(facts, "nearest_active_event_grid", lambda *a, **k: calls.append(1) or real(*a, **k))
-    auto = facts.fct_trip_delays(*args).select(*cols).toPandas()
-    assert calls, "auto did not switch to the grid search"
-    for df in (hour, auto):
-        df[["segment_km", "event_proximity_km"]] = df[["segment_km", "event_proximity_km"]].round(9)
-    assert digest(hour)[0] == digest(auto)[0]
+    w = Warehouse.from_fixture(spark, SF_SMALL)
+    twice = w.dim_routes.unionByName(w.dim_routes.withColumn("route_mode", F.lit("ferry")))
+    fact = facts.fct_trip_delays(w.stg_trip_updates, w.stg_events, w.weather_hourly, w.dim_stops, w.dim_trips, twice,
+                                 w.dim_stop_times)
+    assert fact.count() == 2 * w.fct_trip_delays.count()
+    assert fact.where("route_mode = 'ferry'").count() == w.fct_trip_delays.count()
+
+
+def test_repeated_update_counts_twice_in_live_impact(spark):  # A20
+    from tramline.plans import live
+    start, end = TS - dt.timedelta(hours=1), TS + dt.timedelta(hours=1)
+    tu = spark.createDataFrame([("T1", "S1", "V1", TS, 10.0)] * 2,
+                               "trip_id string, stop_id string, vehicle_id string, event_ts timestamp, delay_seconds double")
+    pos = spark.createDataFrame([("V1", 52.5, 13.4, TS)], "vehicle_id string, lat double, lon double, event_ts timestamp")
+    ev = spark.createDataFrame([("E1", 52.5, 13.4, "ACTIVE", start, end, TS), ("E2", 53.5, 13.4, "ACTIVE", start, end, TS)],
+                               "event_id string, lat double, lon double, status string, start_time_utc timestamp, "
+                               "end_time_utc timestamp, event_ts timestamp")
+    got = {r["proximity_bucket"]: r["observations"] for r in live.events_impact(tu, pos, ev).collect()}
+    assert got == {"within_2km": 2, "far": 2}

@@ -98,3 +98,21 @@ def test_all_streams_supervised_with_progress_counters(spark):
     for s in STREAMS:
         assert B.read_bronze(spark, f"{root}/out", s).count() == 1
         assert spark.read.parquet(f"{root}/out/quarantine/{s}").count() == 1
+
+
+def test_failing_stream_stops_its_siblings(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="tramline-test-")
+    _write(f"{root}/feed/trip_updates", "a.json", [_tu("T1", "2024-01-01T10:05:00+00:00", 30.0)], time.time() - 10)
+    src = B.Source(kind="files", path=f"{root}/feed")
+    raw = B.raw_messages(spark, "trip_updates", src)
+
+    def fails(batch, batch_id):
+        raise ValueError("sink is gone")
+
+    sibling = raw.writeStream.foreachBatch(lambda b, i: None).option("checkpointLocation", f"{root}/c1") \
+        .trigger(processingTime="1 second").start()
+    broken = raw.writeStream.foreachBatch(fails).option("checkpointLocation", f"{root}/c2").start()
+    with pytest.raises(RuntimeError, match="sink is gone"):
+        B.await_all(spark, [sibling, broken])
+    assert not sibling.isActive

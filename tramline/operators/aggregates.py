@@ -27,41 +27,23 @@ def weighted_nearest_rank(df: DataFrame, group: list[str], value: str, weight: s
     return ranked.groupBy(*group).agg(F.min(F.when(F.col("_cum") > F.col("_k"), F.col(value))).alias(alias))
 
 
-def bounded_array(df: DataFrame, max_rows: int, what: str) -> Column:
-    """The rows of a small DataFrame as one array-valued scalar subquery.
-
-    The row count is checked first, so the array has a proven bound; the
-    subquery is evaluated once and shipped to tasks like a broadcast.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"{what}: {n}+ rows exceed the bound {max_rows} for a broadcast lookup")
-    return df.select(F.collect_list(F.struct(*df.columns))).scalar()
-
-
-def exact_percentiles_sorted(df: DataFrame, group_cols: list[str], value: str, qs: dict[str, float],
-                             partitions: int | None = None) -> DataFrame:
-    """Exact interpolated percentiles (percentile_cont) per group without a
-    per-group buffer of values.
-
-    Ranks come from the skew-safe ordered scan over (group, value), so a hot
-    group is ranked by many tasks; per group only the rows at the ranks that
-    a percentile needs survive (two per percentile) and are interpolated.
-    Output: group columns + one column per entry of ``qs`` (name -> q)."""
-    from .ordered import ordered_scan
-    g = F.to_json(F.struct(*[F.col(c) for c in group_cols]))
-    v = df.where(F.col(value).isNotNull()).select(g.alias("_g"), *group_cols, F.col(value).alias("_v"))
-    ranked = ordered_scan(v, "_g", ["_v"], [], partitions)
-    counts = v.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    j = ranked.join(counts, "_g")
-    keep, aggs = None, []
+def exact_percentiles(df: DataFrame, group_cols: list[str], value: str, qs: dict[str, float]) -> DataFrame:
+    """Exact interpolated percentiles (percentile_cont): group columns + one column per entry of ``qs`` (name -> q).
+
+    Rows are first counted by (group, value), an aggregation that combines map-side and spreads a hot group over all
+    tasks; a running sum over a group's distinct values then finds the values at the two ranks a percentile needs.
+    No task buffers the values of a group."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*group_cols, F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*group_cols).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("_c").over(upto)) \
+        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group_cols)))
+    aggs = []
     for name, q in qs.items():
         pos = F.lit(q) * (F.col("_n") - 1)
-        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
-        hit = (F.col("position") == lo) | (F.col("position") == hi)
-        keep = hit if keep is None else keep | hit
-        v_lo = F.max(F.when(F.col("position") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("position") == hi, F.col("_v")))
+        # ranks are 0-based: a value holds the ranks below its running count
+        low = F.min(F.when(F.col("_upto") > F.floor(pos), F.col("_v")))
+        high = F.min(F.when(F.col("_upto") > F.ceil(pos), F.col("_v")))
         frac = F.first(pos - F.floor(pos))
-        aggs.append(F.when(v_lo == v_hi, v_lo).otherwise((F.lit(1.0) - frac) * v_lo + frac * v_hi).alias(name))
-    return j.where(keep).groupBy(*group_cols).agg(*aggs)
+        aggs.append(F.when(low == high, low).otherwise((F.lit(1.0) - frac) * low + frac * high).alias(name))
+    return ranked.groupBy(*group_cols).agg(*aggs)

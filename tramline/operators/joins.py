@@ -1,8 +1,7 @@
-"""Join operators: hour-bucketed interval join with nearest-neighbour pick,
-zone/hour weather join, stop segments (LAG), semi-join chains."""
+"""Join operators: events by hour, zone/hour weather join, stop segments (LAG)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.geo import haversine_km, weather_zone
 from ..functions.timefn import hour_bucket
@@ -30,38 +29,6 @@ def event_hours(events: DataFrame, active_only: bool = True) -> DataFrame:
     return ev.select(*EVENT_COLS, hours.alias("_hour"))
 
 
-def events_active_at(points: DataFrame, events: DataFrame, ts: str = "event_ts") -> DataFrame:
-    """All (point, event) pairs where the event is ACTIVE and its interval
-    contains the point time: an equi-join on the hour bucket plus the exact
-    interval predicate, instead of a nested-loop theta join."""
-    # no hint: AQE broadcasts the event side when its real size allows,
-    # otherwise a shuffle join on the hour (skewed hours split by AQE)
-    ev = event_hours(events)
-    pts = points.withColumn("_hour", hour_bucket(ts))
-    cond = [pts["_hour"] == ev["_hour"], ev["start_time_utc"] <= pts[ts], ev["end_time_utc"] >= pts[ts]]
-    return pts.join(ev.withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon"), cond, "inner") \
-        .drop("_hour")
-
-
-def nearest_active_event(points: DataFrame, events: DataFrame, keys: list[str],
-                         lat: str = "stop_lat", lon: str = "stop_lon", ts: str = "event_ts") -> DataFrame:
-    """Closest active event per point key: (keys..., event_proximity_km,
-    nearest_impact, nearest_event_id).
-
-    ``min`` over a struct (distance, event_id, impact) is a partial-aggregation
-    friendly arg-min; ties in distance go to the smaller event id and NULL
-    distances sort last.
-    """
-    pts = points.select(*keys, lat, lon, ts)
-    pairs = events_active_at(pts, events, ts)
-    dist = haversine_km(F.col(lat), F.col(lon), F.col("_ev_lat"), F.col("_ev_lon"))
-    best = (pairs.select(*keys, F.struct(dist.isNull().alias("n"), dist.alias("d"), F.col("event_id").alias("e"),
-                                         F.col("impact").alias("i")).alias("c"))
-                 .groupBy(*keys).agg(F.min("c").alias("m")))
-    return best.select(*keys, F.col("m.d").alias("event_proximity_km"), F.col("m.i").alias("nearest_impact"),
-                       F.col("m.e").alias("nearest_event_id"))
-
-
 def with_weather(df: DataFrame, weather_hourly: DataFrame, lat: str, lon: str, ts: str = "event_ts",
                  cols=("zone_id", "temperature_c", "precipitation_mm", "wind_speed_kmh", "humidity_pct", "condition"),
                  city_lat: float = CITY_LAT, city_lon: float = CITY_LON) -> DataFrame:
@@ -74,18 +41,22 @@ def with_weather(df: DataFrame, weather_hourly: DataFrame, lat: str, lon: str, t
     return out.drop("_zone", "_obs_hour", "obs_hour").withColumnRenamed("_w_zone", "zone_id")
 
 
-def stop_segments(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
-    """Per stop time: distance from the previous stop of the same trip (0 for
-    the first stop), i.e. LAG over stop_sequence, computed with the skew-safe
-    ordered scan (a trip holding many rows is spread over many tasks)."""
-    from .ordered import ordered_scan
+def stops_in_order(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+    """Stops of each trip with their position and the coordinates of the stop before (a trip has tens of stops, so a
+    window over the trip is one shuffle of small groups)."""
+    w = Window.partitionBy("trip_id").orderBy("stop_sequence", "stop_id")
     st = stop_times.select("trip_id", "stop_id", "stop_sequence").join(
         stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
-    seg = ordered_scan(st, "trip_id", ["stop_sequence", "stop_id"], ["stop_lat", "stop_lon"])
-    return seg.select("trip_id", "stop_id", "stop_sequence",
-                      F.when(F.col("prev_stop_lat").isNull(), F.lit(0.0))
-                       .otherwise(haversine_km("prev_stop_lat", "prev_stop_lon", "stop_lat", "stop_lon"))
-                       .alias("segment_km"))
+    return st.select("trip_id", "stop_id", "stop_sequence", "stop_lat", "stop_lon",
+                     F.row_number().over(w).cast("long").alias("position"),
+                     F.lag("stop_lat").over(w).alias("prev_stop_lat"), F.lag("stop_lon").over(w).alias("prev_stop_lon"))
+
+
+def stop_segments(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+    """Per stop time: distance from the previous stop of the same trip (0 for the first stop)."""
+    km = F.when(F.col("prev_stop_lat").isNull(), F.lit(0.0)).otherwise(
+        haversine_km("prev_stop_lat", "prev_stop_lon", "stop_lat", "stop_lon"))
+    return stops_in_order(stop_times, stops).select("trip_id", "stop_id", "stop_sequence", km.alias("segment_km"))
 
 
 def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "lat", lon: str = "lon",
@@ -120,67 +91,3 @@ def tangent_plane_km(lat, lon, lat0: float = CITY_LAT, lon0: float = CITY_LON):
     u = (-math.sin(l0)) * x + math.cos(l0) * y
     v = (-math.sin(p0) * math.cos(l0)) * x + (-math.sin(p0) * math.sin(l0)) * y + math.cos(p0) * z
     return u * R, v * R
-
-
-def _best(pairs: DataFrame, keys, lat, lon) -> DataFrame:
-    dist = haversine_km(F.col(lat), F.col(lon), F.col("_ev_lat"), F.col("_ev_lon"))
-    return (pairs.select(*keys, F.struct(dist.isNull().alias("n"), dist.alias("d"), F.col("event_id").alias("e"),
-                                         F.col("impact").alias("i")).alias("c"))
-                 .groupBy(*keys).agg(F.min("c").alias("m")))
-
-
-def nearest_active_event_grid(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "stop_lat",
-                              lon: str = "stop_lon", ts: str = "event_ts", cell_km: float = 0.5,
-                              rounds: int = 6) -> DataFrame:
-    """Exact nearest active event without pairing every update with every
-    event active in its hour.
-
-    Round r buckets events into cells of ``cell_km * 2**r`` on the tangent
-    plane and probes the 3x3 cells around each point (equi-join on hour and
-    cell). A best distance below the cell size is final: every event outside
-    the probed block is at least one cell away. Unresolved points go to the
-    next, coarser round; after ``rounds`` rounds the rest are paired with all
-    events of their hour. Each round is one left join and one checkpoint that
-    holds both the final and the unresolved points."""
-    from ..session import cut_lineage
-    ev = event_hours(events)
-    eu, evv = tangent_plane_km("lat", "lon")
-    ev = ev.select("*", eu.alias("_eu"), evv.alias("_ev"))
-    pu, pv = tangent_plane_km(lat, lon)
-    pts = points.select(*keys, lat, lon, ts, hour_bucket(ts).alias("_hour"), pu.alias("_pu"), pv.alias("_pv"))
-    offsets = F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    remaining, found, pcols = pts, [], pts.columns
-    # read by every round: the active events per hour, materialised once (events x hours they touch)
-    evr = cut_lineage(ev.withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon"))
-    for r in range(rounds):
-        size = cell_km * (2 ** r)
-        cells = evr.select("*", F.floor(F.col("_eu") / size).alias("_cu"), F.floor(F.col("_ev") / size).alias("_cv"))
-        probes = remaining.select("*", F.explode(offsets).alias("_o")).select(
-            *pcols, (F.floor(F.col("_pu") / size) + F.col("_o.a")).alias("_qu"),
-            (F.floor(F.col("_pv") / size) + F.col("_o.b")).alias("_qv"))
-        # left join: a point without any candidate in its block stays, unresolved, in the same checkpoint
-        on = ((probes["_hour"] == cells["_hour"]) & (probes["_qu"] == cells["_cu"]) & (probes["_qv"] == cells["_cv"])
-              & (cells["start_time_utc"] <= probes[ts]) & (cells["end_time_utc"] >= probes[ts]))
-        dist = haversine_km(probes[lat], probes[lon], cells["_ev_lat"], cells["_ev_lon"])
-        cand = F.struct(dist.isNull().alias("n"), dist.alias("d"), cells["event_id"].alias("e"),
-                        cells["impact"].alias("i"))
-        best = cut_lineage(probes.join(cells, on, "left").select(*[probes[c] for c in pcols], cand.alias("c"))
-                           .groupBy(*pcols).agg(F.min("c").alias("m")))
-        final = ~F.col("m.n") & (F.col("m.d") < F.lit(size))
-        found.append(best.where(final).select(*keys, "m"))
-        remaining = best.where(~final).select(*pcols)
-    cond = [remaining["_hour"] == evr["_hour"], evr["start_time_utc"] <= remaining[ts],
-            evr["end_time_utc"] >= remaining[ts]]
-    rest = _best(remaining.join(evr, cond[0] & cond[1] & cond[2]), keys, lat, lon)
-    out = rest
-    for d in found:
-        out = out.unionByName(d)
-    return out.select(*keys, F.col("m.d").alias("event_proximity_km"), F.col("m.i").alias("nearest_impact"),
-                      F.col("m.e").alias("nearest_event_id"))
-
-
-def max_active_events_per_hour(events: DataFrame) -> int:
-    """Largest number of distinct active events touching one hour (a small
-    aggregate over the event stream, not over the updates)."""
-    row = event_hours(events).groupBy("_hour").count().agg(F.max("count")).first()
-    return int(row[0] or 0)

@@ -100,15 +100,15 @@ a_weather AS (
   SELECT 'Z' || CAST(event_id % 5 AS VARCHAR) || CAST((event_id % 25) // 5 AS VARCHAR) AS zone_id,
          52.52::DOUBLE + CAST(event_id % 5 - 2 AS DOUBLE) * 0.03::DOUBLE AS lat,
          13.405::DOUBLE + CAST((event_id % 25) // 5 - 2 AS DOUBLE) * 0.03::DOUBLE AS lon,
-         value / 5.0::DOUBLE - 10.0::DOUBLE AS temperature_c,
+         value / 5.0::DOUBLE - 10.0::DOUBLE + again AS temperature_c,
          value / 5.0::DOUBLE - 12.0::DOUBLE AS feels_like_c,
          value / 7.0::DOUBLE + 20.0::DOUBLE AS humidity_pct,
          value / 4.0::DOUBLE AS wind_speed_kmh,
          CASE WHEN event_id % 3 = 0 THEN 0.0::DOUBLE ELSE value / 20.0::DOUBLE END AS precipitation_mm,
          CASE event_type WHEN 'click' THEN 'rain' WHEN 'error' THEN 'clear' WHEN 'purchase' THEN 'storm'
                          WHEN 'signup' THEN 'hail' WHEN 'view' THEN 'clouds' END AS condition,
-         10.0::DOUBLE AS visibility_km, ts AS event_ts, ts AS ingested_ts
-  FROM events
+         10.0::DOUBLE AS visibility_km, ts AS event_ts, ts + INTERVAL (again) SECOND AS ingested_ts
+  FROM (SELECT *, 0 AS again FROM events UNION ALL SELECT *, 1 FROM events WHERE event_id % 20 = 3) ev
 ),
 a_cev AS (
   SELECT 'EV-' || CAST(event_id AS VARCHAR) AS event_id, 'Event ' || CAST(event_id AS VARCHAR) AS name,
@@ -121,7 +121,7 @@ a_cev AS (
          CAST(event_id % 10 AS DOUBLE) / 10.0::DOUBLE AS impact, 3.0::DOUBLE AS impact_radius_km,
          CASE WHEN event_id % 7 = 0 THEN 'ENDED' ELSE 'ACTIVE' END AS status,
          ts AS event_ts, ts AS ingested_ts
-  FROM events WHERE value >= 150.0::DOUBLE
+  FROM events
 ),
 silver_positions AS (
   SELECT vehicle_id, route_id, route_mode, trip_id, direction_id, stop_id, next_stop_id, lat, lon, speed_kmh,
@@ -435,9 +435,10 @@ RT_SQL = """
          CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 17 = 0 THEN '' ELSE 'V' || CAST(user_id AS VARCHAR) END AS veh_id,
          CASE WHEN event_id % 2 = 0 THEN value - 100.0::DOUBLE END AS trip_delay,
          event_id % 4 AS n_su
-  FROM events),
+  FROM (SELECT event_id, user_id, value, ts FROM events UNION ALL
+        SELECT event_id, user_id, value + 30.0::DOUBLE, ts + INTERVAL 20 SECOND FROM events WHERE event_id % 5 = 0) ev),
 rt_su AS (
-  SELECT f.entity_id, r.j AS pos, 'S' || CAST((f.event_id + 7 * r.j) % 45 AS VARCHAR) AS stop_id,
+  SELECT f.entity_id, f.feed_ts, r.j AS pos, 'S' || CAST((f.event_id + 7 * r.j) % 45 AS VARCHAR) AS stop_id,
          CAST((f.event_id + r.j) % 40 AS INTEGER) AS stop_sequence,
          (f.event_id + r.j) % 5 = 0 AS arr_missing,
          CASE WHEN (f.event_id + r.j) % 3 = 0 THEN NULL ELSE f.value * CAST(r.j + 1 AS DOUBLE) - 150.0::DOUBLE END AS arr_delay,
@@ -453,15 +454,16 @@ rt_city AS (
                  WHEN NOT dep_missing AND dep_time IS NOT NULL THEN dep_time END AS et
   FROM rt_su WHERE stop_id IN (SELECT stop_id FROM a_stops)),
 rt_best AS (SELECT * FROM rt_city WHERE sd IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY abs(sd) DESC, pos) = 1),
-rt_first AS (SELECT * FROM rt_city QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY pos) = 1),
+            QUALIFY row_number() OVER (PARTITION BY entity_id, feed_ts ORDER BY abs(sd) DESC, pos) = 1),
+rt_first AS (SELECT * FROM rt_city QUALIFY row_number() OVER (PARTITION BY entity_id, feed_ts ORDER BY pos) = 1),
 rt_rec AS (
   SELECT f.entity_id, f.feed_ts, f.trip_id, f.feed_route, f.veh_id,
          CASE WHEN b.entity_id IS NOT NULL THEN b.stop_id ELSE fi.stop_id END AS stop_id,
          CASE WHEN b.entity_id IS NOT NULL THEN b.stop_sequence ELSE fi.stop_sequence END AS stop_sequence,
          CASE WHEN b.entity_id IS NOT NULL THEN b.et ELSE fi.et END AS et,
          CASE WHEN b.entity_id IS NOT NULL THEN b.sd ELSE f.trip_delay END AS delay
-  FROM rt_feed f LEFT JOIN rt_best b ON b.entity_id = f.entity_id LEFT JOIN rt_first fi ON fi.entity_id = f.entity_id
+  FROM rt_feed f LEFT JOIN rt_best b ON b.entity_id = f.entity_id AND b.feed_ts = f.feed_ts
+  LEFT JOIN rt_first fi ON fi.entity_id = f.entity_id AND fi.feed_ts = f.feed_ts
   WHERE b.entity_id IS NOT NULL OR (f.trip_delay IS NOT NULL AND fi.entity_id IS NOT NULL)),
 rt_out AS (
   SELECT r.trip_id, coalesce(t.route_id, r.feed_route, '') AS route_id,

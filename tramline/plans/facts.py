@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.buckets import delay_bucket
-from ..functions.geo import cell_coord, grid_cell, haversine_km
-from ..functions.timefn import day_of_week, hour_bucket, hour_of_day, is_rush_hour
-from ..operators.broadcast import checked_broadcast
-from ..operators.joins import (event_hours, max_active_events_per_hour, nearest_active_event_grid, stop_segments,
-                               with_weather)
-from ..params import MIN_FEATURE_DELAY
-
-TU_KEY = ["trip_id", "stop_id", "event_ts"]
+from ..functions.geo import cell_coord, grid_cell
+from ..functions.timefn import day_of_week, hour_of_day, is_rush_hour
+from ..operators.joins import stop_segments, with_weather
+from ..operators.nearest import with_nearest_event
+from ..params import DEFAULT_CITY, MIN_FEATURE_DELAY, CityProfile
 
 FACT_COLUMNS = ["trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence", "delay_seconds", "delay_bucket",
                 "status", "event_ts", "hour_of_day", "day_of_week", "is_rush_hour", "route_mode", "segment_km",
@@ -25,85 +22,28 @@ def route_stop_avg(stg_trip_updates: DataFrame) -> DataFrame:
     return stg_trip_updates.groupBy("route_id", "stop_id").agg(F.avg("delay_seconds").alias("historical_avg_delay"))
 
 
-# Hour pairing multiplies the update stream by the events active in its hour
-# before the arg-min; beyond this fan-out the exact grid search (a few probes
-# per update and round) is the cheaper plan on large inputs.
-MAX_EVENTS_PER_HOUR_FOR_PAIRING = 64
-
-
-def _pairs_by_hour(base: DataFrame, events: DataFrame):
-    """Each update left-joined with the events active at its time (equi-join
-    on the hour bucket + exact interval predicate); distance per pair."""
-    ev = event_hours(events).withColumn("_ev", F.lit(True)).withColumnRenamed("_hour", "_ev_hour") \
-        .withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
-    b = base.withColumn("_hour", hour_bucket("event_ts"))
-    cond = (b["_has_stop"] & (b["_hour"] == ev["_ev_hour"])
-            & (ev["start_time_utc"] <= b["event_ts"]) & (ev["end_time_utc"] >= b["event_ts"]))
-    return b.join(ev, cond, "left"), haversine_km(F.col("stop_lat"), F.col("stop_lon"), F.col("_ev_lat"),
-                                                  F.col("_ev_lon"))
-
-
-def _pairs_by_grid(base: DataFrame, events: DataFrame):
-    """Each update left-joined with its nearest event from the exact grid
-    search (at most one partner per update key)."""
-    near = nearest_active_event_grid(base.where(F.col("_has_stop")).select(*TU_KEY, "stop_lat", "stop_lon"),
-                                     events, TU_KEY)
-    ev = near.select(*TU_KEY, F.lit(True).alias("_ev"), F.col("event_proximity_km").alias("_d"),
-                     F.col("nearest_event_id").alias("event_id"), F.col("nearest_impact").alias("impact"))
-    return base.join(ev, TU_KEY, "left"), F.col("_d")
-
-
 def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_hourly: DataFrame,
                     dim_stops: DataFrame, dim_trips: DataFrame, dim_routes: DataFrame,
-                    dim_stop_times: DataFrame, stamp: bool = False, nearest: str = "auto") -> DataFrame:
-    """One row per valid trip update (more when a trip visits a stop twice,
-    as the segment join is on (trip_id, stop_id)).
+                    dim_stop_times: DataFrame, stamp: bool = False, city: CityProfile = DEFAULT_CITY) -> DataFrame:
+    """One row per valid trip update, more where a dimension or the segment join on (trip_id, stop_id) repeats.
 
-    Plan: the update stream is read once. Dimensions and stop segments are
-    broadcast after a size check; hourly weather and the per-(route, stop)
-    averages are left to AQE, which broadcasts them from real shuffle
-    statistics. The nearest active event is found in the same pass: a left join with the
-    events exploded per hour (equi-join on the hour plus the exact interval
-    predicate), then one aggregation on the update key (plus the segment
-    discriminator) takes the arg-min and carries the other columns, which
-    are functionally dependent on that key. That pairs each update with at
-    most the events active in its hour; ``nearest="auto"`` checks that bound
-    on the event stream and switches to the exact grid search
-    (:func:`nearest_active_event_grid`) when an hour holds more than
-    ``MAX_EVENTS_PER_HOUR_FOR_PAIRING`` active events.
+    Left joins only: the update stream is neither multiplied by events nor aggregated. The nearest active event
+    comes from a candidate list for each distinct (stop, hour), see :mod:`tramline.operators.nearest`. Spark picks
+    the join strategies from measured sizes.
     """
-    if nearest == "auto":
-        busy = max_active_events_per_hour(stg_events)
-        nearest = "hour" if busy <= MAX_EVENTS_PER_HOUR_FOR_PAIRING else "grid"
     tu = stg_trip_updates.select("trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence",
                                  "delay_seconds", "status", "event_ts")
-    stops = checked_broadcast(dim_stops.select("stop_id", "stop_lat", "stop_lon", "stop_zone_num",
-                                               F.lit(True).alias("_has_stop")))
-    trips = checked_broadcast(dim_trips.select("trip_id", F.col("route_id").alias("_t_route")))
-    routes = checked_broadcast(dim_routes.select(F.col("route_id").alias("_r_route"), "route_mode"))
-
-    base = (tu.join(trips, "trip_id", "left")
-              .join(routes, F.col("_r_route") == F.coalesce(F.col("_t_route"), F.col("route_id")), "left")
-              .join(stops, "stop_id", "left"))
+    stops = dim_stops.select("stop_id", "stop_lat", "stop_lon", "stop_zone_num")
+    trips = dim_trips.select("trip_id", F.col("route_id").alias("_t_route"))
+    routes = dim_routes.select(F.col("route_id").alias("_r_route"), "route_mode")
+    at_stop = with_nearest_event(tu.join(stops, "stop_id", "left"), stg_events)
+    fact = (at_stop.join(trips, "trip_id", "left")
+            .join(routes, F.col("_r_route") == F.coalesce(F.col("_t_route"), F.col("route_id")), "left"))
     # weather of the stop's zone in the update hour (NULL when the stop is unknown)
-    base = with_weather(base, weather_hourly, "stop_lat", "stop_lon")
-    # segments come from the GTFS feed (bounded by the network, not by the update
-    # stream): broadcast after a count, else a shuffle join on (trip, stop)
-    segs = checked_broadcast(stop_segments(dim_stop_times, dim_stops).select(
-        "trip_id", "stop_id", "segment_km", F.col("stop_sequence").alias("_seg_seq")))
-    base = base.join(segs, ["trip_id", "stop_id"], "left")
-
-    pairs, dist = (_pairs_by_grid if nearest == "grid" else _pairs_by_hour)(base, stg_events)
-    pick = F.min(F.struct(F.col("_ev").isNull().alias("u"), dist.isNull().alias("n"), dist.alias("d"),
-                          F.col("event_id").alias("e"), F.col("impact").alias("i"))).alias("_m")
-    keys = TU_KEY + ["_seg_seq"]
-    carried = ["route_id", "vehicle_id", "stop_sequence", "delay_seconds", "status", "route_mode", "segment_km",
-               "stop_zone_num", "zone_id", "temperature_c", "precipitation_mm", "wind_speed_kmh", "humidity_pct",
-               "condition"]
-    fact = pairs.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in carried], pick)
-    fact = fact.withColumns({"event_proximity_km": F.when(~F.col("_m.u"), F.col("_m.d")),
-                             "nearest_impact": F.when(~F.col("_m.u"), F.col("_m.i"))})
-    fact = fact.join(route_stop_avg(stg_trip_updates), ["route_id", "stop_id"], "left")
+    fact = with_weather(fact, weather_hourly, "stop_lat", "stop_lon", city_lat=city.lat, city_lon=city.lon)
+    segments = stop_segments(dim_stop_times, dim_stops).select("trip_id", "stop_id", "segment_km")
+    fact = fact.join(segments, ["trip_id", "stop_id"], "left") \
+        .join(route_stop_avg(stg_trip_updates), ["route_id", "stop_id"], "left")
     out = fact.select(
         "trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence", "delay_seconds",
         delay_bucket("delay_seconds").alias("delay_bucket"), "status", "event_ts",
@@ -121,7 +61,8 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame, weather_
     return out.withColumn("dbt_loaded_at", F.current_timestamp()) if stamp else out
 
 
-def fct_vehicle_positions(stg_positions: DataFrame, weather_hourly: DataFrame, digits: int = 2) -> DataFrame:
+def fct_vehicle_positions(stg_positions: DataFrame, weather_hourly: DataFrame, digits: int = 2,
+                          city: CityProfile = DEFAULT_CITY) -> DataFrame:
     tp = stg_positions.select("vehicle_id", "route_id", "route_mode", "trip_id", "stop_id", "lat", "lon",
                               "speed_kmh", "heading_deg", "delay_seconds", "congestion_level", "event_ts")
     tp = tp.withColumn("delay_bucket", delay_bucket("delay_seconds")) \
@@ -129,7 +70,8 @@ def fct_vehicle_positions(stg_positions: DataFrame, weather_hourly: DataFrame, d
            .withColumn("cell_lat", cell_coord("lat", digits).cast("double")) \
            .withColumn("cell_lon", cell_coord("lon", digits).cast("double"))
     out = with_weather(tp, weather_hourly, "lat", "lon",
-                       cols=("zone_id", "condition", "precipitation_mm", "wind_speed_kmh"))
+                       cols=("zone_id", "condition", "precipitation_mm", "wind_speed_kmh"),
+                       city_lat=city.lat, city_lon=city.lon)
     return out.select("vehicle_id", "route_id", "route_mode", "trip_id", "stop_id", "lat", "lon", "speed_kmh",
                       "heading_deg", "delay_seconds", "delay_bucket", "congestion_level", "event_ts", "grid_cell",
                       "cell_lat", "cell_lon", F.col("zone_id").alias("weather_zone_id"), "condition",

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.geo import city_bbox, haversine_km
-from ..operators.broadcast import checked_broadcast
+from ..functions.geo import city_bbox
 from ..operators.dims import mode_from_route_type
+from ..operators.joins import stop_segments, stops_in_order
 from ..params import BBOX_RADIUS_KM, DEFAULT_CITY, CityProfile
 
 
@@ -43,7 +43,7 @@ def stops_in_box(stops: DataFrame, city: CityProfile, radius_km: float) -> DataF
 
 def enrich_route_mode(city_routes: DataFrame, national_routes: DataFrame) -> DataFrame:
     """Mode from the national route_type by joining back on route_id; unknown -> bus."""
-    types = checked_broadcast(national_routes.select("route_id", F.col("route_type").alias("_nat_type")))
+    types = national_routes.select("route_id", F.col("route_type").alias("_nat_type"))
     return city_routes.join(types, "route_id", "left") \
         .withColumn("route_mode", mode_from_route_type("_nat_type")).drop("_nat_type")
 
@@ -52,7 +52,7 @@ def extract_city(stops: DataFrame, stop_times: DataFrame, trips: DataFrame, rout
                  city: CityProfile = DEFAULT_CITY, radius_km: float = BBOX_RADIUS_KM) -> CityNetwork:
     city_stops = stops_in_box(stops, city, radius_km).select(
         "stop_id", "stop_name", "stop_lat", "stop_lon", F.lit("").alias("stop_zone"))
-    keys = checked_broadcast(city_stops.select("stop_id"))
+    keys = city_stops.select("stop_id")
     city_st = stop_times.join(keys, "stop_id").select("trip_id", "stop_id", "stop_sequence", "arrival_time",
                                                       "departure_time")
     city_trips = trips.join(city_st.select("trip_id"), "trip_id", "left_semi").select(
@@ -66,30 +66,20 @@ def representative_trips(trips: DataFrame, stop_times: DataFrame, routes: DataFr
     """Per route the trip the simulator drives: the first direction-0 trip,
     else any trip (smallest id), if it has at least ``min_stops`` stops."""
     pick = trips.groupBy("route_id").agg(
-        F.min(F.struct((F.col("direction_id") != 0).alias("_d"), F.col("trip_id"))).alias("_p"))
+        F.min(F.struct((~F.col("direction_id").eqNullSafe(F.lit(0))).alias("_d"), F.col("trip_id"))).alias("_p"))
     chosen = pick.select("route_id", F.col("_p.trip_id").alias("trip_id"))
     n = stop_times.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n_stops"))
     out = chosen.join(n, "trip_id").where(F.col("n_stops") >= min_stops)
     return out.join(routes.select("route_id", "route_mode"), "route_id", "left")
 
 
-def _scan_stops(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
-    from ..operators.ordered import ordered_scan
-    st = stop_times.select("trip_id", "stop_id", "stop_sequence").join(
-        stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
-    return ordered_scan(st, "trip_id", ["stop_sequence", "stop_id"], ["stop_lat", "stop_lon"])
-
-
 def ordered_stops(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
-    """Stops of each trip in stop_sequence order with their position
-    (skew-safe ordered scan, no window per trip)."""
-    return _scan_stops(stop_times, stops).select("trip_id", "position", "stop_sequence", "stop_id",
-                                                  "stop_lat", "stop_lon")
+    """Stops of each trip in stop_sequence order with their position."""
+    return stops_in_order(stop_times, stops).select("trip_id", "position", "stop_sequence", "stop_id", "stop_lat",
+                                                    "stop_lon")
 
 
 def route_lengths(rep: DataFrame, stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     """Length of each representative trip: sum of consecutive stop distances."""
-    seq = _scan_stops(stop_times.join(rep.select("trip_id"), "trip_id", "left_semi"), stops)
-    km = seq.groupBy("trip_id").agg(F.sum(F.coalesce(
-        haversine_km("prev_stop_lat", "prev_stop_lon", "stop_lat", "stop_lon"), F.lit(0.0))).alias("length_km"))
-    return rep.join(km, "trip_id", "left")
+    seg = stop_segments(stop_times.join(rep.select("trip_id"), "trip_id", "left_semi"), stops)
+    return rep.join(seg.groupBy("trip_id").agg(F.sum("segment_km").alias("length_km")), "trip_id", "left")

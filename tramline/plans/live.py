@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.buckets import live_proximity_bucket
 from ..functions.geo import equirect_km, sq_deg_dist
 from ..functions.numeric import pct, round_metric
-from ..operators.aggregates import bounded_array, nearest_rank, weighted_nearest_rank
+from ..operators.aggregates import nearest_rank, weighted_nearest_rank
 from ..operators.dedup import latest_per_key
 from ..session import cut_lineage
 from ..params import LIVE_RECENT_ROWS, ON_TIME_THRESHOLD_SECONDS as ON_TIME, SEVERE_DELAY_THRESHOLD_SECONDS as SEVERE
 
-MAX_ZONES = 10_000
-
 
 def _since(df: DataFrame, since) -> DataFrame:
     """Optional lower time bound: on date-partitioned layers the filter prunes
     whole partitions, so a dashboard does not scan the full history."""
-    return df if since is None else df.where(F.col("event_ts") >= F.lit(since).cast("timestamp"))
+    if since is None:
+        return df
+    at = F.lit(since).cast("timestamp")
+    if "service_date" in df.columns:  # the layers' partition column
+        df = df.where(F.col("service_date") >= F.to_date(at))
+    return df.where(F.col("event_ts") >= at)
 
 
 def latest_positions(positions: DataFrame, since=None) -> DataFrame:
@@ -80,7 +83,7 @@ def top_routes(trip_updates: DataFrame, limit: int = 10) -> DataFrame:
 def delay_trends(trip_updates: DataFrame, hours: int = 24) -> DataFrame:
     r = recent_updates(trip_updates).where(F.col("event_ts").isNotNull())
     stats = _delay_stats(r.groupBy(F.date_format("event_ts", "yyyy-MM-dd'T'HH:00:00").alias("bucket")), p95=False)
-    return stats.orderBy(F.desc("bucket")).limit(hours)
+    return stats.orderBy(F.desc("bucket")).limit(hours).orderBy("bucket")
 
 
 def _num(c):
@@ -110,11 +113,14 @@ def kpis(positions: DataFrame, events: DataFrame) -> DataFrame:
     return k.withColumn("active_events", active_events(events).select(F.count(F.lit(1))).scalar())
 
 
-def _nearest_zone_condition(zones_arr, lat, lon):
-    cand = F.transform(zones_arr, lambda z: F.struct(sq_deg_dist(lat, lon, z["lat"], z["lon"]).alias("d"),
-                                                     z["zone_id"].alias("zone_id"), z["condition"].alias("c")))
-    best = F.array_min(cand)["c"]
-    return F.when((best.isNull()) | (best == ""), F.lit("unknown")).otherwise(best)
+def _nearest_zone_condition(located: DataFrame, zones: DataFrame) -> DataFrame:
+    """(_id, nearest) of at most LIVE_RECENT_ROWS located rows: every zone is compared with the rows of the window,
+    which travel as one array of proven length, and the smallest distance is taken map-side first."""
+    window = located.select(F.collect_list(F.struct("_id", "p_lat", "p_lon"))).scalar()
+    pairs = zones.withColumn("_window", window).select("zone_id", "condition", "lat", "lon", F.explode("_window").alias("w"))
+    best = F.min(F.struct(sq_deg_dist(F.col("w.p_lat"), F.col("w.p_lon"), F.col("lat"), F.col("lon")).alias("d"),
+                          "zone_id", F.col("condition").alias("c")))
+    return pairs.groupBy(F.col("w._id").alias("_id")).agg(best.alias("_b")).select("_id", F.col("_b.c").alias("nearest"))
 
 
 def _own_or_position(r: DataFrame, pos: DataFrame) -> DataFrame:
@@ -134,12 +140,12 @@ def weather_impact(trip_updates: DataFrame, positions: DataFrame, weather: DataF
     to its vehicle's latest position; 'unknown' without any."""
     zones = latest_weather(weather).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
         .select("lat", "lon", "zone_id", "condition")
-    zones_arr = bounded_array(zones, MAX_ZONES, "weather zones")
     window = live_window(trip_updates)
-    # the array is projected first: subqueries may not sit inside lambdas
-    r = _own_or_position(window, window_positions(window, positions)).withColumn("_zones", zones_arr)
-    nearest = (F.when(F.col("p_lat").isNull() | F.col("p_lon").isNull(), F.lit("unknown"))
-                .otherwise(_nearest_zone_condition(F.col("_zones"), F.col("p_lat"), F.col("p_lon"))))
+    r = cut_lineage(_own_or_position(window, window_positions(window, positions)).withColumn(
+        "_id", F.monotonically_increasing_id()))
+    located = r.where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull())
+    r = r.join(_nearest_zone_condition(located, zones), "_id", "left")
+    nearest = F.when(F.col("nearest").isNull() | (F.col("nearest") == ""), F.lit("unknown")).otherwise(F.col("nearest"))
     own = F.col("condition") if "condition" in trip_updates.columns else F.lit(None).cast("string")
     cond = F.when(own.isNotNull() & (own != ""), own).otherwise(nearest)
     return _delay_stats(r.withColumn("_condition", cond).drop("condition")
@@ -186,20 +192,20 @@ def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFra
         has_pos = F.col("p_lat").isNotNull()
         r = r.withColumn("p_lon", F.when(has_pos, F.col("p_lon")).otherwise(F.col("lon"))) \
              .withColumn("p_lat", F.when(has_pos, F.col("p_lat")).otherwise(F.col("lat")))
-    # at most n rows, read by the probes and the per-update counts: materialised once
+    # at most n rows, read by the probes and the per-update counts: materialised once, each with an id of its own
+    # (the raw stream may hold one update several times)
     r = cut_lineage(r.where(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull())
-                    .select("trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon"))
+                    .select(F.monotonically_increasing_id().alias("_id"), "d", "p_lat", "p_lon"))
     offsets = F.array(*[F.struct(F.lit(i).alias("dy"), F.lit(j).alias("dx")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     probes = r.select("*", F.explode(offsets).alias("o")).select(
-        "trip_id", "stop_id", "event_ts", "d", "p_lat", "p_lon",
+        "_id", "d", "p_lat", "p_lon",
         (F.floor(F.col("p_lat") * km_per_deg / cell_km) + F.col("o.dy")).alias("cy"),
         (F.floor(F.col("p_lon") * km_per_deg * lon_scale / cell_km) + F.col("o.dx")).alias("cx"))
     km = equirect_km(F.col("p_lat"), F.col("p_lon"), F.col("e_lat"), F.col("e_lon"), km_per_deg, lon_scale)
     bucket = live_proximity_bucket(km)
-    near = probes.join(ev, ["cy", "cx"]).select("trip_id", "stop_id", "event_ts", bucket.alias("b")) \
-        .groupBy("trip_id", "stop_id", "event_ts").agg(F.count_if(F.col("b") == "within_2km").alias("n2"),
-                                                       F.count_if(F.col("b") == "within_5km").alias("n5"))
-    per = cut_lineage(r.join(near, ["trip_id", "stop_id", "event_ts"], "left").fillna(0, ["n2", "n5"])
+    near = probes.join(ev, ["cy", "cx"]).select("_id", bucket.alias("b")).groupBy("_id").agg(
+        F.count_if(F.col("b") == "within_2km").alias("n2"), F.count_if(F.col("b") == "within_5km").alias("n5"))
+    per = cut_lineage(r.join(near, "_id", "left").fillna(0, ["n2", "n5"])
                       .withColumn("nf", n_events - F.col("n2") - F.col("n5")))
     counts = F.array(F.struct(F.lit("within_2km").alias("proximity_bucket"), F.col("n2").alias("w")),
                      F.struct(F.lit("within_5km").alias("proximity_bucket"), F.col("n5").alias("w")),
@@ -229,11 +235,10 @@ def current_delays(positions: DataFrame, limit: int = 200) -> DataFrame:
 
 def weather_current(weather: DataFrame) -> DataFrame:
     """Latest observation per zone, newest first; the newest is the city headline."""
-    from ..operators.ordered import global_rank
     lw = latest_weather(weather)
-    newest_first = F.coalesce(-F.unix_micros("event_ts"), F.lit(2 ** 62))  # NULL times last
-    ranked = global_rank(lw, [newest_first, F.col("zone_id")], "_rank")
-    return ranked.withColumn("is_headline", F.col("_rank") == 1).drop("_rank")
+    newest_first = [F.desc_nulls_last("event_ts"), F.asc("zone_id")]
+    headline = lw.orderBy(*newest_first).limit(1).select("zone_id").scalar()
+    return lw.withColumn("is_headline", F.col("zone_id") == headline).orderBy(*newest_first)
 
 
 def ingest_counters(streams: dict[str, DataFrame]) -> DataFrame:

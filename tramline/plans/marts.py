@@ -2,11 +2,12 @@
 serving layer runs against them."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.buckets import precip_bucket, proximity_bucket, temp_bucket
 from ..functions.numeric import pct, round_metric
 from ..functions.timefn import hour_of_day
+from ..operators.aggregates import exact_percentiles
 from ..params import WEATHER_CONDITIONS_ALL
 
 
@@ -18,41 +19,19 @@ def _share(bucket: str):
     return F.count_if(F.col("delay_bucket") == bucket)
 
 
-def route_reliability(fact: DataFrame, approx: bool = False, percentiles: str | None = None) -> DataFrame:
-    """Per (route, mode, service date): volumes, delay statistics, on-time and
-    severe shares and the 0..100 reliability score.
-
-    Percentiles are exact and interpolated. ``percentiles="map"`` (default)
-    uses ``percentile``: a per-group value->count map merged map-side, bounded
-    by the number of distinct delay values (delays arrive at 0.1 s
-    resolution). ``"sorted"`` ranks values with the skew-safe ordered scan
-    instead and needs no per-group buffer, for value domains without such a
-    bound. ``approx=True`` switches to a fixed-size sketch.
-    """
-    percentiles = "approx" if approx else (percentiles or "map")
-    if percentiles == "sorted":
-        return _route_reliability_sorted(fact)
-    p = (lambda q: F.percentile_approx("delay_seconds", q, 10000)) if percentiles == "approx" else \
-        (lambda q: F.percentile("delay_seconds", q))
-    g = fact.groupBy("route_id", "route_mode", F.to_date("event_ts").alias("service_date"))
-    return g.agg(
-        _n().alias("stops_observed"),
-        F.count_distinct("trip_id").alias("trips"),
-        round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
-        round_metric(p(0.95)).alias("p95_delay_seconds"),
-        round_metric(p(0.5)).alias("median_delay_seconds"),
-        round_metric(F.max("delay_seconds")).alias("max_delay_seconds"),
-        pct(_share("on_time"), _n()).alias("on_time_pct"),
-        pct(_share("severe"), _n()).alias("severe_pct"),
-        round_metric(F.lit(100.0) * (F.lit(0.7) * _share("on_time") + F.lit(0.2) * _share("delayed"))
-                     / F.nullif(_n(), F.lit(0))).alias("reliability_score"))
+def _with_percentiles(stats: DataFrame, rows: DataFrame, keys: list[str], qs: dict[str, float]) -> DataFrame:
+    """Attach rounded exact percentiles of the delay; keys match null-safely (a route without mode is a group)."""
+    ps = exact_percentiles(rows, keys, "delay_seconds", qs)
+    out = stats.join(ps, [stats[k].eqNullSafe(ps[k]) for k in keys], "left")
+    return out.select(*[stats[c] for c in stats.columns], *[round_metric(ps[q]).alias(q) for q in qs])
 
 
-def _route_reliability_sorted(fact: DataFrame) -> DataFrame:
-    from ..operators.aggregates import exact_percentiles_sorted
+def route_reliability(fact: DataFrame) -> DataFrame:
+    """Per (route, mode, service date): volumes, delay statistics, on-time and severe shares and the 0..100
+    reliability score. Percentiles are exact and interpolated."""
     keys = ["route_id", "route_mode", "service_date"]
     f = fact.withColumn("service_date", F.to_date("event_ts"))
-    base = f.groupBy(*keys).agg(
+    stats = f.groupBy(*keys).agg(
         _n().alias("stops_observed"),
         F.count_distinct("trip_id").alias("trips"),
         round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
@@ -61,12 +40,9 @@ def _route_reliability_sorted(fact: DataFrame) -> DataFrame:
         pct(_share("severe"), _n()).alias("severe_pct"),
         round_metric(F.lit(100.0) * (F.lit(0.7) * _share("on_time") + F.lit(0.2) * _share("delayed"))
                      / F.nullif(_n(), F.lit(0))).alias("reliability_score"))
-    ps = exact_percentiles_sorted(f, keys, "delay_seconds", {"_p95": 0.95, "_p50": 0.5})
-    # null-safe keys: a route without mode is still one group
-    out = base.join(ps, [base[k].eqNullSafe(ps[k]) for k in keys], "left")
-    return out.select(*[base[k] for k in keys], "stops_observed", "trips", "avg_delay_seconds",
-                      round_metric("_p95").alias("p95_delay_seconds"), round_metric("_p50").alias("median_delay_seconds"),
-                      "max_delay_seconds", "on_time_pct", "severe_pct", "reliability_score")
+    out = _with_percentiles(stats, f, keys, {"p95_delay_seconds": 0.95, "median_delay_seconds": 0.5})
+    return out.select(*keys, "stops_observed", "trips", "avg_delay_seconds", "p95_delay_seconds",
+                      "median_delay_seconds", "max_delay_seconds", "on_time_pct", "severe_pct", "reliability_score")
 
 
 def delay_trends(fact: DataFrame) -> DataFrame:
@@ -81,9 +57,9 @@ def delay_trends(fact: DataFrame) -> DataFrame:
         round_metric(F.avg(F.when(F.col("is_rush_hour") == 1, F.col("delay_seconds")))).alias("avg_delay_rush_hour"))
 
 
-def as_of_default(positions_fact: DataFrame):
+def as_of_default(positions: DataFrame):
     """Scalar subquery: the newest event time in the input (stand-in for 'now')."""
-    return positions_fact.select(F.max("event_ts")).scalar()
+    return positions.select(F.max("event_ts")).scalar()
 
 
 # Silver (P8) closes the condition domain, so the latest condition of a cell
@@ -102,9 +78,12 @@ def _condition_name(code):
 
 
 def congestion_hotspots(positions_fact: DataFrame, as_of=None, window_hours: int = 24) -> DataFrame:
-    """Per grid cell over the last ``window_hours`` before ``as_of``; ranked
-    by average delay (rank ties broken by grid_cell)."""
-    as_of_col = F.lit(as_of).cast("timestamp") if as_of is not None else as_of_default(positions_fact)
+    """Per grid cell over the last ``window_hours`` before ``as_of`` (a time, a scalar column, or None: the newest
+    event time of the input); ranked by average delay, ties by grid_cell. The cells lie in the city's bounding box
+    at two decimals, a few thousand whatever the input, so the rank is a plain window."""
+    if as_of is None:
+        as_of = as_of_default(positions_fact)
+    as_of_col = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
     recent = positions_fact.where(F.col("event_ts") >= as_of_col - F.expr(f"INTERVAL {int(window_hours)} HOURS"))
     agg = recent.groupBy("grid_cell", "cell_lat", "cell_lon").agg(
         _n().alias("observations"),
@@ -115,49 +94,33 @@ def congestion_hotspots(positions_fact: DataFrame, as_of=None, window_hours: int
         round_metric(F.avg("delay_seconds"), 6).alias("_rank_delay"),
         pct(_share("severe"), _n()).alias("severe_pct"),
         F.max_by(_condition_code(F.col("condition")), "event_ts").alias("_cond"))
-    agg = agg.withColumn("condition", _condition_name(F.col("_cond"))).drop("_cond")
-    # one global ordering over the aggregated cells: a single-task window while
-    # the cell count is small, a distributed rank beyond that
-    from ..operators.ordered import global_rank
-    ranked = global_rank(agg, [-F.col("_rank_delay"), F.col("grid_cell")], "congestion_rank")
-    return ranked.drop("_rank_delay")
-
-
-def _with_sorted_p95(grouped: DataFrame, keyed_fact: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach an exact p95 computed by the sorted (bufferless) strategy."""
-    from ..operators.aggregates import exact_percentiles_sorted
-    ps = exact_percentiles_sorted(keyed_fact, keys, "delay_seconds", {"_p95": 0.95})
-    out = grouped.join(ps, [grouped[k].eqNullSafe(ps[k]) for k in keys], "left")
-    return out.select(*[grouped[k] for k in keys], *[c for c in grouped.columns if c not in keys],
-                      round_metric("_p95").alias("p95_delay_seconds"))
-
-
-def weather_impact(fact: DataFrame, percentiles: str = "map") -> DataFrame:
-    """Per (condition, precipitation bucket, temperature bucket); these few
-    buckets are the hottest groups of all marts, ``percentiles="sorted"``
-    ranks their values without a per-group buffer."""
+    rank = F.row_number().over(Window.orderBy(F.desc("_rank_delay"), "grid_cell")).cast("long")
+    return agg.withColumn("condition", _condition_name(F.col("_cond"))).withColumn("congestion_rank", rank) \
+        .drop("_cond", "_rank_delay")
+
+
+def weather_impact(fact: DataFrame) -> DataFrame:
+    """Per (condition, precipitation bucket, temperature bucket)."""
     keys = ["condition", "precip_bucket", "temp_bucket"]
     f = fact.withColumn("precip_bucket", precip_bucket("precipitation_mm")) \
         .withColumn("temp_bucket", temp_bucket("temperature_c"))
-    stats = [_n().alias("observations"), round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
-             pct(_share("on_time"), _n()).alias("on_time_pct"), pct(_share("severe"), _n()).alias("severe_pct")]
-    if percentiles == "sorted":
-        return _with_sorted_p95(f.groupBy(*keys).agg(*stats), f, keys)
-    return f.groupBy(*keys).agg(*stats[:2], round_metric(F.percentile("delay_seconds", 0.95)).alias("p95_delay_seconds"),
-                                *stats[2:])
+    stats = f.groupBy(*keys).agg(
+        _n().alias("observations"), round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
+        pct(_share("on_time"), _n()).alias("on_time_pct"), pct(_share("severe"), _n()).alias("severe_pct"))
+    return _with_percentiles(stats, f, keys, {"p95_delay_seconds": 0.95}).select(
+        *keys, "observations", "avg_delay_seconds", "p95_delay_seconds", "on_time_pct", "severe_pct")
 
 
-def events_impact(fact: DataFrame, percentiles: str = "map") -> DataFrame:
-    """'no_event' needs a NULL distance, which the fact already coalesced to
-    10 km: those rows land in 'far', as in the reference."""
+def events_impact(fact: DataFrame) -> DataFrame:
+    """'no_event' needs a NULL distance, which the fact already coalesced to 10 km: those rows land in 'far', as in
+    the reference."""
     f = fact.withColumn("proximity_bucket", proximity_bucket("event_proximity_km"))
-    stats = [_n().alias("observations"), round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
-             pct(_share("on_time"), _n()).alias("on_time_pct"),
-             round_metric(F.avg("nearest_event_impact"), 3).alias("avg_event_impact")]
-    if percentiles == "sorted":
-        return _with_sorted_p95(f.groupBy("proximity_bucket").agg(*stats), f, ["proximity_bucket"])
-    return f.groupBy("proximity_bucket").agg(
-        *stats[:2], round_metric(F.percentile("delay_seconds", 0.95)).alias("p95_delay_seconds"), *stats[2:])
+    stats = f.groupBy("proximity_bucket").agg(
+        _n().alias("observations"), round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
+        pct(_share("on_time"), _n()).alias("on_time_pct"),
+        round_metric(F.avg("nearest_event_impact"), 3).alias("avg_event_impact"))
+    return _with_percentiles(stats, f, ["proximity_bucket"], {"p95_delay_seconds": 0.95}).select(
+        "proximity_bucket", "observations", "avg_delay_seconds", "p95_delay_seconds", "on_time_pct", "avg_event_impact")
 
 
 def kpis(fact: DataFrame) -> DataFrame:

@@ -52,12 +52,17 @@ def prepare(features: DataFrame) -> DataFrame:
     return df.withColumn("label_class", delay_bucket_code("delay_seconds").cast("double"))
 
 
+def in_test(test_fraction: float = 0.2, seed: int = 42):
+    """Test-set membership from the MD5 of seed and row key, the same on every engine and partitioning."""
+    key = F.concat_ws("|", F.lit(str(seed)), "trip_id", "stop_id", F.unix_micros("event_ts").cast("string"))
+    h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 10_000
+    return h >= int(round((1 - test_fraction) * 10_000))
+
+
 def split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Deterministic split on a hash of the row key (independent of
-    partitioning, unlike randomSplit)."""
-    h = F.pmod(F.xxhash64(F.lit(seed), "trip_id", "stop_id", "event_ts"), F.lit(10_000))
-    cut = int(round((1 - test_fraction) * 10_000))
-    return df.where(h < cut), df.where(h >= cut)
+    """(train, test)."""
+    test = in_test(test_fraction, seed)
+    return df.where(~test), df.where(test)
 
 
 def feature_stages() -> list:
@@ -105,6 +110,7 @@ def train(features: DataFrame, p: ModelParams | None = None) -> tuple[TrainedMod
     reg_p, clf_p = build_pipelines(p)
     reg, clf = reg_p.fit(tr), clf_p.fit(tr)
     models = TrainedModels(reg, clf, tr.count(), te.count(), p)
+    data.unpersist()
     return models, te
 
 
@@ -120,6 +126,11 @@ def metrics(models: TrainedModels, test: DataFrame) -> DataFrame:
     s = predict(models, test).select(F.col("delay_seconds").alias("y"), F.col("pred_delay").alias("yhat"),
                                      F.col("label_class").cast("int").alias("c"),
                                      F.col("pred_class").cast("int").alias("chat"))
+    return evaluate(s, models.train_rows, models.test_rows)
+
+
+def evaluate(s: DataFrame, train_rows: int, test_rows: int) -> DataFrame:
+    """Metrics of predictions: s has y, yhat (seconds), c, chat (classes)."""
     glob = s.agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"),
                  F.sum((F.col("y") - F.col("yhat")) ** 2).alias("ss_res"),
                  (F.count(F.lit(1)) * F.var_pop("y")).alias("ss_tot"),
@@ -132,8 +143,8 @@ def metrics(models: TrainedModels, test: DataFrame) -> DataFrame:
         row("mae_seconds", F.round("mae", 2)),
         row("r2", F.round(1 - F.col("ss_res") / F.col("ss_tot"), 4)),
         row("accuracy", F.round("accuracy", 4)),
-        row("training_rows", F.lit(models.train_rows)),
-        row("test_rows", F.lit(models.test_rows)))).alias("m")).select("m.*")
+        row("training_rows", F.lit(train_rows)),
+        row("test_rows", F.lit(test_rows)))).alias("m")).select("m.*")
     names = F.create_map(*[x for k, v in BUCKET_NAMES.items() for x in (F.lit(k), F.lit(v))])
     labels = s.select(F.col("c").alias("k")).union(s.select(F.col("chat").alias("k"))).distinct()
     per = labels.join(s.groupBy(F.col("c").alias("k")).agg(F.count(F.lit(1)).alias("support")), "k", "left") \

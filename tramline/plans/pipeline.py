@@ -7,13 +7,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, dims, quality, staging
+from ..params import DEFAULT_CITY, CityProfile
 from ..sources.tables import read_layer, write_layer
 from . import facts, marts
 
 SILVER = ["transport_positions", "trip_updates", "weather_observations", "city_events"]
 
 
-def run_batch(spark: SparkSession, bronze: dict[str, DataFrame], gtfs: dict[str, DataFrame], root: str) -> dict:
+def run_batch(spark: SparkSession, bronze: dict[str, DataFrame], gtfs: dict[str, DataFrame], root: str,
+              city: CityProfile = DEFAULT_CITY) -> dict:
     out: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame, date_col: str | None = "event_ts") -> DataFrame:
@@ -21,7 +23,7 @@ def run_batch(spark: SparkSession, bronze: dict[str, DataFrame], gtfs: dict[str,
         out[name] = read_layer(spark, f"{root}/{name}")
         return out[name]
 
-    silver = {n: put(f"silver/{n}", cleaning.CLEANERS[n](bronze[n])) for n in SILVER}
+    silver = {n: put(f"silver/{n}", cleaning.clean(n, bronze[n], city)) for n in SILVER}
     put("dims/stops", dims.dim_stops(gtfs["stops"]), None)
     put("dims/routes", dims.dim_routes(gtfs["routes"]), None)
     put("dims/trips", dims.dim_trips(gtfs["trips"]), None)
@@ -32,8 +34,8 @@ def run_batch(spark: SparkSession, bronze: dict[str, DataFrame], gtfs: dict[str,
     stg_pos = staging.staged("transport_positions", silver["transport_positions"])
     fct = put("gold/fct_trip_delays", facts.fct_trip_delays(
         stg_tu, stg_ev, wh.drop("service_date"), out["dims/stops"], out["dims/trips"], out["dims/routes"],
-        out["dims/stop_times"], stamp=True))
-    fvp = put("gold/fct_vehicle_positions", facts.fct_vehicle_positions(stg_pos, wh.drop("service_date")))
+        out["dims/stop_times"], stamp=True, city=city))
+    fvp = put("gold/fct_vehicle_positions", facts.fct_vehicle_positions(stg_pos, wh.drop("service_date"), city=city))
     fct_c = fct.drop("service_date")
     put("gold/ml_features", facts.ml_features(fct_c))
     put("gold/mart_route_reliability", marts.route_reliability(fct_c), None)

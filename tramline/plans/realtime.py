@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.buckets import trip_status
 from ..functions.numeric import round_metric
-from ..operators.broadcast import checked_broadcast
 from ..params import MAX_RECORDS_PER_POLL
 
 
@@ -26,11 +25,11 @@ def reduce_trip_updates(feed: DataFrame, city_stops: DataFrame, trip_routes: Dat
     """feed: entity_id, trip_update{trip{trip_id, route_id}, vehicle{id}, delay,
     stop_time_update[]{stop_id, stop_sequence, arrival{delay,time}, departure{delay,time}}}, feed_ts.
 
-    Per entity: among stop updates at city stops with a delay (arrival before
+    Per entity of a feed message (an entity id is unique only inside one): among stop updates at city stops with a delay (arrival before
     departure), the one with the largest |delay| (first in feed order on
     ties); otherwise, with a trip-level delay, the first city stop update.
     """
-    stops = checked_broadcast(city_stops.select("stop_id").distinct())
+    stops = city_stops.select("stop_id").distinct()
     # one row per stop update at a city stop, entity attributes carried along;
     # an entity without such a row can produce no record, so nothing is lost
     ex = feed.select("entity_id", "feed_ts", "trip_update.trip", "trip_update.vehicle",
@@ -39,11 +38,11 @@ def reduce_trip_updates(feed: DataFrame, city_stops: DataFrame, trip_routes: Dat
     ex = ex.withColumn("stop_id", F.col("su.stop_id")).join(stops, "stop_id", "left_semi") \
         .withColumn("sd", _stop_delay(F.col("su")))
     # a single aggregation per entity: the largest |delay| (first on ties) and the first city stop
-    j = ex.groupBy("entity_id").agg(
+    j = ex.groupBy("feed_ts", "entity_id").agg(
         F.min(F.when(F.col("sd").isNotNull(), F.struct((-F.abs(F.col("sd"))).alias("k"), F.col("pos"),
                                                        F.col("su"), F.col("sd")))).alias("b"),
         F.min(F.struct(F.col("pos"), F.col("su"))).alias("f"),
-        *[F.any_value(c).alias(c) for c in ("feed_ts", "trip", "vehicle", "trip_delay")])
+        *[F.any_value(c).alias(c) for c in ("trip", "vehicle", "trip_delay")])
     use_best = F.col("b").isNotNull()
     su = F.when(use_best, F.col("b.su")).otherwise(F.col("f.su"))
     delay = F.when(use_best, F.col("b.sd")).otherwise(F.col("trip_delay"))
@@ -56,7 +55,7 @@ def reduce_trip_updates(feed: DataFrame, city_stops: DataFrame, trip_routes: Dat
         .otherwise(F.timestamp_seconds(F.floor(feed_us / 1e6)))
     actual = F.when(t.isNotNull() & (t != 0), F.timestamp_seconds(t)) \
         .otherwise(F.timestamp_seconds(F.floor((feed_us + delay_us) / 1e6)))
-    routes = checked_broadcast(trip_routes.select("trip_id", F.col("route_id").alias("_mapped_route")))
+    routes = trip_routes.select("trip_id", F.col("route_id").alias("_mapped_route"))
     rec = rec.withColumn("trip_id", F.col("trip.trip_id")).join(routes, "trip_id", "left")
     veh = F.col("vehicle.id")
     return rec.select(

@@ -34,19 +34,19 @@ class Warehouse:
     # ------------------------------------------------------------------ silver
     @cached_property
     def silver_positions(self):
-        return cleaning.clean_transport(self.bronze["transport_positions"], self.city, self.stamp)
+        return cleaning.clean("transport_positions", self.bronze["transport_positions"], self.city, self.stamp)
 
     @cached_property
     def silver_trip_updates(self):
-        return cleaning.clean_trip_updates(self.bronze["trip_updates"], self.stamp)
+        return cleaning.clean("trip_updates", self.bronze["trip_updates"], self.city, self.stamp)
 
     @cached_property
     def silver_weather(self):
-        return cleaning.clean_weather(self.bronze["weather_observations"], self.stamp)
+        return cleaning.clean("weather_observations", self.bronze["weather_observations"], self.city, self.stamp)
 
     @cached_property
     def silver_events(self):
-        return cleaning.clean_events(self.bronze["city_events"], self.stamp)
+        return cleaning.clean("city_events", self.bronze["city_events"], self.city, self.stamp)
 
     # ----------------------------------------------------------------- staging
     @cached_property
@@ -90,11 +90,12 @@ class Warehouse:
     @cached_property
     def fct_trip_delays(self):
         return facts.fct_trip_delays(self.stg_trip_updates, self.stg_events, self.weather_hourly,
-                                     self.dim_stops, self.dim_trips, self.dim_routes, self.dim_stop_times)
+                                     self.dim_stops, self.dim_trips, self.dim_routes, self.dim_stop_times,
+                                     city=self.city)
 
     @cached_property
     def fct_vehicle_positions(self):
-        return facts.fct_vehicle_positions(self.stg_positions, self.weather_hourly)
+        return facts.fct_vehicle_positions(self.stg_positions, self.weather_hourly, city=self.city)
 
     @cached_property
     def ml_features(self):
@@ -111,7 +112,7 @@ class Warehouse:
 
     @cached_property
     def mart_congestion_hotspots(self):
-        return marts.congestion_hotspots(self.fct_vehicle_positions)
+        return marts.congestion_hotspots(self.fct_vehicle_positions, marts.as_of_default(self.stg_positions))
 
     @cached_property
     def mart_weather_impact(self):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import oracle as O
 from .functions.numeric import round_metric
+from .params import CityProfile
 from .plans import marts
 from .plans.warehouse import Warehouse
 
@@ -58,6 +59,16 @@ def q_silver_positions(spark, sf):
     return wh(spark, sf).silver_positions
 
 
+OTHER_CITY = CityProfile("Potsdam", 52.40, 13.06, {"lat_min": 52.33, "lat_max": 52.47, "lon_min": 12.9, "lon_max": 13.3})
+
+
+@register("silver_positions_other_city", O.with_layers("SELECT * FROM silver_positions").replace(
+    "lat BETWEEN 52.35 AND 52.68 AND lon BETWEEN 13.08 AND 13.75", "lat BETWEEN 52.33 AND 52.47 AND lon BETWEEN 12.9 AND 13.3"))
+def q_silver_other_city(spark, sf):
+    """Silver positions of another active city: its profile's bounds decide."""
+    return Warehouse.from_fixture(spark, sf, city=OTHER_CITY).silver_positions
+
+
 @register("silver_trip_updates", O.with_layers("SELECT * FROM silver_tu"))
 def q_silver_tu(spark, sf):
     return wh(spark, sf).silver_trip_updates
@@ -103,7 +114,7 @@ def q_route_length(spark, sf):
 @register("nearest_active_event", O.with_layers(
     f"SELECT trip_id, stop_id, event_ts, {_r6(['event_proximity_km'])}, nearest_impact, nearest_event_id FROM ei"))
 def q_nearest(spark, sf):
-    from .operators.joins import nearest_active_event
+    from .operators.nearest import nearest_active_event
     w = wh(spark, sf)
     pts = w.stg_trip_updates.join(w.dim_stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
     return report(nearest_active_event(pts, w.stg_events, ["trip_id", "stop_id", "event_ts"]), ["event_proximity_km"])
@@ -349,13 +360,12 @@ def q_city_counts(spark, sf):
 @register("gtfs_routes_loaded", O.with_layers(
     "SELECT route_id, route_mode, 'DE' AS agency_id, "
     "CAST(CASE route_mode WHEN 'rail' THEN 2 WHEN 'tram' THEN 0 WHEN 'bus' THEN 3 END AS INTEGER) AS route_type "
-    "FROM a_routes WHERE route_id IN (SELECT route_id FROM a_trips)"))
+    "FROM a_routes"))
 def q_routes_loaded(spark, sf):
-    """Loader rule (constant agency, route_type from route_mode) on the routes
-    that the feed's trips reference."""
+    """Loader rule: constant agency, route_type from route_mode."""
     from .operators.dims import assign_route_type
     g = wh(spark, sf).gtfs
-    r = g["routes"].select("route_id", "route_mode").join(g["trips"].select("route_id"), "route_id", "left_semi")
+    r = g["routes"].select("route_id", "route_mode")
     return assign_route_type(r).select("route_id", "route_mode", "agency_id", "route_type")
 
 
@@ -385,26 +395,32 @@ def q_trip_stop_sequence(spark, sf):
 
 # --------------------------------------------------------------- GTFS realtime
 def _rt(spark, sf):
-    from .plans.realtime import cap_per_poll, reduce_trip_updates
+    from .plans.realtime import reduce_trip_updates
     from .sources.fixtures import gtfs_rt_feed
     w = wh(spark, sf)
-    rec = reduce_trip_updates(gtfs_rt_feed(w.fixture.events), w.gtfs["stops"], w.gtfs["trips"])
-    return cap_per_poll(rec.withColumn("poll_id", F.date_trunc("hour", "event_ts"))).drop("poll_id")
+    return reduce_trip_updates(gtfs_rt_feed(w.fixture.events), w.gtfs["stops"], w.gtfs["trips"])
 
 
-@register("gtfs_rt_trip_updates", O.with_live(O.RT_SQL + """
-SELECT * FROM rt_out
-QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', event_ts) ORDER BY abs(delay_seconds) DESC, entity_id) <= 600"""))
+@register("gtfs_rt_trip_updates", O.with_live(O.RT_SQL + "\nSELECT * FROM rt_out"))
 def q_rt(spark, sf):
     return _rt(spark, sf)
 
 
+@register("gtfs_rt_capped_polls", O.with_live(O.RT_SQL + """
+SELECT * FROM rt_out
+QUALIFY row_number() OVER (PARTITION BY event_ts ORDER BY abs(delay_seconds) DESC, entity_id) <= 600"""))
+def q_rt_capped(spark, sf):
+    """The poller's cap: the 600 largest delays of each poll (feed time)."""
+    from .plans.realtime import cap_per_poll
+    return cap_per_poll(_rt(spark, sf), "event_ts")
+
+
 # --------------------------------------------------------------------- quality
 def _quality_frames(spark, sf):
     from .operators import cleaning
     w = wh(spark, sf)
     b = w.bronze
-    return {"transport_positions": cleaning.clean_transport(b["transport_positions"], stamp=True),
+    return {"transport_positions": cleaning.clean("transport_positions", b["transport_positions"], stamp=True),
             "trip_updates": w.silver_trip_updates, "weather_observations": w.silver_weather,
             "city_events": w.silver_events}
 
@@ -573,7 +589,7 @@ def q_stream_capped(spark, sf):
 
 
 # -------------------------------------------------------------------------- ML
-ML_CHECK_TREES = 20  # the library default is 300 trees; the registered check trains a short ensemble
+ML_CHECK_TREES = 20  # the registered run is a short ensemble; the training job's default is 300 trees
 _ML_CACHE: dict = {}
 
 
@@ -603,29 +619,24 @@ def q_ml_scores(spark, sf):
 @register("nearest_active_event_grid", O.with_layers(
     f"SELECT trip_id, stop_id, event_ts, {_r6(['event_proximity_km'])}, nearest_impact, nearest_event_id FROM ei"))
 def q_nearest_grid(spark, sf):
-    """The exact grid strategy (cells from 0.3 km, doubling) on the same input."""
-    from .operators.joins import nearest_active_event_grid
+    """The same search from finer cells, with one round more."""
+    from .operators.nearest import nearest_active_event
     w = wh(spark, sf)
     pts = w.stg_trip_updates.join(w.dim_stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
-    return report(nearest_active_event_grid(pts, w.stg_events, ["trip_id", "stop_id", "event_ts"], cell_km=0.3,
-                                            rounds=4), ["event_proximity_km"])
+    return report(nearest_active_event(pts, w.stg_events, ["trip_id", "stop_id", "event_ts"], cell_km=0.3,
+                                       rounds=4), ["event_proximity_km"])
 
 
 @register("fct_trip_delays_grid", O.with_layers(f"SELECT {FACT_COLS}, {_r6(FACT_FLOATS)} FROM fct"))
 def q_fct_grid(spark, sf):
-    """The flagship fact with the nearest event found by the grid strategy."""
-    from .plans import facts
-    w = wh(spark, sf)
-    f = facts.fct_trip_delays(w.stg_trip_updates, w.stg_events, w.weather_hourly, w.dim_stops, w.dim_trips,
-                              w.dim_routes, w.dim_stop_times, nearest="grid")
-    return report(f, FACT_FLOATS)
+    """The flagship fact (its nearest event comes from the grid search)."""
+    return report(wh(spark, sf).fct_trip_delays, FACT_FLOATS)
 
 
 @register("mart_route_reliability_sorted", O.with_layers("SELECT * FROM mart_rr"))
 def q_mart_rr_sorted(spark, sf):
-    """Route reliability with percentiles from the sorted (bufferless) strategy."""
-    from .plans import marts as M
-    return M.route_reliability(wh(spark, sf).fct_trip_delays, percentiles="sorted")
+    """Route reliability (its percentiles need no buffer per group)."""
+    return marts.route_reliability(wh(spark, sf).fct_trip_delays)
 
 
 @register("live_active_events", O.with_live("SELECT * FROM le WHERE status = 'ACTIVE'"))
@@ -644,3 +655,154 @@ def q_quality_last_runs(spark, sf):
     ledger = f"{checkpoint_dir(spark)}/tramline-ledger-{uuid.uuid4().hex}/quality_runs"
     Q.append_runs(Q.summarize(_quality_results(spark, sf)), ledger)
     return Q.last_runs(spark, ledger, 20).drop("run_at_utc")
+
+
+# ---------------------------------------------------- pieces of the pipeline, compared on their own
+@register("dim_routes", O.with_layers("SELECT * FROM a_routes"))
+def q_dim_routes(spark, sf):
+    return wh(spark, sf).dim_routes
+
+
+@register("dim_trips", O.with_layers("SELECT * FROM a_trips"))
+def q_dim_trips(spark, sf):
+    return wh(spark, sf).dim_trips
+
+
+@register("dim_stop_times", O.with_layers("SELECT * FROM a_stop_times"))
+def q_dim_stop_times(spark, sf):
+    return wh(spark, sf).dim_stop_times
+
+
+@register("gtfs_city_stops_default_radius", O.with_live(O.gtfs_city_sql(25.0) + "SELECT * FROM city_stops"))
+def q_city_stops_default(spark, sf):
+    from .plans.gtfs_extract import extract_city
+    g = wh(spark, sf).gtfs
+    return extract_city(g["stops"], g["stop_times"], g["trips"], g["routes"]).require_stops().stops
+
+
+@register("gtfs_csv_round_trip", O.with_layers("SELECT * EXCLUDE (stop_zone), nullif(stop_zone, '') AS stop_zone FROM a_stops"))
+def q_csv_round_trip(spark, sf):
+    """Stops exported as sorted CSV, read back by header and typed."""
+    import uuid
+    from .operators.dims import typed_stops
+    from .session import checkpoint_dir
+    from .sources.gtfs import GTFS_COLUMNS, export_sorted_csv, read_gtfs_table
+    root = f"{checkpoint_dir(spark)}/tramline-csv-{uuid.uuid4().hex}"
+    export_sorted_csv(wh(spark, sf).gtfs["stops"], f"{root}/stops.txt", ["stop_id"])
+    back = typed_stops(read_gtfs_table(spark, root, "stops", GTFS_COLUMNS["stops"]))
+    return back.withColumn("stop_zone", F.nullif("stop_zone", F.lit("")))
+
+
+def _summary_sql() -> str:
+    part = "SELECT '{n}' AS table_name, (SELECT count(*) FROM {a}) AS rows_in, count(*) AS rows_out, " \
+           "CAST(count_if(dqr_valid) AS BIGINT) AS rows_valid FROM {s}"
+    return " UNION ALL ".join(part.format(n=n, a=a, s=s) for n, a, s in (
+        ("transport_positions", "a_pos", "silver_positions"), ("trip_updates", "a_tu", "silver_tu"),
+        ("weather_observations", "a_weather", "silver_weather"), ("city_events", "a_cev", "silver_cev")))
+
+
+@register("silver_row_counts", O.with_layers(_summary_sql()))
+def q_silver_counts(spark, sf):
+    """Rows in, rows out and valid rows of each Silver table, observed by the pass that computes it."""
+    from .operators import cleaning
+    rows = []
+    for name, bronze in wh(spark, sf).bronze.items():
+        silver, seen_in, seen_out = cleaning.silver_with_summary(name, bronze)
+        silver.write.format("noop").mode("overwrite").save()
+        rows.append((name, seen_in.get["rows_in"], seen_out.get["rows_out"], seen_out.get["rows_valid"]))
+    return spark.createDataFrame(rows, "table_name string, rows_in long, rows_out long, rows_valid long")
+
+
+@register("stream_bronze_counts", O.with_layers(
+    "SELECT 'bronze' AS table_name, count(*) AS \"rows\" FROM events WHERE event_id % 100 <> 7 UNION ALL "
+    "SELECT 'quarantine', count(*) FROM events WHERE event_id % 100 = 7 UNION ALL "
+    "SELECT 'progress', count(*) FROM events"))
+def q_bronze_counts(spark, sf):
+    """A feed in which some messages are cut short: rows of the Bronze and quarantine tables, and the rows that the
+    stream's progress reports."""
+    import uuid
+    from .session import checkpoint_dir
+    from .streaming import bronze as B
+    from .streaming import continuous as C
+    root = f"{checkpoint_dir(spark)}/tramline-bronze-{uuid.uuid4().hex}"
+    ids = wh(spark, sf).fixture.events.select((F.col("event_id") % 100 == 7).alias("cut"), F.struct(
+        F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("trip_id"), F.col("ts").cast("timestamp").alias("event_ts"),
+        F.col("value").alias("delay_seconds")).alias("r"))
+    text = F.to_json("r", B.JSON_WRITE_OPTIONS)
+    ids.select(F.when(F.col("cut"), F.substring(text, 1, 20)).otherwise(text).alias("value")).repartition(8).write.text(
+        f"{root}/feed/trip_updates")
+    queries = B.start_bronze(spark, "trip_updates", B.Source(path=f"{root}/feed", max_files_per_trigger=2), root,
+                             f"{root}/ckpt", {"availableNow": True})
+    B.await_all(spark, queries)
+    seen = sum(c["rows"] for c in C.progress_counters(queries[0]))
+    tables = [spark.read.parquet(f"{root}/{t}/trip_updates").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(t).alias("table_name"), "rows") for t in ("bronze", "quarantine")]
+    return tables[0].unionByName(tables[1]).unionByName(
+        spark.createDataFrame([("progress", seen)], "table_name string, rows long"))
+
+
+_PREPARED = """
+, prepared AS (
+  SELECT trip_id, stop_id, event_ts, delay_seconds,
+         CASE WHEN delay_seconds <= 120 THEN 0.0::DOUBLE WHEN delay_seconds <= 600 THEN 1.0 ELSE 2.0 END AS label_class,
+         coalesce(route_mode, 'unknown') AS route_mode, coalesce(condition, 'unknown') AS condition,
+         CAST(day_of_week AS VARCHAR) AS day_of_week, CAST(hour_of_day AS DOUBLE) AS hour_of_day,
+         CAST(is_rush_hour AS DOUBLE) AS is_rush_hour, coalesce(temperature_c, 0.0) AS temperature_c,
+         coalesce(precipitation_mm, 0.0) AS precipitation_mm, coalesce(wind_speed_kmh, 0.0) AS wind_speed_kmh,
+         CAST(event_nearby AS DOUBLE) AS event_nearby, CAST(stop_zone_num AS DOUBLE) AS stop_zone_num,
+         segment_km, event_proximity_km, historical_avg_delay,
+         CAST(('0x' || substr(md5('42|' || trip_id || '|' || stop_id || '|' || CAST(epoch_us(event_ts) AS VARCHAR)), 1, 8))
+              AS BIGINT) % 10000 >= 8000 AS in_test
+  FROM fct WHERE delay_seconds >= -120)
+"""
+_PREPARED_COLS = ["trip_id", "stop_id", "event_ts", "delay_seconds", "label_class", "route_mode", "condition",
+                  "day_of_week", "hour_of_day", "is_rush_hour", "temperature_c", "precipitation_mm", "wind_speed_kmh",
+                  "event_nearby", "stop_zone_num"]
+
+
+@register("ml_prepared_features", O.with_layers(
+    _PREPARED + f"SELECT {', '.join(_PREPARED_COLS)}, {_r6(['segment_km', 'event_proximity_km', 'historical_avg_delay'])} "
+    "FROM prepared"))
+def q_ml_prepared(spark, sf):
+    from .plans import ml
+    floats = ["segment_km", "event_proximity_km", "historical_avg_delay"]
+    return report(ml.prepare(wh(spark, sf).ml_features).select(*_PREPARED_COLS, *floats), floats)
+
+
+@register("ml_split_counts", O.with_layers(
+    _PREPARED + "SELECT CASE WHEN in_test THEN 'test' ELSE 'train' END AS part, count(*) AS \"rows\", "
+    "CAST(sum(label_class) AS BIGINT) AS class_sum FROM prepared GROUP BY 1"))
+def q_ml_split(spark, sf):
+    from .plans import ml
+    train, test = ml.split(ml.prepare(wh(spark, sf).ml_features))
+    count = [F.count(F.lit(1)).alias("rows"), F.sum("label_class").cast("long").alias("class_sum")]
+    return train.agg(*count).select(F.lit("train").alias("part"), "*").unionByName(
+        test.agg(*count).select(F.lit("test").alias("part"), "*"))
+
+
+@register("ml_metrics_of_average", O.with_layers(_PREPARED + """
+, s AS (SELECT delay_seconds AS y, historical_avg_delay AS yhat, CAST(label_class AS INTEGER) AS c,
+               CASE WHEN historical_avg_delay <= 120 THEN 0 WHEN historical_avg_delay <= 600 THEN 1 ELSE 2 END AS chat FROM prepared),
+k AS (SELECT c AS k FROM s UNION SELECT chat FROM s),
+n AS (SELECT k, CASE k WHEN 0 THEN 'on_time' WHEN 1 THEN 'delayed' ELSE 'severe' END AS label,
+             (SELECT count(*) FROM s WHERE c = k) AS support, (SELECT count(*) FROM s WHERE chat = k) AS predicted,
+             (SELECT count(*) FROM s WHERE c = k AND chat = k) AS tp FROM k),
+p AS (SELECT label, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision,
+             CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall FROM n)
+SELECT 'mae_seconds' AS metric, NULL AS label, round(avg(abs(y - yhat)), 2) AS value FROM s
+UNION ALL SELECT 'r2', NULL, round(1 - sum((y - yhat) * (y - yhat)) / (count(*) * var_pop(y)), 4) FROM s
+UNION ALL SELECT 'accuracy', NULL, round(avg(CASE WHEN c = chat THEN 1.0::DOUBLE ELSE 0.0 END), 4) FROM s
+UNION ALL SELECT 'training_rows', NULL, CAST(count(*) AS DOUBLE) FROM s
+UNION ALL SELECT 'test_rows', NULL, CAST(count(*) AS DOUBLE) FROM s
+UNION ALL SELECT 'precision', label, round(precision, 4) FROM p UNION ALL SELECT 'recall', label, round(recall, 4) FROM p
+UNION ALL SELECT 'f1', label, round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 4) FROM p
+UNION ALL SELECT 'support', label, CAST(support AS DOUBLE) FROM p"""))
+def q_ml_metrics_fixed(spark, sf):
+    """The model metrics on a prediction that needs no training: the average delay of the route at the stop."""
+    from .functions.buckets import delay_bucket_code
+    from .plans import ml
+    p = ml.prepare(wh(spark, sf).ml_features)
+    n = p.count()
+    s = p.select(F.col("delay_seconds").alias("y"), F.col("historical_avg_delay").alias("yhat"),
+                 F.col("label_class").cast("int").alias("c"), delay_bucket_code("historical_avg_delay").alias("chat"))
+    return ml.evaluate(s, n, n)

@@ -1,7 +1,6 @@
 """SparkSession construction and cluster-aware helpers."""
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -14,9 +13,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # runtime (measured) sizes only: derived sides such as a year of hourly zone
-    # weather exceed the 10 MB default but are cheap to broadcast
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -43,22 +39,25 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Session-level settings that can be changed on an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.coalescePartitions.enabled",
-              "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+              "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(k, BASE_CONF[k])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in spark.checkpoint.dir.
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered; on a cluster the configured shared folder is always used.
+    Only in local mode, when the setting is absent, a scratch folder is created
+    and registered; on a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    local = tempfile.mkdtemp(prefix="tramline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    local = tempfile.mkdtemp(prefix="tramline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

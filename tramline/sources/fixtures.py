@@ -20,10 +20,6 @@ CATEGORY_BY_EVENT_TYPE = {"click": "concert", "error": "sports", "purchase": "fa
                           "signup": "demonstration", "view": "festival"}
 N_STOPS = 40
 N_ROUTES = 25
-# A city event is a happening expected to draw at least 15,000 people
-# (expected_attendance = floor(value * 100)); a predicate on a measured
-# attribute, pushed to the Parquet scan, not an id subset.
-CITY_EVENT_MIN_VALUE = 150.0
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,7 +120,9 @@ def positions_bronze(events: DataFrame) -> DataFrame:
 
 
 def weather_bronze(events: DataFrame) -> DataFrame:
-    ev = events
+    """Some observations come again, corrected by one degree and ingested a second later."""
+    first = events.select("*", F.lit(0).alias("again"))
+    ev = first.unionByName(events.where(F.col("event_id") % 20 == 3).select("*", F.lit(1).alias("again")))
     ts = ev.ts.cast("timestamp")
     ix = ev.event_id % 5
     iy = F.floor((ev.event_id % 25) / 5)
@@ -132,18 +130,18 @@ def weather_bronze(events: DataFrame) -> DataFrame:
         F.concat(F.lit("Z"), ix.cast("string"), iy.cast("string")).alias("zone_id"),
         (F.lit(CITY_LAT) + (ix - 2).cast("double") * F.lit(0.03)).alias("lat"),
         (F.lit(CITY_LON) + (iy - 2).cast("double") * F.lit(0.03)).alias("lon"),
-        (ev.value / 5.0 - 10.0).alias("temperature_c"),
+        (ev.value / 5.0 - 10.0 + ev.again).alias("temperature_c"),
         (ev.value / 5.0 - 12.0).alias("feels_like_c"),
         (ev.value / 7.0 + 20.0).alias("humidity_pct"),
         (ev.value / 4.0).alias("wind_speed_kmh"),
         F.when(ev.event_id % 3 == 0, F.lit(0.0)).otherwise(ev.value / 20.0).alias("precipitation_mm"),
         _lookup(ev.event_type, CONDITION_BY_EVENT_TYPE).alias("condition"),
         F.lit(10.0).alias("visibility_km"),
-        ts.alias("event_ts"), ts.alias("ingested_ts"))
+        ts.alias("event_ts"), (ts + F.make_dt_interval(secs=ev.again)).alias("ingested_ts"))
 
 
 def city_events_bronze(events: DataFrame) -> DataFrame:
-    ev = events.where(F.col("value") >= F.lit(CITY_EVENT_MIN_VALUE))
+    ev = events
     ts = ev.ts.cast("timestamp")
     return ev.select(
         _s("EV-", ev.event_id).alias("event_id"), _s("Event ", ev.event_id).alias("name"),
@@ -185,8 +183,11 @@ class Fixture:
 def gtfs_rt_feed(events: DataFrame) -> DataFrame:
     """Decoded GTFS-RT trip-update entities, one per event, with 0..3 stop time
     updates (some at stops outside the city, some without arrival or
-    departure, some without delays or times) and optional trip-level delay."""
-    e = events
+    departure, some without delays or times) and optional trip-level delay.
+    A fifth of the entities come again in a poll 20 seconds later."""
+    later = events.where(F.col("event_id") % 5 == 0).withColumn("value", F.col("value") + 30.0).withColumn(
+        "ts", F.col("ts") + F.expr("INTERVAL 20 SECONDS"))
+    e = events.unionByName(later)
     ts = e.ts.cast("timestamp")
     t0 = F.unix_seconds(ts)
     ev_t = "struct<delay:double,time:bigint>"

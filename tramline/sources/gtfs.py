@@ -1,9 +1,7 @@
-"""GTFS static files: header CSV read with a fixed all-text schema, typed
-later by try_cast projections, and sorted CSV export."""
+"""GTFS static files: header CSV read as text, typed later by try_cast projections, and sorted CSV export."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 GTFS_COLUMNS = {
     "stops": ["stop_id", "stop_name", "stop_lat", "stop_lon", "stop_zone"],
@@ -13,17 +11,16 @@ GTFS_COLUMNS = {
 }
 
 
-def text_schema(cols) -> StructType:
-    return StructType([StructField(c, StringType()) for c in cols])
-
-
 def read_gtfs_table(spark: SparkSession, gtfs_dir: str, name: str, columns=None) -> DataFrame:
-    """``<dir>/<name>.txt`` with a header; every column read as text (no
-    inference pass over the file)."""
-    reader = spark.read.option("header", True).option("delimiter", ",")
-    if columns is not None:
-        reader = reader.schema(text_schema(columns)).option("enforceSchema", False)
-    return reader.csv(f"{gtfs_dir}/{name}.txt")
+    """``<dir>/<name>.txt`` by its header: every column read as text (no inference pass), the wanted ones selected
+    by name in any order, optional ones that the feed lacks as NULL, extra ones ignored."""
+    df = spark.read.option("header", True).option("delimiter", ",").option("inferSchema", False).csv(
+        f"{gtfs_dir}/{name}.txt")
+    if columns is None:
+        return df
+    known = {c.strip("\ufeff ").lower(): c for c in df.columns}
+    return df.select(*[F.col(f"`{known[c]}`").alias(c) if c in known else F.lit(None).cast("string").alias(c)
+                       for c in columns])
 
 
 def export_sorted_csv(df: DataFrame, path: str, order: list[str], partitions: int | None = None) -> None:

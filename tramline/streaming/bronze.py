@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import STREAMS, TOPICS
@@ -66,19 +67,22 @@ def start_all(spark: SparkSession, src: Source, out_root: str, ckpt_root: str, t
 
 
 def await_all(spark: SparkSession, queries, timeout_s: float | None = None) -> None:
-    """Supervise all queries together: return when every one has stopped,
-    re-raise the first failure (instead of blocking on the first query)."""
+    """Supervise all queries together: return when every one has stopped (or the timeout is over); when one fails,
+    stop the others and raise its failure."""
     pending = list(queries)
     while pending:
-        spark.streams.awaitAnyTermination(timeout_s)
+        try:
+            spark.streams.awaitAnyTermination(timeout_s)
+        except StreamingQueryException:
+            pass  # found below, with the query that it belongs to
         spark.streams.resetTerminated()
-        for q in list(pending):
-            if not q.isActive:
-                pending.remove(q)
-                if q.exception() is not None:
-                    for other in pending:
-                        other.stop()
-                    raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+        ended = [q for q in pending if not q.isActive]
+        pending = [q for q in pending if q.isActive]
+        failed = [q for q in ended if q.exception() is not None]
+        if failed:
+            for q in pending:
+                q.stop()
+            raise RuntimeError(f"stream {failed[0].name or failed[0].id} failed: {failed[0].exception()}")
         if timeout_s is not None:
             break
 
