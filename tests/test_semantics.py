@@ -185,7 +185,7 @@ def test_live_weather_prefers_own_condition_then_own_coordinates(spark):  # A18,
 
 def test_quality_overall_flag(spark):
     from tramline.operators import quality as Q
-    res = Q.validate(spark.createDataFrame([("a",)], "trip_id string"), "t", [Q.not_null("trip_id")])
+    res = Q.validate(spark.createDataFrame([("a",)], "trip_id string"), "t", [Q.rule(Q.NOT_NULL, "trip_id")])
     assert Q.overall(Q.summarize(res)).first()["all_passed"] is True
 
 

@@ -29,10 +29,10 @@ def test_bronze_quarantine(spark):
            [_tu("T1", "2024-01-01T10:05:00+00:00", 30.0), "{broken", _tu("T2", "2024-01-01T10:06+00:00", 60.0)],
            time.time() - 10)
     src = B.Source(kind="files", path=f"{root}/feed")
-    qs = B.start_bronze(spark, "trip_updates", src, f"{root}/out", f"{root}/ckpt", trigger={"availableNow": True})
-    B.await_all(spark, qs)
+    q = B.start_bronze(spark, "trip_updates", src, f"{root}/out", f"{root}/ckpt", trigger={"availableNow": True})
+    B.await_all(spark, [q])
     good = B.read_bronze(spark, f"{root}/out", "trip_updates")
-    bad = spark.read.parquet(f"{root}/out/quarantine/trip_updates")
+    bad = B.read_quarantine(spark, f"{root}/out", "trip_updates")
     assert sorted(r["trip_id"] for r in good.collect()) == ["T1", "T2"]
     assert [r["_corrupt_record"] for r in bad.collect()] == ["{broken"]
     assert good.where(F.col("ingested_ts").isNull()).count() == 0
@@ -90,14 +90,14 @@ def test_all_streams_supervised_with_progress_counters(spark):
         _write(f"{root}/feed/{s}", "a.json", ['{"event_ts": "2024-01-01T10:00:00+00:00"}', "garbage"], time.time() - 5)
     src = B.Source(kind="files", path=f"{root}/feed")
     qs = B.start_all(spark, src, f"{root}/out", f"{root}/ckpt", trigger={"availableNow": True})
-    assert len(qs) == 8
+    assert len(qs) == 4
     B.await_all(spark, qs)
     assert all(not q.isActive for q in qs)
     counters = C.progress_counters(qs[0])
     assert sum(c["rows"] for c in counters) == 2
     for s in STREAMS:
         assert B.read_bronze(spark, f"{root}/out", s).count() == 1
-        assert spark.read.parquet(f"{root}/out/quarantine/{s}").count() == 1
+        assert B.read_quarantine(spark, f"{root}/out", s).count() == 1
 
 
 def test_failing_stream_stops_its_siblings(spark):
@@ -116,3 +116,12 @@ def test_failing_stream_stops_its_siblings(spark):
     with pytest.raises(RuntimeError, match="sink is gone"):
         B.await_all(spark, [sibling, broken])
     assert not sibling.isActive
+
+
+def test_registered_streams_run_in_several_batches(spark):
+    from tramline.sources.fixtures import Fixture
+    from tramline.streaming.runner import BATCHES, StreamRun
+    from .conftest import SF_SMALL
+    run = StreamRun(spark, {"trip_updates": Fixture(spark, SF_SMALL).trip_updates()})
+    out = run.run_append(run.silver("trip_updates"), "silver")
+    assert run.batches == BATCHES and out.count() == 1000

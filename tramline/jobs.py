@@ -52,7 +52,8 @@ def _batch(spark, a):
     from .operators import quality
     from .plans.pipeline import SILVER, run_batch
     from .sources.tables import read_layer
-    bronze = {n: read_layer(spark, f"{a.bronze}/{n}") for n in SILVER}
+    from .streaming.bronze import good_rows
+    bronze = {n: good_rows(read_layer(spark, f"{a.bronze}/{n}")) for n in SILVER}
     gtfs = {n: read_layer(spark, f"{a.gtfs}/{n}") for n in ("stops", "routes", "trips", "stop_times")}
     run_batch(spark, bronze, gtfs, a.out, _city_profile(spark, a))
     runs = spark.read.parquet(f"{a.out}/quality/quality_runs")

@@ -559,6 +559,8 @@ HAVING window_start + INTERVAL 24 HOUR <= (SELECT max(event_ts) FROM a_pos) - IN
     "stream_latest_positions": with_live("SELECT * EXCLUDE (ingested_ts) FROM lp"),
     "stream_enriched_positions": with_layers("SELECT * FROM fvp"),
     "stream_capped_updates": with_layers("""
-SELECT * EXCLUDE (ingested_ts) FROM a_tu
-ORDER BY abs(delay_seconds) DESC NULLS LAST, trip_id, stop_id, event_ts LIMIT 600"""),
+SELECT * EXCLUDE (ingested_ts) FROM a_tu, (SELECT min(epoch_us(event_ts)) AS lo, max(epoch_us(event_ts)) AS hi FROM a_tu) m
+QUALIFY row_number() OVER (PARTITION BY least(floor((epoch_us(event_ts) - lo) * 4 / greatest(hi - lo, 1)), 3)
+  ORDER BY abs(delay_seconds) DESC NULLS LAST, trip_id, stop_id, event_ts) <= 600""".replace(
+        "SELECT * EXCLUDE (ingested_ts)", "SELECT * EXCLUDE (ingested_ts, lo, hi)")),
 }

@@ -53,12 +53,6 @@ EARLY_BELOW_SECONDS = -60
 BBOX_RADIUS_KM = 25.0
 # Implausible earliness cut of the feature table.
 MIN_FEATURE_DELAY = -120
-# Quality rule ranges per Silver table.
-QUALITY_RANGES = {
-    "lat": (-90.0, 90.0), "lon": (-180.0, 180.0), "speed_kmh": (0.0, 150.0),
-    "delay_seconds": (-3600.0, 36000.0), "temperature_c": (-50.0, 60.0),
-    "humidity_pct": (0.0, 100.0),
-}
 TRIP_STATUSES = ["EARLY", "ON_TIME", "DELAYED"]
 EVENT_STATUSES = ["ACTIVE", "ENDED"]
 WEATHER_CONDITIONS_ALL = ["clear", "clouds", "rain", "snow", "fog", "storm", "sleet", "unknown"]
@@ -68,6 +62,67 @@ TRANSPORT_COLUMNS = ["vehicle_id", "route_id", "route_mode", "trip_id",
                      "congestion_level", "event_ts", "ingested_ts",
                      "dqr_speed_anomaly", "dqr_delay_anomaly", "dqr_valid",
                      "processed_ts"]
+# Quality rules: (type, column, arguments) per Silver table and per model.
+SILVER_RULES = {
+    "transport_positions": [
+        ("expect_table_columns_to_match_ordered_list", None, {"column_list": TRANSPORT_COLUMNS}),
+        ("expect_column_values_to_not_be_null", "vehicle_id", {}),
+        ("expect_column_values_to_not_be_null", "route_id", {}),
+        ("expect_column_values_to_be_between", "lat", {"min_value": -90.0, "max_value": 90.0}),
+        ("expect_column_values_to_be_between", "lon", {"min_value": -180.0, "max_value": 180.0}),
+        ("expect_column_values_to_be_between", "speed_kmh", {"min_value": 0.0, "max_value": 150.0}),
+        ("expect_column_values_to_be_between", "delay_seconds", {"min_value": -3600.0, "max_value": 36000.0}),
+        ("expect_column_values_to_be_of_type", "lat", {"type_": "float64"}),
+    ],
+    "trip_updates": [
+        ("expect_column_values_to_not_be_null", "trip_id", {}),
+        ("expect_column_values_to_not_be_null", "stop_id", {}),
+        ("expect_column_values_to_not_be_null", "delay_seconds", {}),
+        ("expect_column_values_to_be_between", "delay_seconds", {"min_value": -3600.0, "max_value": 36000.0}),
+        ("expect_column_values_to_be_in_set", "status", {"value_set": TRIP_STATUSES}),
+    ],
+    "weather_observations": [
+        ("expect_column_values_to_not_be_null", "zone_id", {}),
+        ("expect_column_values_to_be_between", "temperature_c", {"min_value": -50.0, "max_value": 60.0}),
+        ("expect_column_values_to_be_between", "humidity_pct", {"min_value": 0.0, "max_value": 100.0}),
+        ("expect_column_values_to_be_in_set", "condition", {"value_set": WEATHER_CONDITIONS_ALL}),
+    ],
+    "city_events": [
+        ("expect_column_values_to_not_be_null", "event_id", {}),
+        ("expect_column_values_to_be_between", "lat", {"min_value": -90.0, "max_value": 90.0}),
+        ("expect_column_values_to_be_between", "lon", {"min_value": -180.0, "max_value": 180.0}),
+        ("expect_column_values_to_be_in_set", "status", {"value_set": EVENT_STATUSES}),
+    ],
+}
+MODEL_RULES = {
+    "fct_trip_delays": [
+        ("expect_column_values_to_not_be_null", "trip_id", {}),
+        ("expect_column_values_to_not_be_null", "stop_id", {}),
+        ("expect_column_values_to_not_be_null", "delay_seconds", {}),
+        ("accepted_values", "delay_bucket", {"values": ["on_time", "delayed", "severe"]}),
+        ("expect_column_values_to_not_be_null", "route_id", {}),
+    ],
+    "fct_vehicle_positions": [
+        ("expect_column_values_to_not_be_null", "vehicle_id", {}),
+        ("expect_column_values_to_not_be_null", "grid_cell", {}),
+    ],
+    "mart_route_reliability": [
+        ("expect_column_values_to_not_be_null", "route_id", {}),
+        ("expect_column_values_to_not_be_null", "on_time_pct", {}),
+        ("greater_than_equal_zero", "on_time_pct", {}),
+    ],
+    "mart_congestion_hotspots": [("expect_column_values_to_not_be_null", "grid_cell", {})],
+    "mart_delay_trends": [
+        ("expect_column_values_to_not_be_null", "hour_of_day", {}),
+        ("accepted_values", "hour_of_day", {"values": list(range(24))}),
+    ],
+}
+GTFS_RULES = {
+    "gtfs_stops": [("expect_column_values_to_not_be_null", "stop_id", {})],
+    "gtfs_stop_times": [("expect_column_values_to_not_be_null", "trip_id", {})],
+    "gtfs_trips": [("expect_column_values_to_not_be_null", "trip_id", {})],
+    "gtfs_routes": [("expect_column_values_to_not_be_null", "route_id", {})],
+}
 # ML feature contract.
 CAT_FEATURES = ["route_mode", "condition", "day_of_week"]
 NUM_FEATURES = ["hour_of_day", "is_rush_hour", "segment_km", "temperature_c",

@@ -5,6 +5,7 @@ restartable per stage)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..operators import cleaning, dims, quality, staging
 from ..params import DEFAULT_CITY, CityProfile
@@ -20,7 +21,9 @@ def run_batch(spark: SparkSession, bronze: dict[str, DataFrame], gtfs: dict[str,
 
     def put(name: str, df: DataFrame, date_col: str | None = "event_ts") -> DataFrame:
         write_layer(df, f"{root}/{name}", date_col)
-        out[name] = read_layer(spark, f"{root}/{name}")
+        dated = date_col and date_col in df.columns
+        schema = StructType(df.schema.fields + [StructField("service_date", DateType())] * bool(dated))
+        out[name] = read_layer(spark, f"{root}/{name}", schema)
         return out[name]
 
     silver = {n: put(f"silver/{n}", cleaning.clean(n, bronze[n], city)) for n in SILVER}

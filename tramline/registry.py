@@ -482,6 +482,22 @@ def q_model_tests(spark, sf):
     return out
 
 
+def _gtfs_test_oracle() -> str:
+    from .operators import quality as Q
+    src = {"gtfs_stops": "a_stops", "gtfs_stop_times": "a_stop_times", "gtfs_trips": "a_trips", "gtfs_routes": "a_routes"}
+    return O.with_layers(f"SELECT * FROM ({O.quality_sql(src, Q.gtfs_tests(), {})}) q")
+
+
+@register("gtfs_source_tests", _gtfs_test_oracle())
+def q_gtfs_tests(spark, sf):
+    from .operators import quality as Q
+    out = None
+    for table, rules in Q.gtfs_tests().items():
+        r = Q.validate(wh(spark, sf).gtfs[table.removeprefix("gtfs_")], table, rules)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 # ------------------------------------------------------------ scalar functions
 @register("position_functions", O.with_layers(O.FUNCS_SQL()))
 def q_functions(spark, sf):
@@ -731,12 +747,12 @@ def q_bronze_counts(spark, sf):
     text = F.to_json("r", B.JSON_WRITE_OPTIONS)
     ids.select(F.when(F.col("cut"), F.substring(text, 1, 20)).otherwise(text).alias("value")).repartition(8).write.text(
         f"{root}/feed/trip_updates")
-    queries = B.start_bronze(spark, "trip_updates", B.Source(path=f"{root}/feed", max_files_per_trigger=2), root,
-                             f"{root}/ckpt", {"availableNow": True})
-    B.await_all(spark, queries)
-    seen = sum(c["rows"] for c in C.progress_counters(queries[0]))
-    tables = [spark.read.parquet(f"{root}/{t}/trip_updates").agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(t).alias("table_name"), "rows") for t in ("bronze", "quarantine")]
+    query = B.start_bronze(spark, "trip_updates", B.Source(path=f"{root}/feed", max_files_per_trigger=2), root,
+                           f"{root}/ckpt", {"availableNow": True})
+    B.await_all(spark, [query])
+    seen = sum(c["rows"] for c in C.progress_counters(query))
+    tables = [read(spark, root, "trip_updates").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(t).alias("table_name"), "rows") for t, read in (("bronze", B.read_bronze), ("quarantine", B.read_quarantine))]
     return tables[0].unionByName(tables[1]).unionByName(
         spark.createDataFrame([("progress", seen)], "table_name string, rows long"))
 

@@ -2,22 +2,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
-def write_layer(df: DataFrame, path: str, date_col: str | None = "event_ts", mode: str = "overwrite") -> None:
-    """Parquet table, partitioned by service date when the layer has a time
-    column (later date filters prune whole directories). Overwrite is
-    dynamic: only the dates present in ``df`` are replaced."""
-    w = df
+def write_layer(df: DataFrame, path: str, date_col: str | None = "event_ts", mode: str = "overwrite",
+                keep_other_dates: bool = False) -> None:
+    """Parquet table, partitioned by service date when the layer has a time column (later date filters prune whole
+    directories). Overwrite replaces the table; with ``keep_other_dates`` only the dates present in ``df``."""
     if date_col and date_col in df.columns:
-        w = df.withColumn("service_date", F.to_date(F.col(date_col)))
-        (w.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("service_date").parquet(path))
+        (df.withColumn("service_date", F.to_date(F.col(date_col))).write.mode(mode)
+         .option("partitionOverwriteMode", "dynamic" if keep_other_dates else "static")
+         .partitionBy("service_date").parquet(path))
     else:
-        w.write.mode(mode).parquet(path)
+        df.write.mode(mode).parquet(path)
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A layer; with a known schema no file footers are merged, and columns that older files lack are NULL."""
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str = "overwrite") -> None:

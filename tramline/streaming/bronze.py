@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import STREAMS, TOPICS
 from ..sources.streams import decode_json, with_ingest_stamp
@@ -30,7 +31,7 @@ def raw_messages(spark: SparkSession, stream: str, src: Source) -> DataFrame:
                 .option("subscribe", TOPICS[stream]).option("startingOffsets", "latest")
                 .option("failOnDataLoss", "false").load()
                 .select(F.col("value").cast("string").alias("value")))
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if src.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", src.max_files_per_trigger)
     return reader.load(f"{src.path}/{stream}")
@@ -44,26 +45,18 @@ def bronze_stream(raw: DataFrame, stream: str) -> DataFrame:
 
 def start_bronze(spark: SparkSession, stream: str, src: Source, out_root: str, ckpt_root: str,
                  trigger: dict | None = None):
-    """Two exactly-once file sinks from one source: good rows to Bronze,
-    malformed messages to a quarantine table. Returns both queries."""
-    trigger = trigger or {"processingTime": "10 seconds"}
+    """One exactly-once file sink for a topic, read and parsed once: partitioned by whether a message is quarantined
+    (malformed; its raw text is kept) and by event date, so that good rows, malformed messages and date ranges are
+    read apart."""
     typed = bronze_stream(raw_messages(spark, stream, src), stream)
-    good = typed.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = typed.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record", "ingested_ts")
-    q_good = (good.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", f"{ckpt_root}/bronze_{stream}")
-              .trigger(**trigger).start(f"{out_root}/bronze/{stream}"))
-    q_bad = (bad.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", f"{ckpt_root}/quarantine_{stream}")
-             .trigger(**trigger).start(f"{out_root}/quarantine/{stream}"))
-    return q_good, q_bad
+    dealt = typed.withColumns({"quarantined": F.col("_corrupt_record").isNotNull(), "event_date": F.to_date("event_ts")})
+    return (dealt.writeStream.format("parquet").outputMode("append").partitionBy("quarantined", "event_date")
+            .option("checkpointLocation", f"{ckpt_root}/bronze_{stream}")
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start(f"{out_root}/bronze/{stream}"))
 
 
 def start_all(spark: SparkSession, src: Source, out_root: str, ckpt_root: str, trigger: dict | None = None):
-    qs = []
-    for stream in STREAMS:
-        qs.extend(start_bronze(spark, stream, src, out_root, ckpt_root, trigger))
-    return qs
+    return [start_bronze(spark, stream, src, out_root, ckpt_root, trigger) for stream in STREAMS]
 
 
 def await_all(spark: SparkSession, queries, timeout_s: float | None = None) -> None:
@@ -87,9 +80,28 @@ def await_all(spark: SparkSession, queries, timeout_s: float | None = None) -> N
             break
 
 
+def _read(spark: SparkSession, out_root: str, stream: str) -> DataFrame:
+    """By the known schema: no footers are merged, columns that older files lack are NULL."""
+    schema = StructType(list(STREAMS[stream].fields)).add("_corrupt_record", "string").add("ingested_ts", "timestamp") \
+        .add("quarantined", "boolean").add("event_date", "date")
+    return spark.read.schema(schema).parquet(f"{out_root}/bronze/{stream}")
+
+
 def read_bronze(spark: SparkSession, out_root: str, stream: str) -> DataFrame:
-    """Bronze table read back in batch; new nullable columns merge across files."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{out_root}/bronze/{stream}")
+    """Good rows of a topic, read back in batch."""
+    return good_rows(_read(spark, out_root, stream))
+
+
+def read_quarantine(spark: SparkSession, out_root: str, stream: str) -> DataFrame:
+    """Raw text of the malformed messages of a topic."""
+    return _read(spark, out_root, stream).where("quarantined").select("_corrupt_record", "ingested_ts")
+
+
+def good_rows(bronze: DataFrame) -> DataFrame:
+    """Without the quarantined messages and the sink's own columns, where the table has them."""
+    if "quarantined" in bronze.columns:
+        bronze = bronze.where(~F.col("quarantined"))
+    return bronze.drop("quarantined", "event_date", "_corrupt_record")
 
 
 def write_json_messages(df: DataFrame, path: str, files: int | None = None) -> None:

@@ -38,13 +38,18 @@ def hourly_delay_trend(trip_updates: DataFrame, watermark: str = DEFAULT_WATERMA
 
 def sliding_hotspots(positions: DataFrame, watermark: str = DEFAULT_WATERMARK, length: str = "24 hours",
                      slide: str = "1 hour") -> DataFrame:
+    """Sliding windows over cells. Rows are first summed by cell and slide; a window adds up the sums of its slides, so
+    what is copied into every window is one row per cell and slide."""
     valid = positions.where(F.col("dqr_valid")).withColumn("grid_cell", grid_cell("lat", "lon"))
     if watermark:
         valid = valid.withWatermark("event_ts", watermark)
-    g = valid.groupBy(F.window("event_ts", length, slide), "grid_cell")
-    return g.agg(F.count(F.lit(1)).alias("observations"),
-                 round_metric(F.avg("delay_seconds")).alias("avg_delay_seconds"),
-                 round_metric(F.avg("speed_kmh")).alias("avg_speed_kmh")) \
+    slides = valid.groupBy(F.window("event_ts", slide).alias("slide"), "grid_cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("delay_seconds").alias("delay"), F.count("delay_seconds").alias("n_delay"),
+        F.sum("speed_kmh").alias("speed"), F.count("speed_kmh").alias("n_speed"))
+    g = slides.groupBy(F.window(F.window_time("slide"), length, slide), "grid_cell")
+    return g.agg(F.sum("n").alias("observations"),
+                 round_metric(F.sum("delay") / F.sum("n_delay")).alias("avg_delay_seconds"),
+                 round_metric(F.sum("speed") / F.sum("n_speed")).alias("avg_speed_kmh")) \
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                 "grid_cell", "observations", "avg_delay_seconds", "avg_speed_kmh")
 

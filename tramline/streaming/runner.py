@@ -11,14 +11,34 @@ from ..session import checkpoint_dir
 from . import bronze as B, continuous as C
 
 
+#: Rows of one feed file, and the micro-batches that a feed is dealt over.
+FILE_ROWS = 200_000
+BATCHES = 4
+
+
+def feed_part(ts: str, low: int, high: int):
+    """Number of the micro-batch of a row: equal spans of event time (microseconds) between low and high."""
+    span = max(high - low, 1)
+    return F.least(F.floor((F.unix_micros(ts) - F.lit(low)) * BATCHES / F.lit(span)), F.lit(BATCHES - 1))
+
+
 class StreamRun:
-    def __init__(self, spark: SparkSession, bronze_tables: dict[str, DataFrame], feed_files: int = 4):
+    """A feed that arrives in order of event time, in several micro-batches."""
+
+    def __init__(self, spark: SparkSession, bronze_tables: dict[str, DataFrame]):
         self.spark = spark
         # a fresh folder per run under the shared checkpoint root
         self.root = f"{checkpoint_dir(spark)}/tramline-stream-{uuid.uuid4().hex}"
-        self.src = B.Source(kind="files", path=f"{self.root}/feed")
+        files = 1
         for name, df in bronze_tables.items():
-            B.write_json_messages(df.drop("ingested_ts"), f"{self.root}/feed/{name}", files=feed_files)
+            us = F.unix_micros("event_ts")
+            low, high, n = df.agg(F.min(us), F.max(us), F.count(F.lit(1))).first()
+            files = max(files, -(-n // (BATCHES * FILE_ROWS)))
+            for k in range(BATCHES):  # one write after the other: the source reads files in order of their times
+                part = df.where(F.coalesce(feed_part("event_ts", low or 0, high or 0), F.lit(0)) == k)
+                B.write_json_messages(part.drop("ingested_ts"), f"{self.root}/feed/{name}/part{k}", files=files)
+        self.src = B.Source(kind="files", path=f"{self.root}/feed", max_files_per_trigger=files)
+        self.batches = 0
 
     def typed(self, name: str) -> DataFrame:
         decoded = B.bronze_stream(B.raw_messages(self.spark, name, self.src), name)
@@ -31,16 +51,17 @@ class StreamRun:
         out, ckpt = f"{self.root}/out/{tag}", f"{self.root}/ckpt/{tag}"
         q = (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start(out))
-        q.awaitTermination()
-        if q.exception():
-            raise RuntimeError(str(q.exception()))
-        return self.spark.read.parquet(out)
+        return self._ended(q, out)
 
     def run_foreach(self, df: DataFrame, tag: str, writer_factory, mode: str = "update") -> DataFrame:
         out, ckpt = f"{self.root}/out/{tag}", f"{self.root}/ckpt/{tag}"
         q = (df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
              .foreachBatch(writer_factory(out)).trigger(availableNow=True).start())
+        return self._ended(q, out)
+
+    def _ended(self, q, out: str) -> DataFrame:
         q.awaitTermination()
         if q.exception():
             raise RuntimeError(str(q.exception()))
+        self.batches = sum(p["numInputRows"] > 0 for p in q.recentProgress)
         return self.spark.read.parquet(out)
