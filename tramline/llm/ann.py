@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import arrow_batch, stored
+from .common import arrow_batch, ready, stored
 
 TABLES = 12
 PROBES = 10
@@ -169,6 +169,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """vectors, queries (vec_id, embedding) -> query_id, rank, vec_id, score."""
+    ready(vectors.sparkSession)
     vectors, queries = (df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(
         "vec_id is not null and embedding is not null") for df in (vectors, queries))
     index = lambda n: vectors.mapInArrow(_hasher(range(n), 1), _HASHED_DDL)

@@ -1,8 +1,11 @@
 """Shared helpers: shared-folder tables, words and their hashes, bounded text chunks."""
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +19,8 @@ from ..session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy step works on; memory follows this, not the batch or the table.
 CHUNK_BYTES = 1 << 20
+#: Rows of one Arrow batch, at most: what a task holds of a table with texts of usual length.
+BATCH_ROWS = 2000
 #: Sides of at most this many fixed-width bytes may be broadcast.
 BROADCAST_BYTES = 16 << 20
 
@@ -32,6 +37,26 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ready(spark: SparkSession) -> None:
+    """Prepares a session for this package's Python tasks: lowers the rows of an Arrow batch to BATCH_ROWS (texts are
+    wider than the default assumes) and sends the package's code to the executors, as ``--py-files`` would."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp(prefix='tramline-code-')}/{package.name}_code.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Broadcast hint only for a counted, fixed-width side within BROADCAST_BYTES; otherwise Spark shuffles."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
-from .common import chunks
+from .common import chunks, ready
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -324,6 +324,7 @@ def _encoder(shared) -> Encoder:
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """docs with ``ids`` (array of int), ``n_ids`` and ``decoded``: whether decoding the ids gives the text back
     (U+2581 read as a space)."""
+    ready(docs.sparkSession)
     docs = docs.drop("ids", "n_ids", "decoded")
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model))
     at = docs.columns.index("text")
@@ -347,6 +348,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     """tokens with ``ids`` -> the same rows with ``text`` rebuilt from the ids."""
+    ready(tokens.sparkSession)
     tokens = tokens.drop("text")
     shared = tokens.sparkSession.sparkContext.broadcast(Vocabulary(model))
     at = tokens.columns.index("ids")

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import arrow_batch, chunks, same_type, stored
+from .common import arrow_batch, chunks, ready, same_type, stored
 from .textstats import COUNTS, FEATURES, statistics
 
 #: Labelled rows that the list is learnt from, at most.
@@ -35,6 +35,7 @@ Rule = list[tuple[str, str, float]]
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, COUNTS, FEATURES."""
+    ready(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     schema = pa.schema([("doc_id", same_type(docs, "doc_id"))] + [(c, pa.int64()) for c in COUNTS]
                        + [(f, pa.float64()) for f in FEATURES])

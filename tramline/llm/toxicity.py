@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import NOT_ALNUM, Words, arrow_batch, chunks, crc_remainder, same_type, signed, stored
+from .common import NOT_ALNUM, Words, arrow_batch, chunks, crc_remainder, ready, same_type, signed, stored
 from .quality_rank import newton, sigmoid
 from .textstats import feature_matrix, statistics
 
@@ -132,6 +132,7 @@ def _chosen_words(marked: DataFrame, totals: list[tuple[int, int]]) -> np.ndarra
 
 def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Chain:
     """Chain from a bounded sample of the labelled rows (callers leave held-out labels away)."""
+    ready(docs.sparkSession)
     columns = sorted({c for _, c, _ in CATEGORIES})
     sample = (labels.filter("doc_id is not null").select("doc_id", *columns).distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id", *columns).limit(bound))  # bounded by its limit

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_batch, chunks, same_type, stored
+from .common import arrow_batch, chunks, ready, same_type, stored
 from .url_filter import host_and_path
 
 DEPTH = 64
@@ -427,6 +427,7 @@ class Extractor:
 
 def extract(pages: DataFrame) -> DataFrame:
     """pages (page_id, url, html) -> page_id, url, text, n_chars."""
+    ready(pages.sparkSession)
     pages = pages.select("page_id", "url", "html", host_and_path(F.col("url"))[0].alias("host"))
     found = stored(wrappers(pages), "wrappers")
     schema = pa.schema([("page_id", same_type(pages, "page_id")), ("url", pa.string()), ("text", pa.string()),
