@@ -13,9 +13,11 @@ shingles (64-bit hashes), or the whole sequence as one with fewer words. Documen
    never with each other. Pairs pass the collision-corrected register estimate (0.75 less five standard
    deviations), then the exact comparison of the full sets. Links are contracted to components, and buckets that
    still hold several components get new random hubs.
-4. What hubs leave open is compared in blocks of bounded size: numpy compares registers of two blocks and emits
-   only pairs of different components that pass the estimate, in the first band that they share. So no link
-   between different sets that share a band is lost, and no group is expanded into its pairs.
+4. What hubs leave open is compared in blocks of bounded size. Numpy compares the registers of two blocks; each
+   class gets one row with its partners, those of other components that pass the estimate and first share this
+   band. The sets of these classes then come to the block, where the partners are compared exactly until the class
+   is linked with their component. So no link between different sets that share a band is lost, and pairs never
+   become rows.
 
 Defined results: null text, empty text and text without words have an empty set, are linked with nothing and are
 their own component; rows with equal sets are always linked; a null doc_id is ignored when the smallest id of a
@@ -28,7 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (Words, arrow_batch, chunks, mix64, row_hashes, same_type, signed, small_side, stored, windows)
+from .common import (Words, arrow_batch, chunks, mix64, ready, row_hashes, same_type, signed,
+                     small_side, stored, windows)
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -37,7 +40,7 @@ MANTISSA = 10
 #: Rounds of hubs before the blocks.
 HUB_ROUNDS = 3
 #: Classes of one bucket that are compared at once.
-BLOCK = 512
+BLOCK = 1024
 
 _REST = np.uint64((1 << 57) - 1)
 
@@ -84,14 +87,19 @@ def registers(row: np.ndarray, s: np.ndarray, rows: int) -> np.ndarray:
 
 
 def estimate_passes(ra: np.ndarray, rb: np.ndarray, na, nb) -> np.ndarray:
-    """Whether the collision-corrected Jaccard estimate lies within five standard deviations of the threshold."""
+    """Whether the collision-corrected Jaccard estimate lies within five standard deviations of the threshold.
+
+    The filled buckets pick that many shingles of the union without replacement, so the number of equal registers is
+    hypergeometric."""
     some = (ra > 0) | (rb > 0)
     filled = np.maximum(some.sum(-1), 1)
     equal = ((ra == rb) & some).sum(-1)
     # two unrelated minima meet in a register of relative width 0.72 / 2^MANTISSA
     by_chance = filled * 0.7213 / (1 << MANTISSA) * na * nb / (na + nb) ** 2
     t = THRESHOLD / 100
-    return (equal - by_chance) / filled >= t - 5 * np.sqrt(t * (1 - t) / filled)
+    union = np.maximum((na + nb) / (1 + t), 2)
+    unseen = np.clip((union - filled) / (union - 1), 0, 1)
+    return (equal - by_chance) / filled >= t - 5 * np.sqrt(t * (1 - t) * unseen / filled) - 1e-3
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -146,41 +154,83 @@ def _estimated(batches):
             yield arrow_batch(_PAIRS, part.column(0).filter(ok), part.column(1).filter(ok))
 
 
-def _compare_blocks(batches):
-    """Rows sorted by (band, key, i, j, block): emits open pairs of block i and block j, once for each pair."""
-    held: list[tuple] = []
-    group = None
+_GROUP = ["band", "key", "i", "j"]
+_INVOLVED = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()),
+                       ("node", pa.int64()), ("label", pa.int64()), ("partners", pa.list_(pa.int64()))])
+
+
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    values, size = column.flatten().to_numpy(), column.value_lengths().to_numpy()
+    return np.split(values, np.cumsum(size)[:-1]) if len(size) else []
+
+
+def _groups(batches, width: int):
+    """Consecutive rows with equal first ``width`` columns, as (key, rows); a group may span batches. List columns
+    come as numpy arrays."""
+    group, held = None, []
+    for batch in batches:
+        for row in zip(*[_arrays(c) if pa.types.is_list(c.type) else c.to_pylist() for c in batch.columns]):
+            if row[:width] != group:
+                if held:
+                    yield group, held
+                group, held = row[:width], []
+            held.append(row[width:])
+    if held:
+        yield group, held
+
 
-    def pairs():
+def _compare_blocks(batches):
+    """Rows sorted by (band, key, i, j): the classes of block i and block j that have a partner worth comparing."""
+    for group, held in _groups(batches, 4):
         band, _, i, j = group
-        block = np.array([r[0] for r in held])
-        node, label, size = (np.array([r[k] for r in held]) for k in (1, 2, 3))
+        block, node, label, size = (np.array([r[k] for r in held]) for k in range(4))
         regs = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(-1, BUCKETS)
         keys = np.ascontiguousarray(regs).view("<i8")
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for x in left:
+        right = np.flatnonzero(block == j)
+        partners: dict[int, list[int]] = {}
+        for x in np.flatnonzero(block == i):
             y = right[(label[right] != label[x]) & ((i != j) | (node[right] > node[x]))]
             y = y[100 * np.minimum(size[y], size[x]) >= THRESHOLD * np.maximum(size[y], size[x])]
-            shared = (keys[y] == keys[x]) & (keys[y] != 0)
-            y = y[shared.argmax(1) == band] if len(y) else y
+            if len(y):
+                shared = (keys[y] == keys[x]) & (keys[y] != 0)
+                y = y[shared.argmax(1) == band]
             if len(y):
                 y = y[estimate_passes(regs[y], regs[x], size[y].astype(float), float(size[x]))]
+            if len(y):
+                partners[x] = node[y].tolist()
                 for k in y:
-                    yield min(node[x], node[k]), max(node[x], node[k])
-
-    def flush():
-        found = list(pairs()) if len(held) > 1 else []
-        return arrow_batch(_PAIRS, [p[0] for p in found], [p[1] for p in found]) if found else None
-
-    for batch in batches:
-        for band, key, i, j, *row in zip(*[c.to_pylist() for c in batch.columns]):
-            if (band, key, i, j) != group:
-                if group and (out := flush()) is not None:
-                    yield out
-                held, group = [], (band, key, i, j)
-            held.append(tuple(row))
-    if group and (out := flush()) is not None:
-        yield out
+                    partners.setdefault(k, [])
+        if partners:
+            at, n = list(partners), len(partners)
+            yield arrow_batch(_INVOLVED, [band] * n, [group[1]] * n, [i] * n, [j] * n, node[at], label[at],
+                              list(partners.values()))
+
+
+def _compare_sets(batches):
+    """Rows sorted by (band, key, i, j), with full sets: the links that join components of a block pair."""
+    for _, held in _groups(batches, 4):
+        sets = {node: np.sort(s) for node, _, _, s in held}
+        root = {label: label for _, label, _, _ in held}
+        label = {node: lab for node, lab, _, _ in held}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        links = []
+        for node, own, partners, _ in held:
+            mine = sets[node]
+            for other in partners.tolist():
+                if find(own) != find(label[other]):
+                    theirs = sets[other]
+                    at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                    both = int((mine[at] == theirs).sum())
+                    if 100 * both >= THRESHOLD * (len(mine) + len(theirs) - both):
+                        root[find(own)] = find(label[other])
+                        links.append((min(node, other), max(node, other)))
+        if links:
+            yield arrow_batch(_PAIRS, *zip(*links))
 
 
 # ------------------------------------------------------------------ components
@@ -229,17 +279,15 @@ class _Verifier:
     def __init__(self, classes: DataFrame, sets: DataFrame):
         self.classes, self.sets, self.tested = classes, sets, None
 
-    def __call__(self, pairs: DataFrame, estimated: bool = False) -> DataFrame:
+    def __call__(self, pairs: DataFrame) -> DataFrame:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        if not estimated:
-            for c in ("a", "b"):
-                pairs = pairs.join(self.classes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n{c}"),
-                                                       F.col("registers").alias(f"r{c}")), c)
-            close = 100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb")
-            pairs = pairs.filter(close).select("a", "b", "na", "nb", "ra", "rb").mapInArrow(
-                _estimated, "a long, b long")
-        pairs = stored(pairs, "pairs")
+        for c in ("a", "b"):
+            pairs = pairs.join(self.classes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n{c}"),
+                                                   F.col("registers").alias(f"r{c}")), c)
+        close = 100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb")
+        pairs = stored(pairs.filter(close).select("a", "b", "na", "nb", "ra", "rb").mapInArrow(
+            _estimated, "a long, b long"), "pairs")
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         full = pairs
         for c in ("a", "b"):
@@ -281,14 +329,17 @@ def link_classes(classes: DataFrame, members: DataFrame, sets: DataFrame) -> Dat
              .join(classes.select("node", "n_shingles", "registers"), "node")
              .select(*bucket, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                      "node", "label", "n_shingles", "registers"))
-    pairs = (dealt.repartition(*bucket, "i", "j").sortWithinPartitions(*bucket, "i", "j", "block")
-             .mapInArrow(_compare_blocks, "a long, b long").distinct())
-    links = verify(pairs, estimated=True)
+    kind = "band int, key long, i int, j int, node long, label long, partners array<long>"
+    involved = (dealt.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(_compare_blocks, kind))
+    links = (involved.join(sets, "node").select(*_GROUP, "node", "label", "partners", "shingles")
+             .repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(_compare_sets, "a long, b long"))
+    links = stored(links, "links")
     return labels if links.isEmpty() else _merge(labels, links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_shingles, component_id, kept; one row for each row of docs."""
+    ready(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     arrow = pa.schema([("doc_id", same_type(docs, "doc_id")), ("node", pa.int64()), ("n_shingles", pa.int64()),
