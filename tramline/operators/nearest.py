@@ -30,6 +30,12 @@ def _candidate():
                     F.col("end_time_utc").alias("t"), F.col("_whole").alias("w"))
 
 
+def _no_candidate():
+    null = F.lit(None)
+    return F.struct(null.cast("double").alias("d"), null.cast("string").alias("e"), null.cast("double").alias("i"),
+                    null.cast("timestamp").alias("s"), null.cast("timestamp").alias("t"), null.cast("boolean").alias("w"))
+
+
 def _cells(u: str, v: str, size: float):
     return F.floor(F.col(u) / size), F.floor(F.col(v) / size)
 
@@ -45,28 +51,33 @@ def candidate_events(places: DataFrame, events: DataFrame, cell_km: float = CELL
         ((F.col("start_time_utc") <= F.col("_hour")) & (F.col("end_time_utc") >= hour_end)).alias("_whole"))
     active = active.where(F.col("_eu").isNotNull() & F.col("_ev").isNotNull())
     pu, pv = tangent_plane_km("_lat", "_lon")
-    open_ = places.join(active.select("_hour").distinct(), "_hour", "left_semi").select(
-        *_PLACE, pu.alias("_pu"), pv.alias("_pv"))
+    nothing = F.array(_no_candidate())  # only its type matters
+    state = places.join(active.select("_hour").distinct(), "_hour", "left_semi").select(
+        *_PLACE, pu.alias("_pu"), pv.alias("_pv"), F.when(F.lit(False), nothing).alias("near"))
     around = F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    found = []
+    nowhere = F.array(F.struct(F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b")))
+    place = [*_PLACE, "_pu", "_pv"]
+    # decided places pass through the later rounds as one row that meets nothing, so every round is evaluated once
     for r in range(rounds):
         size = cell_km * GROWTH ** r
         cu, cv = _cells("_eu", "_ev", size)
         cells = active.withColumn("_cu", cu).withColumn("_cv", cv)
         qu, qv = _cells("_pu", "_pv", size)
-        probes = open_.withColumn("_o", F.explode(around)).withColumn("_cu", qu + F.col("_o.a")) \
-            .withColumn("_cv", qv + F.col("_o.b")).drop("_o")
-        met = probes.join(cells, ["_hour", "_cu", "_cv"], "left").groupBy(*_PLACE, "_pu", "_pv").agg(
+        probes = state.withColumn("_o", F.explode(F.when(F.col("near").isNull(), around).otherwise(nowhere))) \
+            .withColumn("_cu", qu + F.col("_o.a")).withColumn("_cv", qv + F.col("_o.b")).drop("_o")
+        met = probes.join(cells, ["_hour", "_cu", "_cv"], "left").groupBy(*place).agg(
+            F.any_value("near").alias("near"),
             F.collect_list(F.when(F.col("event_id").isNotNull(), _candidate())).alias("_all"))
-        nearest = F.array_min(F.transform(F.filter("_all", lambda x: x["w"] & (x["d"] < size)), lambda x: x["d"]))
-        met = met.withColumn("_bound", nearest)
-        found.append(met.where(F.col("_bound").isNotNull()).select(*_PLACE, F.array_sort(
-            F.filter("_all", lambda x: x["d"] <= F.col("_bound"))).alias("near")))
-        open_ = met.where(F.col("_bound").isNull()).select(*_PLACE, "_pu", "_pv")
-    rest = open_.join(active, "_hour").groupBy(*_PLACE).agg(F.array_sort(F.collect_list(_candidate())).alias("near"))
-    for part in found:
-        rest = rest.unionByName(part)
-    return rest
+        bound = F.array_min(F.transform(F.filter("_all", lambda x: x["w"] & (x["d"] < size)), lambda x: x["d"]))
+        state = met.withColumn("_bound", bound).select(*place, F.coalesce("near", F.when(
+            F.col("_bound").isNotNull(),
+            F.array_sort(F.filter("_all", lambda x: x["d"] <= F.col("_bound"))))).alias("near"))
+    last = active.withColumnRenamed("_hour", "_event_hour")
+    rest = state.join(last, (F.col("_hour") == F.col("_event_hour")) & F.col("near").isNull(), "left")
+    return rest.groupBy(*_PLACE).agg(
+        F.any_value("near").alias("near"),
+        F.collect_list(F.when(F.col("event_id").isNotNull(), _candidate())).alias("_all")).select(
+        *_PLACE, F.coalesce("near", F.array_sort("_all")).alias("near"))
 
 
 def with_nearest_event(points: DataFrame, events: DataFrame, lat: str = "stop_lat", lon: str = "stop_lon",
