@@ -71,3 +71,21 @@ def test_sample_pages_against_a_plain_reading(spark):
 
 def test_empty_table(spark):
     assert wrapper.extract(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_layouts_of_one_host_keep_their_own_text(spark):
+    old = [page(k, f"<div class=text><h1>Old {k}</h1><p>Body of old page {k}</p></div>") for k in range(3)]
+    new = [page(k, f"<div>Unlabelled {k}</div><article><h1>New {k}</h1><p>Body of new page {k}</p></article>")
+           for k in range(3, 6)]
+    none = [(None, f"<article><p>Article {k}</p></article>" if k % 2 else f"<div><p>Block {k}</p></div>") for k in range(6)]
+    got = texts(spark, old + new + none)
+    assert got == ({k: f"Old {k}\nBody of old page {k}" for k in range(3)}
+                   | {k: f"New {k}\nBody of new page {k}" for k in range(3, 6)}
+                   | {6 + k: f"{'Article' if k % 2 else 'Block'} {k}" for k in range(6)})
+
+
+def test_headline_and_lead_beside_a_long_body_stay(spark):
+    long = " and so on" * 40
+    pages = [page(k, f"<div class=top><h1>Headline {k}</h1><p>Lead of {k}</p></div>"
+                     f"<div class=body><p>Body {k}{long}</p></div>") for k in range(4)]
+    assert texts(spark, pages) == {k: f"Headline {k}\nLead of {k}\nBody {k}{long}" for k in range(4)}

@@ -3,9 +3,9 @@
 Every page's block elements form a tree (runs of equal siblings folded into one repeated node). The trees of a
 host's pages are aligned by simple tree matching into one template. A template node whose text is the same on
 different pages is template; the others are slots. Slots below boilerplate elements (by element, class, id or role)
-and link lists are left out; the content is the slots within the template's articles, or, without one, within the
-smallest subtree that holds most of the slots' text. Each page is then aligned with its host's template, and the
-blocks that fall into content slots are its text, in page order.
+and link lists are left out; all others may be content. Each page is then aligned with its host's template, and the
+blocks that fall into such slots are its text, in page order: of a page that has some within its own articles only
+those, of any other page all.
 
 Learning covers all pages: node statistics are summed by (host, page shape, node) with partial aggregation, a
 host's shapes are folded one after another (never held together with its pages), and the wrappers (one small row
@@ -32,8 +32,6 @@ from .url_filter import host_and_path
 DEPTH = 64
 #: Share of a slot's text inside links from which it is a link list.
 LINKS = 0.5
-#: Share of the slots' text that the content subtree keeps when there is no article.
-MOST = 0.7
 #: Page shapes whose alignment a task remembers.
 SHAPES_KEPT = 10_000
 
@@ -288,36 +286,17 @@ def align(node: Node, tree: tuple, grow: bool) -> list[Node | None]:
 
 
 def mark_content(root: Node) -> None:
-    """Sets ``content`` on the slots that hold main text."""
-    slots: list[tuple[Node, tuple[Node, ...]]] = []
-
-    def walk(node: Node, above: tuple[Node, ...], in_article: bool):
-        node.content = False
+    """Sets ``content`` on the slots that may hold main text."""
+    def walk(node: Node, in_article: bool):
         tag, *words = node.label.split(".")
         in_article = in_article or tag in ARTICLE
         if _boilerplate(node.label) or not in_article and (tag in HEADER or any(w in HEADER for w in words)):
             return
-        if node.low is not None and not node.constant() and node.links <= LINKS * node.chars:
-            slots.append((node, above + (node,)))
+        node.content = node.low is not None and not node.constant() and node.links <= LINKS * node.chars
         for kid in node.kids:
-            walk(kid, above + (node,), in_article)
-
-    walk(root, (), False)
-    inside = [(n, path) for n, path in slots if any(p.label.split(".")[0] in ARTICLE for p in path)]
-    if not inside:
-        chars: dict[int, int] = {}
-        for n, path in slots:
-            for p in path:
-                chars[id(p)] = chars.get(id(p), 0) + n.chars
-        region = root
-        while True:
-            down = [k for k in region.kids if chars.get(id(k), 0) > MOST * chars.get(id(root), 0)]
-            if not down or down[0].label.split(".")[0] in ("p", "li", "h1", "h2", "pre", "td"):
-                break
-            region = down[0]
-        inside = [(n, path) for n, path in slots if region in path]
-    for n, _ in inside:
-        n.content = True
+            walk(kid, in_article)
+
+    walk(root, False)
 
 
 def _dump(node: Node) -> list:
@@ -402,12 +381,26 @@ def wrappers(pages: DataFrame) -> DataFrame:
             .mapInArrow(_fold, "host string, wrapper string"))
 
 
+def _in_article(tree: tuple) -> list[bool]:
+    """Whether each node of the tree is or stands below an article, in order of their beginnings."""
+    out: list[bool] = []
+
+    def walk(tree: tuple, inside: bool):
+        inside = inside or tree[0].split(".")[0] in ARTICLE
+        out.append(inside)
+        for sub in tree[1]:
+            walk(sub, inside)
+
+    walk(tree, False)
+    return out
+
+
 class Extractor:
     """Main text by wrapper; remembers templates and alignments."""
 
     def __init__(self):
         self.roots: dict[str | None, Node] = {}
-        self.known: dict[tuple, list[bool]] = {}
+        self.known: dict[tuple, tuple[list[bool], list[bool]]] = {}
 
     def text(self, wrapper: str | None, source: str) -> str:
         page = Page(source)
@@ -420,8 +413,11 @@ class Extractor:
                 self.roots, self.known = {}, {}
             if wrapper not in self.roots:
                 self.roots[wrapper] = _load(json.loads(wrapper))
-            self.known[key] = [n is not None and n.content for n in align(self.roots[wrapper], tree, False)]
-        content = self.known[key]
+            content = [n is not None and n.content for n in align(self.roots[wrapper], tree, False)]
+            self.known[key] = content, [a and b for a, b in zip(content, _in_article(tree))]
+        content, inside = self.known[key]
+        if any(inside[number[k]] for k, _, _ in page.blocks):
+            content = inside
         return "\n".join(block for k, block, _ in page.blocks if content[number[k]])
 
 
