@@ -89,3 +89,18 @@ def test_headline_and_lead_beside_a_long_body_stay(spark):
     pages = [page(k, f"<div class=top><h1>Headline {k}</h1><p>Lead of {k}</p></div>"
                      f"<div class=body><p>Body {k}{long}</p></div>") for k in range(4)]
     assert texts(spark, pages) == {k: f"Headline {k}\nLead of {k}\nBody {k}{long}" for k in range(4)}
+
+
+def test_copies_of_an_article_under_varying_boilerplate_keep_it(spark):
+    around = "<nav>Menu {k}</nav><div class=ad>Buy {k}</div><span>May {k}</span>{x}<footer>F {k}</footer>"
+    article = "<article><h1>Title</h1><p>Words of the article</p></article>"
+    plain = "<div><h1>Title</h1><p>Words of the only article</p><blockquote>Cited words</blockquote></div>"
+    copies = [page(k, around.format(k=k, x=article)) for k in range(8)]
+    other = [(f"http://plain.example/{k}", around.format(k=k, x=plain)) for k in range(8)]
+    # a branch of the template that only copies of one article have
+    branch = [(f"http://branch.example/{k}", around.format(k=k, x=f"<article><p>Story {k}</p></article>" if k < 8 else
+               "<article><p>Story 9</p><blockquote>Said once</blockquote></article>")) for k in range(12)]
+    got = texts(spark, copies + other + branch)
+    assert {got[k] for k in range(8)} == {"Title\nWords of the article"}
+    assert all(got[8 + k].endswith("Title\nWords of the only article\nCited words") for k in range(8))
+    assert {got[16 + k] for k in range(8, 12)} == {"Story 9\nSaid once"} and got[16] == "Story 0"

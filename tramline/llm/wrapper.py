@@ -2,7 +2,9 @@
 
 Every page's block elements form a tree (runs of equal siblings folded into one repeated node). The trees of a
 host's pages are aligned by simple tree matching into one template. A template node whose text is the same on
-different pages is template; the others are slots. Slots below boilerplate elements (by element, class, id or role)
+pages with three or more different articles is template; the others are slots. What tells articles apart is a page's long
+blocks outside of boilerplate elements, within its articles if it has some there: copies of one article under other
+menus, adverts or dates are one. Slots below boilerplate elements (by element, class, id or role)
 and link lists are left out; all others may be content. Each page is then aligned with its host's template, and the
 blocks that fall into such slots are its text, in page order: of a page that has some within its own articles only
 those, of any other page all.
@@ -12,7 +14,8 @@ host's shapes are folded one after another (never held together with its pages),
 for each host) meet the pages by a join whose strategy Spark picks from the written table's size.
 
 Defined results: a null url belongs to the empty host; null or empty html gives an empty text; pages that repeat
-say nothing about what is constant (their texts are equal, so a host with one distinct page has no template text);
+an article say nothing about what is constant (a host or branch with fewer than three articles has no template
+text);
 unclosed, misnested and cut-off markup is read as far as it goes; blocks nested deeper than ``DEPTH`` belong to
 their ancestor at that depth; an empty table gives an empty result; other columns are ignored.
 """
@@ -32,6 +35,8 @@ from .url_filter import host_and_path
 DEPTH = 64
 #: Share of a slot's text inside links from which it is a link list.
 LINKS = 0.5
+#: Blocks of at least this share of a page's longest one tell its article.
+LONG = 0.25
 #: Page shapes whose alignment a task remembers.
 SHAPES_KEPT = 10_000
 
@@ -189,6 +194,18 @@ class Page:
                 number[c], last = at, trees[c]
         return trees[0], number
 
+    def article(self) -> int:
+        """Hash (32 bits) of the long blocks outside of boilerplate, of those within an article where there are such."""
+        inside, out = [False] * len(self.labels), [False] * len(self.labels)
+        for k, label in enumerate(self.labels):
+            above = self.parents[k]
+            inside[k] = label.split(".")[0] in ARTICLE or above >= 0 and inside[above]
+            out[k] = _left_out(label, inside[k]) or above >= 0 and out[above]
+        blocks = [b for b in self.blocks if not out[b[0]]]
+        blocks = [b for b in blocks if inside[b[0]]] or blocks
+        least = LONG * max((len(text) for _, text, _ in blocks), default=0)
+        return _hash("\n".join(text for _, text, _ in blocks if len(text) >= least)) & 0xFFFFFFFF
+
     def texts(self, number: list[int]) -> dict[int, tuple[str, int]]:
         """Text and linked characters of each folded node that has some."""
         out: dict[int, tuple[str, int]] = {}
@@ -203,6 +220,12 @@ def _boilerplate(label: str) -> bool:
     return tag in BOILERPLATE or tag not in _WHOLE and any(w in BOILERPLATE_WORDS for w in words)
 
 
+def _left_out(label: str, in_article: bool) -> bool:
+    """Boilerplate, or a header that belongs to no article."""
+    tag, *words = label.split(".")
+    return _boilerplate(label) or not in_article and (tag in HEADER or any(w in HEADER for w in words))
+
+
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -211,26 +234,31 @@ def _hash(text: str) -> int:
 class Node:
     """Template node: children, and what its pages have there."""
 
-    __slots__ = ("label", "kids", "low", "high", "first_page", "last_page", "chars", "links", "content")
+    __slots__ = ("label", "kids", "low", "high", "first", "last", "total", "pages", "chars", "links", "content")
 
     def __init__(self, label: str):
         self.label, self.kids = label, []
-        self.low = self.high = self.first_page = self.last_page = None
-        self.chars = self.links = 0
+        self.low = self.high = self.first = self.last = None
+        self.total = self.pages = self.chars = self.links = 0
         self.content = False
 
-    def see(self, low, high, first_page, last_page, chars, links):
+    def see(self, low, high, first, last, total, pages, chars, links):
+        """low, high: least and largest hash of the text; first, last, total: least, largest and sum of the articles' hashes."""
         if self.low is None:
-            self.low, self.high, self.first_page, self.last_page = low, high, first_page, last_page
+            self.low, self.high, self.first, self.last = low, high, first, last
         else:
             self.low, self.high = min(self.low, low), max(self.high, high)
-            self.first_page, self.last_page = min(self.first_page, first_page), max(self.last_page, last_page)
+            self.first, self.last = min(self.first, first), max(self.last, last)
+        self.total += total
+        self.pages += pages
         self.chars += chars
         self.links += links
 
     def constant(self) -> bool:
-        """The same text on pages that differ."""
-        return self.low == self.high and self.first_page != self.last_page
+        """The same text with three or more articles: if only the first and the last hash come, the sum is first * pages
+        and a multiple of their difference."""
+        return (self.low == self.high and self.first != self.last
+                and (self.total - self.first * self.pages) % (self.last - self.first) != 0)
 
 
 def _match(node: Node, tree: tuple, memo: dict) -> int:
@@ -288,9 +316,8 @@ def align(node: Node, tree: tuple, grow: bool) -> list[Node | None]:
 def mark_content(root: Node) -> None:
     """Sets ``content`` on the slots that may hold main text."""
     def walk(node: Node, in_article: bool):
-        tag, *words = node.label.split(".")
-        in_article = in_article or tag in ARTICLE
-        if _boilerplate(node.label) or not in_article and (tag in HEADER or any(w in HEADER for w in words)):
+        in_article = in_article or node.label.split(".")[0] in ARTICLE
+        if _left_out(node.label, in_article):
             return
         node.content = node.low is not None and not node.constant() and node.links <= LINKS * node.chars
         for kid in node.kids:
@@ -315,9 +342,10 @@ def _tree(data: list) -> tuple:
 
 # ------------------------------------------------------------------ Spark steps
 _SEEN = pa.schema([("host", pa.string()), ("shape", pa.string()), ("node", pa.int32()), ("low", pa.int64()),
-                   ("high", pa.int64()), ("first_page", pa.int64()), ("last_page", pa.int64()), ("chars", pa.int64()),
-                   ("links", pa.int64())])
-_SEEN_DDL = "host string, shape string, node int, low long, high long, first_page long, last_page long, chars long, links long"
+                   ("high", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("total", pa.int64()),
+                   ("pages", pa.int64()), ("chars", pa.int64()), ("links", pa.int64())])
+_SEEN_DDL = ("host string, shape string, node int, low long, high long, first long, last long, total long, "
+             "pages long, chars long, links long")
 
 
 def _observe(batches):
@@ -328,18 +356,18 @@ def _observe(batches):
             page = Page(source or "")
             tree, number = page.shape()
             texts = page.texts(number)
-            whole = _hash("\n".join(b[1] for b in page.blocks))
+            article = page.article()
             for k, (text, links) in texts.items():
                 key = (host, tree, k)
                 if key not in seen:
                     seen[key] = Node("")
                 h = _hash(text)
-                seen[key].see(h, h, whole, whole, len(text), links)
+                seen[key].see(h, h, article, article, article, 1, len(text), links)
         names: dict[tuple, str] = {}
         for _, tree, _ in seen:
             if tree not in names:
                 names[tree] = json.dumps(tree, ensure_ascii=False)
-        rows = [(host, names[tree], k, n.low, n.high, n.first_page, n.last_page, n.chars, n.links)
+        rows = [(host, names[tree], k, n.low, n.high, n.first, n.last, n.total, n.pages, n.chars, n.links)
                 for (host, tree, k), n in seen.items()]
         if rows:
             yield arrow_batch(_SEEN, *zip(*rows))
@@ -375,8 +403,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
     """pages (host, html) -> host, wrapper: one row for each host with text."""
     seen = pages.select("host", "html").mapInArrow(_observe, _SEEN_DDL)
     seen = seen.groupBy("host", "shape", "node").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first_page").alias("first_page"),
-        F.max("last_page").alias("last_page"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+        F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("total").alias("total"),
+        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     return (seen.repartition("host").sortWithinPartitions("host", "shape", "node")
             .mapInArrow(_fold, "host string, wrapper string"))
 
