@@ -60,3 +60,12 @@ def test_save_load_round_trip(spark, trained):
     contract = json.loads(spark.read.text(f"{d}/features").first()[0])
     assert contract["cat_features"] == ml.CAT_FEATURES and contract["bucket_map"]["severe"] == 2
     assert spark.read.json(f"{d}/metrics").count() > 0
+
+
+def test_registered_queries_train_the_whole_ensemble(spark, monkeypatch):
+    from tramline import registry
+    asked = []
+    monkeypatch.setattr(registry, "_ML_CACHE", {})
+    monkeypatch.setattr(ml, "train", lambda features, p=None: asked.append(p or ml.ModelParams()))
+    registry._models(spark, SF_SMALL)
+    assert [p.n_estimators for p in asked] == [300]

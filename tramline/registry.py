@@ -605,7 +605,6 @@ def q_stream_capped(spark, sf):
 
 
 # -------------------------------------------------------------------------- ML
-ML_CHECK_TREES = 20  # the registered run is a short ensemble; the training job's default is 300 trees
 _ML_CACHE: dict = {}
 
 
@@ -614,7 +613,7 @@ def _models(spark, sf):
     key = (id(spark), sf)
     if key not in _ML_CACHE:
         _ML_CACHE.clear()
-        _ML_CACHE[key] = ml.train(wh(spark, sf).ml_features, ml.ModelParams(n_estimators=ML_CHECK_TREES))
+        _ML_CACHE[key] = ml.train(wh(spark, sf).ml_features)
     return _ML_CACHE[key]
 
 
