@@ -73,3 +73,9 @@ def test_empty_table(spark):
 def test_rotation_keeps_lengths(d):
     x = np.random.default_rng(d).normal(size=(5, d))
     assert np.allclose(np.linalg.norm(ann.rotated(x, 3), axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_repeated_rows_of_a_near_vector_push_nothing_out(spark):
+    rows = [(100, [1.0, 0.0], 0)] + [(1, [1.0, 0.01], 0)] * 60 + [(k, [1.0, 0.02 * k], 0) for k in range(2, 30)]
+    got = {r["rank"]: r.vec_id for r in run(spark, rows) if r.query_id == 100}
+    assert got == {k: k for k in range(1, 11)}

@@ -117,16 +117,18 @@ def _nearest_in_blocks(k: int):
         if not index or not queries:
             return
         ids = np.array([r[0] for r in index])
+        repeated = len(np.unique(ids)) < len(ids)
         x = np.frombuffer(b"".join(r[1] for r in index)).reshape(-1, d)
         out = []
         for q, raw in queries:
             dist = np.sqrt(np.square(x - np.frombuffer(raw)).sum(1))
             near = np.flatnonzero(ids != q)
+            if repeated:  # a vec_id that comes again counts once, where it is nearest
+                near = near[np.lexsort((dist[near], ids[near]))]
+                near = near[np.unique(ids[near], return_index=True)[1]]
             if len(near) > 4 * k:
                 near = near[dist[near] <= np.partition(dist[near], k - 1)[k - 1]]
-            near = near[np.lexsort((ids[near], dist[near]))]
-            first = np.unique(ids[near], return_index=True)[1]  # a vec_id that comes again counts once
-            near = near[np.sort(first)][:k]
+            near = near[np.lexsort((ids[near], dist[near]))][:k]
             out.append((np.full(len(near), q), ids[near], dist[near]))
         yield arrow_batch(_FOUND, *(np.concatenate(c) for c in zip(*out)))
 
