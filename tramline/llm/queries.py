@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, minhash, mixing, pieces, quality_rank, quality_rules, suffix_tree, toxicity, url_filter, wrapper)
+from . import (ann, minhash, mixing, pieces, quality_rank, quality_rules, runs, suffix_tree, toxicity, url_filter,
+               wrapper)
 from .common import table
 
 
@@ -50,6 +51,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, url_filter.RULES))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.collapse(runs.planted(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
