@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, minhash, mixing, pieces, quality_rank, quality_rules, runs, suffix_tree, toxicity, url_filter,
+from . import (ann, lemp, minhash, mixing, mtree, pieces, quality_rank, quality_rules, runs, suffix_tree, toxicity, url_filter,
                wrapper)
 from .common import table
 
@@ -51,13 +51,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, url_filter.RULES))
 
 
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return mtree.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.collapse(runs.planted(table(spark, sf_dir, "documents"))))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mixing": mixing.ORACLE_SQL, "op10_url_filter": url_filter.ORACLE_SQL}
+    return {"op8_source_mixing": mixing.ORACLE_SQL, "op10_url_filter": url_filter.ORACLE_SQL,
+            "op11_top_products": mtree.ORACLE_SQL, "op13_ranked_search": lemp.ORACLE_SQL}
