@@ -104,6 +104,7 @@ def fragments(codes: np.ndarray, octaves: list[int], low: int = 0, high: int | N
     pad = -1 - np.arange(2 * margin)  # unlike any word and each other
     s = np.concatenate([pad[:margin], codes, pad[margin:]]).astype(np.int64)
     found, grams = [], {}
+    reach = np.zeros(len(s) + 1, np.int64)  # where the stretches of smaller periods end that begin here or before
     for b in octaves:
         g = min(GRAM, 2 * b)
         if g not in grams:
@@ -114,9 +115,13 @@ def fragments(codes: np.ndarray, octaves: list[int], low: int = 0, high: int | N
         for shift in (0, -g):  # the stretch after the boundary, and the one before it
             there = h[start + shift + b:start + shift + b + n * b].reshape(n, b)
             hit |= (there == h[c + shift][:, None]).any(1)
-        for at in c[hit].tolist():
-            found += _at_boundary(s, at, b)
-    return stitched([(q, a - margin, e - margin) for q, a, e in found])
+        # all within a stretch of a smaller period, the periods of the octave are multiples of that one
+        hit &= np.maximum.accumulate(reach)[c - 2 * b] < c + 4 * b
+        new = stitched([piece for at in c[hit].tolist() for piece in _at_boundary(s, at, b)])
+        for q, a, e in new:
+            reach[a] = max(reach[a], e + q)
+        found += new
+    return sorted((q, a - margin, e - margin) for q, a, e in found)
 
 
 def stitched(pieces: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -307,10 +312,10 @@ def planted(docs: DataFrame) -> DataFrame:
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10)
     words, n = F.col("_w"), F.size("_w")
-    a = F.pmod(g, n)
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
-    i_word = lambda i: F.get(words, F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int"))
-    laid = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), i_word), " ")
+    a = F.pmod(g, n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    laid = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
     chosen = F.coalesce(h % 10 == 0, F.lit(False)) & F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     return docs.withColumn("_w", F.when(chosen, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).select(
         "doc_id", F.when(F.col("_w").isNotNull(), laid).otherwise(F.col("text")).alias("text"))
