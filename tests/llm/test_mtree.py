@@ -67,13 +67,17 @@ def test_tree_invariants_and_saved_distances():
     tree = mtree.Tree(x.shape[1], [(p, parent, o.tobytes(), r, t, *((None,) * 3 if rows is None else (
         ids[rows].tobytes(), x[rows].tobytes(), dist.tobytes()))) for p, parent, o, r, t, rows, dist in pages])
     total = 0
-    for q in range(0, 5000, 250):
-        found, computed = tree.search(q, x[q], m, 5, None)
-        score = x @ x[q]
-        score[q] = -1 << 40
-        assert sorted(found, key=lambda f: (-f[0], f[1])) == [(int(score[k]), int(k)) for k in np.lexsort((ids, -score))[:5]]
+    for low in range(0, 5000, 500):  # blocks of near and of mixed queries
+        who = np.arange(low, low + 500, 50)
+        found, computed = tree.search(who, x[who], m, 5, [None] * len(who))
+        for q, mine in zip(who, found):
+            score = x @ x[q]
+            score[q] = -1 << 40
+            assert sorted(mine, key=lambda f: (-f[0], f[1])) == [(int(score[k]), int(k)) for k in np.lexsort((ids, -score))[:5]]
         total += computed
-    assert total < 0.5 * 20 * len(x)
+    assert total < 0.7 * 100 * len(x)
+    alone = sum(tree.search(np.array([q]), x[[q]], m, 5, [None])[1] for q in range(0, 5000, 250))
+    assert alone < 0.5 * 20 * len(x)
 
 
 def test_unusable_vectors_ties_and_few_candidates(spark):

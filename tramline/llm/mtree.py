@@ -12,9 +12,10 @@ distance to the page's routing object. All vectors are indexed.
 
 Search: queries travel in blocks. Each block first searches the trees at its nearest routing object, which gives every
 query a threshold, its k-th score there. The top level then tells which other routing objects' covering radii reach
-into a query's ball; only these meet the query. Inside a tree pages are taken from a heap by their least possible
-distance; pages and entries whose parent distance differs from the query's by more than the ball (and their own radius)
-are passed over without computing a distance. Distances are doubles with a slack in their use as bounds; scores are
+into a query's ball; only these meet the query. Inside a tree the queries of a block share one heap: pages are taken by
+the least distance that any of them may find there, and a query takes part in a page while its own ball reaches it; pages
+and entries whose parent distance differs from the query's by more than the ball (and their own radius) are passed over
+without computing a distance. Distances are doubles with a slack in their use as bounds; scores are
 exact integers and alone decide, so the result is exact.
 
 Defined results: vectors that are null, empty or hold null or non-finite components, vectors whose squared length
@@ -64,13 +65,16 @@ def quantised(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products of int64 rows with a vector or rows."""
-    bound = float(np.square(x.astype(float)).sum(-1).max(initial=0)) * float(np.square(q.astype(float)).sum(-1).max(initial=0))
-    if bound < 2.0 ** 104:  # |x| |q| < 2^52: every partial sum is an exact double
+    """Exact inner products of int64 rows with rows, [x, q]."""
+    if _greatest(x) * _greatest(q) < 2.0 ** 104:  # |x| |q| < 2^52: every partial sum is an exact double
         return (x.astype(float) @ q.astype(float).T).astype(np.int64)
     return x @ q.T
 
 
+def _greatest(x: np.ndarray) -> float:
+    return float(np.square(x.astype(float)).sum(-1).max(initial=0))
+
+
 def lifted(x: np.ndarray, m: int) -> np.ndarray:
     """Rows with the coordinate that gives all of them the squared length m."""
     square = np.square(x).sum(1)
@@ -225,59 +229,71 @@ def index(vectors: DataFrame) -> tuple[DataFrame, DataFrame, Roots]:
 class Tree:
     def __init__(self, d: int, pages: list[tuple]):
         self.d = d
-        self.radius = {p[0]: p[3] for p in pages}
-        self.routing = {p[0]: np.frombuffer(p[2], np.int64) for p in pages}
-        self.to_parent = {p[0]: p[4] for p in pages}
-        self.children: dict[int, list[int]] = {}
-        self.leaf = {}
-        for page, parent, _, _, _, ids, vecs, to_page in pages:
-            self.children.setdefault(parent, []).append(page)
+        self.root = np.frombuffer(next(p[2] for p in pages if p[0] == 0), np.int64)[None, :]
+        self.leaf, children = {}, {}
+        for page, parent, routing, radius, to_parent, ids, vecs, to_page in pages:
+            children.setdefault(parent, []).append((page, routing, radius, to_parent))
             if ids is not None:
                 self.leaf[page] = (np.frombuffer(ids, np.int64), _matrix([vecs], d), np.frombuffer(to_page))
-        self.inner = {p: (np.array(c), np.stack([self.routing[k] for k in c]), np.array([self.radius[k] for k in c]),
-                          np.array([self.to_parent[k] for k in c])) for p, c in self.children.items()}
-
-    def search(self, own: int, q: np.ndarray, m: int, k: int, least: int | None) -> tuple[list[tuple[int, int]], int]:
-        """((score, vec_id) of the k best, or of those as good as ``least``; distances computed)."""
-        square, eps = int(np.square(q).sum()), slack(m)
-        away = lambda score: np.sqrt(np.maximum(float(m) + square - 2 * np.asarray(score, float), 0))
-        best: dict[int, int] = {}
-        ball = float(away(least)) + eps if least is not None else math.inf
-        kth = least
-        # the root page's routing object is the parent of the first entries
-        heap = [(0.0, 0, float(away(int(self.routing[0] @ q))))]
-        computed = 1
+        self.inner = {p: (np.array([c[0] for c in cs]), _matrix([c[1] for c in cs], d), np.array([c[2] for c in cs]),
+                          np.array([c[3] for c in cs])) for p, cs in children.items()}
+
+    def search(self, own: np.ndarray, q: np.ndarray, m: int, k: int, least: list) -> tuple[list[list[tuple[int, int]]], int]:
+        """For each query of a block the (score, vec_id) of its k best, or of those as good as ``least``; and how many
+        distances were computed. Pages come in the order of the least distance that any query may find in them; a query
+        takes part in a page while its own ball reaches it."""
+        square, eps = np.square(q).sum(1).astype(float), slack(m)
+        away = lambda score, who: np.sqrt(np.maximum(m + square[who] - 2 * score.astype(float), 0))
+        everyone = np.arange(len(q))
+        best: list[dict[int, int]] = [{} for _ in everyone]
+        kth = np.array([np.iinfo(np.int64).min if x is None else x for x in least], np.int64)
+        ball = np.where([x is None for x in least], np.inf, away(kth, everyone) + eps)
+        computed = len(q)
+        # (least bound, page, queries, their bounds, their distances to the page's routing object)
+        heap = [(0.0, 0, everyone, np.zeros(len(q)), away(products(q, self.root)[:, 0], everyone))]
         while heap:
-            at_least, page, here = heapq.heappop(heap)
-            if at_least > ball:
+            at_least, page, who, bound, here = heapq.heappop(heap)
+            if at_least > ball.max():
                 break
+            on = bound <= ball[who]
+            who, here = who[on], here[on]
+            if not len(who):
+                continue
             if page in self.leaf:
                 ids, x, to_page = self.leaf[page]
-                near = np.flatnonzero((np.abs(to_page - here) <= ball) & (ids != own))
-                if not len(near):
+                # triangle inequality on stored distances: what it excludes for every query is not computed
+                near = np.abs(to_page[None, :] - here[:, None]) <= ball[who][:, None]
+                rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+                if not len(rows):
                     continue
-                computed += len(near)
-                score = products(x[near], q)
-                good = score >= kth if kth is not None else np.ones(len(near), bool)
-                for s, v in zip(score[good].tolist(), ids[near[good]].tolist()):
-                    best[v] = max(s, best.get(v, s))
-                if len(best) >= k:
-                    ranked = heapq.nsmallest(k, ((-s, v) for v, s in best.items()))
-                    kth = max(-ranked[-1][0], kth) if kth is not None else -ranked[-1][0]
-                    best = {v: -s for s, v in ranked}
-                    ball = float(away(kth)) + eps
+                who = who[rows]
+                computed += len(rows) * len(cols)
+                score = products(q[who], x[cols])
+                good = near[np.ix_(rows, cols)] & (score >= kth[who][:, None]) & (ids[cols][None, :] != own[who][:, None])
+                for r in np.flatnonzero(good.any(1)).tolist():
+                    j, mine = who[r], best[who[r]]
+                    for s, v in zip(score[r, good[r]].tolist(), ids[cols[good[r]]].tolist()):
+                        mine[v] = max(s, mine.get(v, s))
+                    if len(mine) >= k:
+                        ranked = heapq.nsmallest(k, ((-s, v) for v, s in mine.items()))
+                        best[j] = {v: -s for s, v in ranked}
+                        kth[j] = max(kth[j], -ranked[-1][0])
+                        ball[j] = away(kth[j:j + 1], [j])[0] + eps
             else:
                 pages, routing, radius, to_parent = self.inner[page]
-                # triangle inequality on stored distances first
-                on = np.flatnonzero(np.abs(to_parent - here) - radius <= ball)
-                if not len(on):
+                near = np.abs(to_parent[None, :] - here[:, None]) - radius[None, :] <= ball[who][:, None]
+                rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+                if not len(rows):
                     continue
-                computed += len(on)
-                dist = away(products(routing[on], q))
-                low = np.maximum(dist - radius[on], 0)
-                for j in np.flatnonzero(low <= ball).tolist():
-                    heapq.heappush(heap, (float(low[j]), int(pages[on[j]]), float(dist[j])))
-        return [(s, v) for v, s in best.items()], computed
+                who = who[rows]
+                computed += len(rows) * len(cols)
+                dist = away(products(routing[cols], q[who]), who)
+                low = np.where(near[np.ix_(rows, cols)].T, np.maximum(dist - radius[cols][:, None], 0), np.inf)
+                for c, reached in enumerate(low <= ball[who][None, :]):
+                    if reached.any():
+                        heapq.heappush(heap, (float(low[c, reached].min()), int(pages[cols[c]]), who[reached], low[c, reached],
+                                              dist[c, reached]))
+        return [[(s, v) for v, s in found.items()] for found in best], computed
 
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("computed", pa.int64())])
@@ -286,21 +302,28 @@ _FOUND_DDL = "query_id long, vec_id long, score long, computed long"
 
 def _visit(m: int, k: int):
     """Rows sorted by (d, root, tree, block), pages before queries -> the k best of each query in the tree."""
+    def answer(d, pages, asks):
+        if pages and asks:
+            own = np.array([a[0] for a in asks], np.int64)
+            found, computed = Tree(d, pages).search(own, _matrix([a[1] for a in asks], d), m, k, [a[2] for a in asks])
+            out = [(query, v, s, computed) for query, some in zip(own.tolist(), found) for s, v in some]
+            if out:
+                yield arrow_batch(_FOUND, *zip(*out))
+
     def run(batches):
-        group, pages, tree = None, [], None
+        group, pages, asks = None, [], []
         for batch in batches:
-            out = []
             for d, root, number, block, page, *of_page, query_id, vec, least in zip(*[c.to_pylist() for c in batch.columns]):
                 if (d, root, number, block) != group:
-                    group, pages, tree = (d, root, number, block), [], None
+                    if group:
+                        yield from answer(group[0], pages, asks)
+                    group, pages, asks = (d, root, number, block), [], []
                 if page is not None:
                     pages.append((page, *of_page))
-                    continue
-                tree = tree or Tree(d, pages)
-                found, computed = tree.search(query_id, np.frombuffer(vec, np.int64), m, k, least)
-                out += [(query_id, v, s, computed) for s, v in found]
-            if out:
-                yield arrow_batch(_FOUND, *zip(*out))
+                else:
+                    asks.append((query_id, vec, least))
+        if group:
+            yield from answer(group[0], pages, asks)
     return run
 
 
@@ -336,7 +359,7 @@ def _reached(shared, radii: list[tuple[int, int, float]]):
                 q = np.frombuffer(vec, np.int64)
                 there = np.array(sorted(of.get(d, {})), np.int64)
                 square = float(roots.m) + float(np.square(q).sum())
-                dist = np.sqrt(np.maximum(square - 2 * products(roots.ints(d)[there], q).astype(float), 0))
+                dist = np.sqrt(np.maximum(square - 2 * products(roots.ints(d)[there], q[None, :])[:, 0].astype(float), 0))
                 if least is not None:
                     ball = math.sqrt(max(square - 2.0 * least, 0)) + slack(roots.m)
                     there = there[dist - np.array([of[d][int(r)] for r in there]) <= ball]
@@ -363,7 +386,7 @@ def _in_blocks(asks: DataFrame) -> DataFrame:
 
 def visits(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """vectors, queries (vec_id, embedding) -> query_id, vec_id, score, computed: candidates that hold each query's k
-    best, and how many distances the tree that gave them computed for the query."""
+    best, and how many distances the tree that gave them computed for the block."""
     spark = vectors.sparkSession
     ready(spark)
     vectors, queries = (df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(
