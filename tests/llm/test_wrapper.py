@@ -45,9 +45,13 @@ def test_awkward_markup(spark):
         ("http://a/", None), ("http://b/", ""), ("http://c/", "plain < text > &am"), ("http://d/", "<p>cut <b>off"),
         ("http://e/", "<p>x</div></p></article><p class=\"q>broken"), ("http://f/", deep), ("no url", "<p> \n </p>"),
         ("http://g/", "<script>never ends"), ("http://h/", "<article><p>" + "long " * 50_000 + "</p></article>"),
-        ("http://i/", "<body class='page no-sidebar'><p>Kept</p></body>")])
+        ("http://i/", "<body class='page no-sidebar'><p>Kept</p></body>"),
+        ("http://j/", "<h1 title=it's>Head</h1><p>one</p><p title=it's>two</p>"),
+        ("http://k/", "<script data-x=it's>var secret=1;</script><p>one</p>"),
+        ("http://l/", "<p title = 'a > b' lang=\"x>y\">three</p><p class=5\"tall>four</p>")])
     assert got[0] == got[1] == got[6] == got[7] == "" and got[2] == "plain < text > &am" and got[3] == "cut off"
     assert got[4].startswith("x") and got[5] == "deep" and got[8] == ("long " * 50_000).strip() and got[9] == "Kept"
+    assert got[10] == "Head\none\ntwo" and got[11] == "one" and got[12] == "three\nfour"
 
 
 def test_shapes_that_differ_align(spark):

@@ -69,9 +69,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("ul ol dl table html body article section div td th select menu".split())
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)
-  |<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)
+  |<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>=]++|=)*+)(?:>|\Z)
   |</?[A-Za-z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S | re.X)
-_NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 #: Class names that speak about something else on the page (no-sidebar, has-footer).
 _ABOUT = re.compile(r"(?:no|not|has|with|without)[-_]")
