@@ -50,3 +50,13 @@ def test_empty_tables(spark):
     assert url_filter.judge(none, rules).count() == 0
     page = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     assert [r.verdict for r in url_filter.judge(page, rules.limit(0)).collect()] == ["allow"]
+
+
+def test_long_urls_expand_to_the_depth_of_the_rules(spark):
+    url = "http://" + "a." * 5000 + "example.net/en/" + "x/" * 50_000
+    pages = spark.createDataFrame([(1, url), (2, "http://net" + "/" * 30_000)], "page_id long, url string")
+    rules = url_filter.rule_table(spark, url_filter.RULES)
+    host, path = url_filter.host_and_path(url_filter.F.col("url"))
+    assert url_filter.expand(pages.select(host.alias("host"), path.alias("path")), rules).count() <= 2 * 3 * 4
+    assert {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()} == {
+        1: ("example.net/en/", "allow"), 2: ("net/", "block")}

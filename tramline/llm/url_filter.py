@@ -2,7 +2,7 @@
 
 A rule is (action, host, path). Its key is the host joined with the path's directory part (up to the last slash);
 a URL is expanded into the same kind of expressions: every host suffix that starts at a label, joined with the
-empty string and with every directory prefix of its path. Both sides meet on the first 32 bits of the
+empty string and with every directory prefix of its path, as deep as the deepest rule goes. Both sides meet on the first 32 bits of the
 expression's SHA-256; the full digest and the rest of the rule's path are confirmed afterwards, and the longest
 rule wins (host and path together; ties: the longer host, then block before allow).
 
@@ -47,18 +47,27 @@ def hashed_rules(rules: DataFrame) -> DataFrame:
             .withColumn("short", F.substring("digest", 1, 8)))
 
 
-def expand(urls: DataFrame) -> DataFrame:
-    """(host, path) -> one row for each host suffix and directory prefix, with digest and short hash."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    parts = F.split("path", "/")
-    folders = F.transform(F.sequence(F.lit(1), F.size(parts)),
-                          lambda k: F.when(k == 1, F.lit("")).otherwise(
-                              F.concat(F.array_join(F.slice(parts, 1, k - 1), "/"), F.lit("/"))))
+def _slashes(path: str):
+    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+
+
+def _labels(host: str):
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def expand(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path) -> one row for each host suffix and directory prefix that a rule can have, with digest and short
+    hash. No rule has more labels or directories than the deepest one, so longer expressions meet nothing: a URL of any
+    length gives a bounded number of them."""
+    most = lambda count, column: F.greatest(F.lit(1), F.coalesce(
+        rules.select(F.max(count(column))).scalar(), F.lit(1)))
+    labels = F.sequence(F.lit(1), F.least(_labels("host"), most(_labels, "rule_host")))
+    slashes = F.sequence(F.lit(0), F.least(_slashes("path"), most(_slashes, "rule_path")))
+    suffix, folder = F.expr("substring_index(host, '.', -n_labels)"), F.expr("substring_index(path, '/', n_slashes)")
     return (urls.filter(F.col("host") != "")
-            .withColumn("suffix", F.explode(F.array_distinct(suffixes)))
-            .withColumn("folder", F.explode(F.array_distinct(folders)))
+            .withColumn("n_labels", F.explode(labels)).withColumn("n_slashes", F.explode(slashes))
+            .withColumn("suffix", suffix)
+            .withColumn("folder", F.when(F.col("n_slashes") > 0, F.concat(folder, F.lit("/"))).otherwise(F.lit("")))
             .withColumn("digest", _digest(F.concat("suffix", F.lit("\n"), "folder")))
             .withColumn("short", F.substring("digest", 1, 8)))
 
@@ -72,7 +81,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", host.alias("host"), path.alias("path"))
     urls = pages.select("host", "path").distinct()
-    found = (expand(urls).alias("u").join(rules.alias("r"), F.col("u.short") == F.col("r.short"))
+    found = (expand(urls, rules).alias("u").join(rules.alias("r"), F.col("u.short") == F.col("r.short"))
              .filter((F.col("u.digest") == F.col("r.digest")) & F.expr("startswith(u.path, r.rule_path)"))
              .select("u.host", "u.path", "r.action", "r.rule_host", "r.rule_path"))
     best = found.groupBy("host", "path").agg(F.max(F.struct(
