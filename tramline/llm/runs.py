@@ -311,14 +311,18 @@ def planted(docs: DataFrame) -> DataFrame:
     """doc_id, text: where h = crc32(decimal doc_id) ends in 0, the words from a on repeat with period p."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10)
-    words, n = F.col("_w"), F.size("_w")
-    a = F.pmod(g, n).cast("int")
-    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))).cast("int")
-    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
-    laid = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+
+    def laid(words):
+        n = F.size(words)
+        a = F.pmod(g, n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))).cast("int")
+        again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+
     chosen = F.coalesce(h % 10 == 0, F.lit(False)) & F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    return docs.withColumn("_w", F.when(chosen, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).select(
-        "doc_id", F.when(F.col("_w").isNotNull(), laid).otherwise(F.col("text")).alias("text"))
+    # the lambda's variable holds the words, so that a text is split once however often its words are named
+    again = F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), laid)
+    return docs.select("doc_id", F.when(chosen, F.get(again, F.lit(0))).otherwise(F.col("text")).alias("text"))
 
 
 def longest_exponent(runs: str) -> Column:
