@@ -1,6 +1,7 @@
 """Hand-made edge frames for the semantic traps of the reference models."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import Row, functions as F
 
 from tramline.functions import buckets as B, geo as G, timefn as T
@@ -280,3 +281,59 @@ def test_repeated_update_counts_twice_in_live_impact(spark):  # A20
                                "end_time_utc timestamp, event_ts timestamp")
     got = {r["proximity_bucket"]: r["observations"] for r in live.events_impact(tu, pos, ev).collect()}
     assert got == {"within_2km": 2, "far": 2}
+
+
+def test_slices_cover_an_interval_once(spark):  # J5
+    """Every moment meets an interval that holds it once: in one covered slice, or at the slices of its ends."""
+    import random
+    from tramline.operators import slices as S
+    rng = random.Random(1)
+    us = lambda t: dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=t)
+    spans = [(a, a + d) for d in (0, 1, 1 << 23, (1 << 23) * 3 + 5, 10_800_000_000, 40 * 86_400_000_000)
+             for a in (rng.randrange(1 << 50), (rng.randrange(1 << 20) << 23))]
+    ev = spark.createDataFrame([(k, us(a), us(b), a, b) for k, (a, b) in enumerate(spans)],
+                               "k int, s timestamp, e timestamp, a long, b long")
+    got = {r.k: r for r in ev.select("k", "a", "b", S.covered_slices("s", "e").alias("c"), S.edge_slices("s", "e").alias("x")).collect()}
+    for k, (a, b) in enumerate(spans):
+        width = lambda c: 1 << (S.SLICE_BITS + S.RADIX_BITS * c.level)
+        covered = sorted((c.slice * width(c), (c.slice + 1) * width(c)) for c in got[k].c)
+        assert len(covered) <= 14 * S.TOP + 3
+        edges = sorted(got[k].x)
+        assert edges == sorted({a >> S.SLICE_BITS, b >> S.SLICE_BITS})
+        if covered:
+            assert covered[0][0] == (edges[0] + 1) << S.SLICE_BITS and covered[-1][1] == edges[-1] << S.SLICE_BITS
+            assert all(x[1] == y[0] for x, y in zip(covered, covered[1:]))
+        else:
+            assert edges[-1] - edges[0] <= 1
+
+
+def test_many_short_events_far_away(spark):  # J5, J6
+    """A thousand events of minutes in one hour, 90 km from every stop: found by slices and cells, no list of them."""
+    start = TS.replace(minute=0)
+    evs = [(f"E{k:04}", 53.3 + k * 1e-4, 13.4, start + dt.timedelta(seconds=3 * k), start + dt.timedelta(seconds=3 * k + 240),
+            k / 1000, "ACTIVE") for k in range(1000)]
+    pts = [(k, 52.5 + 0.01 * (k % 5), 13.4, start + dt.timedelta(seconds=12 * k)) for k in range(300)]
+    points = spark.createDataFrame(pts, "k int, stop_lat double, stop_lon double, event_ts timestamp")
+    near = nearest_active_event(points, _events(spark, evs), ["k"])
+    assert {r.k: r.nearest_event_id for r in near.collect()} == {
+        k: min(e[0] for e in evs if e[3] <= ts <= e[4]) for k, _, _, ts in pts if any(e[3] <= ts <= e[4] for e in evs)}
+    import inspect
+    from tramline.operators import aggregates, nearest
+    assert "collect_list" not in inspect.getsource(nearest)
+    assert "Window" not in inspect.getsource(aggregates.exact_percentiles) + inspect.getsource(aggregates._narrowed)
+
+
+def test_percentiles_of_a_group_with_many_values(spark):  # A10
+    """Values over many orders of magnitude, ties, a hot group; null and non-finite values take no part."""
+    import numpy as np
+    from tramline.operators.aggregates import exact_percentiles
+    rng = np.random.default_rng(5)
+    values = {"hot": np.concatenate([rng.normal(0, 1e4, 20_000), np.full(500, 3.25), [1e300, -1e300, 1e-300, 0.0]]),
+              "one": np.array([7.5]), "two": np.array([-1.0, 2.0]), None: rng.integers(0, 5, 200).astype(float)}
+    rows_ = [(g, float(v)) for g, vs in values.items() for v in vs] + [("two", None), ("two", float("nan")), ("two", float("inf")), ("gone", None)]
+    df = spark.createDataFrame(rows_, "g string, v double")
+    qs = {"p0": 0.0, "p5": 0.05, "median": 0.5, "p95": 0.95, "p100": 1.0}
+    got = {r["g"]: r for r in rows(exact_percentiles(df, ["g"], "v", qs))}
+    assert set(got) == set(values)
+    for g, vs in values.items():
+        assert [got[g][n] for n in qs] == pytest.approx([float(np.quantile(vs, q)) for q in qs.values()], rel=1e-12)

@@ -1,4 +1,4 @@
-"""Join operators: events by hour, zone/hour weather join, stop segments (LAG)."""
+"""Join operators: zone/hour weather join, stop segments (LAG), the tangent plane of the spatial searches."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -10,25 +10,6 @@ from ..params import CITY_LAT, CITY_LON
 EVENT_COLS = ["event_id", "lat", "lon", "start_time_utc", "end_time_utc", "impact"]
 
 
-def event_hours(events: DataFrame, active_only: bool = True) -> DataFrame:
-    """Active events collapsed to distinct (id, place, interval, impact) and
-    exploded to one row per UTC hour their interval touches.
-
-    Re-emitted copies of an event collapse here, so the interval join below
-    does not multiply by the number of pings. Events without a parsed
-    interval can never match and are dropped up front.
-    """
-    ev = events
-    if active_only:
-        ev = ev.where(F.col("status") == "ACTIVE")
-    ev = (ev.where(F.col("start_time_utc").isNotNull() & F.col("end_time_utc").isNotNull()
-                   & (F.col("start_time_utc") <= F.col("end_time_utc")))
-            .select(*EVENT_COLS).distinct())
-    hours = F.explode(F.sequence(hour_bucket("start_time_utc"), hour_bucket("end_time_utc"),
-                                 F.expr("INTERVAL 1 HOUR")))
-    return ev.select(*EVENT_COLS, hours.alias("_hour"))
-
-
 def with_weather(df: DataFrame, weather_hourly: DataFrame, lat: str, lon: str, ts: str = "event_ts",
                  cols=("zone_id", "temperature_c", "precipitation_mm", "wind_speed_kmh", "humidity_pct", "condition"),
                  city_lat: float = CITY_LAT, city_lon: float = CITY_LON) -> DataFrame:
@@ -41,40 +22,23 @@ def with_weather(df: DataFrame, weather_hourly: DataFrame, lat: str, lon: str, t
     return out.drop("_zone", "_obs_hour", "obs_hour").withColumnRenamed("_w_zone", "zone_id")
 
 
-def stops_in_order(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+def stops_in_order(stop_times: DataFrame, stops: DataFrame, keep: tuple = ()) -> DataFrame:
     """Stops of each trip with their position and the coordinates of the stop before (a trip has tens of stops, so a
-    window over the trip is one shuffle of small groups)."""
+    window over the trip is one shuffle of small groups, and none where stop times are stored by trip). keep: further
+    columns of the stop times."""
     w = Window.partitionBy("trip_id").orderBy("stop_sequence", "stop_id")
-    st = stop_times.select("trip_id", "stop_id", "stop_sequence").join(
+    st = stop_times.select("trip_id", "stop_id", "stop_sequence", *keep).join(
         stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
-    return st.select("trip_id", "stop_id", "stop_sequence", "stop_lat", "stop_lon",
+    return st.select("trip_id", "stop_id", "stop_sequence", *keep, "stop_lat", "stop_lon",
                      F.row_number().over(w).cast("long").alias("position"),
                      F.lag("stop_lat").over(w).alias("prev_stop_lat"), F.lag("stop_lon").over(w).alias("prev_stop_lon"))
 
 
-def stop_segments(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+def stop_segments(stop_times: DataFrame, stops: DataFrame, keep: tuple = ()) -> DataFrame:
     """Per stop time: distance from the previous stop of the same trip (0 for the first stop)."""
     km = F.when(F.col("prev_stop_lat").isNull(), F.lit(0.0)).otherwise(
         haversine_km("prev_stop_lat", "prev_stop_lon", "stop_lat", "stop_lon"))
-    return stops_in_order(stop_times, stops).select("trip_id", "stop_id", "stop_sequence", km.alias("segment_km"))
-
-
-def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "lat", lon: str = "lon",
-                      ts: str = "event_ts") -> DataFrame:
-    """1 + max over active events of (1 - d / r) * impact inside the impact
-    radius (r defaults to 3 km), per point key; 1.0 without events.
-
-    A left join with the events of the point's hour keeps every point, and
-    one aggregation on the point key takes the maximum (no join back)."""
-    from ..functions.geo import event_load_factor as contribution
-    ev = event_hours(events).withColumnRenamed("_hour", "_ev_hour") \
-        .withColumnRenamed("lat", "_ev_lat").withColumnRenamed("lon", "_ev_lon")
-    pts = points.select(*keys, lat, lon, ts).withColumn("_hour", hour_bucket(ts))
-    cond = ((pts["_hour"] == ev["_ev_hour"]) & (ev["start_time_utc"] <= pts[ts]) & (ev["end_time_utc"] >= pts[ts]))
-    pairs = pts.join(ev, cond, "left")
-    d = haversine_km(F.col(lat), F.col(lon), F.col("_ev_lat"), F.col("_ev_lon"))
-    peak = F.max(F.when(F.col("event_id").isNotNull(), contribution(d, F.lit(3.0), F.col("impact"))))
-    return pairs.groupBy(*keys).agg((F.lit(1.0) + F.coalesce(peak, F.lit(0.0))).alias("load_factor"))
+    return stops_in_order(stop_times, stops, keep).select("trip_id", "stop_id", "stop_sequence", *keep, km.alias("segment_km"))
 
 
 # ------------------------------------------------------------------ grid search

@@ -1,106 +1,128 @@
-"""Nearest active event of each point, by place and hour.
-
-Points share places (stops), so candidates are searched once for each distinct (place, hour): events are put into
-grid cells of the tangent plane, and a place probes the 3x3 cells around it, in cells of 1 km, then 4 km, then 16 km
-while nothing decides. A place is decided when an event that lasts the whole hour lies nearer than one cell: every
-event outside the probed cells is farther away, and every farther event is hidden by it for the whole hour. What
-remains after the last round has no such event within 16 km; there the events of the hour are its candidates. The
-points then join the small candidate list of their place and hour, and take the first event whose interval holds
-their time. Points are neither multiplied nor aggregated.
+"""Nearest active event of each point, by aligned time slices and widening cells.
+
+Events are cut into time slices (:mod:`tramline.operators.slices`) and put into square cells of the tangent plane, whose
+distances never exceed the great-circle distance. Points are reduced to distinct (place, time) asks. In a round of
+radius r a place probes the 2 x 2 cells of side 2r around it, which hold every event within r:
+
+* the slices that events cover whole are answered once for each (place, slice), whatever the number of asks in it: the
+  least (distance, event id) of the events there;
+* an ask takes the least of its slices' answers, and of the events that begin or end in its own level-0 slice, compared
+  by time.
+
+An answer within r is final; the other asks go on to the next, wider round, until none is left. The last round reaches
+round the Earth. Everything is an equi-join on (slice, cell) and a ``min`` that is combined before the shuffle: no list
+of events is kept anywhere. Each round is written to the shared folder, so a round is evaluated once.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import haversine_km
-from ..functions.timefn import hour_bucket
-from .joins import event_hours, tangent_plane_km
-
-CELL_KM = 1.0
-GROWTH = 4
-ROUNDS = 3
-
-_PLACE = ["_lat", "_lon", "_hour"]
+from ..session import materialise
+from .joins import EVENT_COLS, tangent_plane_km
+from .slices import covered_slices, edge_slice_of, edge_slices, slices_of
 
+#: Radii of the rounds in km; the last one holds the whole tangent plane.
+RADII_KM = (1.0, 8.0, 64.0, 16384.0)
 
-def _candidate():
-    """Sorts by distance, then event id, then impact."""
-    return F.struct(haversine_km(F.col("_lat"), F.col("_lon"), F.col("_ev_lat"), F.col("_ev_lon")).alias("d"),
-                    F.col("event_id").alias("e"), F.col("impact").alias("i"), F.col("start_time_utc").alias("s"),
-                    F.col("end_time_utc").alias("t"), F.col("_whole").alias("w"))
+_PLACE = ["_lat", "_lon"]
+_ASK = [*_PLACE, "_t"]
 
 
-def _no_candidate():
-    null = F.lit(None)
-    return F.struct(null.cast("double").alias("d"), null.cast("string").alias("e"), null.cast("double").alias("i"),
-                    null.cast("timestamp").alias("s"), null.cast("timestamp").alias("t"), null.cast("boolean").alias("w"))
+def active_intervals(events: DataFrame) -> DataFrame:
+    """Active events collapsed to distinct (id, place, interval, impact): re-emitted copies of an event meet nothing
+    twice. Events without place or parsed interval can never match and are dropped."""
+    eu, ev = tangent_plane_km("lat", "lon")
+    return (events.where((F.col("status") == "ACTIVE") & (F.col("start_time_utc") <= F.col("end_time_utc")))
+            .select(*EVENT_COLS).distinct()
+            .select("event_id", "impact", "start_time_utc", "end_time_utc", F.col("lat").alias("_ev_lat"),
+                    F.col("lon").alias("_ev_lon"), eu.alias("_eu"), ev.alias("_ev"))
+            .where(F.col("_eu").isNotNull() & F.col("_ev").isNotNull()))
 
 
-def _cells(u: str, v: str, size: float):
-    return F.floor(F.col(u) / size), F.floor(F.col(v) / size)
+def _in_cells(df: DataFrame, side: float) -> DataFrame:
+    return df.withColumn("_cu", F.floor(F.col("_eu") / side)).withColumn("_cv", F.floor(F.col("_ev") / side))
 
 
-def candidate_events(places: DataFrame, events: DataFrame, cell_km: float = CELL_KM, rounds: int = ROUNDS) -> DataFrame:
-    """places (_lat, _lon, _hour; distinct) -> the same with ``near``: events in order of distance, up to the first
-    that lasts the whole hour. Places in hours without events are left out."""
-    hour_end = F.col("_hour") + F.expr("INTERVAL 1 HOUR")
-    eu, ev = tangent_plane_km("lat", "lon")
-    active = event_hours(events).select(
-        "event_id", "impact", "start_time_utc", "end_time_utc", "_hour", F.col("lat").alias("_ev_lat"),
-        F.col("lon").alias("_ev_lon"), eu.alias("_eu"), ev.alias("_ev"),
-        ((F.col("start_time_utc") <= F.col("_hour")) & (F.col("end_time_utc") >= hour_end)).alias("_whole"))
-    active = active.where(F.col("_eu").isNotNull() & F.col("_ev").isNotNull())
+def _probes(df: DataFrame, side: float) -> DataFrame:
+    """The 2 x 2 cells around a place."""
     pu, pv = tangent_plane_km("_lat", "_lon")
-    nothing = F.array(_no_candidate())  # only its type matters
-    state = places.join(active.select("_hour").distinct(), "_hour", "left_semi").select(
-        *_PLACE, pu.alias("_pu"), pv.alias("_pv"), F.when(F.lit(False), nothing).alias("near"))
-    around = F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    nowhere = F.array(F.struct(F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b")))
-    place = [*_PLACE, "_pu", "_pv"]
-    # decided places pass through the later rounds as one row that meets nothing, so every round is evaluated once
-    for r in range(rounds):
-        size = cell_km * GROWTH ** r
-        cu, cv = _cells("_eu", "_ev", size)
-        cells = active.withColumn("_cu", cu).withColumn("_cv", cv)
-        qu, qv = _cells("_pu", "_pv", size)
-        probes = state.withColumn("_o", F.explode(F.when(F.col("near").isNull(), around).otherwise(nowhere))) \
-            .withColumn("_cu", qu + F.col("_o.a")).withColumn("_cv", qv + F.col("_o.b")).drop("_o")
-        met = probes.join(cells, ["_hour", "_cu", "_cv"], "left").groupBy(*place).agg(
-            F.any_value("near").alias("near"),
-            F.collect_list(F.when(F.col("event_id").isNotNull(), _candidate())).alias("_all"))
-        bound = F.array_min(F.transform(F.filter("_all", lambda x: x["w"] & (x["d"] < size)), lambda x: x["d"]))
-        state = met.withColumn("_bound", bound).select(*place, F.coalesce("near", F.when(
-            F.col("_bound").isNotNull(),
-            F.array_sort(F.filter("_all", lambda x: x["d"] <= F.col("_bound"))))).alias("near"))
-    last = active.withColumnRenamed("_hour", "_event_hour")
-    rest = state.join(last, (F.col("_hour") == F.col("_event_hour")) & F.col("near").isNull(), "left")
-    return rest.groupBy(*_PLACE).agg(
-        F.any_value("near").alias("near"),
-        F.collect_list(F.when(F.col("event_id").isNotNull(), _candidate())).alias("_all")).select(
-        *_PLACE, F.coalesce("near", F.array_sort("_all")).alias("near"))
+    around = F.array(*[F.struct((F.floor(pu / side - 0.5) + i).alias("u"), (F.floor(pv / side - 0.5) + j).alias("v"))
+                       for i in (0, 1) for j in (0, 1)])
+    return df.withColumn("_c", F.explode(around)).withColumn("_cu", F.col("_c.u")).withColumn("_cv", F.col("_c.v")).drop("_c")
+
+
+def _distance() -> Column:
+    return haversine_km(F.col("_lat"), F.col("_lon"), F.col("_ev_lat"), F.col("_ev_lon"))
+
+
+def around(asks: DataFrame, events: DataFrame, radius_km: float, value: Column, best) -> DataFrame:
+    """asks (_lat, _lon, _t; distinct), events (active_intervals) -> asks with ``best``, an aggregate (min, max) of
+    ``value`` (over _lat, _lon and the event's columns) over the events that are active at the ask's time and lie within
+    the radius; farther ones in the probed cells may take part as well. Asks without any are left out."""
+    side = 2 * radius_km
+    spot = ["level", "slice", "_ev_lat", "_ev_lon"]
+    covered = _in_cells(events.select("*", F.inline(covered_slices("start_time_utc", "end_time_utc"))), side)
+    slices = asks.select(*_ASK, F.inline(slices_of("_t")))
+    shared = _probes(slices.select(*_PLACE, "level", "slice").distinct(), side).join(
+        covered, ["level", "slice", "_cu", "_cv"]).groupBy(*_PLACE, "level", "slice").agg(best(value).alias("best"))
+    by_slice = slices.join(shared, [*_PLACE, "level", "slice"]).select(*_ASK, "best")
+    edges = _in_cells(events.withColumn("slice", F.explode(edge_slices("start_time_utc", "end_time_utc"))), side)
+    by_time = _probes(asks.select(*_ASK, edge_slice_of("_t").alias("slice")), side).join(edges, ["slice", "_cu", "_cv"]).where(
+        (F.col("start_time_utc") <= F.col("_t")) & (F.col("_t") <= F.col("end_time_utc"))).select(*_ASK, value.alias("best"))
+    return by_slice.unionByName(by_time).groupBy(*_ASK).agg(best("best").alias("best"))
+
+
+def asks_of(points: DataFrame, lat: str, lon: str, ts: str) -> DataFrame:
+    return points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), F.col(ts).alias("_t")).where(
+        F.col("_lat").isNotNull() & F.col("_lon").isNotNull() & F.col("_t").isNotNull()).distinct()
+
+
+def nearest_events(asks: DataFrame, events: DataFrame, radii_km: tuple = RADII_KM) -> DataFrame:
+    """Distinct (_lat, _lon, _t) that have an active event -> the same with best (d km, e id, i impact): the nearest
+    one, ties to the smaller id."""
+    events = materialise(active_intervals(events), "events")
+    open_ = materialise(asks, "asks")
+    nearest = F.struct(_distance().alias("d"), F.col("event_id").alias("e"), F.col("impact").alias("i"))
+    decided = None
+    for r in radii_km:
+        found = around(open_, events, r, nearest, F.min)
+        last = r == radii_km[-1]
+        seen = materialise(found if last else open_.join(found, _ASK, "left"), "nearest")
+        final = seen if last else seen.where(F.col("best.d") <= r)
+        decided = final if decided is None else decided.unionByName(final)
+        open_ = seen.where(F.col("best").isNull() | (F.col("best.d") > r)).select(*_ASK)
+        if last or open_.isEmpty():
+            return decided
 
 
 def with_nearest_event(points: DataFrame, events: DataFrame, lat: str = "stop_lat", lon: str = "stop_lon",
-                       ts: str = "event_ts", cell_km: float = CELL_KM, rounds: int = ROUNDS) -> DataFrame:
+                       ts: str = "event_ts", radii_km: tuple = RADII_KM) -> DataFrame:
     """points with event_proximity_km, nearest_impact, nearest_event_id (NULL without an active event); ties in
     distance go to the smaller event id."""
-    places = points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), hour_bucket(ts).alias("_hour")) \
-        .where(F.col("_lat").isNotNull() & F.col("_lon").isNotNull()).distinct()
-    near = candidate_events(places, events, cell_km, rounds)
-    at = points.withColumn("_at_hour", hour_bucket(ts))
-    joined = at.join(near, (at[lat] == near["_lat"]) & (at[lon] == near["_lon"]) & (at["_at_hour"] == near["_hour"]), "left")
-    first = F.get(F.filter("near", lambda x: (x["s"] <= F.col(ts)) & (x["t"] >= F.col(ts))), F.lit(0))
-    return joined.withColumn("_first", first).select(
-        *[at[c] for c in points.columns], F.col("_first.d").alias("event_proximity_km"),
-        F.col("_first.i").alias("nearest_impact"), F.col("_first.e").alias("nearest_event_id"))
+    near = nearest_events(asks_of(points, lat, lon, ts), events, radii_km)
+    joined = points.join(near, (points[lat] == near["_lat"]) & (points[lon] == near["_lon"]) & (points[ts] == near["_t"]), "left")
+    return joined.select(*[points[c] for c in points.columns], F.col("best.d").alias("event_proximity_km"),
+                         F.col("best.i").alias("nearest_impact"), F.col("best.e").alias("nearest_event_id"))
 
 
 def nearest_active_event(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "stop_lat",
-                         lon: str = "stop_lon", ts: str = "event_ts", cell_km: float = CELL_KM,
-                         rounds: int = ROUNDS) -> DataFrame:
+                         lon: str = "stop_lon", ts: str = "event_ts", radii_km: tuple = RADII_KM) -> DataFrame:
     """Closest active event of each point that has one: (keys..., event_proximity_km, nearest_impact,
     nearest_event_id)."""
     columns = list(dict.fromkeys([*keys, lat, lon, ts]))
-    return with_nearest_event(points.select(*columns), events, lat, lon, ts, cell_km, rounds) \
+    return with_nearest_event(points.select(*columns), events, lat, lon, ts, radii_km) \
         .where(F.col("nearest_event_id").isNotNull()) \
         .select(*keys, "event_proximity_km", "nearest_impact", "nearest_event_id")
+
+
+def event_load_factor(points: DataFrame, events: DataFrame, keys: list[str], lat: str = "lat", lon: str = "lon",
+                      ts: str = "event_ts", radius_km: float = 3.0) -> DataFrame:
+    """1 + the greatest (1 - d / radius) * impact of the active events within the radius, per point; 1.0 without any.
+    The same slices and cells as the nearest event, with ``max`` instead of ``min``."""
+    from ..functions.geo import event_load_factor as contribution
+    share = contribution(_distance(), F.lit(radius_km), F.col("impact"))
+    peak = around(asks_of(points, lat, lon, ts), active_intervals(events), radius_km, share, F.max)
+    joined = points.select(*keys, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), F.col(ts).alias("_t")).join(
+        peak, _ASK, "left")
+    return joined.groupBy(*keys).agg((F.lit(1.0) + F.coalesce(F.max("best"), F.lit(0.0))).alias("load_factor"))

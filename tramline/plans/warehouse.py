@@ -93,6 +93,12 @@ class Warehouse:
                                      self.dim_stops, self.dim_trips, self.dim_routes, self.dim_stop_times,
                                      city=self.city)
 
+    @cached_property
+    def fct_without_events(self):
+        """The same fact for marts that read no event column: their plans hold no event search."""
+        return facts.fct_trip_delays(self.stg_trip_updates, None, self.weather_hourly, self.dim_stops, self.dim_trips,
+                                     self.dim_routes, self.dim_stop_times, city=self.city)
+
     @cached_property
     def fct_vehicle_positions(self):
         return facts.fct_vehicle_positions(self.stg_positions, self.weather_hourly, city=self.city)
@@ -104,11 +110,11 @@ class Warehouse:
     # ------------------------------------------------------------------- marts
     @cached_property
     def mart_route_reliability(self):
-        return marts.route_reliability(self.fct_trip_delays)
+        return marts.route_reliability(self.fct_without_events)
 
     @cached_property
     def mart_delay_trends(self):
-        return marts.delay_trends(self.fct_trip_delays)
+        return marts.delay_trends(self.fct_without_events)
 
     @cached_property
     def mart_congestion_hotspots(self):
@@ -116,7 +122,7 @@ class Warehouse:
 
     @cached_property
     def mart_weather_impact(self):
-        return marts.weather_impact(self.fct_trip_delays)
+        return marts.weather_impact(self.fct_without_events)
 
     @cached_property
     def mart_events_impact(self):
