@@ -156,6 +156,26 @@ def city_events_bronze(events: DataFrame) -> DataFrame:
         ts.alias("event_ts"), ts.alias("ingested_ts"))
 
 
+#: Which rows come again, and how many minutes later than the first time.
+CORRECTED_MODULUS, CORRECTED_REST, CORRECTED_MINUTES = 20, 3, 90
+
+
+def with_corrections(bronze: DataFrame, change: dict) -> DataFrame:
+    """A fifth of the rows come again, one to four times, with other values and later arrivals."""
+    text = F.unix_micros("event_ts").cast("string")
+    h = F.conv(F.substring(F.md5(text.cast("binary")), 1, 4), 16, 10).cast("long") % CORRECTED_MODULUS
+    again = bronze.where(h <= CORRECTED_REST).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(4) - h.cast("int"))))
+    later = F.col("ingested_ts") + F.make_dt_interval(mins=F.lit(CORRECTED_MINUTES) * F.col("_n"))
+    return bronze.unionByName(again.withColumns({c: f(F.col("_n")) for c, f in change.items()} | {"ingested_ts": later}).drop("_n"))
+
+
+CORRECTIONS = {
+    "trip_updates": {"delay_seconds": lambda n: F.col("delay_seconds") + 45.0 * n, "status": lambda n: F.lit("DELAYED")},
+    "transport_positions": {"speed_kmh": lambda n: F.col("speed_kmh") + 2.0 * n, "lat": lambda n: F.col("lat") + 0.001 * n},
+    "city_events": {"impact": lambda n: F.lit(0.05) * n, "status": lambda n: F.lit("ENDED")},
+}
+
+
 class Fixture:
     """Lazily derived Bronze + GTFS tables for one scale-factor directory."""
 

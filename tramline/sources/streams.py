@@ -10,14 +10,32 @@ JSON_OPTIONS = {"timestampFormat": TIMESTAMP_FORMAT, "mode": "PERMISSIVE",
                 "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def decode_json(df: DataFrame, schema: StructType, value_col: str = "value", keep_corrupt: bool = True) -> DataFrame:
-    """Typed columns from a JSON text column. With ``keep_corrupt`` the raw
-    text of malformed messages lands in ``_corrupt_record``."""
+def decode_json(df: DataFrame, schema: StructType, value_col: str = "value", keep_corrupt: bool = True,
+                keep_extra: bool = False) -> DataFrame:
+    """Typed columns from a JSON text column. With ``keep_corrupt`` the raw text of malformed messages lands in
+    ``_corrupt_record``; with ``keep_extra`` fields that the schema doesn't know land in the VARIANT column ``extra``."""
     sch = StructType(list(schema.fields))
     if keep_corrupt:
         sch = sch.add("_corrupt_record", "string")
-    parsed = df.select(F.from_json(F.col(value_col).cast("string"), sch, JSON_OPTIONS).alias("data"))
-    return parsed.select("data.*")
+    parsed = F.from_json(F.col(value_col).cast("string"), sch, JSON_OPTIONS).alias("data")
+    if not keep_extra:
+        return df.select(parsed).select("data.*")
+    whole = F.when(F.col("data._corrupt_record").isNull(), F.col("extra")) if keep_corrupt else F.col("extra")
+    return df.select(parsed, extra_fields(schema, value_col).alias("extra")).select("data.*", whole.alias("extra"))
+
+
+def extra_fields(schema: StructType, value_col: str = "value") -> Column:
+    """The top-level fields of a JSON message that the schema doesn't know, as one VARIANT object; NULL without any.
+    A field that a producer adds is kept and can be read later, with its own types."""
+    every = F.from_json(F.col(value_col).cast("string"), "map<string, variant>")
+    known = F.array(*[F.lit(n) for n in schema.names])
+    extra = F.map_filter(every, lambda k, _: ~F.array_contains(known, k))
+    return F.when(F.size(extra) > 0, F.to_variant_object(extra))
+
+
+def extra_field(path: str, cast: str, col: str = "extra") -> Column:
+    """A field of the extra ones by path (``$.agency.id``); NULL where it is absent or not of the type."""
+    return F.try_variant_get(F.col(col), path, cast)
 
 
 def with_ingest_stamp(df: DataFrame) -> DataFrame:

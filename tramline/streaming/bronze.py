@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, VariantType
 
 from ..schemas import STREAMS, TOPICS
 from ..sources.streams import decode_json, with_ingest_stamp
@@ -38,9 +38,12 @@ def raw_messages(spark: SparkSession, stream: str, src: Source) -> DataFrame:
 
 
 def bronze_stream(raw: DataFrame, stream: str) -> DataFrame:
-    """Typed Bronze rows; the raw text of unparsable messages is kept in
-    ``_corrupt_record`` (all other columns NULL)."""
-    return with_ingest_stamp(decode_json(raw, STREAMS[stream], "value", keep_corrupt=True))
+    """Typed Bronze rows; the raw text of unparsable messages is kept in ``_corrupt_record`` (all other columns NULL).
+    A message that carries its arrival time (a replay) keeps it, others are stamped now; fields that the schema doesn't
+    know are kept in ``extra``."""
+    schema = StructType(list(STREAMS[stream].fields)).add("arrived", "timestamp")
+    typed = decode_json(raw.select(F.col("value")), schema, "value", keep_corrupt=True, keep_extra=True)
+    return with_ingest_stamp(typed).withColumn("ingested_ts", F.coalesce("arrived", "ingested_ts")).drop("arrived")
 
 
 def start_bronze(spark: SparkSession, stream: str, src: Source, out_root: str, ckpt_root: str,
@@ -82,8 +85,8 @@ def await_all(spark: SparkSession, queries, timeout_s: float | None = None) -> N
 
 def _read(spark: SparkSession, out_root: str, stream: str) -> DataFrame:
     """By the known schema: no footers are merged, columns that older files lack are NULL."""
-    schema = StructType(list(STREAMS[stream].fields)).add("_corrupt_record", "string").add("ingested_ts", "timestamp") \
-        .add("quarantined", "boolean").add("event_date", "date")
+    schema = StructType(list(STREAMS[stream].fields)).add("_corrupt_record", "string").add("extra", VariantType()) \
+        .add("ingested_ts", "timestamp").add("quarantined", "boolean").add("event_date", "date")
     return spark.read.schema(schema).parquet(f"{out_root}/bronze/{stream}")
 
 
@@ -101,7 +104,12 @@ def good_rows(bronze: DataFrame) -> DataFrame:
     """Without the quarantined messages and the sink's own columns, where the table has them."""
     if "quarantined" in bronze.columns:
         bronze = bronze.where(~F.col("quarantined"))
-    return bronze.drop("quarantined", "event_date", "_corrupt_record")
+    return bronze.drop("quarantined", "event_date", "_corrupt_record", "extra")
+
+
+def read_extra(spark: SparkSession, out_root: str, stream: str) -> DataFrame:
+    """Good rows of a topic with the fields that the schema doesn't know (VARIANT ``extra``)."""
+    return _read(spark, out_root, stream).where(~F.col("quarantined")).drop("quarantined", "event_date", "_corrupt_record")
 
 
 def write_json_messages(df: DataFrame, path: str, files: int | None = None) -> None:

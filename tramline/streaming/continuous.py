@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.geo import grid_cell
 from ..functions.numeric import pct, round_metric
 from ..operators.cleaning import KEYS, apply_rules
-from ..operators.dedup import dedup_latest
 from ..params import DEFAULT_CITY, ON_TIME_THRESHOLD_SECONDS
 
 DEFAULT_WATERMARK = "10 minutes"
 
 
 def dedup_stream(stream: DataFrame, name: str, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    """Drop repeated keys seen within the watermark (state is bounded by it)."""
+    """Drop repeated keys seen within the watermark (state is bounded by it): the first row stays. Where corrected rows
+    follow, ``state.upsert_writer`` keeps the latest instead."""
     return stream.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(KEYS[name])
 
 
@@ -23,8 +23,8 @@ def silver_flags(stream: DataFrame, name: str, city=DEFAULT_CITY) -> DataFrame:
 
 
 def hourly_delay_trend(trip_updates: DataFrame, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    """Tumbling one-hour windows, emitted once the watermark passes the
-    window end (append mode); rows later than the watermark are dropped."""
+    """Tumbling one-hour windows, emitted once the watermark passes the window end (append mode); rows later than the
+    watermark are dropped, and windows that are still open when a feed ends wait for its next rows."""
     valid = trip_updates.where(F.col("dqr_valid"))
     if watermark:
         valid = valid.withWatermark("event_ts", watermark)
@@ -39,7 +39,7 @@ def hourly_delay_trend(trip_updates: DataFrame, watermark: str = DEFAULT_WATERMA
 def sliding_hotspots(positions: DataFrame, watermark: str = DEFAULT_WATERMARK, length: str = "24 hours",
                      slide: str = "1 hour") -> DataFrame:
     """Sliding windows over cells. Rows are first summed by cell and slide; a window adds up the sums of its slides, so
-    what is copied into every window is one row per cell and slide."""
+    what is copied into every window is one row per cell and slide. Windows still open when a feed ends are not emitted."""
     valid = positions.where(F.col("dqr_valid")).withColumn("grid_cell", grid_cell("lat", "lon"))
     if watermark:
         valid = valid.withWatermark("event_ts", watermark)
@@ -54,31 +54,8 @@ def sliding_hotspots(positions: DataFrame, watermark: str = DEFAULT_WATERMARK, l
                 "grid_cell", "observations", "avg_delay_seconds", "avg_speed_kmh")
 
 
-def latest_state_updates(stream: DataFrame, key: str) -> DataFrame:
-    """Running latest row per key (update mode): each trigger emits the keys
-    whose latest row changed."""
-    cols = [c for c in stream.columns if c != key]
-    return stream.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("event_ts")).alias("_r")) \
-        .select(key, "_r.*")
-
-
-def changelog_writer(path: str):
-    """foreachBatch sink: each micro-batch's changed keys land in their own
-    batch_id partition (overwritten on replay, so a retried batch is
-    idempotent)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-    return write
-
-
-def current_state(changelog: DataFrame, key: str) -> DataFrame:
-    """Compact a changelog to the latest row per key (newest batch wins)."""
-    return dedup_latest(changelog, [key], "batch_id").drop("batch_id")
-
-
 def enrich_with_weather(positions_stream: DataFrame, weather_hourly_static: DataFrame) -> DataFrame:
-    """Stream-static left join on (zone, hour)."""
+    """Stream-static left join on (zone, hour). The static side is read again by every micro-batch: give a stored table."""
     from ..plans.facts import fct_vehicle_positions
     return fct_vehicle_positions(positions_stream.where(F.col("dqr_valid")), weather_hourly_static)
 
@@ -91,13 +68,3 @@ def capped_batch_writer(path: str, cap: int):
         (top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
     return write
-
-
-def progress_counters(query) -> list[dict]:
-    """Ingest counters from the query's progress reports (rows per batch and
-    rate), read from the driver's metadata - no data is collected."""
-    out = []
-    for p in query.recentProgress:
-        out.append({"batch_id": p["batchId"], "rows": p["numInputRows"],
-                    "rate_per_s": p.get("processedRowsPerSecond", 0.0)})
-    return out
