@@ -50,12 +50,16 @@ def _city_profile(spark, a):
 
 def _batch(spark, a):
     from .operators import quality
-    from .plans.pipeline import SILVER, run_batch
+    from .plans.pipeline import SILVER, run_batch, run_incremental
     from .sources.tables import read_layer
     from .streaming.bronze import good_rows
-    bronze = {n: good_rows(read_layer(spark, f"{a.bronze}/{n}")) for n in SILVER}
     gtfs = {n: read_layer(spark, f"{a.gtfs}/{n}") for n in ("stops", "routes", "trips", "stop_times")}
-    run_batch(spark, bronze, gtfs, a.out, _city_profile(spark, a))
+    if a.incremental:
+        if not run_incremental(spark, a.bronze, gtfs, a.out, _city_profile(spark, a)):
+            return 0  # nothing new
+    else:
+        bronze = {n: good_rows(read_layer(spark, f"{a.bronze}/{n}")) for n in SILVER}
+        run_batch(spark, bronze, gtfs, a.out, _city_profile(spark, a))
     runs = spark.read.parquet(f"{a.out}/quality/quality_runs")
     newest = runs.where(runs["run_at_utc"] == runs.selectExpr("max(run_at_utc)").scalar())
     return 0 if quality.overall(newest).first()["all_passed"] else 1
@@ -81,14 +85,14 @@ def _city(spark, a):
 
 def _score(spark, a):
     from .plans import ml
-    from .sources.tables import read_layer
-    ml.score(ml.load(a.model_dir), read_layer(spark, a.features)).write.mode("overwrite").parquet(a.out)
+    from .plans.pipeline import read_features
+    ml.score(ml.load(a.model_dir), read_features(spark, a.features)).write.mode("overwrite").parquet(a.out)
 
 
 def _train(spark, a):
     from .plans import ml
-    from .sources.tables import read_layer
-    feats = read_layer(spark, a.features)
+    from .plans.pipeline import read_features
+    feats = read_features(spark, a.features)
     models, test = ml.train(feats, ml.ModelParams(n_estimators=a.trees))
     ml.save(models, a.model_dir, ml.metrics(models, test))
 
@@ -106,6 +110,7 @@ def main(argv=None) -> int:
     b = sub.add_parser("batch")
     b.add_argument("--bronze", required=True), b.add_argument("--gtfs", required=True)
     b.add_argument("--out", required=True)
+    b.add_argument("--incremental", action="store_true", help="only the dates that new Bronze files reach")
     c = sub.add_parser("city")
     c.add_argument("--gtfs-dir", required=True), c.add_argument("--out", required=True)
     c.add_argument("--radius-km", type=float, default=25.0)
