@@ -69,3 +69,58 @@ def test_registered_queries_train_the_whole_ensemble(spark, monkeypatch):
     monkeypatch.setattr(ml, "train", lambda features, p=None: asked.append(p or ml.ModelParams()))
     registry._models(spark, SF_SMALL)
     assert [p.n_estimators for p in asked] == [300]
+
+
+def test_boosting_fits_a_known_function(spark):
+    """Classes and a number that follow from the features: accuracy and error far better than chance, probabilities that
+    sum to one, the same model whatever the partitions, lineage cut on the way."""
+    import numpy as np
+    from tramline.plans import boosting
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 4))
+    label = (x[:, 0] > 0).astype(int) + ((x[:, 0] > 0) & (x[:, 1] > 0.3))
+    y = 10 * x[:, 2] + 5 * label
+    df = spark.createDataFrame([(i, float(y[i]), int(label[i]), x[i].tolist()) for i in range(2400)],
+                               "key long, y double, label int, x array<double>")
+    params = boosting.BoostParams(rounds=25, max_depth=3, learning_rate=0.3)
+    forest = boosting.fit(df.repartition(2), params)
+    out = forest.predict(x[2400:])
+    assert np.allclose(out[:, 1:].sum(1), 1)
+    assert (out[:, 1:].argmax(1) == label[2400:]).mean() > 0.97
+    assert np.abs(out[:, 0] - y[2400:]).mean() < 0.25 * np.abs(y[2400:] - y[:2400].mean()).mean()
+    again = boosting.fit(df.repartition(5), params)
+    assert np.array_equal(forest.feature, again.feature) and np.array_equal(forest.cut, again.cut)
+    back = boosting.Forest.from_json(forest.to_json())
+    assert np.array_equal(back.predict(x[2400:]), out)
+
+
+def test_splits_follow_the_penalised_gain():
+    """The best split of a node against every split tried by hand."""
+    import numpy as np
+    from tramline.plans import boosting as B
+    rng = np.random.default_rng(1)
+    p = B.BoostParams(reg_alpha=0.5, reg_lambda=2.0, min_child_weight=3.0)
+    columns = np.array([1, 4])
+    g, h = rng.normal(size=(3, 2, B.BINS)), rng.uniform(0, 1, size=(3, 2, B.BINS))
+    g[:, 1], h[:, 1] = g[:, 0][:, ::-1], h[:, 0][:, ::-1]  # the same totals in another order
+    g[2], h[2] = 0, 0.01  # nothing to gain
+    sums = np.rint(np.stack([g, h]) * B.GRAIN).astype(np.int64)
+    feature, cut = B.best_splits(sums, columns, p)
+    shrunk = lambda v: np.sign(v) * max(abs(v) - 0.5, 0)
+    for k in range(2):
+        best = (0.0, -1, 0)
+        for j in range(2):
+            for b in range(B.BINS - 1):
+                gl, hl, gr, hr = g[k, j, :b + 1].sum(), h[k, j, :b + 1].sum(), g[k, j, b + 1:].sum(), h[k, j, b + 1:].sum()
+                if min(hl, hr) >= 3:
+                    gain = shrunk(gl) ** 2 / (hl + 2) + shrunk(gr) ** 2 / (hr + 2) - shrunk(gl + gr) ** 2 / (hl + hr + 2)
+                    best = max(best, (gain, columns[j], b), key=lambda t: t[0])
+        assert (feature[k], cut[k]) == best[1:] or abs(best[0]) < 1e-6
+    assert feature[2] == -1
+
+
+def test_batch_scores_hold_every_feature_row(spark, trained, monkeypatch):
+    from tramline import registry
+    (models, test), feats = trained
+    monkeypatch.setattr(registry, "_models", lambda s, sf: (models, test))
+    assert registry.queries()["ml_batch_scores"](spark, SF_SMALL).count() == feats.count()

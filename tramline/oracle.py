@@ -540,6 +540,27 @@ SELECT p.vehicle_id, p.event_ts,
 FROM a_pos p"""
 
 
+#: Fixed values of the corrected rows (sources/fixtures.py): table, expressions.
+CORRECTED = {
+    "trip_updates": ("a_tu", "delay_seconds + 45.0::DOUBLE * n AS delay_seconds, 'DELAYED' AS status"),
+    "transport_positions": ("a_pos", "speed_kmh + 2.0::DOUBLE * n AS speed_kmh, lat + 0.001::DOUBLE * n AS lat"),
+    "city_events": ("a_cev", "0.05::DOUBLE * n AS impact, 'ENDED' AS status"),
+}
+
+
+def with_corrections(stream: str, select: str) -> str:
+    """The layers over an input some of whose rows come again, corrected and later."""
+    name, change = CORRECTED[stream]
+    first = LAYERS.strip().replace(f"{name} AS (", f"{name}_first AS (", 1)
+    again = f"""{name} AS (
+  SELECT * FROM {name}_first UNION ALL
+  SELECT * EXCLUDE (n, h) REPLACE ({change}, ingested_ts + to_minutes(90 * n) AS ingested_ts)
+  FROM (SELECT f.*, CAST(r.n AS INTEGER) AS n, ('0x' || substr(md5(CAST(epoch_us(event_ts) AS VARCHAR)), 1, 4))::BIGINT % 20 AS h
+        FROM {name}_first f JOIN range(1, 5) r(n) ON TRUE) x WHERE h <= 3 AND n <= 4 - h),
+"""
+    return "WITH " + first.replace("silver_positions AS (", again + "silver_positions AS (", 1) + "\n" + select
+
+
 STREAM_SQL = {
     "stream_silver_trip_updates": with_layers("SELECT * EXCLUDE (ingested_ts) FROM silver_tu"),
     "stream_hourly_delay_trend": with_layers(f"""
@@ -556,6 +577,7 @@ SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, grid_cell, c
        {R('avg(delay_seconds)')} AS avg_delay_seconds, {R('avg(speed_kmh)')} AS avg_speed_kmh
 FROM w GROUP BY 1, 2, 3
 HAVING window_start + INTERVAL 24 HOUR <= (SELECT max(event_ts) FROM a_pos) - INTERVAL 10 MINUTE"""),
+    "stream_corrected_updates": with_corrections("trip_updates", "SELECT * EXCLUDE (ingested_ts) FROM silver_tu"),
     "stream_latest_positions": with_live("SELECT * EXCLUDE (ingested_ts) FROM lp"),
     "stream_enriched_positions": with_layers("SELECT * FROM fvp"),
     "stream_capped_updates": with_layers("""

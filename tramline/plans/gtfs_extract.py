@@ -11,6 +11,7 @@ from ..functions.geo import city_bbox
 from ..operators.dims import mode_from_route_type
 from ..operators.joins import stop_segments, stops_in_order
 from ..params import BBOX_RADIUS_KM, DEFAULT_CITY, CityProfile
+from ..session import small_side
 
 
 @dataclass
@@ -31,7 +32,7 @@ class CityNetwork:
 
     def require_stops(self) -> "CityNetwork":
         if self.stops.limit(1).count() == 0:
-            raise RuntimeError("no stops found around the city - feed structure may have changed")
+            raise RuntimeError("the radius box around the city holds no stop of the feed")
         return self
 
 
@@ -62,6 +63,18 @@ def extract_city(stops: DataFrame, stop_times: DataFrame, trips: DataFrame, rout
     return CityNetwork(city_stops, city_st, city_trips, enrich_route_mode(city_routes, routes))
 
 
+def extract_city_in_place(stops: DataFrame, stop_times: DataFrame, trips: DataFrame, city: CityProfile = DEFAULT_CITY,
+                          radius_km: float = BBOX_RADIUS_KM) -> tuple[DataFrame, DataFrame]:
+    """City stop times with the distance from the trip's stop before (also one outside the city), and city trips, from
+    stop times and trips stored in the same buckets of trip_id: window and semi-join read the buckets where they lie, and
+    the stops, a country's 600,000 at most in known feeds, go to them while their counted size allows it."""
+    places = small_side(stops.select("stop_id", "stop_lat", "stop_lon"), 96)
+    inside = small_side(stops_in_box(stops, city, radius_km).select("stop_id"), 64)
+    segments = stop_segments(stop_times, places, ("arrival_time", "departure_time"))
+    city_st = segments.join(inside, "stop_id", "left_semi")
+    return city_st, trips.join(city_st.select("trip_id"), "trip_id", "left_semi")
+
+
 def representative_trips(trips: DataFrame, stop_times: DataFrame, routes: DataFrame, min_stops: int = 2) -> DataFrame:
     """Per route the trip the simulator drives: the first direction-0 trip,
     else any trip (smallest id), if it has at least ``min_stops`` stops."""

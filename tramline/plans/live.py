@@ -10,7 +10,7 @@ from ..functions.geo import equirect_km, sq_deg_dist
 from ..functions.numeric import pct, round_metric
 from ..operators.aggregates import nearest_rank, weighted_nearest_rank
 from ..operators.dedup import latest_per_key
-from ..session import cut_lineage
+from ..session import cut_lineage, materialise
 from ..params import LIVE_RECENT_ROWS, ON_TIME_THRESHOLD_SECONDS as ON_TIME, SEVERE_DELAY_THRESHOLD_SECONDS as SEVERE
 
 
@@ -44,7 +44,8 @@ def active_events(events: DataFrame, since=None) -> DataFrame:
 def recent_updates(trip_updates: DataFrame, n: int = LIVE_RECENT_ROWS, since=None) -> DataFrame:
     """The last ``n`` trip updates by event time (a top-k, bounded by n: each
     task keeps its own top n before one merge); a missing delay counts as 0."""
-    top = _since(trip_updates, since).orderBy(F.desc("event_ts"), F.desc("trip_id"), F.desc("stop_id")).limit(n)
+    newest = [F.desc(c) for c in ("event_ts", "trip_id", "stop_id", "ingested_ts") if c in trip_updates.columns]
+    top = _since(trip_updates, since).orderBy(*newest).limit(n)
     return top.withColumn("d", F.coalesce(F.col("delay_seconds").cast("double"), F.lit(0.0)))
 
 
@@ -225,11 +226,10 @@ def events_impact(trip_updates: DataFrame, positions: DataFrame, events: DataFra
 def current_delays(positions: DataFrame, limit: int = 200) -> DataFrame:
     """Latest position per vehicle, largest delay first (NULL as 0), the
     first ``limit`` rows, each carrying the total vehicle count."""
-    lp = latest_positions(positions)
+    lp = materialise(latest_positions(positions).select(  # once, for the rows and their number
+        "vehicle_id", "route_id", "route_mode", "lat", "lon", "speed_kmh", "delay_seconds", "congestion_level", "event_ts"), "latest")
     total = lp.select(F.count(F.lit(1))).scalar()
-    return lp.select("vehicle_id", "route_id", "route_mode", "lat", "lon", "speed_kmh", "delay_seconds",
-                     "congestion_level", "event_ts") \
-        .orderBy(F.desc(F.coalesce(F.col("delay_seconds"), F.lit(0.0))), "vehicle_id").limit(limit) \
+    return lp.orderBy(F.desc(F.coalesce(F.col("delay_seconds"), F.lit(0.0))), "vehicle_id").limit(limit) \
         .withColumn("vehicle_count", total)
 
 

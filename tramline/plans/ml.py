@@ -1,38 +1,43 @@
-"""Delay models on MLlib: a boosted-tree regressor for delay seconds and a
-3-class classifier (on_time / delayed / severe) with probabilities, trained
-on the feature table; metrics are DataFrame aggregations."""
+"""Delay models: boosted trees for delay seconds and, as a softmax, for the three classes (on_time / delayed / severe),
+on features that an MLlib pipeline encodes and scales; metrics are DataFrame aggregations."""
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.buckets import delay_bucket_code
 from ..params import BUCKET_MAP, CAT_FEATURES, MIN_FEATURE_DELAY, NUM_FEATURES
+from ..session import materialise
+from . import boosting
 
 BUCKET_NAMES = {v: k for k, v in BUCKET_MAP.items()}
 
 
 @dataclass
 class ModelParams:
-    """Boosting parameters of the reference model (trees, depth, learning
-    rate, row subsample, column subsample); MLlib has no L1/L2 leaf penalty."""
+    """Boosting parameters (fixed values of the model: trees, depth, learning rate, row and column shares, L1 and L2
+    penalties, seed), the share of the test rows and the least number of rows."""
     n_estimators: int = 300
     max_depth: int = 5
     learning_rate: float = 0.08
     subsample: float = 0.9
     colsample: float = 0.8
+    reg_alpha: float = 0.1
+    reg_lambda: float = 1.0
     seed: int = 42
     test_fraction: float = 0.2
     min_rows: int = 200
     extra: dict = field(default_factory=dict)
 
+    def boosting(self) -> boosting.BoostParams:
+        return boosting.BoostParams(self.n_estimators, self.max_depth, self.learning_rate, self.subsample, self.colsample,
+                                    self.reg_alpha, self.reg_lambda, seed=self.seed)
+
 
 def prepare(features: DataFrame) -> DataFrame:
     """Coerce numerics (unparsable -> 0), categories as text (NULL ->
@@ -76,48 +81,36 @@ def feature_stages() -> list:
     return idx + [ohe, num, scaler, allv]
 
 
-def build_pipelines(p: ModelParams) -> tuple[Pipeline, Pipeline]:
-    reg = GBTRegressor(featuresCol="features", labelCol="delay_seconds", predictionCol="pred_delay",
-                       maxIter=p.n_estimators, maxDepth=p.max_depth, stepSize=p.learning_rate,
-                       subsamplingRate=p.subsample, featureSubsetStrategy=str(p.colsample), seed=p.seed)
-    clf = RandomForestClassifier(featuresCol="features", labelCol="label_class", predictionCol="pred_class",
-                                 probabilityCol="probability", rawPredictionCol="raw_class",
-                                 numTrees=p.n_estimators, maxDepth=p.max_depth, subsamplingRate=p.subsample,
-                                 featureSubsetStrategy=str(p.colsample), seed=p.seed)
-    return Pipeline(stages=feature_stages() + [reg]), Pipeline(stages=feature_stages() + [clf])
-
-
 @dataclass
 class TrainedModels:
-    regressor: PipelineModel
-    classifier: PipelineModel
+    encoder: PipelineModel
+    forest: boosting.Forest
     train_rows: int
     test_rows: int
     params: ModelParams
 
 
+def _row_key():
+    return F.xxhash64("trip_id", "stop_id", "event_ts")
+
+
 def train(features: DataFrame, p: ModelParams | None = None) -> tuple[TrainedModels, DataFrame]:
-    from pyspark import StorageLevel
-    from ..session import checkpoint_dir
     p = p or ModelParams()
-    checkpoint_dir(features.sparkSession)  # boosting checkpoints its lineage every 10 trees
-    # every pipeline stage scans the training data: compute it once
-    data = prepare(features).persist(StorageLevel.MEMORY_AND_DISK)
+    data = materialise(prepare(features), "prepared")  # read by the encoder, the trees and the caller's metrics
     n = data.count()
     if n < p.min_rows:
-        raise ValueError(f"Not enough rows ({n}) to train a meaningful model.")
+        raise ValueError(f"{n} feature rows are fewer than the {p.min_rows} that a model is fitted on.")
     tr, te = split(data, p.test_fraction, p.seed)
-    reg_p, clf_p = build_pipelines(p)
-    reg, clf = reg_p.fit(tr), clf_p.fit(tr)
-    models = TrainedModels(reg, clf, tr.count(), te.count(), p)
-    data.unpersist()
-    return models, te
+    encoder = Pipeline(stages=feature_stages()).fit(tr)
+    rows = encoder.transform(tr).select(_row_key().alias("key"), F.col("delay_seconds").alias("y"),
+                                        F.col("label_class").alias("label"), vector_to_array("features").alias("x"))
+    forest = boosting.fit(rows, p.boosting(), len(BUCKET_NAMES))
+    return TrainedModels(encoder, forest, tr.count(), te.count(), p), te
 
 
 def predict(models: TrainedModels, df: DataFrame) -> DataFrame:
-    reg_out = models.regressor.transform(df).select(*df.columns, "pred_delay")
-    clf_out = models.classifier.transform(reg_out)
-    return clf_out.select(*df.columns, "pred_delay", "pred_class", "probability")
+    out = boosting.scored(models.encoder.transform(df), models.forest)
+    return out.select(*df.columns, "pred_delay", "pred_class", "probability")
 
 
 def metrics(models: TrainedModels, test: DataFrame) -> DataFrame:
@@ -163,13 +156,12 @@ def evaluate(s: DataFrame, train_rows: int, test_rows: int) -> DataFrame:
 
 
 def save(models: TrainedModels, model_dir: str, metrics_df: DataFrame | None = None) -> None:
-    """Persist both pipelines, the feature contract and the metrics (written
-    through Spark, so a shared model folder works on a cluster)."""
-    spark = models.regressor.stages[-1].sparkSession if hasattr(models.regressor.stages[-1], "sparkSession") else None
-    models.regressor.write().overwrite().save(f"{model_dir}/regressor")
-    models.classifier.write().overwrite().save(f"{model_dir}/classifier")
+    """Persist encoder, trees, the feature contract and the metrics (written through Spark, so a shared model folder
+    works on a cluster)."""
     from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
+    models.encoder.write().overwrite().save(f"{model_dir}/encoder")
+    boosting.save(spark, models.forest, f"{model_dir}/forest")
     contract = json.dumps({"cat_features": CAT_FEATURES, "num_features": NUM_FEATURES,
                            "target_regression": "delay_seconds", "target_classification": "delay_bucket",
                            "bucket_map": BUCKET_MAP, "bucket_names": {str(k): v for k, v in BUCKET_NAMES.items()},
@@ -180,8 +172,9 @@ def save(models: TrainedModels, model_dir: str, metrics_df: DataFrame | None = N
 
 
 def load(model_dir: str, params: ModelParams | None = None) -> TrainedModels:
-    return TrainedModels(PipelineModel.load(f"{model_dir}/regressor"), PipelineModel.load(f"{model_dir}/classifier"),
-                         0, 0, params or ModelParams())
+    from pyspark.sql import SparkSession
+    return TrainedModels(PipelineModel.load(f"{model_dir}/encoder"),
+                         boosting.load(SparkSession.getActiveSession(), f"{model_dir}/forest"), 0, 0, params or ModelParams())
 
 
 def score(models: TrainedModels, df: DataFrame, max_delay: float = 1800.0) -> DataFrame:
@@ -198,7 +191,7 @@ def score(models: TrainedModels, df: DataFrame, max_delay: float = 1800.0) -> Da
     x = x.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in CAT_FEATURES})
     p = predict(models, x)
     names = F.create_map(*[v for k, n in BUCKET_NAMES.items() for v in (F.lit(float(k)), F.lit(n))])
-    probs = vector_to_array("probability")
+    probs = F.col("probability")
     return p.select(*df.columns,
                     F.round(F.least(F.greatest(F.col("pred_delay"), F.lit(0.0)), F.lit(max_delay)), 1)
                     .alias("predicted_delay_seconds"),

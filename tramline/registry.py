@@ -22,7 +22,7 @@ _WH_CACHE: dict = {}
 
 
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _WH_CACHE:
         _WH_CACHE.clear()
         _WH_CACHE[key] = Warehouse.from_fixture(spark, sf_dir)
@@ -176,7 +176,7 @@ def q_mart_ei(spark, sf):
     f"{O.PCT(chr(39).join(['count_if(delay_bucket = ', 'on_time', ')']))} AS on_time_pct, "
     "CAST(count_if(delay_bucket = 'severe') AS BIGINT) AS severe_delays FROM fct"))
 def q_kpis(spark, sf):
-    return marts.kpis(wh(spark, sf).fct_trip_delays)
+    return marts.kpis(wh(spark, sf).fct_without_events)
 
 
 @register("test_reliability_score_range", O.with_layers(
@@ -190,7 +190,7 @@ def q_test_score(spark, sf):
     "CAST(count_if(delay_bucket = 'severe') AS BIGINT) AS severe FROM fct GROUP BY 1, 2 "
     "HAVING count_if(delay_bucket = 'severe') > 0.35 * count(*)"))
 def q_test_severe(spark, sf):
-    return marts.severe_share_violations(wh(spark, sf).fct_trip_delays)
+    return marts.severe_share_violations(wh(spark, sf).fct_without_events)
 
 
 # ---------------------------------------------------------------- read queries
@@ -301,6 +301,15 @@ def q_live_current(spark, sf):
     return live.current_delays(_bronze(spark, sf)["transport_positions"])
 
 
+@register("live_window_updates", O.with_live(
+    "SELECT * FROM a_tu ORDER BY event_ts DESC NULLS LAST, trip_id DESC NULLS LAST, stop_id DESC NULLS LAST, ingested_ts DESC LIMIT 5000"))
+def q_live_window(spark, sf):
+    """All updates that the live window holds."""
+    from .params import LIVE_WINDOW_ROWS
+    from .plans import live
+    return live.recent_updates(_bronze(spark, sf)["trip_updates"], LIVE_WINDOW_ROWS).drop("d")
+
+
 @register("live_weather_current", _live("live_weather_current"))
 def q_live_weather_current(spark, sf):
     from .plans import live
@@ -415,6 +424,107 @@ def q_rt_capped(spark, sf):
     return cap_per_poll(_rt(spark, sf), "event_ts")
 
 
+@register("gtfs_rt_capped_weeks", O.with_live(O.RT_SQL + """
+SELECT *, date_trunc('week', event_ts)::TIMESTAMP AS poll FROM rt_out
+QUALIFY row_number() OVER (PARTITION BY date_trunc('week', event_ts) ORDER BY abs(delay_seconds) DESC, entity_id, event_ts) <= 600"""))
+def q_rt_capped_weeks(spark, sf):
+    """The cap where a poll (here a week) holds more records than it lets through."""
+    from .plans.realtime import cap_per_poll
+    return cap_per_poll(_rt(spark, sf).withColumn("poll", F.date_trunc("week", "event_ts")), "poll")
+
+
+# ------------------------------------------------------------ stored by key
+@register("gtfs_city_bucketed", O.with_live(O.gtfs_city_sql(CITY_RADIUS_KM) + f"""
+SELECT c.trip_id, c.stop_id, c.stop_sequence, c.arrival_time, c.departure_time, {O.R("s.segment_km", 6)} AS segment_km
+FROM city_st c JOIN segments s ON s.trip_id = c.trip_id AND s.stop_id = c.stop_id AND s.stop_sequence = c.stop_sequence"""))
+def q_city_bucketed(spark, sf):
+    """Trips and stop times stored in buckets of trip_id: extraction and segments without a shuffle on the trip."""
+    return report(_bucketed_city(spark, sf)[0], ["segment_km"])
+
+
+def _bucketed_city(spark, sf):
+    import uuid
+    from .plans.gtfs_extract import extract_city_in_place
+    from .session import checkpoint_dir
+    from .sources.tables import write_bucketed
+    g, name = wh(spark, sf).gtfs, f"tramline_{uuid.uuid4().hex}"
+    root = f"{checkpoint_dir(spark)}/{name}"
+    stored = {t: write_bucketed(g[t], f"{name}_{t}", f"{root}/{t}", "trip_id", 8) for t in ("trips", "stop_times")}
+    return extract_city_in_place(g["stops"], stored["stop_times"], stored["trips"], radius_km=CITY_RADIUS_KM)
+
+
+# ------------------------------------------------------------ lists through SQL text
+def _list_sql(mart: str, order: str, columns: str, limit: int | None = None) -> str:
+    cut = f" QUALIFY position <= {limit}" if limit else ""
+    return O.with_layers(f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position, {columns} FROM {mart}{cut}")
+
+
+_MART_CTE = {"mart_route_reliability": "mart_rr", "mart_delay_trends": "mart_trends", "mart_congestion_hotspots": "mart_hot",
+             "mart_weather_impact": "mart_wi", "mart_events_impact": "mart_ei"}
+_LIST_LIMITS = {"top_routes": 10, "latest_trends": 24, "top_hotspots": 25}
+
+
+def _register_list(name: str):
+    from .functions.tables import LISTS, _names
+    _, mart, columns, order = LISTS[name]
+    limit = _LIST_LIMITS.get(name)
+
+    @register(f"sql_{name}", _list_sql(_MART_CTE[mart], order, _names(columns), limit))
+    def q_list(spark, sf):
+        """A read query through SQL text, with a bound parameter; the order is compared through the position."""
+        from .functions.tables import register_lists
+        register_lists(spark, {mart: getattr(wh(spark, sf), mart)}, [name])
+        if limit:
+            return spark.sql(f"SELECT * FROM {name}(:n)", args={"n": limit})
+        return spark.sql(f"SELECT * FROM {name}()")
+
+
+for _name in ("top_routes", "latest_trends", "top_hotspots", "reliability_listing", "weather_impact_listing", "events_impact_listing"):
+    _register_list(_name)
+
+
+@register("sql_city_positions", O.with_layers("""
+, city AS (SELECT 52.40::DOUBLE + (n_nationkey % 5) * 0.05::DOUBLE AS lat0, 13.15::DOUBLE + (n_nationkey % 7) * 0.08::DOUBLE AS lon0
+           FROM nation WHERE n_name = 'NATION_2')
+SELECT vehicle_id, route_id, lat, lon, event_ts FROM a_pos, city
+WHERE lat BETWEEN lat0 - 6.0::DOUBLE / 111.0::DOUBLE AND lat0 + 6.0::DOUBLE / 111.0::DOUBLE
+  AND lon BETWEEN lon0 - 6.0::DOUBLE / (111.0::DOUBLE * greatest(cos(radians(lat0)), 0.2::DOUBLE))
+              AND lon0 + 6.0::DOUBLE / (111.0::DOUBLE * greatest(cos(radians(lat0)), 0.2::DOUBLE))"""))
+def q_sql_city_positions(spark, sf):
+    """The catalog (JSON, read back) and the positions of one of its cities, by name and radius as bound parameters."""
+    import uuid
+    from .functions.tables import register_city_functions
+    from .params import load_city_catalog
+    from .session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/tramline-cities-{uuid.uuid4().hex}"
+    key = F.col("n_nationkey")
+    wh(spark, sf).fixture.table("nation").select(
+        F.col("n_name").alias("name"), (F.lit(52.40) + (key % 5) * F.lit(0.05)).alias("lat"),
+        (F.lit(13.15) + (key % 7) * F.lit(0.08)).alias("lon")).write.json(path)
+    register_city_functions(spark, load_city_catalog(spark, path), _bronze(spark, sf)["transport_positions"])
+    return spark.sql("SELECT * FROM positions_of_city(:city, :radius)", args={"city": "NATION_2", "radius": 6.0})
+
+
+# ------------------------------------------------------------ sketches
+@register("sketched_reliability", O.with_layers(
+    "SELECT route_id, route_mode, count(*) AS observations, count(DISTINCT trip_id) AS trips, count(*) AS sketched, "
+    "TRUE AS trips_within, TRUE AS median_within, TRUE AS p95_within FROM fct GROUP BY 1, 2"))
+def q_sketched(spark, sf):
+    """Distinct trips and delay quantiles merged from stored daily sketches, held against the exact figures: each lies
+    within its stated error."""
+    import uuid
+    from .plans import sketches as S
+    from .session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/tramline-sketches-{uuid.uuid4().hex}"
+    fact = wh(spark, sf).fct_without_events
+    S.store(fact, path)
+    e = S.errors(S.merged(spark, path), fact, {"median_delay_seconds": 0.5, "p95_delay_seconds": 0.95})
+    return e.select("route_id", "route_mode", "observations", "trips", "sketched",
+                    (F.col("trips_error") <= S.DISTINCT_ERROR).alias("trips_within"),
+                    (F.col("median_delay_seconds_rank_error") <= S.RANK_ERROR).alias("median_within"),
+                    (F.col("p95_delay_seconds_rank_error") <= S.RANK_ERROR).alias("p95_within"))
+
+
 # --------------------------------------------------------------------- quality
 def _quality_frames(spark, sf):
     from .operators import cleaning
@@ -528,6 +638,43 @@ def q_event_props(spark, sf):
     return ev.select("event_id", json_field("props", "$.k", "bigint").alias("k"))
 
 
+@register("drifting_fields", """
+SELECT 'T' || CAST(user_id AS VARCHAR) AS trip_id, ts AS event_ts, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k,
+       event_type AS agency_kind, CAST(event_id % 7 AS BIGINT) AS second_tag, event_id % 3 = 0 AS has_extra
+FROM (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN props END AS props, CASE WHEN event_id % 3 = 0 THEN event_type END AS event_type),
+             event_id AS id FROM events) e
+WHERE id % 3 = 0 UNION ALL
+SELECT 'T' || CAST(user_id AS VARCHAR), ts, NULL, NULL, NULL, FALSE FROM events WHERE event_id % 3 <> 0""")
+def q_drifting_fields(spark, sf):
+    """A topic whose producer has added fields to a third of the messages: through the Bronze stream, then read by path."""
+    import uuid
+    from .session import checkpoint_dir
+    from .sources.streams import extra_field
+    from .streaming import bronze as B
+    root = f"{checkpoint_dir(spark)}/tramline-drift-{uuid.uuid4().hex}"
+    e = wh(spark, sf).fixture.events
+    known = F.to_json(F.struct(F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("trip_id"),
+                               F.col("ts").cast("timestamp").alias("event_ts")), B.JSON_WRITE_OPTIONS)
+    added = F.format_string(',"props":%s,"agency":{"kind":"%s","tags":[0,%d]}}', F.col("props"), F.col("event_type"), F.col("event_id") % 7)
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.expr("left(known, length(known) - 1)"), added)).otherwise(F.col("known"))
+    e.withColumn("known", known).select(text.alias("value")).write.text(f"{root}/feed/trip_updates")
+    B.await_all(spark, [B.start_bronze(spark, "trip_updates", B.Source(path=f"{root}/feed"), root, f"{root}/ckpt", {"availableNow": True})])
+    return B.read_extra(spark, root, "trip_updates").select(
+        "trip_id", "event_ts", extra_field("$.props.k", "bigint").alias("props_k"), extra_field("$.agency.kind", "string").alias("agency_kind"),
+        extra_field("$.agency.tags[1]", "bigint").alias("second_tag"), F.col("extra").isNotNull().alias("has_extra"))
+
+
+@register("raw_records", O.with_layers(
+    "SELECT trip_id, stop_id, delay_seconds, event_ts, TRUE AS stamped FROM a_tu"))
+def q_raw_records(spark, sf):
+    """Trip updates as raw records (JSON text, event time, ingest stamp), their fields read back from the text."""
+    from .sources.streams import json_field, to_raw_records
+    raw = to_raw_records(wh(spark, sf).bronze["trip_updates"])
+    return raw.select(json_field("record", "$.trip_id").alias("trip_id"), json_field("record", "$.stop_id").alias("stop_id"),
+                      json_field("record", "$.delay_seconds", "double").alias("delay_seconds"), "event_ts",
+                      F.col("ingested_ts").isNotNull().alias("stamped"))
+
+
 @register("city_slugs", "SELECT p_partkey, p_name, lower(regexp_replace(regexp_replace(lower(p_name), "
           "'[^a-z0-9]', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM part")
 def q_city_slugs(spark, sf):
@@ -545,11 +692,28 @@ SELECT p.vehicle_id, p.event_ts,
 FROM stg_positions p LEFT JOIN pairs x ON x.vehicle_id = p.vehicle_id AND x.event_ts = p.event_ts
 GROUP BY 1, 2"""))
 def q_event_load(spark, sf):
-    from .operators.joins import event_load_factor
+    from .operators.nearest import event_load_factor
     w = wh(spark, sf)
     return report(event_load_factor(w.stg_positions, w.stg_events, ["vehicle_id", "event_ts"]), ["load_factor"])
 
 
+# ---------------------------------------------------------------- corrected rows
+def _corrected(spark, sf, stream):
+    from .sources.fixtures import CORRECTIONS, with_corrections
+    return with_corrections(wh(spark, sf).bronze[stream], CORRECTIONS[stream])
+
+
+def _register_corrected(stream: str, silver: str):
+    @register(f"silver_corrected_{stream}", O.with_corrections(stream, f"SELECT * FROM {silver}"))
+    def q_corrected(spark, sf):
+        from .operators import cleaning
+        return cleaning.clean(stream, _corrected(spark, sf, stream), stamp=False)
+
+
+for _stream, _silver in (("trip_updates", "silver_tu"), ("transport_positions", "silver_positions"), ("city_events", "silver_cev")):
+    _register_corrected(_stream, _silver)
+
+
 # ------------------------------------------------------------------ streaming
 def _stream_run(spark, sf, streams):
     from .streaming.runner import StreamRun
@@ -580,19 +744,33 @@ def q_stream_hot(spark, sf):
 
 @register("stream_latest_positions", O.STREAM_SQL["stream_latest_positions"])
 def q_stream_latest(spark, sf):
-    from .streaming import continuous as C
+    """State with a time to live, its changelog folded into a snapshot while the stream runs."""
+    from .streaming import state as S
     run = _stream_run(spark, sf, ["transport_positions"])
-    changes = run.run_foreach(C.latest_state_updates(run.typed("transport_positions"), "vehicle_id"), "latest",
-                              C.changelog_writer, mode="update")
-    return C.current_state(changes, "vehicle_id").drop("ingested_ts")
+    stream = run.typed("transport_positions")
+    changes = S.latest_with_ttl(stream, "vehicle_id", ttl_seconds=6 * 3600)
+    out = run.run_into(changes, "latest", lambda p: S.compacting_writer(p, "vehicle_id", every=2))
+    return S.read_state(spark, out, "vehicle_id", changes.schema).drop("ingested_ts", "expired")
+
+
+@register("stream_corrected_updates", O.STREAM_SQL["stream_corrected_updates"])
+def q_stream_corrected(spark, sf):
+    """A feed in which rows come again, corrected and later: the upserted table gives the batch Silver."""
+    from .operators.cleaning import KEYS, apply_rules
+    from .streaming import state as S
+    from .streaming.runner import StreamRun
+    run = StreamRun(spark, {"trip_updates": _corrected(spark, sf, "trip_updates")}, order="ingested_ts")
+    out = run.run_into(run.typed("trip_updates"), "upserted", lambda p: S.upsert_writer(p, KEYS["trip_updates"]), "append")
+    return apply_rules(spark.read.parquet(out).drop("service_date"), "trip_updates").drop("ingested_ts")
 
 
 @register("stream_enriched_positions", O.STREAM_SQL["stream_enriched_positions"])
 def q_stream_enriched(spark, sf):
+    from .session import materialise
     from .streaming import continuous as C
     run = _stream_run(spark, sf, ["transport_positions"])
-    return run.run_append(C.enrich_with_weather(run.silver("transport_positions"), wh(spark, sf).weather_hourly),
-                          "enriched")
+    weather = materialise(wh(spark, sf).weather_hourly, "weather_hourly")
+    return run.run_append(C.enrich_with_weather(run.silver("transport_positions"), weather), "enriched")
 
 
 @register("stream_capped_updates", O.STREAM_SQL["stream_capped_updates"])
@@ -610,7 +788,7 @@ _ML_CACHE: dict = {}
 
 def _models(spark, sf):
     from .plans import ml
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, id(spark), sf)
     if key not in _ML_CACHE:
         _ML_CACHE.clear()
         _ML_CACHE[key] = ml.train(wh(spark, sf).ml_features)
@@ -627,19 +805,20 @@ def q_ml_metrics(spark, sf):
 @register("ml_batch_scores", None)
 def q_ml_scores(spark, sf):
     from .plans import ml
-    models, test = _models(spark, sf)
-    return ml.score(models, test.select(*ml.CAT_FEATURES, *ml.NUM_FEATURES, "trip_id", "stop_id", "event_ts"))
+    models, _ = _models(spark, sf)
+    rows = wh(spark, sf).ml_features  # the whole feature table
+    return ml.score(models, rows.select(*ml.CAT_FEATURES, *ml.NUM_FEATURES, "trip_id", "stop_id", "event_ts"))
 
 
 @register("nearest_active_event_grid", O.with_layers(
     f"SELECT trip_id, stop_id, event_ts, {_r6(['event_proximity_km'])}, nearest_impact, nearest_event_id FROM ei"))
 def q_nearest_grid(spark, sf):
-    """The same search from finer cells, with one round more."""
+    """The same search in rounds of other radii."""
     from .operators.nearest import nearest_active_event
     w = wh(spark, sf)
     pts = w.stg_trip_updates.join(w.dim_stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id")
-    return report(nearest_active_event(pts, w.stg_events, ["trip_id", "stop_id", "event_ts"], cell_km=0.3,
-                                       rounds=4), ["event_proximity_km"])
+    return report(nearest_active_event(pts, w.stg_events, ["trip_id", "stop_id", "event_ts"],
+                                       radii_km=(0.3, 2.0, 20.0, 16384.0)), ["event_proximity_km"])
 
 
 @register("fct_trip_delays_grid", O.with_layers(f"SELECT {FACT_COLS}, {_r6(FACT_FLOATS)} FROM fct"))
@@ -738,7 +917,7 @@ def q_bronze_counts(spark, sf):
     import uuid
     from .session import checkpoint_dir
     from .streaming import bronze as B
-    from .streaming import continuous as C
+    from .streaming.state import ProgressLedger
     root = f"{checkpoint_dir(spark)}/tramline-bronze-{uuid.uuid4().hex}"
     ids = wh(spark, sf).fixture.events.select((F.col("event_id") % 100 == 7).alias("cut"), F.struct(
         F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("trip_id"), F.col("ts").cast("timestamp").alias("event_ts"),
@@ -746,10 +925,15 @@ def q_bronze_counts(spark, sf):
     text = F.to_json("r", B.JSON_WRITE_OPTIONS)
     ids.select(F.when(F.col("cut"), F.substring(text, 1, 20)).otherwise(text).alias("value")).repartition(8).write.text(
         f"{root}/feed/trip_updates")
-    query = B.start_bronze(spark, "trip_updates", B.Source(path=f"{root}/feed", max_files_per_trigger=2), root,
-                           f"{root}/ckpt", {"availableNow": True})
-    B.await_all(spark, [query])
-    seen = sum(c["rows"] for c in C.progress_counters(query))
+    ledger = ProgressLedger(spark, f"{root}/ckpt/counters")
+    spark.streams.addListener(ledger)
+    try:
+        query = B.start_bronze(spark, "trip_updates", B.Source(path=f"{root}/feed", max_files_per_trigger=2), root,
+                               f"{root}/ckpt", {"availableNow": True})
+        B.await_all(spark, [query])
+        seen = ledger.settled(query)["rows"]
+    finally:
+        spark.streams.removeListener(ledger)
     tables = [read(spark, root, "trip_updates").agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(t).alias("table_name"), "rows") for t, read in (("bronze", B.read_bronze), ("quarantine", B.read_quarantine))]
     return tables[0].unionByName(tables[1]).unionByName(
@@ -784,6 +968,36 @@ def q_ml_prepared(spark, sf):
     return report(ml.prepare(wh(spark, sf).ml_features).select(*_PREPARED_COLS, *floats), floats)
 
 
+@register("ml_defaulted_features", O.with_layers(
+    _PREPARED + "SELECT trip_id, stop_id, event_ts, label_class, 'unknown' AS condition, 0.0::DOUBLE AS wind_speed_kmh, temperature_c FROM prepared"))
+def q_ml_defaulted(spark, sf):
+    """Feature rows that lack a category and a number."""
+    from .plans import ml
+    return ml.prepare(wh(spark, sf).ml_features.drop("condition", "wind_speed_kmh")).select(
+        "trip_id", "stop_id", "event_ts", "label_class", "condition", "wind_speed_kmh", "temperature_c")
+
+
+@register("ml_encoded_features", O.with_layers(_PREPARED + f"""
+, modes AS (SELECT route_mode, row_number() OVER (ORDER BY count(*) DESC, route_mode) - 1 AS slot FROM prepared GROUP BY 1)
+SELECT p.trip_id, p.stop_id, p.event_ts, CAST(m.slot AS INTEGER) AS mode_slot,
+       {O.R("(hour_of_day - avg(hour_of_day) OVER ()) / stddev_samp(hour_of_day) OVER ()", 5)} AS hour_scaled,
+       {O.R("(temperature_c - avg(temperature_c) OVER ()) / stddev_samp(temperature_c) OVER ()", 5)} AS temperature_scaled
+FROM prepared p JOIN modes m ON m.route_mode = p.route_mode"""))
+def q_ml_encoded(spark, sf):
+    """One-hot slots of the mode and scaled numbers, as the models read them."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from .plans import ml
+    from .session import materialise
+    data = materialise(ml.prepare(wh(spark, sf).ml_features), "prepared")
+    out = Pipeline(stages=ml.feature_stages()).fit(data).transform(data)
+    number = {c: i for i, c in enumerate(ml.NUM_FEATURES)}
+    scaled, one_hot = vector_to_array("num_scaled"), vector_to_array("route_mode_ohe")
+    return out.select("trip_id", "stop_id", "event_ts", (F.array_position(one_hot, F.lit(1.0)) - 1).cast("int").alias("mode_slot"),
+                      round_metric(scaled[number["hour_of_day"]], 5).alias("hour_scaled"),
+                      round_metric(scaled[number["temperature_c"]], 5).alias("temperature_scaled"))
+
+
 @register("ml_split_counts", O.with_layers(
     _PREPARED + "SELECT CASE WHEN in_test THEN 'test' ELSE 'train' END AS part, count(*) AS \"rows\", "
     "CAST(sum(label_class) AS BIGINT) AS class_sum FROM prepared GROUP BY 1"))

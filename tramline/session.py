@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +15,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # state of streams outside the heap, and as transformWithState needs it
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,7 +43,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Session-level settings that can be changed on an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.coalescePartitions.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(k, BASE_CONF[k])
 
 
@@ -69,6 +74,25 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def materialise(df, what: str):
+    """Write df under the shared checkpoint folder and read it back: cuts the lineage, survives lost executors, and
+    gives Spark the table's true size for its join choices."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tramline-{uuid.uuid4().hex}/{what}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Sides of at most this many bytes may be broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df, row_bytes: int):
+    """A broadcast hint for a side whose counted rows, of at most ``row_bytes`` each, stay within BROADCAST_BYTES; the
+    other side of the join then stays where it lies. Otherwise Spark shuffles both."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def sizing_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
     """Settings that keep shuffle partitions near ``target_partition_bytes``
     for an input of ``input_bytes`` (AQE coalesces smaller ones and splits
