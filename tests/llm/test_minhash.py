@@ -66,12 +66,25 @@ def test_blocks_find_what_hubs_leave(spark, monkeypatch):
     assert {r.component_id for r in got} == {0}
 
 
-def test_one_of_each_keeps_columns_and_rows_without_id(spark):
+def test_one_of_each_keeps_columns_and_one_row_of_a_group(spark):
     docs = with_clashing_columns(docs_frame(spark))
     kept = minhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert ids.count(None) == 2 and ids.count(20) == 1 and 1 not in ids and 2 not in ids and 0 in ids
+    rows = kept.collect()
+    ids = [r.doc_id for r in rows]
+    # of the two rows without doc_id one is a copy of 0
+    assert ids.count(None) == 1 and ids.count(20) == 1 and 1 not in ids and 2 not in ids and 0 in ids
+    want = {r[0] for r in brute_force(awkward_docs()) if r[0] is not None and r[0] == r[2]}
+    assert {i for i in ids if i is not None} == want
+
+
+def test_one_of_each_tells_rows_by_their_text(spark):
+    a, b, c = prose(31, 80), prose(32, 80), prose(33, 80)
+    rows = [(1, a, "en", "s", 0), (1, b, "en", "s", 0), (2, b + " more", "en", "s", 0), (None, a, "en", "s", 0),
+            (None, a, "en", "s", 0), (None, c, "en", "s", 0), (None, c, "en", "s", 0), (3, c, "en", "s", 0), (4, "", "en", "s", 0),
+            (None, None, "en", "s", 0), (None, None, "en", "s", 0)]
+    got = [(r.doc_id, r.text) for r in minhash.one_of_each(docs_frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (3, c), (4, ""), (None, None), (None, None)], key=str)
 
 
 def test_empty_table(spark):

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (Words, arrow_batch, chunks, mix64, ready, row_hashes, same_type, signed,
+from .common import (WORD, Words, arrow_batch, chunks, mix64, ready, row_hashes, same_type, signed,
                      small_side, stored, windows)
 
 SHINGLE = 5
@@ -371,9 +371,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs that near_duplicates keeps, one for each doc_id; rows without doc_id can't be told apart and
-    stay. The columns are those of docs."""
-    kept = stored(near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    with_id = docs.filter("doc_id is not null").join(
-        small_side(kept, kept.count(), 8), docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.filter("doc_id is null"))
+    """One row of each near-duplicate group of docs, whole: the one of smallest doc_id (rows without come last), then
+    smallest text hash, then smallest hash of all its columns. Texts are what is grouped, so rows that share a doc_id
+    but not their text are told apart, and rows without doc_id are grouped like others. Rows without words are linked
+    with nothing and stay. The columns are those of docs."""
+    ready(docs.sparkSession)
+    none = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    row = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", none).alias("id"),
+                   F.xxhash64("text").alias("text_hash"), F.xxhash64(*docs.columns).alias("row_hash"))
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rows = docs.filter(~wordless)
+    kept = stored(near_duplicates(rows.select(row.alias("doc_id"), "text")).filter("kept").select(
+        F.col("doc_id").alias("kept_row")).distinct(), "kept")
+    named = rows.withColumn("kept_row", row)
+    one = named.join(small_side(kept, kept.count(), 48), "kept_row", "left_semi").dropDuplicates(["kept_row"])
+    return one.select(docs.columns).unionByName(docs.filter(wordless))
