@@ -32,5 +32,5 @@ def test_stages_one_by_one(spark):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
-    assert {"op8_source_mixing", "op10_url_filter"} <= set(entry.oracle_sql())
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
+    assert {"op8_source_mixing", "op10_url_filter", "op11_top_products", "op13_ranked_search"} <= set(entry.oracle_sql())
