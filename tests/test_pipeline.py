@@ -97,16 +97,6 @@ def test_city_catalog(spark):
         city_profile(cat, "Atlantis")
 
 
-def test_linear_position_and_heading(spark):
-    from tramline.functions.geo import heading_deg, interpolate
-    df = spark.createDataFrame([(52.5, 13.4, 52.6, 13.4, 0.25), (52.5, 13.4, 52.5, 13.3, 0.5)],
-                               "alat double, alon double, blat double, blon double, p double")
-    got = [tuple(round(x, 6) for x in r) for r in df.select(
-        interpolate("alat", "blat", "p"), interpolate("alon", "blon", "p"),
-        heading_deg("alat", "alon", "blat", "blon")).collect()]
-    assert got == [(52.525, 13.4, 0.0), (52.5, 13.35, 270.0)]
-
-
 def test_sizing_conf():
     from tramline.session import sizing_conf
     c = sizing_conf(100 * 1024 ** 4, executor_cores=8000)

@@ -60,23 +60,6 @@ def grid_cell(lat, lon, digits: int = 2) -> Column:
     return F.concat(cell_coord(lat, digits).cast("string"), F.lit("|"), cell_coord(lon, digits).cast("string"))
 
 
-def heading_deg(lat1, lon1, lat2, lon2) -> Column:
-    """Bearing of a segment in degrees, 0..360 (atan2 of lon delta over lat delta)."""
-    lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
-    return F.pmod(F.degrees(F.atan2(lon2 - lon1, lat2 - lat1)), F.lit(360.0))
-
-
-def interpolate(a, b, progress) -> Column:
-    """Linear position along a segment."""
-    a, b, progress = map(_c, (a, b, progress))
-    return a + (b - a) * progress
-
-
-def congestion_level(delay) -> Column:
-    """1 / (1 + max(0, delay) / 180)."""
-    return F.lit(1.0) / (F.lit(1.0) + F.greatest(_c(delay), F.lit(0.0)) / F.lit(180.0))
-
-
 def city_bbox(lat: float, radius_km: float):
     """Half-extent (lat_delta, lon_delta) of a square box of ``radius_km``."""
     import math

@@ -27,14 +27,6 @@ def hour_bucket(ts) -> Column:
     return F.date_trunc("hour", _c(ts))
 
 
-def rush_hour_factor(ts, amplitude: float = 1.0, local_offset_hours: int = 1) -> Column:
-    """1 + a * 0.35 * (exp(-(h-8)^2/4) + exp(-(h-18)^2/4)) on the event hour."""
-    h = F.hour(_c(ts)) + F.lit(local_offset_hours)
-    morning = F.exp(-F.pow(h - 8, 2) / 4.0)
-    evening = F.exp(-F.pow(h - 18, 2) / 4.0)
-    return F.lit(1.0) + F.lit(amplitude * 0.35) * (morning + evening)
-
-
 def fmt_delay(sec) -> Column:
     """'on time' for <= 0, '3m 5s' from a minute up, else '42s'."""
     s = _c(sec)

@@ -41,17 +41,17 @@ def _open_ranks(counted: DataFrame, group_cols: list[str], qs: dict[str, float])
     return totals.withColumn("_rank", F.explode(F.array_distinct(F.array(*at)))).withColumn("_below", F.lit(0).cast("long"))
 
 
-def _narrowed(counted: DataFrame, open_: DataFrame, group_cols: list[str]) -> DataFrame:
-    """open_ with the one of RANGES parts of each range that holds the rank, cut to the values that are there."""
+def _narrowed(counted: DataFrame, open_: DataFrame, group_cols: list[str], ranges: int) -> DataFrame:
+    """open_ with the one of the parts of each range that holds the rank, cut to the values that are there."""
     renamed = open_.select(*[F.col(c).alias(f"_of_{c}") for c in group_cols], "_n", "_rank", "_low", "_high", "_below")
     same = [counted[c].eqNullSafe(renamed[f"_of_{c}"]) for c in group_cols]
     inside = counted.join(renamed, [*same, F.col("_v").between(F.col("_low"), F.col("_high"))])
     share = (F.col("_v") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)  # halves: no overflow
-    part = F.least(F.floor(share * RANGES), F.lit(RANGES - 1))
+    part = F.least(F.floor(share * ranges), F.lit(ranges - 1))
     key = [*group_cols, "_n", "_rank", "_below"]
     parts = inside.groupBy(*key, part.alias("_part")).agg(
         F.sum("_c").alias("c"), F.min("_v").alias("low"), F.max("_v").alias("high"))
-    # at most RANGES entries
+    # at most ``ranges`` entries
     listed = parts.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_part", "c", "low", "high"))).alias("_parts"))
     none = F.struct(F.col("_below").alias("below"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
     found = F.reduce("_parts", none, lambda at, x: F.when(at["low"].isNotNull(), at).when(
@@ -61,21 +61,22 @@ def _narrowed(counted: DataFrame, open_: DataFrame, group_cols: list[str]) -> Da
                                                  "_rank", F.col("_f.below").alias("_below"))
 
 
-def exact_percentiles(df: DataFrame, group_cols: list[str], value: str, qs: dict[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, group_cols: list[str], value: str, qs: dict[str, float],
+                      ranges: int = RANGES) -> DataFrame:
     """Exact interpolated percentiles (percentile_cont): group columns + one column per entry of ``qs`` (name -> q).
 
     Rank selection by refined histograms. Rows are first counted by (group, value), written once. Then the range of a
-    group's values is divided into RANGES parts and counted; the part that holds a wanted rank is divided again, until it
+    group's values is divided into ``ranges`` parts and counted; the part that holds a wanted rank is divided again, until it
     holds one value. Every pass is a sum by (group, rank, part) that combines before the shuffle, so a hot group is spread
-    over all tasks, and what a task keeps of a group is RANGES counts. Passes needed: about the logarithm of range over
-    resolution to the base RANGES (two for delays in whole seconds). Null, infinite and NaN values take no part."""
+    over all tasks, and what a task keeps of a group is that many counts. Passes needed: about the logarithm of range over
+    resolution to that base (two for delays in whole seconds). Null, infinite and NaN values take no part."""
     v = F.col(value).cast("double")
     finite = df.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     counted = materialise(finite.groupBy(*group_cols, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c")), "counted")
     open_ = materialise(_open_ranks(counted, group_cols, qs), "ranks")
     done = open_.where("_low = _high")
     while not (open_ := open_.where("_low < _high")).isEmpty():
-        open_ = materialise(_narrowed(counted, open_, group_cols), "ranks")
+        open_ = materialise(_narrowed(counted, open_, group_cols, ranges), "ranks")
         done = done.unionByName(open_.where("_low = _high"))
     aggs = []
     for name, q in qs.items():

@@ -525,9 +525,6 @@ SELECT p.vehicle_id, p.event_ts,
        CASE WHEN {d} IS NULL OR {d} <= 30 THEN 'on-time' WHEN {d} <= 120 THEN 'mid' WHEN {d} <= 300 THEN 'late' ELSE 'severe' END AS map_class,
        CASE WHEN {d} <= 120 THEN 0 WHEN {d} <= 600 THEN 1 ELSE 2 END AS delay_code,
        CASE WHEN {d} < -60 THEN 'EARLY' WHEN {d} <= 120 THEN 'ON_TIME' ELSE 'DELAYED' END AS status,
-       {R('1.0::DOUBLE / (1.0::DOUBLE + greatest(coalesce(' + d + ', 0.0), 0.0) / 180.0::DOUBLE)', 6)} AS congestion_from_delay,
-       {R('((degrees(atan2(p.lon - 13.405::DOUBLE, p.lat - 52.52::DOUBLE)) % 360.0) + 360.0) % 360.0', 6)} AS heading_from_centre,
-       {R('1.0::DOUBLE + 0.35::DOUBLE * (exp(-power(CAST(extract(hour FROM p.event_ts) AS DOUBLE) + 1 - 8, 2) / 4.0::DOUBLE) + exp(-power(CAST(extract(hour FROM p.event_ts) AS DOUBLE) + 1 - 18, 2) / 4.0::DOUBLE))', 6)} AS rush_factor,
        CASE WHEN {d} <= 0 THEN 'on time'
             WHEN floor({d} / 60) >= 1 THEN CAST(CAST(floor({d} / 60) AS BIGINT) AS VARCHAR) || 'm ' || CAST(CAST(round(({d} % 60.0 + 60.0) % 60.0) AS BIGINT) AS VARCHAR) || 's'
             ELSE CAST(CAST(round({d}) AS BIGINT) AS VARCHAR) || 's' END AS delay_text,

@@ -8,7 +8,7 @@ from ..functions.buckets import delay_bucket
 from ..functions.geo import cell_coord, grid_cell
 from ..functions.timefn import day_of_week, hour_of_day, is_rush_hour
 from ..operators.joins import stop_segments, with_weather
-from ..operators.nearest import with_nearest_event
+from ..operators.nearest import RADII_KM, with_nearest_event
 from ..params import DEFAULT_CITY, MIN_FEATURE_DELAY, CityProfile
 
 FACT_COLUMNS = ["trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence", "delay_seconds", "delay_bucket",
@@ -27,7 +27,8 @@ EVENT_COLUMNS = ["event_proximity_km", "nearest_event_impact", "event_nearby"]
 
 def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame | None, weather_hourly: DataFrame,
                     dim_stops: DataFrame, dim_trips: DataFrame, dim_routes: DataFrame,
-                    dim_stop_times: DataFrame, stamp: bool = False, city: CityProfile = DEFAULT_CITY) -> DataFrame:
+                    dim_stop_times: DataFrame, stamp: bool = False, city: CityProfile = DEFAULT_CITY,
+                    radii_km: tuple = RADII_KM) -> DataFrame:
     """One row per valid trip update, more where a dimension or the segment join on (trip_id, stop_id) repeats.
 
     Left joins only: the update stream is neither multiplied by events nor aggregated. The nearest active event comes
@@ -42,7 +43,7 @@ def fct_trip_delays(stg_trip_updates: DataFrame, stg_events: DataFrame | None, w
     routes = dim_routes.select(F.col("route_id").alias("_r_route"), "route_mode")
     at_stop = tu.join(stops, "stop_id", "left")
     if stg_events is not None:
-        at_stop = with_nearest_event(at_stop, stg_events)
+        at_stop = with_nearest_event(at_stop, stg_events, radii_km=radii_km)
     fact = (at_stop.join(trips, "trip_id", "left")
             .join(routes, F.col("_r_route") == F.coalesce(F.col("_t_route"), F.col("route_id")), "left"))
     # weather of the stop's zone in the update hour (NULL when the stop is unknown)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.buckets import precip_bucket, proximity_bucket, temp_bucket
 from ..functions.numeric import pct, round_metric
 from ..functions.timefn import hour_of_day
-from ..operators.aggregates import exact_percentiles
+from ..operators.aggregates import RANGES, exact_percentiles
 from ..params import WEATHER_CONDITIONS_ALL
 
 
@@ -19,14 +19,15 @@ def _share(bucket: str):
     return F.count_if(F.col("delay_bucket") == bucket)
 
 
-def _with_percentiles(stats: DataFrame, rows: DataFrame, keys: list[str], qs: dict[str, float]) -> DataFrame:
+def _with_percentiles(stats: DataFrame, rows: DataFrame, keys: list[str], qs: dict[str, float],
+                      ranges: int = RANGES) -> DataFrame:
     """Attach rounded exact percentiles of the delay; keys match null-safely (a route without mode is a group)."""
-    ps = exact_percentiles(rows, keys, "delay_seconds", qs)
+    ps = exact_percentiles(rows, keys, "delay_seconds", qs, ranges)
     out = stats.join(ps, [stats[k].eqNullSafe(ps[k]) for k in keys], "left")
     return out.select(*[stats[c] for c in stats.columns], *[round_metric(ps[q]).alias(q) for q in qs])
 
 
-def route_reliability(fact: DataFrame) -> DataFrame:
+def route_reliability(fact: DataFrame, ranges: int = RANGES) -> DataFrame:
     """Per (route, mode, service date): volumes, delay statistics, on-time and severe shares and the 0..100
     reliability score. Percentiles are exact and interpolated."""
     keys = ["route_id", "route_mode", "service_date"]
@@ -40,7 +41,7 @@ def route_reliability(fact: DataFrame) -> DataFrame:
         pct(_share("severe"), _n()).alias("severe_pct"),
         round_metric(F.lit(100.0) * (F.lit(0.7) * _share("on_time") + F.lit(0.2) * _share("delayed"))
                      / F.nullif(_n(), F.lit(0))).alias("reliability_score"))
-    out = _with_percentiles(stats, f, keys, {"p95_delay_seconds": 0.95, "median_delay_seconds": 0.5})
+    out = _with_percentiles(stats, f, keys, {"p95_delay_seconds": 0.95, "median_delay_seconds": 0.5}, ranges)
     return out.select(*keys, "stops_observed", "trips", "avg_delay_seconds", "p95_delay_seconds",
                       "median_delay_seconds", "max_delay_seconds", "on_time_pct", "severe_pct", "reliability_score")
 

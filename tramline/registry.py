@@ -498,9 +498,9 @@ def q_sql_city_positions(spark, sf):
     from .session import checkpoint_dir
     path = f"{checkpoint_dir(spark)}/tramline-cities-{uuid.uuid4().hex}"
     key = F.col("n_nationkey")
-    wh(spark, sf).fixture.table("nation").select(
-        F.col("n_name").alias("name"), (F.lit(52.40) + (key % 5) * F.lit(0.05)).alias("lat"),
-        (F.lit(13.15) + (key % 7) * F.lit(0.08)).alias("lon")).write.json(path)
+    city = F.struct(F.col("n_name").alias("name"), (F.lit(52.40) + (key % 5) * F.lit(0.05)).alias("lat"),
+                    (F.lit(13.15) + (key % 7) * F.lit(0.08)).alias("lon"))
+    wh(spark, sf).fixture.table("nation").select(F.to_json(F.collect_list(city))).write.text(path)  # one array, as catalogs are
     register_city_functions(spark, load_city_catalog(spark, path), _bronze(spark, sf)["transport_positions"])
     return spark.sql("SELECT * FROM positions_of_city(:city, :radius)", args={"city": "NATION_2", "radius": 6.0})
 
@@ -622,9 +622,6 @@ def q_functions(spark, sf):
         round_metric(G.sq_deg_dist(lat, lon, clat, clon), 6).alias("sq_deg_from_centre"),
         B.map_delay_class(d).alias("map_class"), B.delay_bucket_code(d).alias("delay_code"),
         B.trip_status(d).alias("status"),
-        round_metric(G.congestion_level(F.coalesce(d, F.lit(0.0))), 6).alias("congestion_from_delay"),
-        round_metric(G.heading_deg(clat, clon, lat, lon), 6).alias("heading_from_centre"),
-        round_metric(T.rush_hour_factor("event_ts"), 6).alias("rush_factor"),
         T.fmt_delay(d).alias("delay_text"), G.weather_zone(lat, lon).alias("weather_zone"),
         G.grid_cell(lat, lon).alias("grid_cell"), T.hour_of_day("event_ts").alias("hour_of_day"),
         T.day_of_week("event_ts").alias("day_of_week"), T.is_rush_hour("event_ts").alias("is_rush_hour"),
@@ -823,14 +820,17 @@ def q_nearest_grid(spark, sf):
 
 @register("fct_trip_delays_grid", O.with_layers(f"SELECT {FACT_COLS}, {_r6(FACT_FLOATS)} FROM fct"))
 def q_fct_grid(spark, sf):
-    """The flagship fact (its nearest event comes from the grid search)."""
-    return report(wh(spark, sf).fct_trip_delays, FACT_FLOATS)
+    """The flagship fact with other rounds of the event search: one narrow, one that decides the rest."""
+    from .plans import facts
+    w = wh(spark, sf)
+    return report(facts.fct_trip_delays(w.stg_trip_updates, w.stg_events, w.weather_hourly, w.dim_stops, w.dim_trips,
+                                        w.dim_routes, w.dim_stop_times, radii_km=(0.5, 16384.0)), FACT_FLOATS)
 
 
 @register("mart_route_reliability_sorted", O.with_layers("SELECT * FROM mart_rr"))
 def q_mart_rr_sorted(spark, sf):
-    """Route reliability (its percentiles need no buffer per group)."""
-    return marts.route_reliability(wh(spark, sf).fct_trip_delays)
+    """Route reliability with histograms of four ranges: many narrow refinements instead of two wide ones."""
+    return marts.route_reliability(wh(spark, sf).fct_without_events, ranges=4)
 
 
 @register("live_active_events", O.with_live("SELECT * FROM le WHERE status = 'ACTIVE'"))
