@@ -72,5 +72,6 @@ def reduce_trip_updates(feed: DataFrame, city_stops: DataFrame, trip_routes: Dat
 def cap_per_poll(records: DataFrame, poll_col: str = "poll_id", cap: int = MAX_RECORDS_PER_POLL) -> DataFrame:
     """Keep the ``cap`` records with the largest |delay| per poll (a top-k
     per group: Spark applies the limit per map task before the shuffle)."""
-    w = Window.partitionBy(poll_col).orderBy(F.desc(F.abs(F.col("delay_seconds"))), "entity_id", "event_ts")
+    ties = [c for c in ("entity_id", "event_ts") if c in records.columns]
+    w = Window.partitionBy(poll_col).orderBy(F.desc(F.abs(F.col("delay_seconds"))), *ties)
     return records.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
