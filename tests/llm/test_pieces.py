@@ -41,6 +41,28 @@ def test_small_suffix_arrays_and_a_crowded_pair_table(monkeypatch):
     assert [x.tolist() for x in encoder.encode(TEXTS)] == reference(TEXTS)
 
 
+def test_very_long_words(encoder):
+    """Words without a space are cut where no piece crosses; runs that pieces cross everywhere stay whole."""
+    rng = random.Random(9)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    texts = [letters, "日本語" * 20_000, "=-" * 3000, "http://" + "a/b?c=" * 4000, "\n".join(f"line{k}" for k in range(30_000))]
+    assert [x.tolist() for x in encoder.encode(texts)] == reference(texts)
+
+
+def test_remembered_words_are_bounded_by_bytes(monkeypatch):
+    """Words come and go from a small memory; long words never enter it."""
+    monkeypatch.setattr(pieces, "REMEMBERED", 30_000)
+    encoder = pieces.Encoder(pieces.Vocabulary())
+    rng = random.Random(5)
+    held = []
+    for k in range(30):
+        texts = [" ".join(f"w{rng.randrange(400)}" for _ in range(30)) + " " + "long\nline\n" * rng.randrange(20) for _ in range(3)]
+        assert [x.tolist() for x in encoder.encode(texts)] == reference(texts)
+        held.append(encoder.taken)
+        assert all(len(w) <= pieces.REMEMBERED_WORD for w in encoder.number) and len(encoder.cut) == len(encoder.number) + 1
+    assert max(held) <= 30_000 + 100 * (pieces.WORD_BYTES + 64 * 8) and any(b < a for a, b in zip(held, held[1:]))
+
+
 def test_documents(spark):
     docs = with_clashing_columns(docs_frame(spark))
     out = pieces.encode(docs)

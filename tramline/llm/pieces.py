@@ -16,6 +16,8 @@ is replaced).
 """
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,12 +29,15 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONGEST = 16
 #: Characters of one suffix array, and entries of the table of piece pairs seen before.
-INDEXED = 1 << 20
+INDEXED = 1 << 19
 PAIRS_SEEN = 1 << 20
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Bytes that the ids of words seen before may take in a task, and the longest word that is remembered.
+REMEMBERED = 32 << 20
+REMEMBERED_WORD = 64
+#: What a remembered word takes besides its characters and ids (two dictionary entries and their objects).
+WORD_BYTES = 220
 #: Bytes of text that are encoded together.
-TOGETHER = 8 << 20
+TOGETHER = 2 << 20
 
 _NONE = -1
 
@@ -120,7 +125,18 @@ class SuffixArray:
         padded = np.concatenate([codes, np.zeros(LONGEST, np.int64)]).astype(np.uint64)
         four = sum(padded[k:len(codes) + 12 + k] << np.uint64(48 - 16 * k) for k in range(4))
         keys = [four[k:k + len(codes)] for k in range(0, LONGEST, 4)]
-        self.order = np.lexsort(keys[::-1])
+        order = np.lexsort(keys[1::-1])
+        # few suffixes share their first half with another; only these are told apart by the rest
+        same = np.ones(len(codes), bool)
+        for k in keys[:2]:
+            same[1:] &= k[order[1:]] == k[order[:-1]]
+        same[:1] = False
+        tied = same.copy()
+        tied[:-1] |= same[1:]
+        at = np.flatnonzero(tied)
+        group = np.cumsum(~same)[at]
+        order[at] = order[at][np.lexsort((keys[3][order[at]], keys[2][order[at]], group))]
+        self.order = order
         self.keys = [k[self.order] for k in keys]
 
     def bound(self, keys: list[np.ndarray], above: bool) -> np.ndarray:
@@ -145,7 +161,13 @@ class Encoder:
         self.v = vocabulary
         self.seen_code = np.full(PAIRS_SEEN, _NONE, np.int64)
         self.seen_stays = np.zeros(PAIRS_SEEN, bool)
-        self.remembered: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words seen before: the number of each, and the ids of word k in flat[cut[k]:cut[k + 1]]."""
+        self.number: dict[str, int] = {}
+        self.flat, self.cut = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.taken = 0
 
     # -- which pieces stay side by side
     def _merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -228,7 +250,16 @@ class Encoder:
         order = np.argsort(end * 32 + (31 - v.length[piece]), kind="stable")
         piece, end = piece[order], end[order]
         first = np.searchsorted(end, np.arange(len(codes) + 2))
-        # relax: step k settles the k-th position of every word
+        # no merge reaches over a place that no piece crosses: words are cut there and their parts relaxed side by side
+        room = len(codes) + 2
+        inside = np.cumsum(np.bincount(end - v.length[piece] + 1, minlength=room) - np.bincount(end, minlength=room))
+        begins = inside[:len(codes)] == 0
+        begins[start] = True
+        word_stop = stop
+        start = np.flatnonzero(begins)
+        size = np.diff(np.append(start, len(codes)))
+        stop = start + size
+        # relax: step k settles the k-th position of every part
         last = np.full(len(codes) + 1, _NONE, np.int32)
         live = np.argsort(-size, kind="stable")
         longest_first = -size[live]
@@ -257,7 +288,7 @@ class Encoder:
             on = here > floor
             here, floor = here[on], floor[on]
         at = np.flatnonzero(ends)
-        ids, cut = last[at], np.searchsorted(at, stop, side="right")
+        ids, cut = last[at], np.searchsorted(at, word_stop, side="right")
         if (ids == v.unknown).any():
             return self._with_bytes(text, at, ids, cut)
         return _parts(ids, cut)
@@ -276,18 +307,42 @@ class Encoder:
     # -- texts
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace(SPACE, " ").split(" ") if t else [] for t in texts]
-        if len(self.remembered) > REMEMBERED:
-            self.remembered = {}
-        new = list(dict.fromkeys(w for ws in split for w in ws if w not in self.remembered))
-        self.remembered.update(zip(new, self.words(new)))
-        known = self.remembered
+        words = dict.fromkeys(chain.from_iterable(split))
+        short = [w for w in words if w not in self.number]
+        if self.taken + WORD_BYTES * len(short) + 8 * sum(map(len, short)) > REMEMBERED:
+            self._forget()
+            short = list(words)
+        long = [w for w in short if len(w) > REMEMBERED_WORD]
+        if long:
+            short = [w for w in short if len(w) <= REMEMBERED_WORD]
+        known = len(self.number)
+        self.flat, self.cut = self._with(short)
+        self.number.update(zip(short, range(known, known + len(short))))
+        self.taken += WORD_BYTES * len(short) + 8 * sum(map(len, short))
+        flat, cut = self.flat, self.cut
+        if long:  # known for these texts only
+            flat, cut = self._with(long)
+            known = len(self.number)
+            self.number.update(zip(long, range(known, known + len(long))))
+        which = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        for w in long:
+            del self.number[w]
+        size = cut[which + 1] - cut[which]
+        to = np.cumsum(size)
+        ids = flat[np.arange(int(size.sum())) + np.repeat(cut[which] - (to - size), size)]
+        stops = np.concatenate([[0], to])[np.cumsum([len(ws) for ws in split], dtype=np.int64)]
         out = []
-        for ws in split:
-            ids = np.concatenate([known[w] for w in ws]) if ws else np.zeros(0, np.int32)
-            alone = ids == self.v.space
-            out.append(self._merge_spaces(ids) if (alone[1:] & alone[:-1]).any() else ids)
+        for part in _parts(ids, stops):
+            alone = part == self.v.space
+            out.append(self._merge_spaces(part) if (alone[1:] & alone[:-1]).any() else part)
         return out
 
+    def _with(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """flat and cut with the ids of further words."""
+        ids = self.words(new)
+        return (np.concatenate([self.flat, *ids]),
+                np.concatenate([self.cut, self.cut[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)]))
+
     def _merge_spaces(self, ids: np.ndarray) -> np.ndarray:
         runs, longest, out, k = self.v.runs, max(self.v.runs), [], 0
         ids = ids.tolist()

@@ -55,20 +55,27 @@ class Chain:
     def fit(self, x: np.ndarray, marks: dict[str, np.ndarray], fold: np.ndarray) -> "Chain":
         """marks: 1, 0 or NaN for each row and category."""
         self.mid, self.spread = (x.mean(0), np.maximum(x.std(0), 1e-3)) if len(x) else (0.0, 1.0)
-        x = self._scaled(x)
-        earlier = np.zeros((len(x), 0))
-        for category in self.categories:
+        # one matrix for all categories: features, then the out-of-fold probabilities of the earlier ones
+        z = np.zeros((len(x), x.shape[1] + 1 + len(self.categories)))
+        wide = x.shape[1] + 1
+        z[:, :wide - 1] = x
+        del x
+        z[:, :wide - 1] -= self.mid
+        z[:, :wide - 1] /= self.spread
+        np.clip(z[:, :wide - 1], -8, 8, out=z[:, :wide - 1])
+        z[:, wide - 1] = 1
+        for n, category in enumerate(self.categories):
             y = marks[category]
             known = ~np.isnan(y)
-            z = np.concatenate([x, earlier], axis=1)
-            out_of_fold = np.zeros(len(x))
+            seen = z[:, :wide + n]
+            out_of_fold = np.zeros(len(z))
             if (y == 1).any() and (y == 0).any():
                 for k in range(FOLDS):
                     rest = known & (fold != k)
                     if (y[rest] == 1).any() and (y[rest] == 0).any():
-                        out_of_fold[fold == k] = sigmoid(z[fold == k] @ newton(z[rest], y[rest], RIDGE))
-                self.models[category] = newton(z[known], y[known], RIDGE)
-            earlier = np.concatenate([earlier, out_of_fold[:, None]], axis=1)
+                        out_of_fold[fold == k] = sigmoid(seen[fold == k] @ newton(seen[rest], y[rest], RIDGE))
+                self.models[category] = newton(seen[known], y[known], RIDGE)
+            z[:, wide + n] = out_of_fold
         return self
 
     def _scaled(self, x: np.ndarray) -> np.ndarray:
@@ -158,9 +165,17 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Chain:
             .mapInArrow(run, "h long, x array<double>, " + ", ".join(f"y{k} double" for k in range(len(CATEGORIES))))
             .orderBy("h", *[f"y{k}" for k in range(len(CATEGORIES))], "x").limit(bound).toArrow())
     width = len(chain.words) + feature_matrix(statistics(pa.array([""]))).shape[1]
-    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(-1, width) if rows.num_rows else np.zeros((0, width))
     fold = (rows.column("h").to_numpy() % FOLDS) if rows.num_rows else np.zeros(0, int)
-    return chain.fit(x, {c: rows.column(f"y{k}").to_numpy() for k, (c, _, _) in enumerate(CATEGORIES)}, fold)
+    marks = {c: rows.column(f"y{k}").to_numpy() for k, (c, _, _) in enumerate(CATEGORIES)}
+    # the driver holds the sample's matrix once: its Arrow form goes before the models are fitted
+    x = np.zeros((rows.num_rows, width))
+    at = 0
+    for part in rows.column("x").chunks:
+        x[at:at + len(part)] = part.flatten().to_numpy().reshape(-1, width)
+        at += len(part)
+    del rows
+    pa.default_memory_pool().release_unused()
+    return chain.fit(x, marks, fold)
 
 
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, bound: int = SAMPLE) -> DataFrame:
