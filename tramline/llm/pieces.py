@@ -113,6 +113,14 @@ def _packed(codes: np.ndarray) -> list[np.ndarray]:
     return [(codes[:, k:k + 4] << shift).sum(1, dtype=np.uint64) for k in range(0, LONGEST, 4)]
 
 
+def _sorted_by(key: np.ndarray) -> np.ndarray:
+    """Stable order of numbers; below 2^32 by their low and then their high 16 bits (each sorted by counting)."""
+    if len(key) and int(key.max()) >> 32:
+        return np.argsort(key, kind="stable")
+    order = np.argsort((key & 0xFFFF).astype(np.uint16), kind="stable")
+    return order[np.argsort((key >> 16).astype(np.uint16)[order], kind="stable")]
+
+
 def _parts(ids: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
     stops = stops.tolist()
     return [ids[a:b] for a, b in zip([0, *stops], stops)]
@@ -247,7 +255,7 @@ class Encoder:
         beyond = np.flatnonzero(codes == 0)
         piece = np.concatenate([v.piece_ids[which], np.full(len(beyond), v.unknown, np.int32)])
         end = np.concatenate([begin + v.piece_size[which], beyond + 1])
-        order = np.argsort(end * 32 + (31 - v.length[piece]), kind="stable")
+        order = _sorted_by(end * 32 + (31 - v.length[piece]))
         piece, end = piece[order], end[order]
         first = np.searchsorted(end, np.arange(len(codes) + 2))
         # no merge reaches over a place that no piece crosses: words are cut there and their parts relaxed side by side
@@ -365,17 +373,6 @@ class Encoder:
         return raw[raw[:1] == b" ":].decode("utf-8", "replace")
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def _encoder(shared) -> Encoder:
-    """One encoder for each Python worker."""
-    if id(shared.value) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[id(shared.value)] = Encoder(shared.value)
-    return _ENCODERS[id(shared.value)]
-
-
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """docs with ``ids`` (array of int), ``n_ids`` and ``decoded``: whether decoding the ids gives the text back
     (U+2581 read as a space)."""
@@ -385,8 +382,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
+        enc = Encoder(shared.value)  # a task's own: what it remembers goes with it
         for part in chunks(batches, size=TOGETHER):
-            enc = _encoder(shared)
             texts = pc.fill_null(part.column(at), "").to_pylist()
             ids = enc.encode(texts)
             size = np.array([len(x) for x in ids], np.int64)
@@ -409,8 +406,8 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     at = tokens.columns.index("ids")
 
     def run(batches):
+        enc = Encoder(shared.value)
         for part in batches:
-            enc = _encoder(shared)
             text = [enc.decode(x or []) for x in part.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())],
                                              names=[*part.schema.names, "text"])
