@@ -337,3 +337,22 @@ def test_percentiles_of_a_group_with_many_values(spark):  # A10
     assert set(got) == set(values)
     for g, vs in values.items():
         assert [got[g][n] for n in qs] == pytest.approx([float(np.quantile(vs, q)) for q in qs.values()], rel=1e-12)
+
+
+def test_position_functions_show_all_formulas(spark):
+    from tramline.functions import geo as G, timefn as T
+    df = spark.createDataFrame([(52.52, 13.405, 52.53, 13.405, 180.0, dt.datetime(2024, 1, 1, 7, 30)),
+                                (52.52, 13.405, 52.52, 13.395, -5.0, dt.datetime(2024, 1, 1, 17, 0))],
+                               "a double, b double, c double, d double, delay double, ts timestamp")
+    got = df.select(G.heading_deg("a", "b", "c", "d"), G.congestion_level("delay"), T.rush_hour_factor("ts")).collect()
+    import math
+    rush = 1 + 0.35 * (1 + math.exp(-25))
+    assert [tuple(r) for r in got] == [pytest.approx((0.0, 0.5, rush)), pytest.approx((270.0, 1.0, rush))]
+
+
+def test_position_functions_columns(spark):
+    from tramline import registry
+    from .conftest import SF_SMALL
+    names = {"congestion_from_delay", "heading_from_centre", "rush_factor"}
+    fn, sql = registry.QUERIES["position_functions"]
+    assert names <= set(fn(spark, SF_SMALL).columns) and all(f" AS {n}," in sql for n in names)
