@@ -339,6 +339,32 @@ def test_percentiles_of_a_group_with_many_values(spark):  # A10
         assert [got[g][n] for n in qs] == pytest.approx([float(np.quantile(vs, q)) for q in qs.values()], rel=1e-12)
 
 
+def test_event_search_neither_broadcasts_nor_sorts_events(spark):  # J5, J6
+    """Files of events are small beside their rows in memory: no side of the search may be broadcast by file size, and
+    the joined pairs are combined by hash."""
+    from tramline.operators import nearest as N
+    start = TS.replace(minute=0)
+    evs = [(f"E{k:03}", 52.5 + 0.001 * (k % 4), 13.4, start + dt.timedelta(minutes=k), start + dt.timedelta(minutes=k + 180), 0.5, "ACTIVE")
+           for k in range(100)]
+    points = spark.createDataFrame([(k, 52.5, 13.4, start + dt.timedelta(minutes=3 * k)) for k in range(100)],
+                                   "k int, stop_lat double, stop_lon double, event_ts timestamp")
+    near = N.nearest_active_event(points, _events(spark, evs), ["k"])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
+    covered, edges = N.sliced(N.numbered(N.active_intervals(_events(spark, evs))), F.col("_n"), F.min)
+    assert covered.count() == covered.select("level", "slice", "_ev_lat", "_ev_lon").distinct().count()
+    asks = N.asks_of(points, "stop_lat", "stop_lon", "event_ts")
+    plan = N.around(asks, covered, edges, 1.0, N._farness(), F.min)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortAggregate" not in plan and "HashAggregate" in plan
+    want = {}
+    for k in range(100):
+        t = start + dt.timedelta(minutes=3 * k)
+        at = [(abs(e[1] - 52.5), e[0]) for e in evs if e[3] <= t <= e[4]]
+        if at:
+            want[k] = min(at)[1]
+    assert {r.k: r.nearest_event_id for r in near.collect()} == want
+
+
 def test_position_functions_show_all_formulas(spark):
     from tramline.functions import geo as G, timefn as T
     df = spark.createDataFrame([(52.52, 13.405, 52.53, 13.405, 180.0, dt.datetime(2024, 1, 1, 7, 30)),
