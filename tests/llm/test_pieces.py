@@ -1,6 +1,7 @@
 """Piece ids against the vocabulary's own library, and the exact round trip."""
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm.fixtures import DDL, awkward_docs, docs_frame, with_clashing_columns
@@ -63,6 +64,31 @@ def test_remembered_words_are_bounded_by_bytes(monkeypatch):
     assert max(held) <= 30_000 + 100 * (pieces.WORD_BYTES + 64 * 8) and any(b < a for a, b in zip(held, held[1:]))
 
 
+def test_words_seen_before_are_kept_when_memory_is_full(monkeypatch):
+    """Of texts that do not fit, only the words that the remembered ones lack are encoded."""
+    old, new = [f"old{k}" for k in range(100)], [f"new{k}" for k in range(100)]
+    monkeypatch.setattr(pieces, "REMEMBERED", 150 * pieces.WORD_BYTES)
+    encoder = pieces.Encoder(pieces.Vocabulary())
+    encoder.encode([" ".join(old)])
+    asked, words = [], encoder.words
+    monkeypatch.setattr(encoder, "words", lambda w: asked.extend(w) or words(w))
+    texts = [" ".join(old[10:] + new), " ".join(new + old[:10])]
+    assert [x.tolist() for x in encoder.encode(texts[:1])] == reference(texts[:1])
+    assert asked == new and set(encoder.number) == {*old[10:], *new}
+    assert [x.tolist() for x in encoder.encode(texts[1:])] == reference(texts[1:])
+    assert asked == new + old[:10]
+
+
+def test_suffixes_by_few_and_by_many_characters():
+    rng = random.Random(4)
+    for letters in (3, 200, 3000):
+        codes = np.array([rng.randrange(letters) for _ in range(4000)] + [1] * 100, np.int64)
+        index = pieces.SuffixArray(codes)
+        padded = [*codes.tolist(), *[0] * pieces.LONGEST]
+        heads = [tuple(padded[k:k + pieces.LONGEST]) for k in index.order]
+        assert heads == sorted(heads) and sorted(index.order) == list(range(len(codes)))
+
+
 def test_documents(spark):
     docs = with_clashing_columns(docs_frame(spark))
     out = pieces.encode(docs)

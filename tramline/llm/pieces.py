@@ -121,6 +121,10 @@ def _sorted_by(key: np.ndarray) -> np.ndarray:
     return order[np.argsort((key >> 16).astype(np.uint16)[order], kind="stable")]
 
 
+def _taken(words: list[str]) -> int:
+    return WORD_BYTES * len(words) + 8 * len("".join(words))
+
+
 def _parts(ids: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
     stops = stops.tolist()
     return [ids[a:b] for a, b in zip([0, *stops], stops)]
@@ -133,7 +137,7 @@ class SuffixArray:
         padded = np.concatenate([codes, np.zeros(LONGEST, np.int64)]).astype(np.uint64)
         four = sum(padded[k:len(codes) + 12 + k] << np.uint64(48 - 16 * k) for k in range(4))
         keys = [four[k:k + len(codes)] for k in range(0, LONGEST, 4)]
-        order = np.lexsort(keys[1::-1])
+        order = self._by_first_half(padded, keys)
         # few suffixes share their first half with another; only these are told apart by the rest
         same = np.ones(len(codes), bool)
         for k in keys[:2]:
@@ -147,6 +151,20 @@ class SuffixArray:
         self.order = order
         self.keys = [k[self.order] for k in keys]
 
+    @staticmethod
+    def _by_first_half(padded: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+        """Order by the first eight characters; of up to 256 different ones, these fit one number."""
+        count = len(keys[0])
+        used = np.bincount(padded.astype(np.int64)) > 0
+        if count and used.sum() <= 256:
+            small = (np.cumsum(used) - 1).astype(np.uint64)[padded.astype(np.int64)]
+            eight = small[:count].copy()
+            for k in range(1, 8):
+                eight <<= np.uint64(8)
+                eight |= small[k:count + k]
+            return np.argsort(eight)
+        return np.lexsort(keys[1::-1])
+
     def bound(self, keys: list[np.ndarray], above: bool) -> np.ndarray:
         """For each key the first place whose suffix is not below it (above: that is above it)."""
         low, high = np.zeros(len(keys[0]), np.int64), np.full(len(keys[0]), len(self.order), np.int64)
@@ -177,6 +195,16 @@ class Encoder:
         self.flat, self.cut = np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.taken = 0
 
+    def _keep(self, words: list[str]) -> None:
+        """Forgets all but these of the words seen before."""
+        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        size = self.cut[which + 1] - self.cut[which]
+        stop = np.cumsum(size)
+        self.flat = self.flat[np.arange(int(size.sum())) + np.repeat(self.cut[which] - (stop - size), size)]
+        self.cut = np.concatenate([[0], stop])
+        self.number = dict(zip(words, range(len(words))))
+        self.taken = _taken(words)
+
     # -- which pieces stay side by side
     def _merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         v = self.v
@@ -224,20 +252,19 @@ class Encoder:
         return out
 
     # -- words
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word with a space before it."""
-        out: list[np.ndarray] = []
-        at = 0
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word with a space before it, one after the other, and where each word's ids stop."""
+        until = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        flat, stops, at, ids = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0, 0
         while at < len(words):
-            to, size = at, 0
-            while to < len(words) and (to == at or size + len(words[to]) + 1 <= INDEXED):
-                size += len(words[to]) + 1
-                to += 1
-            out += self._slice(words[at:to])
-            at = to
-        return out
-
-    def _slice(self, words: list[str]) -> list[np.ndarray]:
+            to = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + INDEXED, side="right")))
+            found, cut = self._slice(words[at:to])
+            flat.append(found)
+            stops.append(cut + ids)
+            at, ids = to, ids + len(found)
+        return np.concatenate(flat), np.concatenate(stops)
+
+    def _slice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         v = self.v
         text = SPACE + SPACE.join(words)  # each word begins with its space, so the words are told apart by length
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
@@ -299,9 +326,9 @@ class Encoder:
         ids, cut = last[at], np.searchsorted(at, word_stop, side="right")
         if (ids == v.unknown).any():
             return self._with_bytes(text, at, ids, cut)
-        return _parts(ids, cut)
+        return ids, cut
 
-    def _with_bytes(self, text: str, at: np.ndarray, ids: np.ndarray, cut: np.ndarray) -> list[np.ndarray]:
+    def _with_bytes(self, text: str, at: np.ndarray, ids: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         flat, count = [], np.ones(len(ids), np.int64)
         for k in np.flatnonzero(ids == self.v.unknown):
             raw = text[at[k] - 1].encode("utf-8", "surrogatepass")
@@ -310,23 +337,22 @@ class Encoder:
         out = np.repeat(ids, count)
         out[out == self.v.unknown] = np.concatenate(flat)
         total = np.concatenate([[0], np.cumsum(count)])
-        return _parts(out, total[cut])
+        return out, total[cut]
 
     # -- texts
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace(SPACE, " ").split(" ") if t else [] for t in texts]
         words = dict.fromkeys(chain.from_iterable(split))
         short = [w for w in words if w not in self.number]
-        if self.taken + WORD_BYTES * len(short) + 8 * sum(map(len, short)) > REMEMBERED:
-            self._forget()
-            short = list(words)
+        if self.taken + _taken(short) > REMEMBERED:
+            self._keep([w for w in words if w in self.number])  # most words of these texts were in the ones before
         long = [w for w in short if len(w) > REMEMBERED_WORD]
         if long:
             short = [w for w in short if len(w) <= REMEMBERED_WORD]
         known = len(self.number)
         self.flat, self.cut = self._with(short)
         self.number.update(zip(short, range(known, known + len(short))))
-        self.taken += WORD_BYTES * len(short) + 8 * sum(map(len, short))
+        self.taken += _taken(short)
         flat, cut = self.flat, self.cut
         if long:  # known for these texts only
             flat, cut = self._with(long)
@@ -339,17 +365,16 @@ class Encoder:
         to = np.cumsum(size)
         ids = flat[np.arange(int(size.sum())) + np.repeat(cut[which] - (to - size), size)]
         stops = np.concatenate([[0], to])[np.cumsum([len(ws) for ws in split], dtype=np.int64)]
-        out = []
-        for part in _parts(ids, stops):
-            alone = part == self.v.space
-            out.append(self._merge_spaces(part) if (alone[1:] & alone[:-1]).any() else part)
+        out = _parts(ids, stops)
+        alone = ids == self.v.space
+        for k in np.unique(np.searchsorted(stops, np.flatnonzero(alone[1:] & alone[:-1]), side="right")):
+            out[k] = self._merge_spaces(out[k])
         return out
 
     def _with(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """flat and cut with the ids of further words."""
-        ids = self.words(new)
-        return (np.concatenate([self.flat, *ids]),
-                np.concatenate([self.cut, self.cut[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)]))
+        ids, stops = self.words(new)
+        return np.concatenate([self.flat, ids]), np.concatenate([self.cut, self.cut[-1] + stops])
 
     def _merge_spaces(self, ids: np.ndarray) -> np.ndarray:
         runs, longest, out, k = self.v.runs, max(self.v.runs), [], 0
