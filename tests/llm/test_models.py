@@ -1,5 +1,6 @@
 """Quality ranking, quality rules, toxicity: statistics against brute force, held-out accuracy, awkward rows."""
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,32 @@ def test_chain_feeds_earlier_probabilities():
     assert chain.probabilities(texts).shape == (300, 2)
 
 
+def _peak(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_learning_copies_no_matrix():
+    """The driver learns from its matrix in slices; neither the rows of a fold nor the weighted rows are copied."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(40_000, 40))
+    y = (x[:, 0] + rng.normal(size=len(x)) > 0).astype(float)
+    rows = np.flatnonzero(np.arange(len(x)) % 3 != 0)
+    w, peak = _peak(lambda: quality_rank.newton(x, y[rows], 1e-3, rows))
+    assert peak < x.nbytes / 2
+    slope = x[rows].T @ (quality_rank.sigmoid(x[rows] @ w) - y[rows]) / len(rows) + 1e-3 * w
+    assert np.abs(slope).max() < 1e-5 and w[0] > 0.5
+    chain = toxicity.Chain(np.zeros(0, np.int64), ["junk", "toxic"])
+    z = np.concatenate([x, np.zeros((len(x), chain.extra))], axis=1)
+    _, peak = _peak(lambda: chain._fit(z, {"junk": y, "toxic": 1 - y}, np.arange(len(x)) % 3))
+    assert peak < z.nbytes / 2
+    assert np.allclose(chain.mid, x.mean(0)) and np.allclose(chain.spread, x.std(0))
+
+
 @pytest.mark.parametrize("run", [quality_rank.rank, quality_rules.judge, toxicity.score])
 def test_awkward_rows_and_labels(spark, run):
     docs = docs_frame(spark)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import NOT_ALNUM, Words, arrow_batch, chunks, crc_remainder, ready, same_type, signed, stored
-from .quality_rank import newton, sigmoid
+from .quality_rank import SLICE_ROWS, newton, sigmoid
 from .textstats import feature_matrix, statistics
 
 #: The chain: category and the label column and value that mark it.
@@ -54,15 +54,25 @@ class Chain:
 
     def fit(self, x: np.ndarray, marks: dict[str, np.ndarray], fold: np.ndarray) -> "Chain":
         """marks: 1, 0 or NaN for each row and category."""
-        self.mid, self.spread = (x.mean(0), np.maximum(x.std(0), 1e-3)) if len(x) else (0.0, 1.0)
-        # one matrix for all categories: features, then the out-of-fold probabilities of the earlier ones
-        z = np.zeros((len(x), x.shape[1] + 1 + len(self.categories)))
-        wide = x.shape[1] + 1
-        z[:, :wide - 1] = x
-        del x
-        z[:, :wide - 1] -= self.mid
-        z[:, :wide - 1] /= self.spread
-        np.clip(z[:, :wide - 1], -8, 8, out=z[:, :wide - 1])
+        return self._fit(np.concatenate([x, np.zeros((len(x), self.extra))], axis=1), marks, fold)
+
+    @property
+    def extra(self) -> int:
+        """Columns of a learning matrix after the features: a constant, and the out-of-fold probabilities."""
+        return 1 + len(self.categories)
+
+    def _fit(self, z: np.ndarray, marks: dict[str, np.ndarray], fold: np.ndarray) -> "Chain":
+        """z: features and the further columns, one matrix for all categories; it is scaled in place."""
+        wide = z.shape[1] - len(self.categories)
+        x = z[:, :wide - 1]
+        self.mid, self.spread = 0.0, 1.0
+        if len(x):
+            parts = [x[k:k + SLICE_ROWS] for k in range(0, len(x), SLICE_ROWS)]
+            self.mid = sum(part.sum(0) for part in parts) / len(x)
+            self.spread = np.maximum(np.sqrt(sum(((part - self.mid) ** 2).sum(0) for part in parts) / len(x)), 1e-3)
+        x -= self.mid
+        x /= self.spread
+        np.clip(x, -8, 8, out=x)
         z[:, wide - 1] = 1
         for n, category in enumerate(self.categories):
             y = marks[category]
@@ -71,10 +81,12 @@ class Chain:
             out_of_fold = np.zeros(len(z))
             if (y == 1).any() and (y == 0).any():
                 for k in range(FOLDS):
-                    rest = known & (fold != k)
+                    rest = np.flatnonzero(known & (fold != k))
                     if (y[rest] == 1).any() and (y[rest] == 0).any():
-                        out_of_fold[fold == k] = sigmoid(seen[fold == k] @ newton(seen[rest], y[rest], RIDGE))
-                self.models[category] = newton(seen[known], y[known], RIDGE)
+                        w = newton(seen, y[rest], RIDGE, rest)
+                        out_of_fold[fold == k] = sigmoid(seen @ w)[fold == k]
+                known = np.flatnonzero(known)
+                self.models[category] = newton(seen, y[known], RIDGE, known)
             z[:, wide + n] = out_of_fold
         return self
 
@@ -166,16 +178,17 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Chain:
             .orderBy("h", *[f"y{k}" for k in range(len(CATEGORIES))], "x").limit(bound).toArrow())
     width = len(chain.words) + feature_matrix(statistics(pa.array([""]))).shape[1]
     fold = (rows.column("h").to_numpy() % FOLDS) if rows.num_rows else np.zeros(0, int)
-    marks = {c: rows.column(f"y{k}").to_numpy() for k, (c, _, _) in enumerate(CATEGORIES)}
-    # the driver holds the sample's matrix once: its Arrow form goes before the models are fitted
-    x = np.zeros((rows.num_rows, width))
+    marks = {c: np.array(rows.column(f"y{k}")) for k, (c, _, _) in enumerate(CATEGORIES)}
+    # the driver holds the sample's matrix once: it is filled row by row, scaled in place and never copied, and its Arrow
+    # form goes before the models are fitted
+    z = np.zeros((rows.num_rows, width + chain.extra))
     at = 0
     for part in rows.column("x").chunks:
-        x[at:at + len(part)] = part.flatten().to_numpy().reshape(-1, width)
+        z[at:at + len(part), :width] = part.flatten().to_numpy().reshape(-1, width)
         at += len(part)
     del rows
     pa.default_memory_pool().release_unused()
-    return chain.fit(x, marks, fold)
+    return chain._fit(z, marks, fold)
 
 
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, bound: int = SAMPLE) -> DataFrame:
