@@ -365,6 +365,34 @@ def test_event_search_neither_broadcasts_nor_sorts_events(spark):  # J5, J6
     assert {r.k: r.nearest_event_id for r in near.collect()} == want
 
 
+def test_event_search_shuffles_slice_and_cell_as_one_number_each(spark):  # J5, J6
+    """Cells on both sides of zero and times before 1970 are told apart."""
+    from tramline.operators import nearest as N
+    start = dt.datetime(1969, 12, 31, 22, 0)
+    evs = [(f"E{k:03}", -0.05 + 0.013 * (k % 9), -0.06 + 0.017 * (k % 7), start + dt.timedelta(minutes=2 * k),
+            start + dt.timedelta(minutes=2 * k + 40), 0.5, "ACTIVE") for k in range(90)]
+    asked = [(k, -0.07 + 0.011 * (k % 13), -0.08 + 0.019 * (k % 8), start + dt.timedelta(minutes=3 * k, seconds=k)) for k in range(60)]
+    points = spark.createDataFrame(asked, "k int, stop_lat double, stop_lon double, event_ts timestamp")
+    covered, edges = N.sliced(N.numbered(N.active_intervals(_events(spark, evs))), F.col("_n"), F.min)
+    asks = N.asks_of(points, "stop_lat", "stop_lon", "event_ts")
+    plan = N.around(asks, covered, edges, 1.0, N._farness(), F.min)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_at#" in plan and "hashpartitioning(level#" not in plan
+    import math
+
+    def km(a, b, c, d):
+        h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * \
+            math.sin(math.radians(d - b) / 2) ** 2
+        return math.asin(math.sqrt(h)) * 2 * 6371.0
+
+    want = {}
+    for k, lat, lon, t in asked:
+        near = [(km(lat, lon, e[1], e[2]), e[0]) for e in evs if e[3] <= t <= e[4]]
+        if near:
+            want[k] = min(near)[1]
+    got = N.nearest_active_event(points, _events(spark, evs), ["k"]).collect()
+    assert len(want) > 40 and {r.k: r.nearest_event_id for r in got} == want
+
+
 def test_position_functions_show_all_formulas(spark):
     from tramline.functions import geo as G, timefn as T
     df = spark.createDataFrame([(52.52, 13.405, 52.53, 13.405, 180.0, dt.datetime(2024, 1, 1, 7, 30)),
