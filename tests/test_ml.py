@@ -124,3 +124,11 @@ def test_batch_scores_hold_every_feature_row(spark, trained, monkeypatch):
     (models, test), feats = trained
     monkeypatch.setattr(registry, "_models", lambda s, sf: (models, test))
     assert registry.queries()["ml_batch_scores"](spark, SF_SMALL).count() == feats.count()
+
+
+@pytest.mark.parametrize("name, stored", [("ml_metrics_of_average", "/predictions/")])
+def test_fact_is_built_once(spark, name, stored):
+    """The plan of the result reads stored rows instead of holding the fact once for each count."""
+    from tramline import registry
+    files = registry.queries()[name](spark, SF_SMALL).inputFiles()
+    assert files and all(stored in f for f in files)

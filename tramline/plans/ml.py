@@ -123,7 +123,8 @@ def metrics(models: TrainedModels, test: DataFrame) -> DataFrame:
 
 
 def evaluate(s: DataFrame, train_rows: int, test_rows: int) -> DataFrame:
-    """Metrics of predictions: s has y, yhat (seconds), c, chat (classes)."""
+    """Metrics of predictions: s has y, yhat (seconds), c, chat (classes). They read s several times, so it should be a
+    stored table."""
     glob = s.agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"),
                  F.sum((F.col("y") - F.col("yhat")) ** 2).alias("ss_res"),
                  (F.count(F.lit(1)) * F.var_pop("y")).alias("ss_tot"),
