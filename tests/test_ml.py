@@ -126,7 +126,7 @@ def test_batch_scores_hold_every_feature_row(spark, trained, monkeypatch):
     assert registry.queries()["ml_batch_scores"](spark, SF_SMALL).count() == feats.count()
 
 
-@pytest.mark.parametrize("name, stored", [("ml_metrics_of_average", "/predictions/")])
+@pytest.mark.parametrize("name, stored", [("ml_metrics_of_average", "/predictions/"), ("ml_split_counts", "/prepared/")])
 def test_fact_is_built_once(spark, name, stored):
     """The plan of the result reads stored rows instead of holding the fact once for each count."""
     from tramline import registry

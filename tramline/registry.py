@@ -1006,7 +1006,9 @@ def q_ml_encoded(spark, sf):
     "CAST(sum(label_class) AS BIGINT) AS class_sum FROM prepared GROUP BY 1"))
 def q_ml_split(spark, sf):
     from .plans import ml
-    train, test = ml.split(ml.prepare(wh(spark, sf).ml_features))
+    from .session import materialise
+    rows = ml.prepare(wh(spark, sf).ml_features).select("trip_id", "stop_id", "event_ts", "label_class")
+    train, test = ml.split(materialise(rows, "prepared"))  # the fact is built once for both parts
     count = [F.count(F.lit(1)).alias("rows"), F.sum("label_class").cast("long").alias("class_sum")]
     return train.agg(*count).select(F.lit("train").alias("part"), "*").unionByName(
         test.agg(*count).select(F.lit("test").alias("part"), "*"))
