@@ -126,6 +126,13 @@ def test_batch_scores_hold_every_feature_row(spark, trained, monkeypatch):
     assert registry.queries()["ml_batch_scores"](spark, SF_SMALL).count() == feats.count()
 
 
+def test_metrics_read_stored_predictions(trained):
+    """The forest scores each test row once, not once for each metric that reads it."""
+    (models, test), _ = trained
+    files = ml.metrics(models, test).inputFiles()
+    assert files and all("/predictions/" in f for f in files)
+
+
 @pytest.mark.parametrize("name, stored", [("ml_metrics_of_average", "/predictions/"), ("ml_split_counts", "/prepared/")])
 def test_fact_is_built_once(spark, name, stored):
     """The plan of the result reads stored rows instead of holding the fact once for each count."""
