@@ -61,6 +61,30 @@ def test_ranking_takes_no_held_out_label(spark):
     assert a == b
 
 
+@pytest.mark.parametrize("bound", [60, 20_000])
+def test_ranking_learns_from_every_label(spark, bound):
+    """Scaling, pairs and cut are those of all labelled rows in plain numpy, in one part or dealt to several."""
+    rows = [(k, prose(k, 30 + k % 7) + (" #" * (k % 5) if k % 3 else ""), "en", "a", 0) for k in range(300)]
+    docs = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0 or k % 11 == 0), 0) for k in range(300)], LABELS)
+    stats = quality_rules.with_statistics(docs)
+    ranker = quality_rank.learn(stats, labels, bound)
+    known = stats.join(labels, "doc_id").toPandas()
+    x, good = known[FEATURES].to_numpy(), known.quality.to_numpy() == 1
+    assert np.allclose(ranker.mid, x.mean(0)) and np.allclose(ranker.spread, np.maximum(x.std(0), 1e-6))
+    assert np.allclose([ranker.low, ranker.high], np.quantile(x, [0.005, 0.995], axis=0), rtol=1e-12, atol=0)
+    s = ranker.expand(x) @ ranker.weights
+    assert np.isclose(ranker.cut, np.quantile(s, (~good).mean())) and np.isclose(ranker.slope, 1 / s.std())
+    parts = quality_rank.dealt(stats.join(labels, "doc_id").select(F.xxhash64("doc_id").alias("h"), "doc_id", "quality",
+                                                                   *FEATURES), 300, bound).collect()
+    assert sum(len(p[1]) for p in parts) == 300 and (len(parts) > 1) == (bound < 300)
+    assert sorted(map(tuple, np.concatenate([p[1] for p in parts]))) == sorted(map(tuple, x))
+    pairs, _, slope, _ = (sum(v) for v in zip(*(quality_rank.pair_sums(p, ranker, ranker.weights, bound) for p in parts)))
+    assert pairs >= quality_rank.PAIRS * len(parts) and np.abs(slope / pairs + quality_rank.RIDGE * ranker.weights).max() < 1e-4
+    got = quality_rank.rank(docs, labels, bound=bound).toPandas().set_index("doc_id")
+    assert (got.predicted == (got.score >= 0.7)).all() and got.held_out.any()
+
+
 def test_rules_on_labels(spark):
     docs, labels = labelled(spark)
     got = quality_rules.judge(docs, labels).join(labels, "doc_id").toPandas()
