@@ -139,3 +139,57 @@ def test_fact_is_built_once(spark, name, stored):
     from tramline import registry
     files = registry.queries()[name](spark, SF_SMALL).inputFiles()
     assert files and all(stored in f for f in files)
+
+
+def test_codes_hold_the_sums_of_every_feature():
+    """Sums by code against sums by (node, feature, bin) made by hand; features that exclude each other share a code."""
+    import numpy as np
+    from tramline.plans import boosting as B
+    rng = np.random.default_rng(3)
+    n, kind = 500, rng.integers(0, 5, 500)
+    bins = np.concatenate([rng.integers(0, 9, (n, 2)), kind[:, None] == np.arange(4), rng.integers(0, 2, (n, 1))], 1).astype(np.uint8)
+    sizes = [9, 9, 2, 2, 2, 2, 2]
+    above = (bins > 0).astype(int)
+    layout = B.bundled(above.T @ above, sizes)
+    assert [2, 3, 4, 5] in layout.bundles and sorted(f for b in layout.bundles for f in b) == list(range(7))
+    y, label, margins = rng.normal(size=n), rng.integers(0, 3, n), rng.normal(size=(n, 4))
+    feature, cut = rng.integers(-1, 7, (4, 7)), rng.integers(0, 2, (4, 7))
+    params = B.BoostParams(subsample=2.0)  # every row is drawn
+    got = B._sums((np.arange(n), y, label, bins, layout.codes(bins), margins), 2, params, 0, (feature, cut), layout)
+    p = B.softmax(margins[:, 1:])
+    for o in range(4):
+        g = np.rint((margins[:, 0] - y if not o else p[:, o - 1] - (label == o - 1)) * B.GRAIN)
+        h = np.rint((np.ones(n) if not o else 2 * p[:, o - 1] * (1 - p[:, o - 1])) * B.GRAIN)
+        node = B.nodes_of(bins, feature[o], cut[o], 2) - 3
+        want = np.zeros((2, 4, 7, B.BINS), np.int64)
+        for j in range(7):
+            np.add.at(want, (0, node, j, bins[:, j]), g.astype(np.int64))
+            np.add.at(want, (1, node, j, bins[:, j]), h.astype(np.int64))
+        assert np.array_equal(layout.dense(got[o], np.arange(7)), want)
+
+
+def test_a_round_takes_one_job_a_level(spark):
+    """No job of its own for the leaves' sums or for the margins, and one checkpoint is left, not one for each cut."""
+    import glob
+    import numpy as np
+    from tramline.plans import boosting
+    from tramline.session import checkpoint_dir
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(i, float(a), int(a > 0), [float(a), float(b)]) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))],
+                               "key long, y double, label int, x array<double>").cache()
+    context = spark.sparkContext
+
+    def jobs(rounds):
+        context.setJobGroup(f"rounds{rounds}", "boosting")
+        forest = boosting.fit(df, boosting.BoostParams(rounds=rounds, max_depth=3))
+        return len(context.statusTracker().getJobIdsForGroup(f"rounds{rounds}")), forest
+
+    kept = lambda: len(glob.glob(f"{checkpoint_dir(spark)}/*/rdd-*"))
+    try:
+        (few, short), before = jobs(2), kept()
+        more, long = jobs(8)
+        assert more - few == 6 * 3 and np.array_equal(long.leaf[:2], short.leaf)
+        jobs(32)
+        assert kept() - before == 1
+    finally:
+        context.setJobGroup("", "")
